@@ -159,7 +159,7 @@ def top_features(attributions: Column | str | None, defaults: Sequence[str], n:
 
 def explanations(features: Column) -> Column:
     """Business sentences of an array of feature names."""
-    return F.transform(features, feature_sentence)
+    return F.transform(features, lambda feature: feature_sentence(feature))
 
 
 def enriched(df: DataFrame, default_features: Sequence[str] = (), attributions: str | None = None) -> DataFrame:

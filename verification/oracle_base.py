@@ -127,3 +127,136 @@ cte("training", ("dated",), """
     total_payment_plan_days / no_of_transactions AS avg_plan_days,
     total_plan_list_price - total_actual_amount_paid AS amount_due
   FROM dated""")
+cte("cases", ("predictions", "customer_features"), """
+  SELECT p.*, f.*, is_churn AS actual, CASE WHEN churn_probability >= 0.5 THEN 1 ELSE 0 END AS predicted,
+    CASE WHEN is_churn <> (churn_probability >= 0.5)::INT THEN 1 ELSE 0 END AS is_misclassified,
+    CASE WHEN is_churn = 1 AND churn_probability < 0.5 THEN 'FN' WHEN is_churn = 0 AND churn_probability >= 0.5 THEN 'FP'
+      ELSE 'correct' END AS error_type
+  FROM predictions p JOIN customer_features f ON f.msno = p.customer_id""")
+cte("labelled", ("predictions", "customer_features"), """
+  SELECT pred_id, msno, scored_at, churn_probability AS score, is_churn AS label,
+    coalesce(latest_is_auto_renew, 0) AS latest_is_auto_renew,
+    CASE WHEN coalesce(cancel_count, 0) > 0 THEN 1 ELSE 0 END AS has_cancel_history,
+    CAST(transaction_count AS DOUBLE) AS transaction_count, total_amount_paid, avg_plan_days,
+    CAST(num_active_days AS DOUBLE) AS num_active_days, avg_total_secs
+  FROM predictions JOIN customer_features ON msno = customer_id WHERE churn_probability IS NOT NULL""")
+cte("windowed", ("labelled",), """
+  SELECT *, CASE WHEN scored_at >= TIMESTAMP '2024-01-24' THEN 'current'
+      WHEN scored_at >= TIMESTAMP '2023-11-02' THEN 'baseline' END AS time_window,
+    CAST(('0x' || substr(md5(msno), 1, 8)) AS BIGINT) % 100 AS bucket FROM labelled""")
+cte("strategy", ("windowed",), """
+  SELECT CASE WHEN count(*) FILTER (time_window = 'current') < 50 OR count(*) FILTER (time_window = 'baseline') < 50
+    THEN 'hash_fallback' ELSE 'time_window' END AS cohort_strategy FROM windowed""")
+cte("cohorts", ("windowed", "strategy"), """
+  SELECT * FROM (SELECT *, CASE WHEN cohort_strategy = 'time_window' THEN time_window
+      WHEN bucket < 70 THEN 'baseline' ELSE 'current' END AS cohort FROM windowed, strategy) WHERE cohort IS NOT NULL""")
+cte("cohort_auc", ("cohorts",), """
+  SELECT cohort, CAST(sum(label) AS BIGINT) AS positives, CAST(sum(1 - label) AS BIGINT) AS negatives,
+    sum(CASE WHEN label = 1 THEN below + ties/2.0 ELSE 0 END) / nullif(sum(label) * sum(1 - label), 0) AS roc_auc
+  FROM (SELECT cohort, label,
+      coalesce(sum(1 - label) OVER (PARTITION BY cohort ORDER BY score RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)
+        - sum(1 - label) OVER (PARTITION BY cohort, score) AS below,
+      sum(1 - label) OVER (PARTITION BY cohort, score) AS ties FROM cohorts)
+  GROUP BY cohort""")
+cte("series", ("cohorts",), """
+  SELECT 'feature' AS family, name, cohort, value FROM (UNPIVOT (SELECT cohort, transaction_count, total_amount_paid,
+      avg_plan_days, num_active_days, avg_total_secs FROM cohorts) ON COLUMNS(* EXCLUDE cohort) INTO NAME name VALUE value)
+  UNION ALL SELECT 'segment', 'latest_is_auto_renew=' || latest_is_auto_renew, cohort, score FROM cohorts
+  UNION ALL SELECT 'segment', 'has_cancel_history=' || has_cancel_history, cohort, score FROM cohorts
+  UNION ALL SELECT 'score', 'score', cohort, score FROM cohorts""")
+cte("edges", ("series",), """
+  SELECT family, name, list_sort(list_distinct(quantile_cont(value, [0.0, 0.1, 0.2, 0.30000000000000004, 0.4, 0.5,
+    0.6000000000000001, 0.7000000000000001, 0.8, 0.9, 1.0]))) AS e FROM series WHERE cohort = 'baseline' GROUP BY family, name""")
+cte("psi_values", ("series", "edges"), """
+  SELECT family, name, CASE WHEN bn < 2 OR cn < 2 THEN 'nan'::DOUBLE WHEN max(k) < 2 THEN 0
+      ELSE sum((c/cn + 1e-6 - b/bn - 1e-6) * ln((c/cn + 1e-6) / (b/bn + 1e-6))) END AS psi
+  FROM (SELECT family, name, k, bin, CAST(count(*) FILTER (cohort = 'baseline') AS DOUBLE) AS b,
+      CAST(count(*) FILTER (cohort = 'current') AS DOUBLE) AS c,
+      sum(count(*) FILTER (cohort = 'baseline')) OVER (PARTITION BY family, name) AS bn,
+      sum(count(*) FILTER (cohort = 'current')) OVER (PARTITION BY family, name) AS cn
+    FROM (SELECT *, len(e) AS k, len(list_filter(e[2:len(e)-1], lambda x: x <= value)) AS bin FROM series JOIN edges USING (family, name))
+    GROUP BY family, name, k, bin)
+  GROUP BY family, name, bn, cn""")
+_EDGES = "[0.0, 0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7000000000000001, 0.8, 0.9, 1.0]"
+
+
+def unit_bins(table: str, score: str, label: str) -> str:
+    """Equal-width bins over [0, 1] with sums per bin."""
+    return f"""
+  SELECT CAST(g.bin AS INTEGER) AS bin, {_EDGES}[g.bin + 1] AS bin_lower, {_EDGES}[g.bin + 2] AS bin_upper,
+    b.mean_pred, b.actual_rate, coalesce(b.n, 0) AS count
+  FROM range(10) g(bin) LEFT JOIN (
+    SELECT len(list_filter({_EDGES}[2:10], lambda x: x <= {score})) AS bin, avg({score}) AS mean_pred, avg({label}) AS actual_rate,
+      count(*) AS n FROM {table} GROUP BY 1) b ON b.bin = g.bin"""
+
+
+cte("calibration", ("cases",), unit_bins("cases", "churn_probability", "actual"))
+cte("current_calibration", ("cohorts",), unit_bins("(SELECT * FROM cohorts WHERE cohort = 'current')", "score", "label"))
+cte("facts", ("cohorts", "cohort_auc", "psi_values", "current_calibration"), """
+  SELECT *, baseline_auc - current_auc AS auc_delta FROM (SELECT max(cohort_strategy) AS cohort_strategy,
+    count(*) FILTER (cohort = 'baseline') AS baseline_row_count, count(*) FILTER (cohort = 'current') AS current_row_count,
+    (SELECT roc_auc FROM cohort_auc WHERE cohort = 'baseline') AS baseline_auc,
+    (SELECT roc_auc FROM cohort_auc WHERE cohort = 'current') AS current_auc,
+    coalesce((SELECT max(psi) FROM psi_values WHERE family = 'feature' AND NOT isnan(psi)), 0) AS max_psi,
+    avg((score - label) * (score - label)) FILTER (cohort = 'current') AS brier_score,
+    (SELECT max(abs(mean_pred - actual_rate)) FROM current_calibration) AS max_calibration_error,
+    coalesce((SELECT list(name ORDER BY name) FROM psi_values WHERE family = 'segment' AND NOT isnan(psi) AND psi > 0.2), []) AS breached_segments
+  FROM cohorts)""")
+cte("verdict", ("facts",), """
+  SELECT *, CASE WHEN len(reasons) = 0 THEN NULL ELSE array_to_string(reasons, '; ') END AS breached_reasons,
+    current_row_count >= 1000 AND len(reasons) > 0 AS breached,
+    CASE WHEN current_row_count < 1000 THEN 'insufficient_data' WHEN len(reasons) > 0 THEN 'breached' ELSE 'ok' END AS status
+  FROM (SELECT *, list_filter([
+      CASE WHEN baseline_auc IS NULL THEN 'Insufficient baseline class coverage for AUC and no production baseline artifact found.' END,
+      CASE WHEN current_auc IS NULL THEN 'Insufficient current class coverage for AUC (requires both churn/non-churn).' END,
+      CASE WHEN max_psi > 0.2 THEN printf('PSI threshold breached: max_psi=%.4f (>0.2)', max_psi) END,
+      CASE WHEN auc_delta > 0.05 THEN printf('AUC degradation threshold breached: delta=%.4f (>0.05)', auc_delta) END,
+      CASE WHEN current_row_count < 1000 THEN printf('Insufficient labelled samples in current window: %d < 1000', current_row_count) END,
+      CASE WHEN current_row_count >= 1000 AND max_calibration_error > 0.1
+        THEN printf('Calibration error exceeds threshold: %.4f > 0.1', max_calibration_error) END,
+      CASE WHEN current_row_count >= 1000 AND len(breached_segments) > 0
+        THEN 'Segment PSI breached (0.2): ' || array_to_string(breached_segments, ', ') END], lambda x: x IS NOT NULL) AS reasons FROM facts)""")
+cte("snapshots", ("predictions",), """
+  SELECT 'snap-' || day AS snapshot_id, row_count, build_completed_at,
+    CASE WHEN CAST(day AS INTEGER) % 4 = 0 THEN 'failed' ELSE 'completed' END AS status
+  FROM (SELECT strftime(scored_at, '%Y%m%d') AS day, CAST(count(*) AS INTEGER) AS row_count, max(scored_at) AS build_completed_at
+    FROM predictions GROUP BY 1)""")
+cte("current_snapshot", ("snapshots",), """
+  SELECT arg_max(snapshot_id, build_completed_at) AS snapshot_id FROM snapshots WHERE status = 'completed'""")
+cte("daily_results", ("predictions",), """
+  SELECT 'run-' || day AS run_id, CAST(day AS TIMESTAMP) AS created_at, r.rule_name, r.severity, r.status FROM (
+    SELECT CAST(scored_at AS DATE) AS day, avg((risk_tier = 'High')::INT) AS high, avg((feature_snapshot_id IS NOT NULL)::INT) AS linked
+    FROM predictions GROUP BY 1), LATERAL (SELECT unnest([
+      {'rule_name': 'high_share', 'severity': 'blocking', 'status': CASE WHEN high <= 0.06 THEN 'pass' ELSE 'fail' END},
+      {'rule_name': 'linked_share', 'severity': 'blocking', 'status': CASE WHEN linked >= 0.85 THEN 'pass' ELSE 'fail' END},
+      {'rule_name': 'linked_warning', 'severity': 'warning', 'status': CASE WHEN linked >= 0.86 THEN 'pass' ELSE 'fail' END}]) AS r)""")
+cte("version_metrics", ("cases",), """
+  SELECT model_version, max(precision_churn) AS precision_churn,
+    sum(CASE WHEN actual = 1 THEN below + ties/2.0 ELSE 0 END) / nullif(sum(actual) * sum(1 - actual), 0) AS roc_auc
+  FROM (SELECT model_version, actual,
+      coalesce(sum(CASE WHEN actual = 1 AND predicted = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY model_version)
+        / nullif(sum(predicted) OVER (PARTITION BY model_version), 0), 0) AS precision_churn,
+      sum(1 - actual) OVER (PARTITION BY model_version ORDER BY churn_probability RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        - sum(1 - actual) OVER (PARTITION BY model_version, churn_probability) AS below,
+      sum(1 - actual) OVER (PARTITION BY model_version, churn_probability) AS ties FROM cases)
+  GROUP BY model_version""")
+
+
+def chosen(table: str, key: str, stratum: str, fraction: float, seed: int) -> str:
+    """Rows of a table with ``picked``: round(fraction * n) of each stratum by seeded hash."""
+    return f"""
+  SELECT *, row_number() OVER (PARTITION BY {stratum} ORDER BY md5('{seed}:' || {key}), {key})
+    <= round_even({fraction} * count(*) OVER (PARTITION BY {stratum}), 0) AS picked FROM {table}"""
+
+
+cte("sampled", ("train",), chosen("train", "msno", "is_churn", 0.2, 42))
+
+
+def content_hash(table: str, columns: list[str]) -> str:
+    """Order-independent digest; ``columns`` are expressions that give the text of each column, in column order."""
+    texts = ", ".join(f"CASE WHEN ({c}) IS NULL THEN 'N' ELSE length({c}) || ':' || ({c}) END" for c in columns)
+    words = " || '|' || ".join(
+        f"CAST(sum(CAST(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT) AS HUGEINT)) AS VARCHAR)" for i in range(8))
+    return f"""
+  SELECT count(*) AS row_count, sha256(count(*) || '|' || {words}) AS content_hash
+  FROM (SELECT sha256(concat_ws('|', {texts})) AS h FROM {table})"""

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenura.functions import dates, labels
-from tenura.operators import cleanse, features, latest
+from tenura.functions.dates import int_from_date
+from tenura.operators import (
+    attributions, catalog, cleanse, dashboard, errors, explore, fairness, features, latest, monitoring, promotion,
+    quality, sampling,
+)
+from tenura.plans import monitoring as plan_monitoring
+from tenura.schemas import MODEL_FEATURES
+from tenura.sources import tables
 from tenura.sources.retail import AS_OF, RetailViews
 from verification.compare import presented
 
@@ -90,3 +97,631 @@ def _(v):
 @query("rule_driven_transactions")
 def _(v):
     return cleanse.apply_rules(v.transactions, cleanse.DEFAULT_RULES["transactions"])
+
+
+# Dashboard ---------------------------------------------------------------------------------------------------------
+
+
+@query("latest_prediction")
+def _(v):
+    return latest.latest_predictions(v.predictions)
+
+
+@query("risk_tier_labels")
+def _(v):
+    return v.predictions.select(
+        "pred_id", labels.risk_tier("churn_probability").alias("risk_tier"),
+        labels.score_bucket("churn_probability").alias("bucket"), F.lit("v1").alias("threshold_version"),
+    )
+
+
+@query("segment_labels")
+def _(v):
+    return feature_table(v).select(
+        "msno",
+        labels.payment_behavior("latest_is_auto_renew").alias("payment_behavior"),
+        labels.cancel_history("cancel_count").alias("cancel_history"),
+        labels.usage_intensity("num_active_days").alias("usage_intensity"),
+        labels.tenure("transaction_count").alias("tenure"),
+        labels.has_cancel_history("cancel_count").alias("has_cancel_history"),
+        labels.age_band("bd").alias("age_band"),
+    )
+
+
+@query("lenient_numbers")
+def _(v):
+    # Priorities such as "1-URGENT" are text; their first character is a number and the whole is not.
+    priority = F.col("o_orderpriority")
+    return v.read("orders").select(
+        "o_orderkey", labels.numeric(priority).alias("whole"), labels.numeric(F.substring(priority, 1, 1)).alias("lead")
+    )
+
+
+@query("lenient_dates")
+def _(v):
+    code = (F.col("o_orderkey") % 13 * 100 + F.col("o_orderkey") % 32 + 20000000).cast("int")
+    return v.read("orders").select("o_orderkey", dates.date_from_int(code, lenient=True).alias("day"))
+
+
+@query("portfolio_counts")
+def _(v):
+    return dashboard.portfolio_counts(v.predictions)
+
+
+@query("score_buckets")
+def _(v):
+    return dashboard.score_buckets(v.predictions)
+
+
+@query("segment_breakdown")
+def _(v):
+    return dashboard.segment_breakdown(v.predictions, feature_table(v))
+
+
+TOP_FEATURES = ["latest_membership_expire_date", "avg_plan_days", "unlisted_feature"]
+
+
+@query("retention_queue")
+def _(v):
+    queue = dashboard.retention_queue(v.predictions, feature_table(v), default_features=TOP_FEATURES)
+    rank = F.row_number().over(Window.orderBy(F.col("churn_probability").desc(), "customer_id"))
+    return queue.withColumn("rank", rank).select("rank", *QUEUE_COLUMNS)
+
+
+QUEUE_COLUMNS = [
+    "customer_id", "churn_probability", "risk_tier", "scored_at", "customer_segment", "intervention_priority",
+    "recommended_action", "business_explanations",
+]
+
+
+@query("retention_queue_filtered")
+def _(v):
+    return dashboard.retention_queue(
+        v.predictions, feature_table(v), "Medium", "Low Engagement", TOP_FEATURES
+    ).select(*QUEUE_COLUMNS)
+
+
+@query("queue_summary")
+def _(v):
+    return dashboard.queue_summary(dashboard.retention_queue(v.predictions, feature_table(v)))
+
+
+@query("customer_cards")
+def _(v):
+    cards = dashboard.customer_cards(v.predictions, feature_table(v), TOP_FEATURES)
+    return cards.select(*QUEUE_COLUMNS, *dashboard.CARD_FEATURES)
+
+
+@query("customer_card")
+def _(v):
+    newest = v.predictions.agg(F.max_by("customer_id", "pred_id").alias("customer_id")).scalar()
+    return dashboard.customer_card(v.predictions, feature_table(v), newest, TOP_FEATURES).select(
+        *QUEUE_COLUMNS, *dashboard.CARD_FEATURES
+    )
+
+
+@query("attribution_input")
+def _(v):
+    joined = dashboard.with_features(latest.latest_predictions(v.predictions), feature_table(v), "inner")
+    return joined.select("customer_id", "churn_probability", "risk_tier", "scored_at", *MODEL_FEATURES)
+
+
+@query("tier_sample_customers")
+def _(v):
+    return attributions.tier_samples(latest.latest_predictions(v.predictions))
+
+
+# Exploration -------------------------------------------------------------------------------------------------------
+
+
+def training(v: RetailViews) -> DataFrame:
+    return cleanse.training_table(v.train, v.members, v.transactions)
+
+
+@query("churn_rate")
+def _(v):
+    return explore.churn_rate(training(v))
+
+
+@query("churn_rate_by_city")
+def _(v):
+    return explore.churn_rate_by(training(v), "city")
+
+
+@query("churn_rate_by_plan_days")
+def _(v):
+    return explore.churn_rate_by(training(v).withColumn("avg_plan_days", F.round("avg_plan_days", 6)), "avg_plan_days")
+
+
+@query("churn_rate_by_payment_method")
+def _(v):
+    return explore.churn_rate_by(training(v), "payment_method_id")
+
+
+@query("value_counts_members")
+def _(v):
+    return explore.value_counts(v.members, ["city", "gender", "registered_via"])
+
+
+@query("value_counts_payments")
+def _(v):
+    before = explore.value_counts(v.transactions, ["payment_method_id", "is_auto_renew"]).withColumn("stage", F.lit("before"))
+    after = explore.value_counts(cleanse.merge_rare_payment_methods(v.transactions), ["payment_method_id"])
+    return before.unionByName(after.withColumn("stage", F.lit("after")))
+
+
+@query("label_counts")
+def _(v):
+    return explore.value_counts(v.train, ["is_churn"])
+
+
+@query("histograms")
+def _(v):
+    return explore.histogram(v.transactions, ["payment_plan_days", "plan_list_price", "actual_amount_paid"])
+
+
+@query("box_statistics")
+def _(v):
+    before = explore.box_statistics(v.members.select("bd"), ["bd"]).withColumn("stage", F.lit("before"))
+    after = explore.box_statistics(cleanse.clean_age(v.members).select("bd"), ["bd"]).withColumn("stage", F.lit("after"))
+    price = explore.box_statistics(v.transactions, ["plan_list_price"]).withColumn("stage", F.lit("raw"))
+    return before.unionByName(after).unionByName(price)
+
+
+@query("variance_ranking")
+def _(v):
+    table = training(v)
+    ranking = explore.variance_ranking(table, explore.numeric_columns(table, ["is_churn"]))
+    return ranking.withColumn("variance", F.round("variance", 2))
+
+
+CORRELATED = [
+    "bd", "last_plan_days", "last_plan_price", "no_of_transactions", "membership_duration_days", "transaction_span_days",
+    "avg_plan_price", "avg_plan_days", "amount_due",
+]
+
+
+@query("correlation_matrix")
+def _(v):
+    return explore.correlation_matrix(training(v), CORRELATED)
+
+
+@query("null_counts")
+def _(v):
+    return explore.null_counts(feature_table(v))
+
+
+@query("duplicate_rows")
+def _(v):
+    return explore.duplicate_rows(v.transactions, "msno")
+
+
+@query("describe")
+def _(v):
+    return explore.describe(v.transactions, ["payment_plan_days", "plan_list_price", "actual_amount_paid", "transaction_date"])
+
+
+@query("coverage")
+def _(v):
+    return explore.coverage(v.train, feature_table(v))
+
+
+# Labelled cases ----------------------------------------------------------------------------------------------------
+
+
+def cases(v: RetailViews) -> DataFrame:
+    """Scored rows of labelled customers with their features; 0.5 separates the predicted classes."""
+    joined = dashboard.with_features(v.predictions, feature_table(v), "inner")
+    return labels.case_columns(joined, "is_churn", "churn_probability")
+
+
+@query("prediction_cases")
+def _(v):
+    return cases(v).select("pred_id", "customer_id", "actual", "predicted", "is_misclassified", "error_type")
+
+
+@query("confusion_counts")
+def _(v):
+    return errors.confusion_counts(cases(v))
+
+
+@query("classification_metrics")
+def _(v):
+    area = monitoring.roc_auc(cases(v), "actual", "churn_probability", strict=True).select("roc_auc").scalar()
+    return errors.classification_metrics(cases(v)).withColumn("roc_auc", area)
+
+
+@query("class_weights")
+def _(v):
+    return errors.class_weights(v.train)
+
+
+@query("numeric_error_profile")
+def _(v):
+    return errors.numeric_error_profile(cases(v), PROFILED)
+
+
+PROFILED = ["bd", "transaction_count", "total_amount_paid", "avg_plan_days", "num_active_days", "avg_total_secs"]
+
+
+@query("categorical_error_profile")
+def _(v):
+    return errors.categorical_error_profile(cases(v), ["city", "gender", "registered_via", "latest_payment_method_id"])
+
+
+@query("error_insights")
+def _(v):
+    scored = cases(v)
+    return errors.error_insights(
+        errors.numeric_error_profile(scored, PROFILED),
+        errors.categorical_error_profile(scored, ["city", "gender"]),
+        errors.confusion_counts(scored),
+    )
+
+
+@query("fairness_by_gender")
+def _(v):
+    return fairness.group_fairness(cases(v), "gender")
+
+
+@query("fairness_by_age_band")
+def _(v):
+    return fairness.group_fairness(cases(v), "age_band")
+
+
+@query("fairness_gaps")
+def _(v):
+    gaps = [
+        fairness.fairness_gap(fairness.group_fairness(cases(v), g)).select(F.lit(g).alias("group"), "fairness_gap")
+        for g in ("gender", "age_band")
+    ]
+    return gaps[0].unionByName(gaps[1])
+
+
+@query("training_date_range")
+def _(v):
+    return fairness.training_date_range(v.predictions, "scored_at")
+
+
+# Sampling ----------------------------------------------------------------------------------------------------------
+
+
+@query("stratified_sample")
+def _(v):
+    return sampling.stratified_sample(v.train, "msno", "is_churn", 0.2, 42)
+
+
+@query("sampled_transactions")
+def _(v):
+    chosen = sampling.stratified_sample(v.train, "msno", "is_churn", 0.2, 42)
+    return sampling.keep_sampled(v.transactions, chosen).select("txn_id", "msno")
+
+
+@query("simple_sample")
+def _(v):
+    return sampling.simple_sample(v.train, 100)
+
+
+@query("train_validation_split")
+def _(v):
+    return sampling.train_validation_split(v.train)
+
+
+@query("hash_cohorts")
+def _(v):
+    return v.predictions.select(
+        "pred_id", labels.stable_bucket("customer_id").alias("bucket"), sampling.hash_cohort("customer_id").alias("cohort")
+    )
+
+
+@query("monitoring_cohorts")
+def _(v):
+    scored = monitoring.labelled_predictions(v.predictions, feature_table(v), v.train, extra=("pred_id", "scored_at"))
+    windowed = scored.withColumn("window", sampling.time_cohort("scored_at", AS_OF))
+    return sampling.monitoring_cohorts(windowed).select("pred_id", "msno", "cohort", "cohort_strategy")
+
+
+# Monitoring --------------------------------------------------------------------------------------------------------
+
+
+def cohort_frame(v: RetailViews) -> DataFrame:
+    frame = monitoring.monitoring_frame(v.predictions, feature_table(v), v.train, AS_OF)
+    return sampling.monitoring_cohorts(frame, weight="n")
+
+
+@query("labelled_predictions")
+def _(v):
+    return monitoring.labelled_predictions(v.predictions, feature_table(v), v.train, extra=("pred_id", "scored_at"))
+
+
+@query("roc_auc_by_cohort")
+def _(v):
+    return monitoring.roc_auc(cohort_frame(v), "label", "score", ["cohort"], weight="n")
+
+
+@query("roc_points")
+def _(v):
+    return monitoring.roc_points(cases(v), "actual", "churn_probability")
+
+
+@query("calibration_bins")
+def _(v):
+    return monitoring.calibration_bins(cases(v), "actual", "churn_probability")
+
+
+@query("max_calibration_error")
+def _(v):
+    return monitoring.max_calibration_error(monitoring.calibration_bins(cases(v), "actual", "churn_probability"))
+
+
+@query("brier_score")
+def _(v):
+    return monitoring.brier_score(cases(v), "actual", "churn_probability")
+
+
+@query("score_distribution")
+def _(v):
+    return monitoring.score_distribution(v.predictions, "churn_probability")
+
+
+@query("feature_psi")
+def _(v):
+    return monitoring.feature_psi(cohort_frame(v), monitoring.DEFAULT_MONITORED_FEATURES, weight="n")
+
+
+@query("segment_psi")
+def _(v):
+    return monitoring.segment_psi(cohort_frame(v), weight="n")
+
+
+@query("score_psi")
+def _(v):
+    return monitoring.psi(cohort_frame(v), "score", weight="n")
+
+
+def verdict_row(v: RetailViews) -> DataFrame:
+    return plan_monitoring.monitoring_verdict(v.predictions, feature_table(v), v.train, AS_OF)
+
+
+@query("monitoring_verdict")
+def _(v):
+    return verdict_row(v).select(
+        "baseline_auc", "baseline_auc_source", "current_auc", "auc_delta", "max_psi", "breached", "breached_reasons",
+        "cohort_strategy", "baseline_row_count", "current_row_count", "status", "brier_score", "max_calibration_error",
+        "breached_segments", "min_sample_threshold", F.size("calibration_bins").alias("bins"),
+    )
+
+
+@query("retrain_decision")
+def _(v):
+    return plan_monitoring.retrain_decision(verdict_row(v)).drop("monitored_at")
+
+
+@query("monitoring_status")
+def _(v):
+    return dashboard.monitoring_status(verdict_row(v)).withColumn("monitored_at", F.col("monitored_at").cast("timestamp_ntz"))
+
+
+# Quality rules -----------------------------------------------------------------------------------------------------
+
+
+def stamped(df: DataFrame) -> DataFrame:
+    return df.withColumn("ingestion_timestamp", F.lit("2024-01-25 06:00:00").cast("timestamp_ntz"))
+
+
+def rule_tables(v: RetailViews) -> dict[str, DataFrame]:
+    return {
+        "processed.customer_features": feature_table(v).withColumn(
+            "feature_created_at", F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")),
+        "processed.churn_predictions": v.predictions,
+        "processed.feature_snapshots": snapshots(v),
+        "raw.members": stamped(v.members),
+        "raw.transactions": stamped(v.transactions),
+        "raw.user_logs": v.read("events").select(F.col("ts").alias("ingestion_timestamp")),
+        "raw.train": stamped(v.train),
+    }
+
+
+@query("quality_rule_set")
+def _(v):
+    return quality.run_rules(v.spark, rule_tables(v), quality.DEFAULT_RULE_SET, AS_OF).drop("detail")
+
+
+@query("quality_verdict")
+def _(v):
+    return quality.verdict(quality.run_rules(v.spark, rule_tables(v), quality.DEFAULT_RULE_SET, AS_OF))
+
+
+def number(name: str):
+    return F.get_json_object("detail", f"$.{name}").cast("double").alias(name)
+
+
+@query("freshness_rules")
+def _(v):
+    rule_set = {"freshness": [
+        {"table": "predictions", "timestamp_column": "scored_at", "max_age_hours": hours} for hours in (24, 48, 0.5)
+    ]}
+    rows = quality.run_rules(v.spark, {"predictions": v.predictions}, rule_set, AS_OF)
+    return rows.select("position", "rule_name", "severity", "status", number("age_hours"), number("row_count"))
+
+
+@query("coverage_rules")
+def _(v):
+    rule_set = {"coverage": [
+        {"table": "features", "column": c, "min_non_null_ratio": 0.88}
+        for c in ("msno", "city", "gender", "transaction_count", "num_active_days")
+    ]}
+    rows = quality.run_rules(v.spark, {"features": feature_table(v)}, rule_set, AS_OF)
+    return rows.select("rule_name", "status", number("non_null_ratio"), number("non_null_count"))
+
+
+@query("smoke_rules")
+def _(v):
+    rule_set = {"smoke": [
+        {"rule_name": "rows", "kind": "row_count_positive", "table": "transactions"},
+        {"rule_name": "match", "kind": "row_count_match", "left_table": "members", "right_table": "train"},
+        {"rule_name": "channel", "kind": "value_in_set", "table": "members", "column": "registered_via", "allowed_values": [3, 4, 7, 9]},
+        {"rule_name": "gender", "kind": "value_in_set", "table": "members", "column": "gender", "allowed_values": ["male", "female"]},
+        {"rule_name": "unique_member", "kind": "unique_column", "table": "members", "column": "msno"},
+        {"rule_name": "unique_payer", "kind": "unique_column", "table": "transactions", "column": "msno"},
+        {"rule_name": "age", "kind": "numeric_range", "table": "members", "column": "bd", "min": 18, "max": 90},
+        {"rule_name": "paid", "kind": "numeric_range", "table": "transactions", "column": "actual_amount_paid", "min": 0, "allow_null": False},
+        {"rule_name": "odd", "kind": "no_such_kind"},
+    ]}
+    tables = {"transactions": v.transactions, "members": v.members, "train": v.train}
+    rows = quality.run_rules(v.spark, tables, rule_set, AS_OF)
+    observed = F.coalesce(*[
+        F.get_json_object("detail", f"$.{n}") for n in ("violations", "duplicates", "left_count", "row_count")
+    ]).cast("bigint")
+    return rows.select("position", "rule_name", "severity", "status", observed.alias("observed"))
+
+
+def half_logs(v: RetailViews, late: bool) -> DataFrame:
+    return v.user_logs.where((F.col("date") > 20240115) == F.lit(late))
+
+
+DRIFT_COLUMNS = ["total_secs", "num_unq", "num_100"]
+
+
+def drift_log(v: RetailViews) -> DataFrame:
+    """A results log written by the rules themselves: the first half of the activity logs as an earlier run."""
+    rule_set = {"distribution": {"table": "logs", "numeric_columns": DRIFT_COLUMNS}}
+    first = quality.run_rules(v.spark, {"logs": half_logs(v, False)}, rule_set, AS_OF)
+    return quality.stamped_results(first, "first", AS_OF)
+
+
+@query("distribution_rules")
+def _(v):
+    rule_set = {"distribution": {"table": "logs", "numeric_columns": DRIFT_COLUMNS, "deviation_threshold": 0.01}}
+    rows = quality.run_rules(v.spark, {"logs": half_logs(v, True)}, rule_set, AS_OF, drift_log(v))
+    return rows.select("rule_name", "status", number("mean"), number("std"), number("n"), number("deviation"))
+
+
+def daily_results(v: RetailViews) -> DataFrame:
+    """A results log with one run per day of predictions: tier and snapshot rules over that day's rows."""
+    day = F.to_date("scored_at")
+    per_day = v.predictions.groupBy(day.alias("day")).agg(
+        F.avg((F.col("risk_tier") == "High").cast("int")).alias("high_share"),
+        F.avg(F.col("feature_snapshot_id").isNotNull().cast("int")).alias("linked_share"),
+    )
+    rules = F.array(
+        F.struct(F.lit("high_share").alias("rule_name"), F.lit("blocking").alias("severity"),
+                 F.when(F.col("high_share") <= 0.06, "pass").otherwise("fail").alias("status")),
+        F.struct(F.lit("linked_share").alias("rule_name"), F.lit("blocking").alias("severity"),
+                 F.when(F.col("linked_share") >= 0.85, "pass").otherwise("fail").alias("status")),
+        F.struct(F.lit("linked_warning").alias("rule_name"), F.lit("warning").alias("severity"),
+                 F.when(F.col("linked_share") >= 0.86, "pass").otherwise("fail").alias("status")),
+    )
+    return per_day.select(
+        F.concat(F.lit("run-"), F.col("day").cast("string")).alias("run_id"),
+        F.col("day").cast("timestamp_ntz").alias("created_at"), F.inline(rules),
+    )
+
+
+@query("newest_run_results")
+def _(v):
+    return quality.newest_run(daily_results(v))
+
+
+@query("blocking_failure_history")
+def _(v):
+    return quality.blocking_failure_history(daily_results(v))
+
+
+@query("run_verdicts")
+def _(v):
+    return quality.verdict(daily_results(v))
+
+
+@query("build_checks")
+def _(v):
+    return quality.build_checks(feature_table(v), v.train)
+
+
+# Lineage and versions ----------------------------------------------------------------------------------------------
+
+
+def snapshots(v: RetailViews) -> DataFrame:
+    """One snapshot per scored day; a day with few rows failed."""
+    return v.predictions.groupBy(int_from_date("scored_at").alias("day")).agg(
+        F.count(F.lit(1)).cast("int").alias("row_count"), F.max("scored_at").alias("build_completed_at")
+    ).select(
+        F.concat(F.lit("snap-"), F.col("day").cast("string")).alias("snapshot_id"), "row_count", "build_completed_at",
+        F.when(F.col("day") % 4 == 0, "failed").otherwise("completed").alias("status"),
+    )
+
+
+@query("current_snapshot")
+def _(v):
+    return catalog.current_snapshot(snapshots(v))
+
+
+@query("newest_snapshot_row")
+def _(v):
+    return latest.newest_rows(snapshots(v), ["build_completed_at"])
+
+
+def lineage(v: RetailViews) -> DataFrame:
+    return catalog.lineage_rows(
+        catalog.feature_registry(v.spark), catalog.current_snapshot(snapshots(v)).scalar(),
+        snapshots(v).agg(F.max("build_completed_at").alias("at")).scalar(),
+    )
+
+
+@query("lineage_rows")
+def _(v):
+    return lineage(v)
+
+
+@query("lineage_completeness")
+def _(v):
+    observed = feature_table(v).withColumn("feature_created_at", F.current_timestamp())
+    return catalog.lineage_completeness(observed, lineage(v))
+
+
+@query("linked_rows")
+def _(v):
+    return catalog.linked_rows(lineage(v), v.predictions)
+
+
+@query("provenance_triples")
+def _(v):
+    return catalog.provenance_triples(v.predictions, 40)
+
+
+@query("content_hash")
+def _(v):
+    return catalog.content_hash(v.transactions)
+
+
+@query("feature_table_hash")
+def _(v):
+    return catalog.content_hash(feature_table(v))
+
+
+@query("attribution_update")
+def _(v):
+    """A keyed update: new values for customers of the High tier, all other rows as they were."""
+    old = v.predictions.withColumn("note", F.lit("old"))
+    new = v.predictions.where(F.col("risk_tier") == "High").select(
+        "customer_id", "scored_at", F.concat(F.lit("new-"), F.col("model_version")).alias("note")
+    ).groupBy("customer_id", "scored_at").agg(F.max("note").alias("note"))
+    return tables.keyed_update(old, new, ["customer_id", "scored_at"], ["note"]).select("pred_id", "customer_id", "note")
+
+
+def version_metrics(v: RetailViews) -> DataFrame:
+    """AUC and precision of each model version on its labelled predictions."""
+    scored = cases(v)
+    area = monitoring.roc_auc(scored, "actual", "churn_probability", ["model_version"])
+    return errors.classification_metrics(scored, ["model_version"]).join(area, "model_version")
+
+
+@query("promotion_gate")
+def _(v):
+    metrics = version_metrics(v).select("model_version", "roc_auc", "precision_churn")
+    champion = metrics.select(
+        F.concat(F.lit("v"), (F.substring("model_version", 2, 9).cast("int") + 1).cast("string")).alias("model_version"),
+        F.col("roc_auc").alias("champion_auc"), F.col("precision_churn").alias("champion_business"),
+    )
+    pairs = metrics.withColumnsRenamed({"roc_auc": "challenger_auc", "precision_churn": "challenger_business"})
+    return promotion.gate_columns(pairs.join(champion, "model_version", "left"), tolerance=0.001)
