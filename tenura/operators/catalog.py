@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.operators.latest import newest_rows
-from tenura.schemas import SNAPSHOT_SCHEMA, WATERMARK_SCHEMA
+from tenura.schemas import SNAPSHOT_SCHEMA, WATERMARK_SCHEMA, fields
 
 # Feature, source table and rule of every column of the feature table.
 FEATURE_REGISTRY: list[tuple[str, str, str]] = [
@@ -97,7 +97,7 @@ def watermark_rows(
         F.lit(watermark_id).alias("watermark_id"), F.lit(table_name).alias("table_name"), "row_count", "content_hash",
         F.lit(run_id).alias("pipeline_run_id"), F.lit(created_at).alias("created_at"),
     )
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WATERMARK_SCHEMA])
+    return rows.selectExpr(*[f"cast({name} as {kind}) as {name}" for name, kind in fields(WATERMARK_SCHEMA)])
 
 
 def newest_watermark(watermarks: DataFrame) -> DataFrame:
@@ -121,7 +121,7 @@ def current_snapshot(snapshots: DataFrame) -> DataFrame:
 
 def snapshot_row(spark: SparkSession, **values) -> DataFrame:
     """One state change of a snapshot, to be appended to the snapshot log."""
-    return spark.createDataFrame([tuple(values.get(name) for name in SNAPSHOT_SCHEMA.names)], SNAPSHOT_SCHEMA)
+    return spark.createDataFrame([tuple(values.get(name) for name, _ in fields(SNAPSHOT_SCHEMA))], SNAPSHOT_SCHEMA)
 
 
 def provenance_triples(predictions: DataFrame, limit: int = 5) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions.labels import numeric
-from tenura.operators.ordered import exact_quantiles
+from tenura.operators.ordered import moments_of_counts, quantiles_of_counts, value_counts
+from tenura.session import checkpointed
 
 
 def confusion_counts(cases: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -62,24 +63,17 @@ def numeric_error_profile(cases: DataFrame, features: Sequence[str]) -> DataFram
     left out. ``rank`` orders by absolute difference.
     """
     entries = [F.struct(F.lit(f).alias("feature"), numeric(f).alias("value")) for f in features]
-    values = (
-        cases.select("is_misclassified", F.inline(F.array(*entries)))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
-    sides = values.groupBy("feature", "is_misclassified").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.var_samp("value").alias("variance")
-    )
-    medians = exact_quantiles(values, "value", [0.5], keys=["feature", "is_misclassified"])
-    sides = sides.join(
-        F.broadcast(medians.select("feature", "is_misclassified", F.col("quantiles")[0].alias("median"))),  # 2 rows a feature
-        ["feature", "is_misclassified"],
-    )
+    keys = ["feature", "is_misclassified"]
+    # The cases are read once, for their distinct values per feature and side.
+    counts = checkpointed(value_counts(cases.select("is_misclassified", F.inline(F.array(*entries))), keys, "value"))
+    medians = quantiles_of_counts(counts, "value", [0.5], keys).select(*keys, F.col("quantiles")[0].alias("median"))
+    sides = moments_of_counts(counts, "value", keys).join(F.broadcast(medians), keys)  # two rows a feature
 
     def side(flag: int, name: str) -> Column:
         return F.max(F.when(F.col("is_misclassified") == flag, F.col(name)))
 
     wide = sides.groupBy("feature").agg(
-        side(1, "n").alias("n1"), side(0, "n").alias("n0"),
+        side(1, "count").alias("n1"), side(0, "count").alias("n0"),
         side(1, "mean").alias("misclassified_mean"), side(0, "mean").alias("correct_mean"),
         side(1, "median").alias("misclassified_median"), side(0, "median").alias("correct_median"),
         side(1, "variance").alias("v1"), side(0, "variance").alias("v0"),

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenura.operators.ordered import exact_quantiles
+from tenura.operators.ordered import moments_of_counts, quantiles_of_counts, value_counts as distinct_values
+from tenura.session import checkpointed
 
 
 def numeric_columns(df: DataFrame, without: Sequence[str] = ()) -> list[str]:
@@ -80,22 +81,29 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     )
 
 
+def _quartiles(counts: DataFrame) -> DataFrame:
+    """Quartiles per column of a (column, value, n) table; one row per named column, hence small."""
+    quartiles = quantiles_of_counts(counts, "value", [0.25, 0.5, 0.75], keys=["column"])
+    return F.broadcast(quartiles.select("column", *[
+        F.col("quantiles")[i].alias(name) for i, name in enumerate(("q1", "median", "q3"))
+    ]))
+
+
 def box_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Quartiles, whiskers (the outermost values within 1.5 interquartile ranges) and the count of outliers."""
-    values = long_form(df, columns).where(F.col("value").isNotNull())
-    quartiles = exact_quantiles(values, "value", [0.25, 0.5, 0.75], keys=["column"]).select(
-        "column",
-        F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"), F.col("quantiles")[2].alias("q3"),
-    )
+    """Quartiles, whiskers (the outermost values within 1.5 interquartile ranges) and the count of outliers.
+
+    The input is read once, for its distinct values.
+    """
+    counts = checkpointed(distinct_values(long_form(df, columns), ["column"], "value"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        values.join(F.broadcast(quartiles), "column")  # one row per named column
+        counts.join(_quartiles(counts), "column")
         .groupBy("column", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.count_if(~inside).alias("outliers"),
+            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
         )
     )
 
@@ -116,7 +124,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = list(combinations(columns, 2))
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     both = [F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs]
-    alone = [F.corr(c, c).alias(f"{c}|{c}") for c in columns]
+    alone = [F.when(F.var_pop(c) > 0, 1.0).alias(f"{c}|{c}") for c in columns]
     cells = [(a, b, f"{a}|{b}") for a, b in pairs] + [(b, a, f"{a}|{b}") for a, b in pairs]
     cells += [(c, c, f"{c}|{c}") for c in columns]
     rows = F.array(*[
@@ -144,15 +152,10 @@ def duplicate_rows(df: DataFrame, key: str) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample standard deviation, minimum, quartiles and maximum of each column."""
-    values = long_form(df, columns).where(F.col("value").isNotNull())
-    moments = values.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(values, "value", [0.25, 0.5, 0.75], keys=["column"])
-    return moments.join(F.broadcast(quartiles.drop("n")), "column").select(
-        "column", "count", "mean", "std", "min",
-        F.col("quantiles")[0].alias("p25"), F.col("quantiles")[1].alias("p50"), F.col("quantiles")[2].alias("p75"), "max",
+    counts = checkpointed(distinct_values(long_form(df, columns), ["column"], "value"))
+    return moments_of_counts(counts, "value", ["column"]).join(_quartiles(counts), "column").select(
+        "column", "count", "mean", F.sqrt("variance").alias("std"), "min",
+        F.col("q1").alias("p25"), F.col("median").alias("p50"), F.col("q3").alias("p75"), "max",
     )
 
 

@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.operators.latest import latest_per_key
-from tenura.schemas import FEATURE_SCHEMA
+from tenura.schemas import FEATURE_SCHEMA, fields
 
 
-def _mean(total: Column, count: Column, precision: int, scale: int) -> Column:
-    """Decimal mean, rounded half away from zero; NULL when nothing was counted."""
-    quotient = F.try_divide(total.cast("decimal(28,2)"), count.cast("decimal(10,0)"))
-    return F.round(quotient, scale).cast(f"decimal({precision},{scale})")
+def _mean(total: str, count: str, precision: int, scale: int, name: str) -> str:
+    """Decimal mean as SQL, rounded half away from zero; NULL when nothing was counted."""
+    quotient = f"try_divide(cast({total} as decimal(28,2)), cast({count} as decimal(10,0)))"
+    return f"cast(round({quotient}, {scale}) as decimal({precision},{scale})) as {name}"
 
 
 def recency(date: str = "transaction_date", tie: str = "txn_id") -> Column:
@@ -35,23 +35,19 @@ def transaction_features(transactions: DataFrame) -> DataFrame:
     The latest row is the one with the highest (transaction_date, txn_id); undated rows never win. The expiry date is
     the maximum over all rows, not the one of the latest row.
     """
-    return (
-        transactions.withColumn("_recency", recency())
-        .groupBy("msno")
-        .agg(
-            F.count(F.lit(1)).cast("int").alias("transaction_count"),
-            F.count_if(F.col("is_cancel") == 0).cast("int").alias("renewal_count"),
-            F.sum("is_cancel").cast("int").alias("cancel_count"),
-            F.sum("actual_amount_paid").cast("decimal(20,2)").alias("total_amount_paid"),
-            F.sum("payment_plan_days").alias("_plan_days"),
-            F.count("payment_plan_days").alias("_plans"),
-            F.max_by("payment_method_id", "_recency").alias("latest_payment_method_id"),
-            F.max_by("is_auto_renew", "_recency").alias("latest_is_auto_renew"),
-            F.max("membership_expire_date").alias("latest_membership_expire_date"),
-        )
-        .withColumn("avg_plan_days", _mean(F.col("_plan_days"), F.col("_plans"), 8, 2))
-        .drop("_plan_days", "_plans")
-    )
+    aggregates = [
+        "cast(count(1) as int) as transaction_count",
+        "cast(count_if(is_cancel = 0) as int) as renewal_count",
+        "cast(sum(is_cancel) as int) as cancel_count",
+        "cast(sum(actual_amount_paid) as decimal(20,2)) as total_amount_paid",
+        "sum(payment_plan_days) as _plan_days",
+        "count(payment_plan_days) as _plans",
+        "max_by(payment_method_id, _recency) as latest_payment_method_id",
+        "max_by(is_auto_renew, _recency) as latest_is_auto_renew",
+        "max(membership_expire_date) as latest_membership_expire_date",
+    ]
+    totals = transactions.withColumn("_recency", recency()).groupBy("msno").agg(*[F.expr(a) for a in aggregates])
+    return totals.selectExpr("* except (_plan_days, _plans)", _mean("_plan_days", "_plans", 8, 2, "avg_plan_days"))
 
 
 def activity_features(user_logs: DataFrame) -> DataFrame:
@@ -59,23 +55,21 @@ def activity_features(user_logs: DataFrame) -> DataFrame:
 
     A log row with any NULL play count adds no songs and is not counted in their mean.
     """
-    songs = F.col("num_25") + F.col("num_50") + F.col("num_75") + F.col("num_985") + F.col("num_100")
-    return (
-        user_logs.withColumn("_songs", songs)
-        .groupBy("msno")
-        .agg(
-            F.countDistinct("date").cast("int").alias("num_active_days"),
-            F.sum("total_secs").cast("decimal(28,2)").alias("total_secs"),
-            F.count("total_secs").alias("_timed"),
-            F.sum("_songs").alias("total_num_songs"),
-            F.count("_songs").alias("_played"),
-            F.sum("num_unq").alias("total_num_unq"),
-            F.count("num_unq").alias("_varied"),
-        )
-        .withColumn("avg_total_secs", _mean(F.col("total_secs"), F.col("_timed"), 12, 4))
-        .withColumn("avg_num_songs", _mean(F.col("total_num_songs"), F.col("_played"), 10, 4))
-        .withColumn("avg_num_unq", _mean(F.col("total_num_unq"), F.col("_varied"), 10, 4))
-        .drop("_timed", "_played", "_varied")
+    aggregates = [
+        "cast(count(distinct date) as int) as num_active_days",
+        "cast(sum(total_secs) as decimal(28,2)) as total_secs",
+        "count(total_secs) as _timed",
+        "sum(_songs) as total_num_songs",
+        "count(_songs) as _played",
+        "sum(num_unq) as total_num_unq",
+        "count(num_unq) as _varied",
+    ]
+    logs = user_logs.selectExpr("*", "num_25 + num_50 + num_75 + num_985 + num_100 as _songs")
+    return logs.groupBy("msno").agg(*[F.expr(a) for a in aggregates]).selectExpr(
+        "* except (_timed, _played, _varied)",
+        _mean("total_secs", "_timed", 12, 4, "avg_total_secs"),
+        _mean("total_num_songs", "_played", 10, 4, "avg_num_songs"),
+        _mean("total_num_unq", "_varied", 10, 4, "avg_num_unq"),
     )
 
 
@@ -91,4 +85,4 @@ def customer_features(
         .join(transaction_features(transactions), "msno", "left")
         .join(activity_features(user_logs), "msno", "left")
     )
-    return joined.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FEATURE_SCHEMA])
+    return joined.selectExpr(*[f"cast({name} as {kind}) as {name}" for name, kind in fields(FEATURE_SCHEMA)])

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions.labels import has_cancel_history
-from tenura.operators.ordered import exact_quantiles, running_totals, value_counts, with_ranges
+from tenura.operators.ordered import quantiles_of_counts, ranged, running_totals, value_counts
 from tenura.operators.sampling import time_cohort
+from tenura.session import checkpointed
 
 # Features watched when no importance table names better ones.
 DEFAULT_MONITORED_FEATURES = [
@@ -76,14 +77,14 @@ def roc_auc(
     """
     keys = list(keys)
     w = _weight(weight)
-    counts = value_counts(df.withColumn("_score", F.col(score).cast("double")), keys, "_score", {
+    counts = checkpointed(value_counts(df.withColumn("_score", F.col(score).cast("double")), keys, "_score", {
         "pos": F.when(F.col(label) == 1, w).otherwise(0), "neg": F.when(F.col(label) == 0, w).otherwise(0),
-    })
-    ranged = with_ranges(counts, keys, "_score")
+    }))
+    spread, _ = ranged(counts, keys, "_score")
     lower = Window.partitionBy(*keys, "_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     beaten = F.coalesce(F.sum("neg").over(lower), F.lit(0)).cast("double") + F.col("neg") / 2
     per_range = (
-        ranged.withColumn("_wins", F.col("pos") * beaten)
+        spread.withColumn("_wins", F.col("pos") * beaten)
         .groupBy(*keys, "_range")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("_wins").alias("wins"))
     )
@@ -135,32 +136,60 @@ def _unit_bin(score: Column, bins: int) -> Column:
     return index
 
 
-def _on_grid(df: DataFrame, binned: DataFrame, bins: int) -> DataFrame:
-    edges = F.array(*[F.lit(e) for e in unit_edges(bins)])
-    grid = df.sparkSession.range(bins).select(
-        F.col("id").cast("int").alias("bin"),
-        edges[F.col("id").cast("int")].alias("bin_lower"),
-        edges[F.col("id").cast("int") + 1].alias("bin_upper"),
+def score_bins(
+    df: DataFrame, label: str, score: str, keys: Sequence[str] = (), bins: int = 10, weight: str | None = None
+) -> DataFrame:
+    """Rows, positives, summed scores and summed squared errors per equal-width score bin that holds rows."""
+    unit_edges(bins)
+    w, s = _weight(weight), F.col(score).cast("double")
+    distance = s - F.col(label)
+    return df.groupBy(*keys, _unit_bin(s, bins).alias("bin")).agg(
+        F.sum(w).cast("bigint").alias("rows"), F.sum(w * F.col(label)).cast("bigint").alias("positives"),
+        F.sum(w * s).alias("scores"), F.sum(w * distance * distance).alias("squares"),
     )
-    return grid.join(F.broadcast(binned), "bin", "left")  # one row per bin
+
+
+def calibration_list(binned: Column, bins: int = 10) -> Column:
+    """All bins, from a map of bin to (rows, positives, scores): an array of calibration structs."""
+    edges = F.array(*[F.lit(e) for e in unit_edges(bins)])
+
+    def entry(i: Column) -> Column:
+        held = F.try_element_at(binned, i)
+        return F.struct(
+            i.alias("bin"), edges[i].alias("bin_lower"), edges[i + 1].alias("bin_upper"),
+            (held["scores"] / held["rows"]).alias("mean_pred"), (held["positives"] / held["rows"]).alias("actual_rate"),
+            F.coalesce(held["rows"], F.lit(0).cast("bigint")).alias("count"),
+        )
+
+    return F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), entry)
+
+
+def distribution_list(binned: Column, total: Column, bins: int = 10) -> Column:
+    """All bins, from a map of bin to (rows, ...): an array of (bin, limits, count, share)."""
+    edges = F.array(*[F.lit(e) for e in unit_edges(bins)])
+
+    def entry(i: Column) -> Column:
+        rows = F.coalesce(F.try_element_at(binned, i)["rows"], F.lit(0).cast("bigint"))
+        return F.struct(
+            i.alias("bin"), edges[i].alias("bin_lower"), edges[i + 1].alias("bin_upper"), rows.alias("count"),
+            (rows / F.greatest(total, F.lit(1))).alias("pct"),
+        )
+
+    return F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), entry)
+
+
+def bin_map(condition: Column | None = None) -> Column:
+    """Aggregate of score_bins rows: map of bin to (rows, positives, scores)."""
+    entry = F.struct("bin", F.struct("rows", "positives", "scores"))
+    return F.map_from_entries(F.collect_list(entry if condition is None else F.when(condition, entry)))
 
 
 def calibration_bins(
     df: DataFrame, label: str, score: str, bins: int = 10, weight: str | None = None
 ) -> DataFrame:
     """Mean score, observed rate and count of equal-width score bins; empty bins stay with NULL means."""
-    edges = unit_edges(bins)
-    w, s = _weight(weight), F.col(score).cast("double")
-    binned = df.groupBy(_unit_bin(s, bins).alias("bin")).agg(
-        F.sum(w * s).alias("scores"), F.sum(w * F.col(label)).alias("positives"), F.sum(w).alias("rows")
-    )
-    assert len(edges) == bins + 1
-    return _on_grid(df, binned, bins).select(
-        "bin", "bin_lower", "bin_upper",
-        (F.col("scores") / F.col("rows")).alias("mean_pred"),
-        (F.col("positives") / F.col("rows")).alias("actual_rate"),
-        F.coalesce("rows", F.lit(0)).cast("bigint").alias("count"),
-    )
+    held = score_bins(df, label, score, (), bins, weight).agg(bin_map().alias("held"))
+    return held.select(F.inline(calibration_list(F.col("held"), bins)))
 
 
 def max_calibration_error(bins: DataFrame) -> DataFrame:
@@ -178,12 +207,10 @@ def brier_score(df: DataFrame, label: str, score: str, weight: str | None = None
 
 def score_distribution(df: DataFrame, score: str, bins: int = 10, weight: str | None = None) -> DataFrame:
     """Count and share of equal-width score bins; scores are clipped to [0, 1]."""
-    binned = df.groupBy(_unit_bin(F.col(score).cast("double"), bins).alias("bin")).agg(F.sum(_weight(weight)).alias("rows"))
-    total = df.agg(F.coalesce(F.sum(_weight(weight)), F.lit(0)).alias("n")).scalar()
-    count = F.coalesce("rows", F.lit(0)).cast("bigint")
-    return _on_grid(df, binned, bins).select(
-        "bin", "bin_lower", "bin_upper", count.alias("count"), (count / F.greatest(total, F.lit(1))).alias("pct")
+    held = score_bins(df.withColumn("_label", F.lit(0)), "_label", score, (), bins, weight).agg(
+        bin_map().alias("held"), F.sum("rows").alias("total")
     )
+    return held.select(F.inline(distribution_list(F.col("held"), F.coalesce("total", F.lit(0)), bins)))
 
 
 def psi(
@@ -197,21 +224,23 @@ def psi(
     """
     keys = list(keys)
     w = _weight(weight)
-    typed = df.withColumn("_value", F.col(value).cast("double"))
-    finite = typed.where(_finite(F.col("_value")))
-    counts = value_counts(finite, keys, "_value", {
-        "base": F.when(F.col(cohort) == "baseline", w).otherwise(0), "curr": F.when(F.col(cohort) == "current", w).otherwise(0),
-    })
+    # One pass over the rows; NULL and infinite values stay, so that every key is known.
+    every = checkpointed(
+        df.groupBy(*keys, F.col(value).cast("double").alias("_value")).agg(
+            F.sum(F.when(F.col(cohort) == "baseline", w).otherwise(0)).alias("base"),
+            F.sum(F.when(F.col(cohort) == "current", w).otherwise(0)).alias("curr"),
+        )
+    )
+    counts = every.where(_finite(F.col("_value")))
     fractions = [i * (1.0 / bins) for i in range(bins)] + [1.0]
-    edges = exact_quantiles(counts.where(F.col("base") > 0), "_value", fractions, keys, weight="base")
+    edges = quantiles_of_counts(counts.where(F.col("base") > 0), "_value", fractions, keys, n="base")
     edges = edges.select(*keys, F.array_distinct("quantiles").alias("_edges"))
     inner = F.slice("_edges", 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
     if keys:
         placed = counts.join(F.broadcast(edges), keys)  # eleven numbers per key
-        series = typed.groupBy(*keys).agg(F.lit(1).alias("_one")).drop("_one")
+        series = every.select(*keys).distinct()
     else:
         placed = counts.withColumn("_edges", edges.select("_edges").scalar())
-        series = df.sparkSession.range(1).select()
     index = F.size(F.filter(inner, lambda edge: edge <= F.col("_value")))
     binned = placed.groupBy(*keys, index.alias("_bin")).agg(
         F.sum("base").alias("base"), F.sum("curr").alias("curr"), F.first("_edges").alias("_edges")

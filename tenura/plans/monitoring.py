@@ -15,26 +15,40 @@ from tenura.session import checkpointed
 COHORT_BASELINE = "historical_baseline_window"
 
 
+def cohort_frame(
+    predictions: DataFrame, features: DataFrame, train: DataFrame, as_of: datetime,
+    monitored: Sequence[str] = tuple(m.DEFAULT_MONITORED_FEATURES), min_cohort_rows: int = 50,
+) -> DataFrame:
+    """Collapsed labelled rows with their cohort. The joins run once: their small result is written, then split."""
+    frame = checkpointed(m.monitoring_frame(predictions, features, train, as_of, monitored))
+    return monitoring_cohorts(frame, min_rows=min_cohort_rows, weight="n")
+
+
 def _cohort_facts(frame: DataFrame) -> DataFrame:
-    """Rows, positives and negatives of both cohorts in one row."""
+    """Sizes, classes, squared error and score bins of both cohorts in one row, from one pass."""
 
-    def rows(cohort: str, label: int | None = None) -> Column:
-        inside = F.col("cohort") == cohort
-        if label is not None:
-            inside = inside & (F.col("label") == label)
-        return F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).cast("bigint")
+    def total(column: str, cohort: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("cohort") == cohort, F.col(column))), F.lit(0))
 
-    return frame.agg(
+    current = F.col("cohort") == "current"
+    facts = m.score_bins(frame, "label", "score", ["cohort", "cohort_strategy"], weight="n").agg(
         F.max("cohort_strategy").alias("cohort_strategy"),
-        rows("baseline").alias("baseline_row_count"), rows("current").alias("current_row_count"),
-        rows("baseline", 1).alias("baseline_pos"), rows("baseline", 0).alias("baseline_neg"),
-        rows("current", 1).alias("current_pos"), rows("current", 0).alias("current_neg"),
+        total("rows", "baseline").alias("baseline_row_count"), total("rows", "current").alias("current_row_count"),
+        total("positives", "baseline").alias("baseline_pos"), total("positives", "current").alias("current_pos"),
+        F.sum(F.when(current, F.col("squares"))).alias("_squares"),
+        m.bin_map(current).alias("_held"),
+    )
+    some = F.col("current_row_count") > 0
+    gap = F.transform("calibration_bins", lambda b: F.abs(b["mean_pred"] - b["actual_rate"]))
+    return (
+        facts.withColumn("baseline_neg", F.col("baseline_row_count") - F.col("baseline_pos"))
+        .withColumn("current_neg", F.col("current_row_count") - F.col("current_pos"))
+        .withColumn("brier_score", F.try_divide(F.col("_squares"), F.col("current_row_count")))
+        .withColumn("calibration_bins", F.when(some, m.calibration_list(F.col("_held"))))
+        .withColumn("score_distribution", F.when(some, m.distribution_list(F.col("_held"), F.col("current_row_count"))))
+        .withColumn("max_calibration_error", F.array_max(gap))
+        .drop("_squares", "_held")
     )
-
-
-def _as_list(df: DataFrame, columns: Sequence[str]) -> Column:
-    """A handful of bins as one sorted array."""
-    return df.agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows")).scalar()
 
 
 def _drift(frame: DataFrame, features: Sequence[str], segments: Sequence[str]) -> DataFrame:
@@ -71,11 +85,7 @@ def monitoring_verdict(
     The labelled rows are collapsed, joined and written once; every metric then reads that small table. Too few
     labelled current rows give status insufficient_data without a breach, but keep the reasons found.
     """
-    frame = checkpointed(
-        monitoring_cohorts(m.monitoring_frame(predictions, features, train, as_of, monitored),
-                           min_rows=min_cohort_rows, weight="n")
-    )
-    current = frame.where(F.col("cohort") == "current")
+    frame = cohort_frame(predictions, features, train, as_of, monitored, min_cohort_rows)
     areas = m.roc_auc(frame, "label", "score", ["cohort"], weight="n")
     area = areas.agg(F.map_from_entries(F.collect_list(F.struct("cohort", "roc_auc"))).alias("by_cohort")).scalar()
     drift = _drift(frame, monitored, m.SEGMENT_COLUMNS)
@@ -84,8 +94,6 @@ def monitoring_verdict(
         F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("family") == "feature", named)))).alias("feature"),
         F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("family") == "segment", named)))).alias("segment"),
     )).scalar()
-    bins = m.calibration_bins(current, "label", "score", weight="n")
-    bin_columns = ["bin", "bin_lower", "bin_upper", "mean_pred", "actual_rate", "count"]
     any_rows = F.col("current_row_count") > 0
 
     def day(days: int) -> Column:
@@ -107,11 +115,6 @@ def monitoring_verdict(
         .withColumn("segment_psi", F.when(any_rows, F.col("_drift.segment")))
         .withColumn("max_psi", F.coalesce(
             F.array_max(F.filter(F.map_values("psi_by_feature"), lambda v: v.isNotNull() & ~F.isnan(v))), F.lit(0.0)))
-        .withColumn("calibration_bins", F.when(any_rows, _as_list(bins, bin_columns)))
-        .withColumn("max_calibration_error", F.when(any_rows, m.max_calibration_error(bins).scalar()))
-        .withColumn("brier_score", F.when(any_rows, m.brier_score(current, "label", "score", weight="n").scalar()))
-        .withColumn("score_distribution", F.when(any_rows, _as_list(
-            m.score_distribution(current, "score", weight="n"), ["bin", "bin_lower", "bin_upper", "count", "pct"])))
     )
     insufficient = F.col("current_row_count") < min_samples
     over = F.transform(

@@ -7,12 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tenura.schemas import RAW_SCHEMAS
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A partitioned scan of CSV files with a header; an empty string is NULL and a malformed row raises."""
     return (
         spark.read.schema(schema)
@@ -31,7 +30,7 @@ def read_raw(spark: SparkSession, path: str, table: str, ingested_at: datetime |
     return read_csv(spark, path, RAW_SCHEMAS[table]).withColumn("ingestion_timestamp", stamp)
 
 
-def read_matching(spark: SparkSession, path: str, schema: T.StructType, condition: Column) -> DataFrame:
+def read_matching(spark: SparkSession, path: str, schema: str, condition: Column) -> DataFrame:
     """The rows of a CSV table that meet a condition. Spark splits the files; there is no chunk loop."""
     return read_csv(spark, path, schema).where(condition)
 

@@ -11,14 +11,18 @@ from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tenura.functions.dates import int_from_date
-from tenura.functions.labels import risk_tier
-
-LABEL_DATE = "2000-08-01"
+LABEL_DATE = "timestamp_ntz'2000-08-01'"
 AS_OF = datetime(2024, 1, 31)
 
+# Known layouts spare every read a schema-inference job.
+RETAIL_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 @dataclass(frozen=True)
 class RetailViews:
@@ -28,103 +32,87 @@ class RetailViews:
     folder: str
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(RETAIL_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def members(self) -> DataFrame:
-        key = F.col("c_custkey")
-        channel = F.expr(
-            "case c_mktsegment when 'AUTOMOBILE' then 3 when 'BUILDING' then 4 when 'FURNITURE' then 7 "
-            "when 'HOUSEHOLD' then 9 else 13 end"
-        )
-        return self.read("customer").where(key % 8 != 7).select(
-            key.cast("string").alias("msno"),
-            F.col("c_nationkey").cast("smallint").alias("city"),
-            F.floor(F.col("c_acctbal") / 100).cast("smallint").alias("bd"),
-            F.when(key % 3 == 0, "male").when(key % 3 == 1, "female").alias("gender"),
-            channel.cast("smallint").alias("registered_via"),
-            ((1990 + key % 5) * 10000 + (1 + key % 12) * 100 + 1 + key % 28).cast("int").alias("registration_init_time"),
+        return self.read("customer").where("c_custkey % 8 <> 7").selectExpr(
+            "cast(c_custkey as string) as msno",
+            "cast(c_nationkey as smallint) as city",
+            "cast(floor(c_acctbal / 100) as smallint) as bd",
+            "case c_custkey % 3 when 0 then 'male' when 1 then 'female' end as gender",
+            "cast(case c_mktsegment when 'AUTOMOBILE' then 3 when 'BUILDING' then 4 when 'FURNITURE' then 7 "
+            "when 'HOUSEHOLD' then 9 else 13 end as smallint) as registered_via",
+            "cast((1990 + c_custkey % 5) * 10000 + (1 + c_custkey % 12) * 100 + 1 + c_custkey % 28 as int) "
+            "as registration_init_time",
         )
 
     @cached_property
     def train(self) -> DataFrame:
         """A customer without an order from the label date on has churned."""
-        recent = (
-            self.read("orders")
-            .where(F.col("o_orderdate") >= F.expr(f"timestamp_ntz'{LABEL_DATE}'"))
-            .groupBy("o_custkey")
-            .agg(F.lit(1).alias("stayed"))
-        )
+        recent = self.read("orders").where(f"o_orderdate >= {LABEL_DATE}").selectExpr("o_custkey as c_custkey", "1 as stayed")
         customers = self.read("customer").select("c_custkey")
-        return customers.join(recent, F.col("c_custkey") == F.col("o_custkey"), "left").select(
-            F.col("c_custkey").cast("string").alias("msno"),
-            F.when(F.col("stayed").isNull(), 1).otherwise(0).cast("smallint").alias("is_churn"),
+        return customers.join(recent.distinct(), "c_custkey", "left").selectExpr(
+            "cast(c_custkey as string) as msno", "cast(if(stayed is null, 1, 0) as smallint) as is_churn"
         )
 
     @cached_property
     def transactions(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        plan = F.expr("case o_orderkey % 4 when 0 then 7 when 1 then 30 when 2 then 90 else 195 end")
-        orders = self.read("orders").where(
-            (F.col("o_orderdate") < F.expr(f"timestamp_ntz'{LABEL_DATE}'")) & (F.col("o_custkey") % 50 != 49)
+        orders = self.read("orders").where(f"o_orderdate < {LABEL_DATE} and o_custkey % 50 <> 49").selectExpr(
+            "*",
+            "to_date(o_orderdate) as day",
+            "case o_orderkey % 4 when 0 then 7 when 1 then 30 when 2 then 90 else 195 end as payment_plan_days",
+            "cast(floor(o_totalprice) as int) as plan_list_price",
         )
-        return (
-            orders.withColumn("payment_plan_days", plan)
-            .withColumn("plan_list_price", F.floor("o_totalprice").cast("int"))
-            .withColumn("day", F.to_date("o_orderdate"))
-            .withColumn("expiry", F.date_add("day", F.col("payment_plan_days")))
-            .select(
-                key.alias("txn_id"),
-                F.col("o_custkey").cast("string").alias("msno"),
-                (F.substring("o_orderpriority", 1, 1).cast("int") + 5 * (key % 8)).cast("smallint").alias("payment_method_id"),
-                "payment_plan_days",
-                "plan_list_price",
-                (F.col("plan_list_price") - 10 * (key % 3)).cast("int").alias("actual_amount_paid"),
-                (F.col("o_orderstatus") == "F").cast("smallint").alias("is_auto_renew"),
-                int_from_date("day").alias("transaction_date"),
-                int_from_date("expiry").alias("membership_expire_date"),
-                ((F.col("o_orderstatus") == "P") & (key % 5 == 0)).cast("smallint").alias("is_cancel"),
-            )
+        return orders.selectExpr(
+            "o_orderkey as txn_id",
+            "cast(o_custkey as string) as msno",
+            "cast(cast(substr(o_orderpriority, 1, 1) as int) + 5 * (o_orderkey % 8) as smallint) as payment_method_id",
+            "payment_plan_days",
+            "plan_list_price",
+            "cast(plan_list_price - 10 * (o_orderkey % 3) as int) as actual_amount_paid",
+            "cast(o_orderstatus = 'F' as smallint) as is_auto_renew",
+            "year(day) * 10000 + month(day) * 100 + dayofmonth(day) as transaction_date",
+            "date_add(day, payment_plan_days) as expiry",
+            "cast(o_orderstatus = 'P' and o_orderkey % 5 = 0 as smallint) as is_cancel",
+        ).selectExpr(
+            "* except (expiry, is_cancel)",
+            "year(expiry) * 10000 + month(expiry) * 100 + dayofmonth(expiry) as membership_expire_date",
+            "is_cancel",
         )
 
     @cached_property
     def user_logs(self) -> DataFrame:
-        def times(kind: str):
-            return F.count_if(F.col("event_type") == kind).cast("int")
-
-        return (
-            self.read("events")
-            .groupBy(F.col("user_id").cast("string").alias("msno"), int_from_date("ts").alias("date"))
-            .agg(
-                times("view").alias("num_25"),
-                times("click").alias("num_50"),
-                times("signup").alias("num_75"),
-                times("error").alias("num_985"),
-                times("purchase").alias("num_100"),
-                F.countDistinct(F.get_json_object("props", "$.k")).cast("int").alias("num_unq"),
-                F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(18,2)").alias("total_secs"),
-            )
+        days = self.read("events").selectExpr(
+            "cast(user_id as string) as msno",
+            "year(ts) * 10000 + month(ts) * 100 + dayofmonth(ts) as date",
+            "event_type", "get_json_object(props, '$.k') as k", "cast(value as decimal(18,2)) as secs",
         )
+        days.createOrReplaceTempView("tenura_event_days")
+        return self.spark.sql("""
+            select msno, date,
+              cast(count_if(event_type = 'view') as int) as num_25,
+              cast(count_if(event_type = 'click') as int) as num_50,
+              cast(count_if(event_type = 'signup') as int) as num_75,
+              cast(count_if(event_type = 'error') as int) as num_985,
+              cast(count_if(event_type = 'purchase') as int) as num_100,
+              cast(count(distinct k) as int) as num_unq,
+              cast(sum(secs) as decimal(18,2)) as total_secs
+            from tenura_event_days group by msno, date
+        """)
 
     @cached_property
     def predictions(self) -> DataFrame:
         """Several scored rows per customer; pred_id breaks ties of scored_at."""
-        ten_thousandths = F.least(
-            F.expr("cast(round(value * 100) as bigint) div 2"), F.lit(10000).cast("bigint")
-        )
-        probability = (ten_thousandths.cast("decimal(10,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(5,4)")
-        return (
-            self.read("events")
-            .select(
-                F.col("event_id").alias("pred_id"),
-                F.col("user_id").cast("string").alias("customer_id"),
-                F.col("ts").alias("scored_at"),
-                probability.alias("churn_probability"),
-                F.concat(F.lit("v"), (F.col("event_id") % 3).cast("string")).alias("model_version"),
-                F.lit("v1").alias("threshold_version"),
-                F.when(
-                    F.col("event_id") % 7 != 0, F.concat(F.lit("snap-"), int_from_date("ts").cast("string"))
-                ).alias("feature_snapshot_id"),
-            )
-            .withColumn("risk_tier", risk_tier("churn_probability"))
+        return self.read("events").selectExpr(
+            "event_id as pred_id",
+            "cast(user_id as string) as customer_id",
+            "ts as scored_at",
+            "cast(least(cast(round(value * 100) as bigint) div 2, 10000L) * 0.0001BD as decimal(5,4)) as churn_probability",
+            "concat('v', event_id % 3) as model_version",
+            "'v1' as threshold_version",
+            "if(event_id % 7 <> 0, concat('snap-', year(ts) * 10000 + month(ts) * 100 + dayofmonth(ts)), null) "
+            "as feature_snapshot_id",
+        ).selectExpr(
+            "*", "case when churn_probability >= 0.7 then 'High' when churn_probability >= 0.4 then 'Medium' else 'Low' end as risk_tier"
         )

@@ -422,3 +422,12 @@ ORACLES["promotion_gate"] = sql("version_metrics", """
     FROM (SELECT m.model_version, m.roc_auc AS challenger_auc, m.precision_churn AS challenger_business, c.roc_auc AS champion_auc,
         c.precision_churn AS champion_business, coalesce(m.precision_churn - c.precision_churn >= -0.001, true) AS ok
       FROM version_metrics m LEFT JOIN version_metrics c ON m.model_version = 'v' || (CAST(substr(c.model_version, 2) AS INTEGER) + 1)))""")
+
+# Models ------------------------------------------------------------------------------------------------------------
+
+_CATEGORICAL = "city gender latest_is_auto_renew latest_payment_method_id registered_via".split()
+ORACLES["imputation_values"] = sql("customer_features", " UNION ALL ".join(
+    [f"SELECT '{c}' AS feature, 'median' AS strategy, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS number, CAST(NULL AS VARCHAR) AS level FROM customer_features"
+     for c in _FEATURES[2:] if c not in _CATEGORICAL]
+    + [f"(SELECT '{c}' AS feature, 'most_frequent', NULL, CAST({c} AS VARCHAR) FROM customer_features WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+       for c in _CATEGORICAL]))

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from tenura.functions import dates, labels
 from tenura.functions.dates import int_from_date
 from tenura.operators import (
-    attributions, catalog, cleanse, dashboard, errors, explore, fairness, features, latest, monitoring, promotion,
-    quality, sampling,
+    attributions, catalog, cleanse, dashboard, errors, explore, fairness, features, latest, modeling, monitoring,
+    promotion, quality, resampling, sampling,
 )
 from tenura.plans import monitoring as plan_monitoring
+from tenura.plans import scoring
+from tenura.plans import training as training_plans
 from tenura.schemas import MODEL_FEATURES
+from tenura.session import checkpointed
 from tenura.sources import tables
 from tenura.sources.retail import AS_OF, RetailViews
 from verification.compare import presented
@@ -351,7 +354,7 @@ def _(v):
 
 @query("error_insights")
 def _(v):
-    scored = cases(v)
+    scored = checkpointed(cases(v))
     return errors.error_insights(
         errors.numeric_error_profile(scored, PROFILED),
         errors.categorical_error_profile(scored, ["city", "gender"]),
@@ -425,8 +428,7 @@ def _(v):
 
 
 def cohort_frame(v: RetailViews) -> DataFrame:
-    frame = monitoring.monitoring_frame(v.predictions, feature_table(v), v.train, AS_OF)
-    return sampling.monitoring_cohorts(frame, weight="n")
+    return plan_monitoring.cohort_frame(v.predictions, feature_table(v), v.train, AS_OF)
 
 
 @query("labelled_predictions")
@@ -725,3 +727,122 @@ def _(v):
     )
     pairs = metrics.withColumnsRenamed({"roc_auc": "challenger_auc", "precision_churn": "challenger_business"})
     return promotion.gate_columns(pairs.join(champion, "model_version", "left"), tolerance=0.001)
+
+
+# Models --------------------------------------------------------------------------------------------------------------
+
+SEVERAL = ["city", "gender", "bd", "registered_via", "transaction_count", "cancel_count", "total_amount_paid",
+           "avg_plan_days", "latest_is_auto_renew", "num_active_days"]
+
+
+def split(v: RetailViews) -> training_plans.Split:
+    return training_plans.split_features(feature_table(v))
+
+
+@query("imputation_values")
+def _(v):
+    return modeling.fill_values(feature_table(v), MODEL_FEATURES)
+
+
+def metrics_of(v: RetailViews, kind: str, **params) -> DataFrame:
+    parts = split(v)
+    model = modeling.fit(parts.train, SEVERAL, kind, **params)
+    return training_plans.evaluate(model, parts.validation).withColumn("model", F.lit(kind))
+
+
+@query("logistic_regression")
+def _(v):
+    return metrics_of(v, modeling.LOGISTIC)
+
+
+@query("boosted_trees")
+def _(v):
+    return metrics_of(v, modeling.BOOSTED, rounds=5, depth=4)
+
+
+@query("multilayer_perceptron")
+def _(v):
+    return metrics_of(v, modeling.PERCEPTRON, max_iter=20)
+
+
+@query("forest_importances")
+def _(v):
+    parts = split(v)
+    model = modeling.fit(parts.train, SEVERAL, modeling.FOREST, trees=20)
+    return modeling.slot_importances(v.spark, model, SEVERAL)
+
+
+@query("model_comparison")
+def _(v):
+    return training_plans.compare_models(split(v), SEVERAL, {modeling.LOGISTIC: {}, modeling.BOOSTED: {"rounds": 3, "depth": 3}})[0]
+
+
+@query("imbalance_strategies")
+def _(v):
+    return training_plans.compare_imbalance(split(v), SEVERAL)
+
+
+@query("smote_rows")
+def _(v):
+    scored = v.members.join(v.train, "msno").select(
+        "msno", "is_churn", F.array(F.col("city").cast("double"), F.col("bd").cast("double")).alias("x"))
+    return resampling.smote(scored, "msno", "x", "is_churn").groupBy("is_churn").agg(
+        F.count(F.lit(1)).alias("rows"), F.avg(F.col("x")[0]).alias("mean_city"), F.avg(F.col("x")[1]).alias("mean_age"))
+
+
+@query("permutation_importance")
+def _(v):
+    parts = split(v)
+    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
+    return training_plans.permutation_importance(
+        lambda df: modeling.with_probability(model, df), parts.validation, SEVERAL, repeats=3)
+
+
+@query("feature_selection")
+def _(v):
+    parts = split(v)
+    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
+    importances = training_plans.permutation_importance(
+        lambda df: modeling.with_probability(model, df), parts.validation, SEVERAL, repeats=2)
+    return training_plans.select_features(checkpointed(importances), parts.train)
+
+
+@query("tuning_trials")
+def _(v):
+    table = training_plans.tune_boosted_trees(split(v), SEVERAL, trials=2, baseline_auc=0.5, rounds=(2, 4))
+    return table.select("trial", F.to_json("params").alias("params"), "roc_auc", "improvement")
+
+
+@query("batch_scores")
+def _(v):
+    table = feature_table(v)
+    model = modeling.fit(split(v).train, SEVERAL, modeling.LOGISTIC)
+    scored = scoring.score_customers(table, model, SEVERAL, AS_OF, "snapshot", "1")
+    return scored.drop("shap_values")
+
+
+@query("linear_attributions")
+def _(v):
+    parts = split(v)
+    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
+    values = training_plans.linear_model_attributions(model, parts.validation, parts.train, SEVERAL)
+    top = attributions.top_attributions("attributions", 5)
+    return values.select("msno", F.inline(top))
+
+
+@query("sampling_attributions")
+def _(v):
+    parts = split(v)
+    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
+    values = attributions.sampling_shapley(
+        parts.validation, parts.train, "msno", SEVERAL, lambda df: modeling.with_probability(model, df), permutations=2)
+    return attributions.global_importance(values)
+
+
+@query("model_card")
+def _(v):
+    parts = split(v)
+    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
+    scored = modeling.with_probability(model, parts.validation)
+    return training_plans.model_card(
+        "logistic_regression", parts.train, SEVERAL, training_plans.evaluate(model, parts.validation), scored)
