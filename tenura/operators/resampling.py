@@ -76,7 +76,7 @@ def smote(
     minority, wanted = counts["minority"], max(int(ratio * counts["majority"] - counts["minority"]), 0)
     if not wanted or not minority:
         return kept
-    sources = near_neighbours(kept.where(F.col(label) == 1), key, vector, k, projections, seed)
+    sources = checkpointed(near_neighbours(kept.where(F.col(label) == 1), key, vector, k, projections, seed))
     numbered = hash_positions(sources, key, f"smote:{seed}", "_position")
     whole, rest = divmod(wanted, minority)
     copies = F.lit(whole) + (F.col("_position") < rest).cast("int")
