@@ -120,18 +120,20 @@ def variance_ranking(df: DataFrame, columns: Sequence[str], top: int = 10) -> Da
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns over the rows that have both, in one aggregation."""
+    """Pearson correlation of every pair of columns over the rows that have both, in one aggregation.
+
+    A pair with a constant side has no correlation. The built-in corr() would divide by zero there under ANSI rules,
+    hence the three sums of squares.
+    """
     pairs = list(combinations(columns, 2))
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    both = [F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs]
-    alone = [F.when(F.var_pop(c) > 0, 1.0).alias(f"{c}|{c}") for c in columns]
-    cells = [(a, b, f"{a}|{b}") for a, b in pairs] + [(b, a, f"{a}|{b}") for a, b in pairs]
-    cells += [(c, c, f"{c}|{c}") for c in columns]
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"`{name}`").alias("correlation"))
-        for a, b, name in cells
-    ])
-    return values.agg(*both, *alone).select(F.inline(rows))
+    values = df.selectExpr(*[f"cast({c} as double) as {c}" for c in columns])
+    both = [f"try_divide(regr_sxy({a}, {b}), sqrt(regr_sxx({a}, {b}) * regr_syy({a}, {b})))" for a, b in pairs]
+    alone = [f"if(var_pop({c}) > 0, 1.0D, null)" for c in columns]
+    measured = values.agg(F.expr(f"array({', '.join(both + alone)})").alias("measured"))
+    cells = [(a, b, i) for i, (a, b) in enumerate(pairs)] + [(b, a, i) for i, (a, b) in enumerate(pairs)]
+    cells += [(c, c, len(pairs) + i) for i, c in enumerate(columns)]
+    rows = ", ".join(f"struct('{a}' as column_a, '{b}' as column_b, measured[{i}] as correlation)" for a, b, i in cells)
+    return measured.selectExpr(f"inline(array({rows}))")
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
