@@ -109,19 +109,16 @@ def categorical_error_profile(cases: DataFrame, features: Sequence[str]) -> Data
             F.count_if(F.col("is_misclassified") == 0).alias("right"),
         )
     )
-    totals = cases.agg(
-        F.struct(
-            F.count_if(F.col("is_misclassified") == 1).alias("wrong"),
-            F.count_if(F.col("is_misclassified") == 0).alias("right"),
-        )
-    ).scalar()
-    shares = counts.where((totals["wrong"] > 0) & (totals["right"] > 0)).select(
-        "feature", "category",
-        (F.col("wrong") / totals["wrong"]).alias("misclassified_share"),
-        (F.col("right") / totals["right"]).alias("correct_share"),
+    # Every row has one category per feature, so the counts give the totals without reading the cases again.
+    totals = F.broadcast(
+        counts.groupBy("feature").agg(F.sum("wrong").alias("all_wrong"), F.sum("right").alias("all_right"))
+    )
+    shares = counts.join(totals, "feature").where("all_wrong > 0 and all_right > 0").selectExpr(
+        "feature", "category", "wrong / all_wrong as misclassified_share", "right / all_right as correct_share"
     )
-    shares = shares.withColumn("share_diff", F.col("misclassified_share") - F.col("correct_share")).withColumn(
-        "lift", F.when(F.col("correct_share") > 0, F.col("misclassified_share") / F.col("correct_share"))
+    shares = shares.selectExpr(
+        "*", "misclassified_share - correct_share as share_diff",
+        "if(correct_share > 0, misclassified_share / correct_share, null) as lift",
     )
     # min() keeps the largest difference, then the first category.
     best = F.min(F.struct(

@@ -50,10 +50,10 @@ class RetailViews:
     @cached_property
     def train(self) -> DataFrame:
         """A customer without an order from the label date on has churned."""
-        recent = self.read("orders").where(f"o_orderdate >= {LABEL_DATE}").selectExpr("o_custkey as c_custkey", "1 as stayed")
-        customers = self.read("customer").select("c_custkey")
-        return customers.join(recent.distinct(), "c_custkey", "left").selectExpr(
-            "cast(c_custkey as string) as msno", "cast(if(stayed is null, 1, 0) as smallint) as is_churn"
+        stayed = self.read("orders").where(f"o_orderdate >= {LABEL_DATE}").selectExpr("cast(o_custkey as string) as msno")
+        customers = self.read("customer").selectExpr("cast(c_custkey as string) as msno")
+        return customers.join(stayed.distinct().selectExpr("msno", "true as stayed"), "msno", "left").selectExpr(
+            "msno", "cast(if(stayed, 0, 1) as smallint) as is_churn"
         )
 
     @cached_property

@@ -291,6 +291,12 @@ ORACLES["score_distribution"] = sql("predictions", f"""
   FROM ({unit_bins('predictions', 'churn_probability', '0')})""")
 ORACLES["feature_psi"] = sql("psi_values", "SELECT name AS feature, round(psi, 6) AS psi FROM psi_values WHERE family = 'feature'")
 ORACLES["segment_psi"] = sql("psi_values", "SELECT name AS segment, round(psi, 6) AS psi FROM psi_values WHERE family = 'segment'")
+ORACLES["max_feature_psi"] = sql("psi_values", """
+  SELECT round(coalesce(max(psi) FILTER (NOT isnan(psi)), 0), 6) AS max_psi FROM psi_values WHERE family = 'feature'""")
+ORACLES["breached_segments"] = sql("psi_values", """
+  SELECT coalesce(list(name ORDER BY name) FILTER (NOT isnan(psi) AND psi > 0.01), []) AS breached_segments FROM psi_values WHERE family = 'segment'""")
+ORACLES["sample_guard"] = sql("cohorts", """
+  SELECT count(*) FILTER (cohort = 'current') AS current_rows, count(*) FILTER (cohort = 'current') < 1000 AS insufficient FROM cohorts""")
 ORACLES["score_psi"] = sql("psi_values", "SELECT round(psi, 6) AS psi FROM psi_values WHERE family = 'score'")
 ORACLES["monitoring_verdict"] = sql("verdict", """
   SELECT round(baseline_auc, 6) AS baseline_auc, 'historical_baseline_window' AS baseline_auc_source, round(current_auc, 6) AS current_auc,
@@ -422,6 +428,14 @@ ORACLES["promotion_gate"] = sql("version_metrics", """
     FROM (SELECT m.model_version, m.roc_auc AS challenger_auc, m.precision_churn AS challenger_business, c.roc_auc AS champion_auc,
         c.precision_churn AS champion_business, coalesce(m.precision_churn - c.precision_churn >= -0.001, true) AS ok
       FROM version_metrics m LEFT JOIN version_metrics c ON m.model_version = 'v' || (CAST(substr(c.model_version, 2) AS INTEGER) + 1)))""")
+ORACLES["current_production_version"] = sql("predictions", """
+  SELECT 'churn' AS model_name, version, stage, role, run_id, round(roc_auc, 6) AS roc_auc FROM (
+    SELECT version, CASE WHEN (day + version) % 2 = 0 THEN 'Production' ELSE 'Archived' END AS stage, 'champion' AS role,
+      'run-' || day AS run_id, roc_auc
+    FROM (SELECT CAST(substr(model_version, 2) AS INTEGER) AS version, CAST(strftime(scored_at, '%Y%m%d') AS INTEGER) AS day,
+        max(scored_at) AS logged_at, avg(churn_probability) AS roc_auc FROM predictions GROUP BY 1, 2)
+    QUALIFY row_number() OVER (PARTITION BY version ORDER BY logged_at DESC) = 1)
+  WHERE stage = 'Production' ORDER BY version DESC LIMIT 1""")
 
 # Models ------------------------------------------------------------------------------------------------------------
 

@@ -476,6 +476,21 @@ def _(v):
     return monitoring.segment_psi(cohort_frame(v), weight="n")
 
 
+@query("max_feature_psi")
+def _(v):
+    return monitoring.max_finite_psi(monitoring.feature_psi(cohort_frame(v), monitoring.DEFAULT_MONITORED_FEATURES, weight="n"))
+
+
+@query("breached_segments")
+def _(v):
+    return monitoring.breached_segments(monitoring.segment_psi(cohort_frame(v), weight="n"), threshold=0.01)
+
+
+@query("sample_guard")
+def _(v):
+    return monitoring.insufficient_data(cohort_frame(v), weight="n")
+
+
 @query("score_psi")
 def _(v):
     return monitoring.psi(cohort_frame(v), "score", weight="n")
@@ -729,6 +744,20 @@ def _(v):
     return promotion.gate_columns(pairs.join(champion, "model_version", "left"), tolerance=0.001)
 
 
+@query("current_production_version")
+def _(v):
+    """A version log with one state per model version and day; the highest version that is live at the end."""
+    day = int_from_date("scored_at")
+    log = v.predictions.groupBy(
+        F.lit("churn").alias("model_name"), F.substring("model_version", 2, 9).cast("int").alias("version"), day.alias("day")
+    ).agg(F.max("scored_at").alias("logged_at"), F.avg(F.col("churn_probability").cast("double")).alias("roc_auc")).select(
+        "model_name", "version", "logged_at", "roc_auc",
+        F.when((F.col("day") + F.col("version")) % 2 == 0, "Production").otherwise("Archived").alias("stage"),
+        F.lit("champion").alias("role"), F.concat(F.lit("run-"), F.col("day").cast("string")).alias("run_id"),
+    )
+    return promotion.current_production(log, "churn")
+
+
 # Models --------------------------------------------------------------------------------------------------------------
 
 SEVERAL = ["city", "gender", "bd", "registered_via", "transaction_count", "cancel_count", "total_amount_paid",
