@@ -173,22 +173,21 @@ def enriched(df: DataFrame, default_features: Sequence[str] = (), attributions:
     )
 
 
-def case_columns(df: DataFrame, label: str, probability: str, threshold: float = 0.5) -> DataFrame:
-    """Add actual, predicted, is_misclassified and error_type (correct, FN or FP)."""
-    predicted = (F.col(probability) >= threshold).cast("int")
-    return (
-        df.withColumn("actual", F.col(label).cast("int"))
-        .withColumn("predicted", predicted)
-        .withColumn("is_misclassified", (F.col("actual") != F.col("predicted")).cast("int"))
-        .withColumn(
-            "error_type",
-            F.when((F.col("actual") == 1) & (F.col("predicted") == 0), "FN")
-            .when((F.col("actual") == 0) & (F.col("predicted") == 1), "FP")
-            .otherwise("correct"),
-        )
+def outcome_columns(df: DataFrame, label: str) -> DataFrame:
+    """Add actual, is_misclassified and error_type (correct, FN or FP) to rows with ``predicted``."""
+    return df.selectExpr("*", f"cast({label} as int) as actual").selectExpr(
+        "*",
+        "cast(actual <> predicted as int) as is_misclassified",
+        "case when actual = 1 and predicted = 0 then 'FN' when actual = 0 and predicted = 1 then 'FP' "
+        "else 'correct' end as error_type",
     )
 
 
+def case_columns(df: DataFrame, label: str, probability: str, threshold: float = 0.5) -> DataFrame:
+    """Add predicted (probability at the threshold or above), actual, is_misclassified and error_type."""
+    return outcome_columns(df.withColumn("predicted", (F.col(probability) >= threshold).cast("int")), label)
+
+
 def stable_bucket(key: Column | str) -> Column:
     """Bucket 0..99 from the first eight hex digits of the key's MD5."""
     digest = F.md5(_column(key).cast("string").cast("binary"))

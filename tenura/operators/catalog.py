@@ -66,27 +66,38 @@ def lineage_completeness(features: DataFrame, lineage: DataFrame, key: str = "ms
     return missing.withColumn("extra_in_lineage", extra)
 
 
-def _text(column: str) -> Column:
-    """A value as text with its length in front, or a NULL mark, so that no two rows read the same."""
-    value = F.col(column).cast("string")
-    return F.when(value.isNull(), F.lit("N")).otherwise(F.concat_ws(":", F.length(value).cast("string"), value))
+def _text(name: str, kind: str) -> str:
+    """A value as SQL text, or a NULL mark; texts carry their length, so that no two rows read the same."""
+    if kind in ("tinyint", "smallint", "int", "bigint", "boolean", "date") or kind.startswith("decimal"):
+        return f"coalesce(cast({name} as string), 'N')"
+    value = f"cast({name} as string)"
+    return f"coalesce(concat(length({value}), ':', {value}), 'N')"
 
 
 def content_hash(df: DataFrame, without: Sequence[str] = ("feature_created_at", "ingestion_timestamp")) -> DataFrame:
     """Row count and a digest that does not depend on row order or partitioning.
 
-    Each row is hashed with SHA-256; eight 32-bit words of the hash are summed over all rows, so duplicates count and
-    the sums combine map-side. The digest hashes the row count and the sums. Load timestamps are left out.
+    Each row is hashed with SHA-256 over its columns in name order. Four 60-bit words of the hash are summed over all
+    rows, so duplicates count and the sums combine map-side; each word is summed in three 20-bit limbs, whose long sums
+    hold for 8 * 10^12 rows and spare decimal arithmetic per row. The digest hashes the row count and the four sums.
+    Load timestamps are left out.
     """
-    columns = [c for c in sorted(df.columns) if c not in without]
-    row_hash = F.sha2(F.concat_ws("|", *[_text(c) for c in columns]).cast("binary"), 256)
-    words = [F.conv(F.substring("_hash", 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)") for i in range(8)]
-    sums = df.select(row_hash.alias("_hash")).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.coalesce(F.sum(w), F.lit(0)).cast("decimal(38,0)").cast("string").alias(f"_w{i}") for i, w in enumerate(words)],
+    kinds = dict(df.dtypes)
+    texts = ", ".join(_text(c, kinds[c]) for c in sorted(df.columns) if c not in without)
+    hashed = df.selectExpr(f"sha2(cast(concat_ws('|', {texts}) as binary), 256) as h")
+    words = hashed.selectExpr(*[f"cast(conv(substr(h, {1 + 15 * i}, 15), 16, 10) as bigint) as w{i}" for i in range(4)])
+    mask = (1 << 20) - 1
+    limbs = [
+        F.expr(f"sum(shiftright(w{i}, {20 * j}) & {mask}) as w{i}_{j}") for i in range(4) for j in range(3)
+    ]
+    sums = words.agg(F.count(F.lit(1)).alias("row_count"), *limbs)
+    whole = [
+        " + ".join(f"cast(coalesce(w{i}_{j}, 0) as decimal(20,0)) * {1 << (20 * j)}BD" for j in range(3)) for i in range(4)
+    ]
+    parts = ", ".join(f"cast(cast({w} as decimal(38,0)) as string)" for w in whole)
+    return sums.selectExpr(
+        "row_count", f"sha2(cast(concat_ws('|', cast(row_count as string), {parts}) as binary), 256) as content_hash"
     )
-    parts = F.concat_ws("|", F.col("row_count").cast("string"), *[f"_w{i}" for i in range(8)])
-    return sums.select("row_count", F.sha2(parts.cast("binary"), 256).alias("content_hash"))
 
 
 def watermark_rows(

@@ -7,35 +7,54 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.functions.labels import numeric
+from tenura.functions.labels import numeric, outcome_columns
 from tenura.operators.ordered import moments_of_counts, quantiles_of_counts, value_counts
 from tenura.session import checkpointed
 
 
-def confusion_counts(cases: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def collapsed_cases(
+    predictions: DataFrame, features: DataFrame, label: str = "is_churn", threshold: float = 0.5,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Case rows of scored customers with their count ``n``: at most two per customer (and keys).
+
+    The scored rows are counted before they meet the features, so a customer scored very often costs two rows in the join.
+    """
+    predicted = (F.col("churn_probability") >= threshold).cast("int").alias("predicted")
+    counted = (
+        predictions.where(F.col("churn_probability").isNotNull())
+        .groupBy("customer_id", predicted, *keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return outcome_columns(counted.join(features.withColumnRenamed("msno", "customer_id"), "customer_id"), label)
+
+
+def _rows(condition: Column, weight: str | None) -> Column:
+    """Rows that meet a condition, each counted by its weight."""
+    if weight is None:
+        return F.count_if(condition)
+    return F.coalesce(F.sum(F.when(condition, F.col(weight))), F.lit(0)).cast("bigint")
+
+
+def confusion_counts(cases: DataFrame, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """tn, fp, fn and tp of rows with actual and predicted."""
 
     def cell(actual: int, predicted: int) -> Column:
-        return F.count_if((F.col("actual") == actual) & (F.col("predicted") == predicted))
+        return _rows((F.col("actual") == actual) & (F.col("predicted") == predicted), weight)
 
     return cases.groupBy(*keys).agg(
         cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"), cell(1, 1).alias("tp")
     )
 
 
-def classification_metrics(cases: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def classification_metrics(cases: DataFrame, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Precision, recall and F1 of class 1; each is 0 where its denominator is."""
-
-    def ratio(top: Column, bottom: Column) -> Column:
-        return F.coalesce(F.try_divide(top.cast("double"), bottom), F.lit(0.0))
-
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return confusion_counts(cases, keys).select(
+    return confusion_counts(cases, keys, weight).selectExpr(
         *keys,
-        ratio(tp, tp + fp).alias("precision_churn"),
-        ratio(tp, tp + fn).alias("recall_churn"),
-        ratio(2 * tp, 2 * tp + fp + fn).alias("f1_churn"),
-        (tp + fn).alias("support_churn"),
+        "coalesce(try_divide(cast(tp as double), tp + fp), 0D) as precision_churn",
+        "coalesce(try_divide(cast(tp as double), tp + fn), 0D) as recall_churn",
+        "coalesce(try_divide(2D * tp, 2 * tp + fp + fn), 0D) as f1_churn",
+        "tp + fn as support_churn",
     )
 
 
@@ -56,7 +75,7 @@ def class_weights(df: DataFrame, label: str = "is_churn") -> DataFrame:
     )
 
 
-def numeric_error_profile(cases: DataFrame, features: Sequence[str]) -> DataFrame:
+def numeric_error_profile(cases: DataFrame, features: Sequence[str], weight: str | None = None) -> DataFrame:
     """Mean and median of each feature among misclassified and correct rows, and their standardised difference.
 
     The difference is 0 when a side has one row or the pooled deviation is 0. Features without values on a side are
@@ -65,7 +84,9 @@ def numeric_error_profile(cases: DataFrame, features: Sequence[str]) -> DataFram
     entries = [F.struct(F.lit(f).alias("feature"), numeric(f).alias("value")) for f in features]
     keys = ["feature", "is_misclassified"]
     # The cases are read once, for their distinct values per feature and side.
-    counts = checkpointed(value_counts(cases.select("is_misclassified", F.inline(F.array(*entries))), keys, "value"))
+    rows = F.col(weight) if weight else F.lit(1)
+    long = cases.select("is_misclassified", rows.alias("rows"), F.inline(F.array(*entries)))
+    counts = checkpointed(value_counts(long, keys, "value", {"n": F.col("rows")}))
     medians = quantiles_of_counts(counts, "value", [0.5], keys).select(*keys, F.col("quantiles")[0].alias("median"))
     sides = moments_of_counts(counts, "value", keys).join(F.broadcast(medians), keys)  # two rows a feature
 
@@ -92,7 +113,7 @@ def numeric_error_profile(cases: DataFrame, features: Sequence[str]) -> DataFram
     )
 
 
-def categorical_error_profile(cases: DataFrame, features: Sequence[str]) -> DataFrame:
+def categorical_error_profile(cases: DataFrame, features: Sequence[str], weight: str | None = None) -> DataFrame:
     """Per feature the category whose share differs most between misclassified and correct rows.
 
     NULL is the category 'nan'; the first category in sort order wins ties; lift is NULL when the correct share is 0.
@@ -102,11 +123,11 @@ def categorical_error_profile(cases: DataFrame, features: Sequence[str]) -> Data
         for f in features
     ]
     counts = (
-        cases.select("is_misclassified", F.inline(F.array(*entries)))
+        cases.select("is_misclassified", *([weight] if weight else []), F.inline(F.array(*entries)))
         .groupBy("feature", "category")
         .agg(
-            F.count_if(F.col("is_misclassified") == 1).alias("wrong"),
-            F.count_if(F.col("is_misclassified") == 0).alias("right"),
+            _rows(F.col("is_misclassified") == 1, weight).alias("wrong"),
+            _rows(F.col("is_misclassified") == 0, weight).alias("right"),
         )
     )
     # Every row has one category per feature, so the counts give the totals without reading the cases again.

@@ -14,8 +14,12 @@ def group_fairness(
     label: str = "is_churn",
     probability: str = "churn_probability",
     threshold: float = 0.5,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Size, churn rate and predicted churn rate per gender or age band; a missing group is Unknown."""
+    """Size, churn rate and predicted churn rate per gender or age band; a missing group is Unknown.
+
+    Rows with ``predicted`` need no probability; with ``weight`` each row counts that often.
+    """
     if group not in ("gender", "age_band"):
         raise ValueError(f"unsupported group column: {group}")
     source = "gender" if group == "gender" else "bd"
@@ -25,12 +29,14 @@ def group_fairness(
         name = F.when(F.col("gender").isNull() | (F.col("gender") == ""), UNKNOWN).otherwise(F.col("gender"))
     else:
         name = age_band("bd")
+    predicted = F.col("predicted") if "predicted" in cases.columns else (F.col(probability) >= threshold).cast("int")
+    w = F.col(weight) if weight else F.lit(1).cast("bigint")
     return (
         cases.groupBy(name.alias(group))
         .agg(
-            F.count(F.lit(1)).alias("sample_size"),
-            F.avg(label).alias("churn_rate"),
-            F.avg((F.col(probability) >= threshold).cast("int")).alias("predicted_churn_rate"),
+            F.sum(w).alias("sample_size"),
+            (F.sum(w * F.col(label)) / F.sum(w)).alias("churn_rate"),
+            (F.sum(w * predicted) / F.sum(w)).alias("predicted_churn_rate"),
         )
         .orderBy(group)
     )

@@ -108,7 +108,7 @@ class RetailViews:
             "event_id as pred_id",
             "cast(user_id as string) as customer_id",
             "ts as scored_at",
-            "cast(least(cast(round(value * 100) as bigint) div 2, 10000L) * 0.0001BD as decimal(5,4)) as churn_probability",
+            "least(cast(round(value * 100) as bigint) div 2, 10000L) / 10000D as churn_probability",
             "concat('v', event_id % 3) as model_version",
             "'v1' as threshold_version",
             "if(event_id % 7 <> 0, concat('snap-', year(ts) * 10000 + month(ts) * 100 + dayofmonth(ts)), null) "

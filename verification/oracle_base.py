@@ -252,11 +252,17 @@ def chosen(table: str, key: str, stratum: str, fraction: float, seed: int) -> st
 cte("sampled", ("train",), chosen("train", "msno", "is_churn", 0.2, 42))
 
 
-def content_hash(table: str, columns: list[str]) -> str:
-    """Order-independent digest; ``columns`` are expressions that give the text of each column, in column order."""
-    texts = ", ".join(f"CASE WHEN ({c}) IS NULL THEN 'N' ELSE length({c}) || ':' || ({c}) END" for c in columns)
+def content_hash(table: str, numbers: list[str], texts: list[str]) -> str:
+    """Order-independent digest of number and text columns; an entry may be ``name=expression``."""
+    parts = {}
+    for entry in numbers:
+        name, _, expression = entry.partition("=")
+        parts[name] = f"coalesce(CAST({expression or name} AS VARCHAR), 'N')"
+    for name in texts:
+        parts[name] = f"coalesce(length({name}) || ':' || {name}, 'N')"
+    row = ", ".join(parts[name] for name in sorted(parts))
     words = " || '|' || ".join(
-        f"CAST(sum(CAST(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT) AS HUGEINT)) AS VARCHAR)" for i in range(8))
+        f"CAST(sum(CAST(CAST('0x' || substr(h, {1 + 15 * i}, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR)" for i in range(4))
     return f"""
   SELECT count(*) AS row_count, sha256(count(*) || '|' || {words}) AS content_hash
-  FROM (SELECT sha256(concat_ws('|', {texts})) AS h FROM {table})"""
+  FROM (SELECT sha256(concat_ws('|', {row})) AS h FROM {table})"""

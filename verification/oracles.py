@@ -408,12 +408,13 @@ ORACLES["linked_rows"] = sql("current_snapshot predictions", f"""
 ORACLES["provenance_triples"] = sql("predictions", """
   SELECT DISTINCT model_version, threshold_version, feature_snapshot_id FROM predictions
   ORDER BY model_version, threshold_version NULLS LAST, feature_snapshot_id NULLS LAST LIMIT 40""")
-ORACLES["content_hash"] = sql("transactions", content_hash("transactions", [f"CAST({c} AS VARCHAR)" for c in sorted(
-    "txn_id msno payment_method_id payment_plan_days plan_list_price actual_amount_paid is_auto_renew transaction_date membership_expire_date is_cancel".split())]))
+ORACLES["content_hash"] = sql("transactions", content_hash("transactions", (
+    "txn_id payment_method_id payment_plan_days plan_list_price actual_amount_paid is_auto_renew transaction_date "
+    "membership_expire_date is_cancel").split(), ["msno"]))
 _DECIMALS = {"total_amount_paid": "DECIMAL(20,2)", "avg_plan_days": "DECIMAL(8,2)", "total_secs": "DECIMAL(28,2)",
              "avg_total_secs": "DECIMAL(12,4)", "avg_num_songs": "DECIMAL(10,4)", "avg_num_unq": "DECIMAL(10,4)"}
 ORACLES["feature_table_hash"] = sql("customer_features", content_hash("customer_features", [
-    f"CAST(CAST({c} AS {_DECIMALS[c]}) AS VARCHAR)" if c in _DECIMALS else f"CAST({c} AS VARCHAR)" for c in sorted(_FEATURES)]))
+    f"{c}=CAST({c} AS {_DECIMALS[c]})" if c in _DECIMALS else c for c in _FEATURES if c not in ("msno", "gender")], ["msno", "gender"]))
 ORACLES["attribution_update"] = sql("predictions", """
   SELECT p.pred_id, p.customer_id, coalesce(n.note, 'old') AS note FROM predictions p LEFT JOIN (
     SELECT customer_id, scored_at, max('new-' || model_version) AS note FROM predictions WHERE risk_tier = 'High' GROUP BY ALL) n
@@ -445,3 +446,35 @@ ORACLES["imputation_values"] = sql("customer_features", " UNION ALL ".join(
      for c in _FEATURES[2:] if c not in _CATEGORICAL]
     + [f"(SELECT '{c}' AS feature, 'most_frequent', NULL, CAST({c} AS VARCHAR) FROM customer_features WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
        for c in _CATEGORICAL]))
+ORACLES["smote_rows"] = sql("members train", """
+  SELECT is_churn, CASE WHEN is_churn = 1 THEN greatest(n, n + extra) ELSE n END AS rows,
+    CASE WHEN is_churn = 1 THEN greatest(extra, 0) ELSE 0 END AS synthetic, CAST(0 AS BIGINT) AS outside
+  FROM (SELECT is_churn, count(*) AS n, CAST(floor(0.5 * (SELECT count(*) FROM members JOIN train USING (msno) WHERE is_churn = 0)
+      - (SELECT count(*) FROM members JOIN train USING (msno) WHERE is_churn = 1)) AS BIGINT) AS extra
+    FROM members JOIN train USING (msno) GROUP BY is_churn)""")
+
+# Attributions and documents with known results -----------------------------------------------------------------------
+
+_KNOWN = """
+  SELECT customer_id, feature, position, value FROM (
+    SELECT customer_id, unnest([{'feature': 'cancel_count', 'position': 0, 'value': 0.75 * (coalesce(cancel_count, 0) - 0.5)},
+      {'feature': 'num_active_days', 'position': 1, 'value': -0.5 * (coalesce(num_active_days, 0) - 10) + 2.0 * (churn_probability - 0.25)},
+      {'feature': 'transaction_count', 'position': 2, 'value': -0.125 * (coalesce(transaction_count, 0) - 8)}], recursive := true)
+    FROM latest JOIN customer_features ON msno = customer_id)"""
+_TOP = f"""SELECT customer_id, feature, value, row_number() OVER (PARTITION BY customer_id ORDER BY abs(value) DESC, position) AS rank
+  FROM ({_KNOWN})"""
+ORACLES["top_attributions"] = sql("latest customer_features", f"""
+  SELECT customer_id, CAST(rank - 1 AS INTEGER) AS position, feature, round(CAST(value AS DOUBLE), 6) AS shap_value FROM ({_TOP}) WHERE rank <= 2""")
+ORACLES["global_attribution_importance"] = sql("latest customer_features", f"""
+  SELECT feature, round(avg(abs(CAST(value AS DOUBLE))), 6) AS mean_abs_attribution FROM ({_KNOWN}) GROUP BY feature""")
+ORACLES["attribution_explanations"] = sql("latest customer_features", f"""
+  SELECT customer_id, list(CASE feature WHEN 'cancel_count' THEN 'Recent cancellation behaviour suggests the subscription relationship is unstable.'
+    WHEN 'num_active_days' THEN 'Listening activity has dropped, which is often an early sign of churn.'
+    ELSE 'Transaction activity is lower than what we usually see for retained customers.' END ORDER BY rank) AS explanations
+  FROM ({_TOP}) WHERE rank <= 2 GROUP BY customer_id""")
+ORACLES["json_documents"] = """
+  SELECT event_id, CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+    CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 THEN '[{"k":' || json_extract_string(props, '$.k') || '}]' END AS written FROM events"""
+ORACLES["evolved_predictions"] = sql("predictions", """
+  SELECT pred_id, customer_id, churn_probability, CASE WHEN scored_at >= TIMESTAMP '2024-01-10' THEN feature_snapshot_id END AS feature_snapshot_id,
+    CASE WHEN scored_at >= TIMESTAMP '2024-01-10' THEN threshold_version ELSE 'v0' END AS threshold_version FROM predictions""")

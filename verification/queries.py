@@ -323,15 +323,26 @@ def _(v):
     return cases(v).select("pred_id", "customer_id", "actual", "predicted", "is_misclassified", "error_type")
 
 
+def collapsed(v: RetailViews, keys=()) -> DataFrame:
+    return errors.collapsed_cases(v.predictions, feature_table(v), keys=keys)
+
+
+def collapsed_scores(v: RetailViews, keys=()) -> DataFrame:
+    """Scored rows of labelled customers collapsed to (customer, score), with ``actual`` and ``n``."""
+    counted = v.predictions.groupBy("customer_id", "churn_probability", *keys).agg(F.count(F.lit(1)).alias("n"))
+    known = feature_table(v).select(F.col("msno").alias("customer_id"), F.col("is_churn").cast("int").alias("actual"))
+    return counted.join(known, "customer_id")
+
+
 @query("confusion_counts")
 def _(v):
-    return errors.confusion_counts(cases(v))
+    return errors.confusion_counts(collapsed(v), weight="n")
 
 
 @query("classification_metrics")
 def _(v):
-    area = monitoring.roc_auc(cases(v), "actual", "churn_probability", strict=True).select("roc_auc").scalar()
-    return errors.classification_metrics(cases(v)).withColumn("roc_auc", area)
+    area = monitoring.roc_auc(collapsed_scores(v), "actual", "churn_probability", weight="n", strict=True)
+    return errors.classification_metrics(collapsed(v), weight="n").withColumn("roc_auc", area.select("roc_auc").scalar())
 
 
 @query("class_weights")
@@ -339,43 +350,45 @@ def _(v):
     return errors.class_weights(v.train)
 
 
-@query("numeric_error_profile")
-def _(v):
-    return errors.numeric_error_profile(cases(v), PROFILED)
+PROFILED = ["bd", "transaction_count", "total_amount_paid", "avg_plan_days", "num_active_days", "avg_total_secs"]
 
 
-PROFILED = ["bd", "transaction_count", "total_amount_paid", "avg_plan_days", "num_active_days", "avg_total_secs"]
+@query("numeric_error_profile")
+def _(v):
+    return errors.numeric_error_profile(collapsed(v), PROFILED, weight="n")
 
 
 @query("categorical_error_profile")
 def _(v):
-    return errors.categorical_error_profile(cases(v), ["city", "gender", "registered_via", "latest_payment_method_id"])
+    return errors.categorical_error_profile(
+        collapsed(v), ["city", "gender", "registered_via", "latest_payment_method_id"], weight="n")
 
 
 @query("error_insights")
 def _(v):
-    scored = checkpointed(cases(v))
+    scored = checkpointed(collapsed(v))
     return errors.error_insights(
-        errors.numeric_error_profile(scored, PROFILED),
-        errors.categorical_error_profile(scored, ["city", "gender"]),
-        errors.confusion_counts(scored),
+        errors.numeric_error_profile(scored, PROFILED, weight="n"),
+        errors.categorical_error_profile(scored, ["city", "gender"], weight="n"),
+        errors.confusion_counts(scored, weight="n"),
     )
 
 
 @query("fairness_by_gender")
 def _(v):
-    return fairness.group_fairness(cases(v), "gender")
+    return fairness.group_fairness(collapsed(v), "gender", weight="n")
 
 
 @query("fairness_by_age_band")
 def _(v):
-    return fairness.group_fairness(cases(v), "age_band")
+    return fairness.group_fairness(collapsed(v), "age_band", weight="n")
 
 
 @query("fairness_gaps")
 def _(v):
+    scored = checkpointed(collapsed(v))
     gaps = [
-        fairness.fairness_gap(fairness.group_fairness(cases(v), g)).select(F.lit(g).alias("group"), "fairness_gap")
+        fairness.fairness_gap(fairness.group_fairness(scored, g, weight="n")).select(F.lit(g).alias("group"), "fairness_gap")
         for g in ("gender", "age_band")
     ]
     return gaps[0].unionByName(gaps[1])
@@ -443,22 +456,22 @@ def _(v):
 
 @query("roc_points")
 def _(v):
-    return monitoring.roc_points(cases(v), "actual", "churn_probability")
+    return monitoring.roc_points(collapsed_scores(v), "actual", "churn_probability", weight="n")
 
 
 @query("calibration_bins")
 def _(v):
-    return monitoring.calibration_bins(cases(v), "actual", "churn_probability")
+    return monitoring.calibration_bins(collapsed_scores(v), "actual", "churn_probability", weight="n")
 
 
 @query("max_calibration_error")
 def _(v):
-    return monitoring.max_calibration_error(monitoring.calibration_bins(cases(v), "actual", "churn_probability"))
+    return monitoring.max_calibration_error(monitoring.calibration_bins(collapsed_scores(v), "actual", "churn_probability", weight="n"))
 
 
 @query("brier_score")
 def _(v):
-    return monitoring.brier_score(cases(v), "actual", "churn_probability")
+    return monitoring.brier_score(collapsed_scores(v), "actual", "churn_probability", weight="n")
 
 
 @query("score_distribution")
@@ -530,7 +543,7 @@ def rule_tables(v: RetailViews) -> dict[str, DataFrame]:
     return {
         "processed.customer_features": feature_table(v).withColumn(
             "feature_created_at", F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")),
-        "processed.churn_predictions": v.predictions,
+        "processed.churn_predictions": v.predictions.withColumn("churn_probability", F.col("churn_probability").cast("decimal(5,4)")),
         "processed.feature_snapshots": snapshots(v),
         "raw.members": stamped(v.members),
         "raw.transactions": stamped(v.transactions),
@@ -728,9 +741,9 @@ def _(v):
 
 def version_metrics(v: RetailViews) -> DataFrame:
     """AUC and precision of each model version on its labelled predictions."""
-    scored = cases(v)
-    area = monitoring.roc_auc(scored, "actual", "churn_probability", ["model_version"])
-    return errors.classification_metrics(scored, ["model_version"]).join(area, "model_version")
+    keys = ["model_version"]
+    area = monitoring.roc_auc(collapsed_scores(v, keys), "actual", "churn_probability", keys, weight="n")
+    return errors.classification_metrics(collapsed(v, keys), keys, weight="n").join(area, "model_version")
 
 
 @query("promotion_gate")
@@ -813,10 +826,15 @@ def _(v):
 
 @query("smote_rows")
 def _(v):
-    scored = v.members.join(v.train, "msno").select(
-        "msno", "is_churn", F.array(F.col("city").cast("double"), F.col("bd").cast("double")).alias("x"))
-    return resampling.smote(scored, "msno", "x", "is_churn").groupBy("is_churn").agg(
-        F.count(F.lit(1)).alias("rows"), F.avg(F.col("x")[0]).alias("mean_city"), F.avg(F.col("x")[1]).alias("mean_age"))
+    """Rows per class after oversampling, and whether new points stay within the span of the minority."""
+    point = F.array(F.col("city").cast("double"), F.col("bd").cast("double"))
+    labelled = v.members.join(v.train, "msno").select("msno", "is_churn", point.alias("x"))
+    bounds = labelled.where("is_churn = 1").agg(F.struct(
+        F.min(F.col("x")[1]).alias("low"), F.max(F.col("x")[1]).alias("high"))).scalar()
+    made = F.col("msno").contains("#")
+    inside = F.col("x")[1].between(bounds["low"], bounds["high"])
+    return resampling.smote(labelled, "msno", "x", "is_churn").groupBy(F.col("is_churn").cast("int").alias("is_churn")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(made).alias("synthetic"), F.count_if(made & ~inside).alias("outside"))
 
 
 @query("permutation_importance")
@@ -875,3 +893,59 @@ def _(v):
     scored = modeling.with_probability(model, parts.validation)
     return training_plans.model_card(
         "logistic_regression", parts.train, SEVERAL, training_plans.evaluate(model, parts.validation), scored)
+
+
+# Attributions and documents with known results -----------------------------------------------------------------------
+
+SCORE_FEATURES = ["cancel_count", "num_active_days", "transaction_count"]
+
+
+def known_attributions(v: RetailViews) -> DataFrame:
+    """Attributions of a fixed linear score over the latest predictions; two slots belong to one raw feature."""
+    rows = dashboard.with_features(latest.latest_predictions(v.predictions), feature_table(v), "inner")
+    known = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in SCORE_FEATURES]
+    vectors = rows.select("customer_id", F.array(*known, F.col("churn_probability").cast("double")).alias("x"))
+    slots = ["cancel_count", "num_active_days_a", "num_active_days_b", "transaction_count"]
+    per_slot = attributions.linear_attributions(
+        vectors.withColumn("x", F.array(F.col("x")[0], F.col("x")[1], F.col("x")[3], F.col("x")[2])),
+        "customer_id", "x", [0.75, -0.5, 2.0, -0.125], [0.5, 10.0, 0.25, 8.0], slots)
+    members = {"cancel_count": slots[:1], "num_active_days": slots[1:3], "transaction_count": slots[3:]}
+    return per_slot.withColumn("attributions", attributions.sum_to_features("attributions", members))
+
+
+@query("top_attributions")
+def _(v):
+    top = attributions.top_attributions("attributions", 2)
+    return known_attributions(v).select("customer_id", F.posexplode(top).alias("position", "entry")).select(
+        "customer_id", "position", "entry.feature", "entry.shap_value")
+
+
+@query("global_attribution_importance")
+def _(v):
+    return attributions.global_importance(known_attributions(v))
+
+
+@query("attribution_explanations")
+def _(v):
+    top = known_attributions(v).withColumn("shap_values", attributions.top_attributions("attributions", 5))
+    return top.select("customer_id", labels.explanations(labels.top_features("shap_values", TOP_FEATURES, 2)).alias("explanations"))
+
+
+@query("json_documents")
+def _(v):
+    """Event properties as JSON lists; every fifth text is cut off and every seventh list is empty."""
+    whole = F.concat(F.lit("["), F.col("props"), F.lit("]"))
+    text = F.when(F.col("event_id") % 5 == 0, F.lit("[{")).when(F.col("event_id") % 7 == 0, F.lit("[]")).otherwise(whole)
+    parsed = tables.parsed_list("text", "struct<k:bigint>")
+    rows = v.read("events").select("event_id", text.alias("text")).withColumn("parsed", parsed)
+    return rows.select("event_id", F.col("parsed")[0]["k"].alias("k"), F.to_json("parsed").alias("written"))
+
+
+@query("evolved_predictions")
+def _(v):
+    """Early rows without provenance columns joined with later rows that have them."""
+    cut = F.lit("2024-01-10").cast("timestamp_ntz")
+    older = v.predictions.where(F.col("scored_at") < cut).select("pred_id", "customer_id", "churn_probability")
+    newer = v.predictions.where(F.col("scored_at") >= cut).select(
+        "pred_id", "customer_id", "churn_probability", "feature_snapshot_id", "threshold_version")
+    return tables.evolved(older, newer, {"threshold_version": "v0"})
