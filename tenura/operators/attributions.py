@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.operators.ordered import exact_quantiles
+from tenura.session import checkpointed
 
 
 def tier_samples(latest: DataFrame) -> DataFrame:
@@ -15,6 +16,7 @@ def tier_samples(latest: DataFrame) -> DataFrame:
 
     Ties go to the lowest customer_id; a tier without customers has no row.
     """
+    latest = checkpointed(latest.select("customer_id", "risk_tier", "churn_probability"))
     medians = exact_quantiles(latest, "churn_probability", [0.5], keys=["risk_tier"])
     medians = F.broadcast(medians.select("risk_tier", F.col("quantiles")[0].alias("_median")))  # one row per tier
     p = F.col("churn_probability").cast("double")

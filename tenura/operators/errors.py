@@ -149,35 +149,37 @@ def categorical_error_profile(cases: DataFrame, features: Sequence[str], weight:
     return shares.groupBy("feature").agg(best.alias("best")).select("feature", "best.*").drop("order")
 
 
+# The insight sentences.
+NUMERIC_INSIGHT = (
+    "`%s` is materially %s among misclassified cases (misclassified mean=%.2f, correct mean=%.2f). "
+    "Action: add bucketized/interaction features for `%s` and re-tune threshold."
+)
+CATEGORY_INSIGHT = (
+    "Category `%s=%s` is over-represented in misclassifications (misclassified share=%.1f%%, correct share=%.1f%%). "
+    "Action: introduce category-target interactions or category-specific calibration."
+)
+MISSED_INSIGHT = (
+    "False negatives exceed false positives. Action: lower decision threshold to catch more true churners "
+    "and monitor precision trade-off."
+)
+ALARM_INSIGHT = (
+    "False positives are at least as frequent as false negatives. Action: increase decision threshold or "
+    "add precision-oriented features to reduce false alarms."
+)
+
+
 def error_insights(numeric_profile: DataFrame, categorical_profile: DataFrame, confusion: DataFrame) -> DataFrame:
     """Insight sentences: the two strongest numeric features, the strongest category and the error balance."""
-    higher = F.col("misclassified_mean") > F.col("correct_mean")
-    numeric_lines = numeric_profile.where(F.col("rank") <= 2).select(
-        F.col("rank").alias("position"),
-        F.format_string(
-            "`%s` is materially %s among misclassified cases (misclassified mean=%.2f, correct mean=%.2f). "
-            "Action: add bucketized/interaction features for `%s` and re-tune threshold.",
-            "feature", F.when(higher, "higher").otherwise("lower"), "misclassified_mean", "correct_mean", "feature",
-        ).alias("insight"),
-    )
+    direction = F.when(F.col("misclassified_mean") > F.col("correct_mean"), "higher").otherwise("lower")
     strongest = categorical_profile.orderBy(F.abs("share_diff").desc(), "feature").limit(1)
-    category_line = strongest.select(
-        F.lit(3).alias("position"),
-        F.format_string(
-            "Category `%s=%s` is over-represented in misclassifications (misclassified share=%.1f%%, correct "
-            "share=%.1f%%). Action: introduce category-target interactions or category-specific calibration.",
-            "feature", "category", F.col("misclassified_share") * 100, F.col("correct_share") * 100,
-        ).alias("insight"),
-    )
-    balance = confusion.select(
-        F.lit(4).alias("position"),
-        F.when(
-            F.col("fn") > F.col("fp"),
-            "False negatives exceed false positives. Action: lower decision threshold to catch more true churners "
-            "and monitor precision trade-off.",
-        ).otherwise(
-            "False positives are at least as frequent as false negatives. Action: increase decision threshold or "
-            "add precision-oriented features to reduce false alarms."
-        ).alias("insight"),
+    numeric_line = F.format_string(
+        NUMERIC_INSIGHT, "feature", direction, "misclassified_mean", "correct_mean", "feature")
+    category_line = F.format_string(
+        CATEGORY_INSIGHT, "feature", "category", F.col("misclassified_share") * 100, F.col("correct_share") * 100)
+    balance_line = F.when(F.col("fn") > F.col("fp"), MISSED_INSIGHT).otherwise(ALARM_INSIGHT)
+    lines = (
+        numeric_profile.where(F.col("rank") <= 2).select(F.col("rank").alias("position"), numeric_line.alias("insight"))
+        .unionByName(strongest.select(F.lit(3).alias("position"), category_line.alias("insight")))
+        .unionByName(confusion.select(F.lit(4).alias("position"), balance_line.alias("insight")))
     )
-    return numeric_lines.unionByName(category_line).unionByName(balance).orderBy("position")
+    return lines.orderBy("position")

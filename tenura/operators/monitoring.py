@@ -104,14 +104,11 @@ def roc_auc(
 def roc_points(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
     """True and false positives at every distinct threshold, with their rates."""
     w = _weight(weight)
-    counts = value_counts(df.withColumn("_order", -F.col(score).cast("double")), [], "_order", {
+    counts = checkpointed(value_counts(df.withColumn("_order", -F.col(score).cast("double")), [], "_order", {
         "pos": F.when(F.col(label) == 1, w).otherwise(0), "neg": F.when(F.col(label) == 0, w).otherwise(0),
-    })
+    }))
     points = running_totals(counts, [], "_order", ["pos", "neg"])
-    totals = df.agg(F.struct(
-        F.sum(F.when(F.col(label) == 1, w).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col(label) == 0, w).otherwise(0)).alias("neg"),
-    )).scalar()
+    totals = counts.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).alias("t")).scalar()
     return points.select(
         (-F.col("_order")).alias("threshold"),
         F.col("pos_cum").alias("true_positives"), F.col("neg_cum").alias("false_positives"),

@@ -71,8 +71,11 @@ def range_totals(spread: DataFrame, keys: Sequence[str], measures: Sequence[str]
 def running_totals(
     counts: DataFrame, keys: Sequence[str], value: str, measures: Sequence[str], ranges: int = RANGES
 ) -> DataFrame:
-    """Add ``<measure>_cum`` to distinct-value rows: the total of all rows of the key up to this value."""
-    spread, small = ranged(checkpointed(counts), keys, value, ranges)
+    """Add ``<measure>_cum`` to distinct-value rows: the total of all rows of the key up to this value.
+
+    Pass a checkpointed table: it is read twice.
+    """
+    spread, small = ranged(counts, keys, value, ranges)
     joined = matched(spread, range_totals(spread, keys, measures), [*keys, "_range"], small)
     inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     cumulated = [(F.col(f"_{m}_below") + F.sum(m).over(inside)).alias(f"{m}_cum") for m in measures]

@@ -20,7 +20,7 @@ def _chosen(df: DataFrame, key: str, stratum: str, fraction: float, seed: int, i
     """Mark round(fraction * n) rows of each stratum, those with the lowest seeded hash.
 
     Rows are counted per hash prefix; whole ranges below the cut are taken, and only the one range that holds the cut
-    is ranked. No stratum is ever sorted as a whole.
+    is ranked. No stratum is ever sorted as a whole. The table is read three times, so pass one that is cheap to read.
     """
     hashed = df.withColumn("_hash", seeded_hash(key, seed)).withColumn("_range", F.substring("_hash", 1, PREFIX))
     sizes = hashed.groupBy(stratum, "_range").agg(F.count(F.lit(1)).alias("_rows"))
@@ -93,7 +93,7 @@ def monitoring_cohorts(
     """Rows of the two cohorts with ``cohort`` and ``cohort_strategy``; ``window`` holds each row's time_cohort.
 
     Time windows decide unless either holds fewer than ``min_rows`` rows; then every row, of whatever age, is assigned
-    by key hash. One small aggregation makes that choice.
+    by key hash. One small aggregation makes that choice; pass a checkpointed table, since it is read for that as well.
     """
     weights = F.col(weight) if weight else F.lit(1)
 

@@ -14,6 +14,15 @@ from tenura.session import checkpointed
 
 COHORT_BASELINE = "historical_baseline_window"
 
+# The reasons of a verdict; %s stands for a threshold.
+NO_BASELINE = "Insufficient baseline class coverage for AUC and no production baseline artifact found."
+ONE_CLASS = "Insufficient current class coverage for AUC (requires both churn/non-churn)."
+PSI_REASON = "PSI threshold breached: max_psi=%.4f (>%s)"
+AUC_REASON = "AUC degradation threshold breached: delta=%.4f (>%s)"
+FEW_ROWS_REASON = "Insufficient labelled samples in current window: %d < %s"
+CALIBRATION_REASON = "Calibration error exceeds threshold: %.4f > %s"
+SEGMENT_REASON = "Segment PSI breached (%s): %s"
+
 
 def cohort_frame(
     predictions: DataFrame, features: DataFrame, train: DataFrame, as_of: datetime,
@@ -124,20 +133,21 @@ def monitoring_verdict(
         ),
         lambda e: e["key"],
     )
+    enough = ~insufficient
+
+    def reason(condition: Column, text: str, *values) -> Column:
+        return F.when(condition, F.format_string(text, *values) if values else F.lit(text))
+
     reasons = F.array(
-        F.when(F.col("baseline_auc").isNull() & ~baseline_ok,
-               "Insufficient baseline class coverage for AUC and no production baseline artifact found."),
-        F.when(~current_ok, "Insufficient current class coverage for AUC (requires both churn/non-churn)."),
-        F.when(F.col("max_psi") > psi_threshold,
-               F.format_string(f"PSI threshold breached: max_psi=%.4f (>{psi_threshold})", "max_psi")),
-        F.when(F.col("auc_delta") > auc_delta_threshold,
-               F.format_string(f"AUC degradation threshold breached: delta=%.4f (>{auc_delta_threshold})", "auc_delta")),
-        F.when(insufficient, F.format_string(
-            f"Insufficient labelled samples in current window: %d < {min_samples}", "current_row_count")),
-        F.when(~insufficient & (F.col("max_calibration_error") > calibration_threshold), F.format_string(
-            f"Calibration error exceeds threshold: %.4f > {calibration_threshold}", "max_calibration_error")),
-        F.when(~insufficient & (F.size("breached_segments") > 0), F.concat(
-            F.lit(f"Segment PSI breached ({segment_threshold}): "), F.array_join("breached_segments", ", "))),
+        reason(F.col("baseline_auc").isNull() & ~baseline_ok, NO_BASELINE),
+        reason(~current_ok, ONE_CLASS),
+        reason(F.col("max_psi") > psi_threshold, PSI_REASON, "max_psi", F.lit(str(psi_threshold))),
+        reason(F.col("auc_delta") > auc_delta_threshold, AUC_REASON, "auc_delta", F.lit(str(auc_delta_threshold))),
+        reason(insufficient, FEW_ROWS_REASON, "current_row_count", F.lit(str(min_samples))),
+        reason(enough & (F.col("max_calibration_error") > calibration_threshold), CALIBRATION_REASON,
+               "max_calibration_error", F.lit(str(calibration_threshold))),
+        reason(enough & (F.size("breached_segments") > 0), SEGMENT_REASON, F.lit(str(segment_threshold)),
+               F.array_join("breached_segments", ", ")),
     )
     return (
         row.withColumn("breached_segments", F.sort_array(over))

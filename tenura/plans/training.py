@@ -34,8 +34,8 @@ class Split:
 
 
 def split_features(features: DataFrame, validation: float = 0.2, seed: int = 42) -> Split:
-    """A stratified split, written once, since every model reads it many times."""
-    marked = checkpointed(train_validation_split(features, "msno", "is_churn", validation, seed))
+    """A stratified split. The features and then the split are written once, since each is read many times."""
+    marked = checkpointed(train_validation_split(checkpointed(features), "msno", "is_churn", validation, seed))
     return Split(
         marked.where(F.col("split") == "train").drop("split"),
         marked.where(F.col("split") == "validation").drop("split"),

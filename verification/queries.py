@@ -433,8 +433,8 @@ def _(v):
 @query("monitoring_cohorts")
 def _(v):
     scored = monitoring.labelled_predictions(v.predictions, feature_table(v), v.train, extra=("pred_id", "scored_at"))
-    windowed = scored.withColumn("window", sampling.time_cohort("scored_at", AS_OF))
-    return sampling.monitoring_cohorts(windowed).select("pred_id", "msno", "cohort", "cohort_strategy")
+    windowed = scored.select("pred_id", "msno", sampling.time_cohort("scored_at", AS_OF).alias("window"))
+    return sampling.monitoring_cohorts(checkpointed(windowed)).select("pred_id", "msno", "cohort", "cohort_strategy")
 
 
 # Monitoring --------------------------------------------------------------------------------------------------------
