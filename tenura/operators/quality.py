@@ -6,7 +6,7 @@ Rules over one table share one aggregation; only uniqueness needs a grouping of
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 

@@ -18,6 +18,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Call-site capture costs several round trips to the JVM for every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tenura.operators import monitoring as m
 from tenura.operators.sampling import hash_cohort, monitoring_cohorts, time_cohort
 from tenura.plans import monitoring as plan
-from tenura.schemas import RAW_SCHEMAS
 
 AS_OF = datetime(2024, 3, 1)
 
