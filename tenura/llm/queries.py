@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tenura.llm.minhash import near_duplicates
+from tenura.llm.positions import contamination
 from tenura.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,11 +30,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES["op10_minhash_near_dedup"] = r"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
-    ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s FROM words
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words
 ), shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
 meets AS (
   SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2
@@ -44,3 +46,35 @@ reach AS (SELECT doc_id, doc_id AS r FROM sets UNION SELECT reach.doc_id, edges.
 roots AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN roots USING (doc_id)
 """
+
+
+@query("op3_benchmark_decontamination")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated"
+    )
+
+
+ORACLES["op3_benchmark_decontamination"] = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents
+), bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM bw WHERE len(w) > 0)
+), places AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, (SELECT DISTINCT n FROM windows))
+), found AS (SELECT doc_id, item_id, i, n FROM places JOIN windows USING (n, s)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY 1),
+ids AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM found) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
