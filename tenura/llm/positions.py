@@ -7,13 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.texts import ascii_lower, row_key
+from tenura.llm.texts import ascii_lower, bounded, row_key
 from tenura.session import checkpointed
 
 # Characters of words after lower-casing: digits, letters a-z and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# A counted side of at most this many rows goes to all tasks; a larger one is joined by shuffle.
-BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -29,12 +27,6 @@ def text_words(text: Column | str) -> Column:
     return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """A checkpointed side with a broadcast hint if its count is small."""
-    stored = checkpointed(df)
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
-
-
 def benchmark_items(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(item, words) of the distinct word sequences and (item, item_id) for each id; items without words are left out."""
     worded = benchmark.select(F.col("item_id"), text_words("text").alias("words")).where(F.size("words") > 0)
@@ -64,7 +56,7 @@ def _anchors(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
     """
     counts = index.where("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     terms = items.select("item", F.size("words").alias("size"), F.posexplode("words").alias("offset", "word"))
-    rated = terms.withColumn("term", F.xxhash64("word")).join(_sized(counts), "term", "left")
+    rated = terms.withColumn("term", F.xxhash64("word")).join(bounded(counts), "term", "left")
     # A window starts at each offset that leaves room for it; an item shorter than a window is one.
     span = F.least("size", F.lit(how.words))
     starts = F.sequence(F.greatest(F.lit(0), F.col("offset") - span + 1), F.least("offset", F.col("size") - span))
@@ -77,14 +69,14 @@ def _anchors(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
 
 def _candidates(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
     """(doc_id, row, item, shift): places where an anchor's occurrence puts an item's first word at ``shift``."""
-    anchors = _sized(_anchors(items, index, how))
+    anchors = bounded(_anchors(items, index, how))
     hits = index.where("term IS NOT NULL").join(anchors, "term")
     return checkpointed(hits.select("doc_id", "row", "item", (F.col("pos") - F.col("offset")).alias("shift")).distinct())
 
 
 def _of_documents(index: DataFrame, candidates: DataFrame) -> DataFrame:
     """Postings of the documents that have a candidate."""
-    wanted = _sized(candidates.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r")).distinct())
+    wanted = bounded(candidates.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r")).distinct())
     return index.where("term IS NOT NULL").join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("row") == F.col("_r")), "left_semi")
 
 
@@ -98,7 +90,7 @@ def phrase_matches(items: DataFrame, index: DataFrame, how: Windows = Windows())
     candidates = _candidates(items, index, how)
     terms = items.select("item", F.size("words").alias("size"), F.posexplode("words").alias("offset", "word"))
     wanted = (
-        candidates.join(_sized(terms.select("item", "size", "offset", F.xxhash64("word").alias("term"))), "item")
+        candidates.join(bounded(terms.select("item", "size", "offset", F.xxhash64("word").alias("term"))), "item")
         .select(
             F.col("doc_id").alias("_d"), F.col("row").alias("_r"), "item", "size", "shift", "offset",
             F.col("term").alias("_t"), (F.col("shift") + F.col("offset")).alias("_p"),
@@ -165,7 +157,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, how: Windows = Windows(
     items, ids = benchmark_items(benchmark)
     items = checkpointed(items)
     vocabulary = items.select(F.explode("words").alias("word")).distinct()
-    index = build_index(docs, _sized(vocabulary))
+    index = build_index(docs, bounded(vocabulary))
     runs = checkpointed(phrase_matches(items, index, how))
     covered = (
         runs.select("doc_id", "row", F.explode(F.sequence("first", "last")).alias("pos")).distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.llm.minhash import near_duplicates
+from tenura.llm.mixing import mix
 from tenura.llm.positions import contamination
 from tenura.llm.texts import table
 
@@ -78,3 +79,41 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
+
+
+@query("op9_mixing_to_target_weights")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+ORACLES["op9_mixing_to_target_weights"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), s AS (
+  SELECT source, size, [1, 2, 3][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS size FROM sized GROUP BY 1)
+), fill AS (
+  SELECT *, CAST((SELECT sum(size) FROM s) - 3 * coalesce(sum(size) OVER lower, 0) AS BIGINT) AS num,
+    CAST(sum(w) OVER upper AS BIGINT) AS den, row_number() OVER (ORDER BY size * 1.0 / w, source) AS k
+  FROM s WINDOW lower AS (ORDER BY size * 1.0 / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    upper AS (ORDER BY size * 1.0 / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), level AS (SELECT k, num, den FROM fill WHERE w * num <= 3 * size * den ORDER BY k LIMIT 1),
+targets AS (
+  SELECT fill.source, fill.size AS source_size,
+    CASE WHEN fill.k < level.k THEN CAST(3 * fill.size AS DOUBLE) ELSE CAST(w AS DOUBLE) * (CAST(level.num AS DOUBLE) / CAST(level.den AS DOUBLE)) END AS target
+  FROM fill, level
+), cut AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS repeats FROM targets
+), placed AS (
+  SELECT sized.*, source_size, target, repeats, target - repeats * source_size AS r,
+    sum(size) OVER (PARTITION BY sized.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+    sum(size) OVER (PARTITION BY sized.source, h) AS own
+  FROM sized JOIN cut ON sized.source IS NOT DISTINCT FROM cut.source
+)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+  CAST(size * (repeats + CASE WHEN 2 * upto - own <= 2 * r THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
+"""

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.session import checkpointed
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Rows of an Arrow batch that Python works on at once; texts of one slice are in memory together.
 SLICE_ROWS = 512
@@ -16,6 +18,16 @@ SLICE_ROWS = 512
 CACHE_WORDS = 300_000
 
 
+# A counted side of at most this many rows goes to all tasks; a larger one is joined by shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """A checkpointed side, with a broadcast hint if its count is small. It changes the plan, never the rows."""
+    stored = checkpointed(df)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
