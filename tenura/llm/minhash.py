@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.components import components
-from tenura.llm.texts import CACHE_WORDS, by_slice, mixed, space_words
+from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, mixed, space_words
 from tenura.session import checkpointed
 
 SIGNATURE = pa.schema([
@@ -67,16 +67,16 @@ class Shingler:
 
 
 def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least of each multiply-shift hash (upper 32 bits) over a set, block by block."""
+    """The last 16 bits of the least multiply-shift hash (upper 32 bits) over a set, block by block."""
     least = np.full(len(a), 0xFFFFFFFF, np.uint64)
     for start in range(0, len(shingles), 256):
         block = shingles[start : start + 256]
         least = np.minimum(least, ((a[:, None] * block + b[:, None]) >> np.uint64(32)).min(axis=1))
-    return least.astype(np.uint32)
+    return least.astype(np.uint16)
 
 
 def signatures(docs: DataFrame, how: NearDuplicates) -> DataFrame:
-    """Per document: set size, two hashes of the whole set and the minima (32 bits each)."""
+    """Per document: set size, two hashes of the whole set and the minima (16 bits each)."""
     a, b = how.coefficients()
 
     def run(batches):
@@ -119,7 +119,7 @@ def shingle_sets(docs: DataFrame, how: NearDuplicates) -> DataFrame:
 
 def _equal_minima(left: str, right: str, how: NearDuplicates):
     same = [
-        (F.substring(left, 4 * i + 1, 4) == F.substring(right, 4 * i + 1, 4)).cast("int")
+        (F.substring(left, 2 * i + 1, 2) == F.substring(right, 2 * i + 1, 2)).cast("int")
         for i in range(how.bands * how.rows)
     ]
     total = same[0]
@@ -147,7 +147,7 @@ class _Links:
         )
         wanted = screened.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         texts = self.docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string")).join(
-            wanted, "node", "left_semi"
+            bounded(wanted), "node", "left_semi"
         )
         sets = checkpointed(shingle_sets(texts, how))
         joined = (
@@ -197,17 +197,22 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
     how = how or NearDuplicates()
     signed = checkpointed(signatures(docs, how))
     named = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    sets = named.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("node"))
+    # The minima of equal sets are equal, so any row of a class has them.
+    founders = checkpointed(
+        named.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
+    )
     placed = checkpointed(
-        named.join(sets, ["h1", "h2", "n_shingles"]).select("doc_id", "node", F.when(F.col("doc_id") == F.col("node"), F.col("signature")).alias("signature"))
+        named.select("doc_id", "h1", "h2", "n_shingles")
+        .join(founders.drop("signature"), ["h1", "h2", "n_shingles"])
+        .select("doc_id", "node")
     )
-    classes = placed.where(F.col("signature").isNotNull()).select("node", "signature").distinct()
+    classes = founders.select("node", "signature")
     # A doc_id that occurs in several classes is one vertex and so connects them.
     members = placed.select("doc_id", "node").distinct()
     twice = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("_z")).where("a < _z")
     shared = members.join(twice.select("doc_id", "a"), "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
 
-    width = 4 * how.rows
+    width = 2 * how.rows
     keys = [F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)) for i in range(how.bands)]
     buckets = classes.select("node", F.explode(F.array(*keys)).alias("bucket"))
     full = buckets.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("_z")).where("pivot < _z")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.llm.minhash import near_duplicates
 from tenura.llm.mixing import mix
 from tenura.llm.positions import contamination
-from tenura.llm.texts import table
+from tenura.llm.texts import shared_folder, table
+from tenura.llm.token_files import TokenFiles, token_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +119,9 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
   CAST(size * (repeats + CASE WHEN 2 * upto - own <= 2 * r THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM placed
 """
+
+
+@query("op4_token_id_output")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    how = TokenFiles(public_tokenizers.path("word_bpe_49k.json"))
+    return token_documents(table(spark, folder, "documents"), shared_folder(spark, "token-files"), how)

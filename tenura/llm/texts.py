@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator, Sequence
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,16 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, below the checkpoint folder of the session."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tenura-shared-")
+    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
