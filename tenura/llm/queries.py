@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.llm.fertility import Fertility, quality_rules
 from tenura.llm.minhash import near_duplicates
 from tenura.llm.mixing import mix
 from tenura.llm.positions import contamination
@@ -125,3 +126,9 @@ FROM placed
 def _(spark: SparkSession, folder: str) -> DataFrame:
     how = TokenFiles(public_tokenizers.path("word_bpe_49k.json"))
     return token_documents(table(spark, folder, "documents"), shared_folder(spark, "token-files"), how)
+
+
+@query("op5_tokeniser_fertility")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    how = Fertility(public_tokenizers.path("piece_bpe_32k.model"))
+    return quality_rules(table(spark, folder, "documents"), how).drop("row")

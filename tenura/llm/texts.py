@@ -17,7 +17,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Rows of an Arrow batch that Python works on at once; texts of one slice are in memory together.
 SLICE_ROWS = 512
 # Entries of a per-task word cache. A full cache is emptied, so its size never depends on the input.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 
 # A counted side of at most this many rows goes to all tasks; a larger one is joined by shuffle.
