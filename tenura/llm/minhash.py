@@ -274,3 +274,24 @@ def _pivots(left: DataFrame, tested: DataFrame | None, crowded: DataFrame, size:
     draw = F.pmod(F.xxhash64("node", F.lit(size)), F.lit(1 << 30)) / float(1 << 30)
     chosen = checkpointed(outside.join(counts, "bucket").where(draw * F.col("_n") < size).drop("_n"))
     return chosen, checkpointed(tested.union(chosen.select("bucket", "node")))
+
+
+def deduplicated(docs: DataFrame, how: NearDuplicates | None = None) -> DataFrame:
+    """One row of each group of ``docs``, with its columns as they are.
+
+    The group's least doc_id stays; of rows that share it the one with the least hash of its text. Rows with a NULL
+    doc_id stay, as they are in no group. Only ids are joined, and texts are moved only where ids repeat.
+    """
+    found = checkpointed(near_duplicates(docs, how))
+    gone = bounded(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
+    stay = docs.join(gone, docs["doc_id"].cast("bigint") == F.col("_gone"), "left_anti")
+    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    again = bounded(again.select(F.col("doc_id").alias("_again")))
+    if again.isEmpty():
+        return stay
+    repeated = F.col("doc_id").cast("bigint") == F.col("_again")
+    named = [c for c in docs.columns]
+    one = stay.join(again, repeated, "left_semi").groupBy(F.col("doc_id").alias("_key")).agg(
+        F.min_by(F.struct(*named), F.xxhash64("text")).alias("_row")
+    )
+    return stay.join(again, repeated, "left_anti").unionByName(one.select("_row.*"))

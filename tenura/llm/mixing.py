@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.texts import bounded
+from tenura.llm.texts import BROADCAST_ROWS, bounded
 from tenura.session import checkpointed
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -131,6 +131,20 @@ def hash_thresholds(sized: DataFrame, targets: DataFrame, how: Mixture = Mixture
     return state.select("source", "repeats", F.col("prefix").alias("threshold"))
 
 
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id"), F.col("source").cast("string").alias("source"), text_size("text").alias("size"),
+        id_hash("doc_id").alias("hash"),
+    )
+
+
+def source_cuts(sized: DataFrame, how: Mixture = Mixture()) -> DataFrame:
+    """(_source, source_size, target, repeats, threshold): all that decides what is taken, one row a source."""
+    targets = source_targets(sized, how)
+    cuts = hash_thresholds(sized, targets, how).withColumnRenamed("source", "_source")
+    return bounded(targets.join(cuts, F.col("source").eqNullSafe(F.col("_source"))).drop("source"))
+
+
 def mix(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target, copies and taken (= copies * size).
 
@@ -138,19 +152,19 @@ def mix(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
     are taken depends on their ids alone: reruns agree, equal ids stand or fall together, NULL ids count as one id.
     An empty table gives no rows. Columns other than doc_id, text and source are ignored.
     """
-    sized = checkpointed(
-        docs.select(
-            F.col("doc_id"), F.col("source").cast("string").alias("source"), text_size("text").alias("size"),
-            id_hash("doc_id").alias("hash"),
-        )
-    )
-    targets = source_targets(sized, how)
-    cuts = hash_thresholds(sized, targets, how)
-    table = targets.join(cuts.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    joined = sized.join(
-        bounded(table.withColumnRenamed("source", "_t")), F.col("source").eqNullSafe(F.col("_t"))
-    )
+    sized = checkpointed(_sized(docs))
+    joined = sized.join(source_cuts(sized, how), F.col("source").eqNullSafe(F.col("_source")))
     copies = F.col("repeats") + (F.col("hash") < F.col("threshold")).cast("bigint")
     return joined.select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
+
+
+def mixed_documents(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
+    """Rows of ``docs`` as often as the mix takes them, with their columns as they are; texts are not moved."""
+    names = {c: f"_mix_{c}" for c in ("source_size", "target", "repeats", "threshold")}
+    cuts = source_cuts(checkpointed(_sized(docs)), how).withColumnsRenamed({"_source": "_mix_source", **names})
+    copies = F.col("_mix_repeats") + (id_hash(docs["doc_id"]) < F.col("_mix_threshold")).cast("bigint")
+    joined = docs.join(F.broadcast(cuts) if cuts.count() <= BROADCAST_ROWS else cuts, docs["source"].cast("string").eqNullSafe(F.col("_mix_source")))
+    taken = joined.where(copies > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
+    return taken.select(*docs.columns)

@@ -182,3 +182,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, how: Windows = Windows(
 
 def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.withColumnsRenamed({"doc_id": f"{prefix}_d", "row": f"{prefix}_r"})
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, how: Windows = Windows()) -> DataFrame:
+    """Rows of ``docs`` that are not contaminated, with their columns as they are."""
+    found = contamination(docs, benchmark, how).where("contaminated")
+    bad = bounded(found.select(F.col("doc_id").alias("_bad_doc"), F.col("row").alias("_bad_row")).distinct())
+    same = docs["doc_id"].eqNullSafe(F.col("_bad_doc")) & (row_key(["doc_id", "text"]) == F.col("_bad_row"))
+    return docs.join(bad, same, "left_anti")
