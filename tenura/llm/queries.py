@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tenura.llm.fertility import Fertility, quality_rules
 from tenura.llm.minhash import near_duplicates
 from tenura.llm.mixing import mix
+from tenura.llm.pii import IBAN_LENGTHS, listed, personal_data
 from tenura.llm.positions import contamination
 from tenura.llm.texts import shared_folder, table
 from tenura.llm.token_files import TokenFiles, token_documents
@@ -132,3 +133,71 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     how = Fertility(public_tokenizers.path("piece_bpe_32k.model"))
     return quality_rules(table(spark, folder, "documents"), how).drop("row")
+
+
+@query("op8_pii")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data(table(spark, folder, "documents"))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint").alias(f"n_{kind}")
+        for kind in ("email", "ip", "card", "phone")
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed("spans", base_only=True), 256).alias("base_sha256"),
+        listed("spans", base_only=False).alias("spans"),
+    )
+
+
+def _span_sql(kind: str, pattern: str, valid: str) -> str:
+    return rf"""
+  SELECT doc_id, '{kind}' AS kind, m, CAST(list_sum(list_transform(p[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(all_m[1:i - 1], lambda x: len(x))), 0) AS BIGINT) AS a, t
+  FROM (SELECT doc_id, t, p, all_m, i, all_m[i] AS m FROM (
+    SELECT doc_id, t, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}') AS all_m FROM texts
+  ), unnest(range(1, len(all_m) + 1)) AS u(i)) WHERE {valid}"""
+
+
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = (
+    "list_sum(list_transform(range(1, len({d}) + 1), lambda k: CASE WHEN (len({d}) - k) % 2 = 1 THEN "
+    "CASE WHEN 2 * CAST(({d})[k] AS INT) > 9 THEN 2 * CAST(({d})[k] AS INT) - 9 ELSE 2 * CAST(({d})[k] AS INT) END "
+    "ELSE CAST(({d})[k] AS INT) END)) % 10 = 0"
+).format(d=_DIGITS)
+_TURNED = "replace(m, ' ', '')[5:] || replace(m, ' ', '')[1:4]"
+_MOD97 = (
+    f"list_reduce(list_transform(string_split({_TURNED}, ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN CAST(c AS BIGINT) "
+    "ELSE CAST(ascii(c) - 55 AS BIGINT) END), lambda r, v: (r * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97, CAST(0 AS BIGINT)) = 1"
+)
+_LENGTHS = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in sorted(IBAN_LENGTHS.items())) + "}"
+ORACLES["op8_pii"] = (
+    "WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS ("
+    + " UNION ALL ".join([
+        _span_sql("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        _span_sql("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "list_max(list_transform(string_split(m, '.'), lambda x: CAST(x AS HUGEINT))) <= 255"),
+        _span_sql("card", r"[0-9](?:[\x20-]?[0-9])+", f"len({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}"),
+        _span_sql("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"len({_DIGITS}) BETWEEN 9 AND 15"),
+        _span_sql("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", f"{_LENGTHS}[m[1:2]] = len(replace(m, ' ', '')) AND {_MOD97}"),
+        _span_sql("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "NOT regexp_matches(m, '^(000|666|9)') AND NOT regexp_matches(m, '-00-|-0000$')"),
+    ])
+    + r"""
+), placed AS (
+  SELECT *, a + len(m) AS b, t[greatest(a - 47, 1):a] AS l, t[a + len(m) + 1:a + len(m) + 48] AS r FROM found
+), kept AS (
+  SELECT doc_id, kind, a, b, list_position(['email', 'ip', 'card', 'phone', 'iban', 'ssn'], kind) AS k FROM placed
+  WHERE kind IN ('email', 'ip', 'card', 'phone')
+    OR kind = 'iban' AND NOT regexp_matches(l, '[A-Za-z0-9]$') AND NOT regexp_matches(r, '^[A-Za-z0-9]')
+      AND (NOT regexp_matches(lower(l || ' ' || r), 'sample') OR regexp_matches(lower(l || ' ' || r), 'iban|account|bank|konto|cuenta|compte') OR 0.8 - 0.3 >= 0.5)
+    OR kind = 'ssn' AND NOT regexp_matches(l, '[0-9-]$') AND NOT regexp_matches(r, '^[0-9-]')
+      AND regexp_matches(lower(l || ' ' || r), 'ssn|social|security') AND NOT regexp_matches(lower(l || ' ' || r), 'order|invoice|serial')
+), joined AS (
+  SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+    count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) FILTER (k <= 4) AS base,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) AS spans
+  FROM kept GROUP BY 1
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (doc_id)
+"""
+)
