@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -26,14 +27,17 @@ class NearDuplicates:
 
     Documents are linked when ``100 * |A and B| >= percent * |A or B|`` over their distinct word shingles. With 25 bands of
     4 rows a pair at 0.8 shares no bucket with probability 2e-6. ``screen`` is the share of equal minima below which a
-    pair is dropped before its full sets are compared; at 100 minima 0.55 lies six standard deviations below 0.8.
+    pair is dropped before its full sets are compared; at 100 minima 0.6 lies five standard deviations below 0.8.
+    ``block_rows`` and ``block_shingles`` bound what a task compares at once in a bucket that a star cannot settle.
     """
 
     words: int = 2
     percent: int = 80
     bands: int = 25
     rows: int = 4
-    screen: float = 0.55
+    screen: float = 0.6
+    block_rows: int = 400
+    block_shingles: int = 1 << 20
     seed: int = 20_240_607
 
     def coefficients(self) -> tuple[np.ndarray, np.ndarray]:
@@ -146,10 +150,7 @@ class _Links:
             .select("a", "b")
         )
         wanted = screened.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = self.docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string")).join(
-            bounded(wanted), "node", "left_semi"
-        )
-        sets = checkpointed(shingle_sets(texts, how))
+        sets = checkpointed(shingle_sets(self._texts(wanted), how))
         joined = (
             screened.join(sets.toDF("a", "_a"), "a").join(sets.toDF("b", "_b"), "b")
             .withColumn("_both", F.size(F.array_intersect("_a", "_b")))
@@ -159,10 +160,84 @@ class _Links:
         return joined.where(linked).select("a", "b").distinct()
 
 
-def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
-    """Labels (node, root) after more edges: the edges are lifted to roots first, so each round works on what is new."""
-    if labels is None:
-        return checkpointed(components(edges))
+    def between_blocks(self, left: DataFrame) -> DataFrame:
+        """Links (a, b) that join the components which meet in a bucket; see ``near_duplicates``."""
+        how = self.how
+        sets = checkpointed(shingle_sets(self._texts(left.select("node").distinct()), how))
+        known = sets.join(self.classes, "node").withColumn("_size", F.size("shingles"))
+        sized = checkpointed(left.join(known.select("node", "_size"), "node"))
+        outside = F.col("root") != F.col("major")
+
+        def blocks(rows, size):
+            return F.greatest(F.ceil(rows / F.lit(how.block_rows)), F.ceil(size / F.lit(how.block_shingles)), F.lit(1)).cast("int")
+
+        counts = sized.groupBy("bucket").agg(
+            blocks(F.count_if(outside), F.sum(F.when(outside, F.col("_size")))).alias("_nq"),
+            blocks(F.count(F.lit(1)), F.sum("_size")).alias("_nd"),
+        )
+        dealt = sized.join(counts, "bucket").withColumn("_h", F.xxhash64("node"))
+
+        def every(n):
+            return F.explode(F.sequence(F.lit(0), n - 1))
+
+        asked = dealt.where(outside).select(
+            "bucket", F.pmod("_h", "_nq").cast("int").alias("q"), every(F.col("_nd")).alias("d"), "node", "root", F.lit(True).alias("asked")
+        )
+        others = dealt.select(
+            "bucket", every(F.col("_nq")).alias("q"), F.pmod("_h", "_nd").cast("int").alias("d"), "node", "root", F.lit(False).alias("asked")
+        )
+        rows = asked.union(others).join(known.select("node", "signature", "shingles"), "node")
+
+        def work(group):
+            return block_links(group, how)
+
+        return rows.groupBy("bucket", "q", "d").applyInPandas(work, "a bigint, b bigint").distinct()
+
+    def _texts(self, wanted: DataFrame) -> DataFrame:
+        named = self.docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string"))
+        return named.join(bounded(wanted), "node", "left_semi")
+
+
+def block_links(group: pd.DataFrame, how: NearDuplicates) -> pd.DataFrame:
+    """Links between the components of a block: asked rows are compared with all others until they share a component.
+
+    Pairs that meet in an earlier band are left to that band's bucket. Minima screen, full sets confirm; of a
+    component only the first link found is returned, so the result is at most one row a component.
+    """
+    nodes, asked = group["node"].to_numpy(), group["asked"].to_numpy()
+    roots = group["root"].to_numpy().copy()
+    minima_of = np.stack([np.frombuffer(s, np.uint16) for s in group["signature"]])
+    bands = minima_of.reshape(len(nodes), how.bands, how.rows)
+    own = int((bands == bands[:1]).all(axis=(0, 2)).argmax())
+    sets = [np.asarray(s, np.int64) for s in group["shingles"]]
+    sizes = np.array([len(s) for s in sets])
+    found: list[tuple[int, int]] = []
+    data = np.flatnonzero(~asked)
+    for i in np.flatnonzero(asked):
+        near = data[roots[data] != roots[i]]
+        if not len(near):
+            continue
+        equal = minima_of[near] == minima_of[i]
+        earlier = equal.reshape(len(near), how.bands, how.rows)[:, :own].all(axis=2).any(axis=1)
+        level = equal.mean(axis=1)
+        near = near[~earlier & (level >= how.screen)]
+        if not len(near):
+            continue
+        own_set = np.sort(sets[i])
+        pool = np.concatenate([sets[j] for j in near])
+        places = np.minimum(np.searchsorted(own_set, pool), len(own_set) - 1)
+        starts = np.concatenate([[0], np.cumsum(sizes[near])[:-1]])
+        both = np.add.reduceat((own_set[places] == pool).astype(np.int64), starts)
+        linked = near[100 * both >= how.percent * (sizes[i] + sizes[near] - both)]
+        for j in linked:
+            if roots[j] != roots[i]:
+                found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+                roots[roots == roots[j]] = roots[i]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels (node, root) after more edges: the edges are lifted to roots first, so only what is new is worked on."""
     lifted = _labelled(_labelled(edges, labels, "a"), labels, "b")
     moved = checkpointed(components(lifted))
     relabelled = _labelled(labels, moved, "root")
@@ -185,10 +260,10 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
     1. Documents with equal shingle sets form a class named by its least doc_id; only classes go on.
     2. Each class falls into one bucket per band. A bucket's classes are first paired with the least one (a star, not
        all pairs), screened by their minima, confirmed on full sets and joined into components.
-    3. Buckets that still hold several components are taken up again: classes outside the bucket's largest component
-       are paired with every class of another component, 16 classes a bucket in the first round and twice as many in
-       each next one, until every pair of a bucket is either tested or in one component. Nothing is capped: large
-       buckets take more rounds, and a round's pairs grow only linearly with a bucket.
+    3. Buckets whose other classes still lie in several components are taken up again: the classes outside the
+       bucket's largest component are the queries, and all its classes the data. Blocks of bounded size of both meet in
+       tasks, which compare them by minima and then by full sets and return one link for each join of two components.
+       So every pair of a bucket is tested or lies in one component, no pairs are written out, and nothing is capped.
 
     Empty or NULL texts have no shingles and are linked with nothing. Rows with a repeated doc_id are one vertex, so
     they connect what each of them is linked with. A row with a NULL doc_id takes part in nothing: its component_id is
@@ -220,25 +295,9 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
 
     links = _Links(docs, classes, how)
     star = crowded.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    labels = _merged(None, links.verified(star).union(shared))
-    tested = None
-    round_size = 16
-    while True:
-        left = _unsettled(crowded.select("bucket", "node"), labels)
-        if left is None:
-            break
-        pivots = _pivots(left, tested, crowded, round_size)
-        if pivots is None:
-            break
-        chosen, tested = pivots
-        pairs = (
-            chosen.select("bucket", F.col("node").alias("_p"), F.col("root").alias("_r"))
-            .join(left.select("bucket", "node", "root"), "bucket")
-            .where("_r <> root")
-            .select(F.least("_p", "node").alias("a"), F.greatest("_p", "node").alias("b"))
-        )
-        labels = _merged(labels, links.verified(pairs))
-        round_size *= 2
+    labels = checkpointed(components(links.verified(star).union(shared)))
+    left = checkpointed(_unsettled(crowded, labels))
+    labels = _merged(labels, checkpointed(links.between_blocks(left)))
 
     final = _labelled(members.groupBy("doc_id").agg(F.min("node").alias("_group")), labels, "_group")
     return (
@@ -251,29 +310,13 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
     )
 
 
-def _unsettled(crowded: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Members of buckets with several components, with ``root`` and the bucket's largest component ``_major``."""
-    marked = checkpointed(_labelled(crowded.withColumn("root", F.col("node")), labels.toDF("node", "root"), "root"))
-    open_buckets = marked.groupBy("bucket").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x < _y")
+def _unsettled(crowded: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, root, major): buckets whose classes, without the tested pivot, lie in several components."""
+    rest = crowded.where("node <> pivot").select("bucket", "node", F.col("node").alias("root"))
+    marked = checkpointed(_labelled(rest, labels.toDF("node", "root"), "root"))
     sizes = marked.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("_n"))
-    major = sizes.groupBy("bucket").agg(F.max(F.struct("_n", "root")).alias("_s"))
-    majors = open_buckets.join(major, "bucket").select("bucket", F.col("_s.root").alias("_major"))
-    left = checkpointed(marked.join(majors, "bucket"))
-    return None if left.isEmpty() else left
-
-
-def _pivots(left: DataFrame, tested: DataFrame | None, crowded: DataFrame, size: int) -> tuple[DataFrame, DataFrame] | None:
-    """About ``size`` untested classes a bucket outside its largest component, and all tested ones after this round."""
-    outside = left.where("root <> _major").select("bucket", "node", "root")
-    if tested is None:
-        tested = crowded.select("bucket", F.col("pivot").alias("node")).distinct()
-    outside = checkpointed(outside.join(tested, ["bucket", "node"], "left_anti"))
-    if outside.isEmpty():
-        return None
-    counts = outside.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
-    draw = F.pmod(F.xxhash64("node", F.lit(size)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = checkpointed(outside.join(counts, "bucket").where(draw * F.col("_n") < size).drop("_n"))
-    return chosen, checkpointed(tested.union(chosen.select("bucket", "node")))
+    major = sizes.groupBy("bucket").agg(F.max(F.struct("_n", "root")).alias("_s"), F.count(F.lit(1)).alias("_k"))
+    return marked.join(major.where("_k > 1").select("bucket", F.col("_s.root").alias("major")), "bucket")
 
 
 def deduplicated(docs: DataFrame, how: NearDuplicates | None = None) -> DataFrame:
