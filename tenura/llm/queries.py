@@ -15,6 +15,7 @@ from tenura.llm.pii import IBAN_LENGTHS, listed, personal_data
 from tenura.llm.positions import contamination
 from tenura.llm.texts import shared_folder, table
 from tenura.llm.token_files import TokenFiles, token_documents
+from tenura.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -201,3 +202,8 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM texts LEFT JOIN joined USING (doc_id)
 """
 )
+
+
+@query("op1_toxicity")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
