@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.llm.additive import quality
 from tenura.llm.fertility import Fertility, quality_rules
 from tenura.llm.minhash import near_duplicates
 from tenura.llm.mixing import mix
@@ -207,3 +208,8 @@ FROM texts LEFT JOIN joined USING (doc_id)
 @query("op1_toxicity")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op7_quality_classifier")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
