@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tenura.llm.additive import quality
 from tenura.llm.fertility import Fertility, quality_rules
+from tenura.llm.langid import identified
 from tenura.llm.minhash import near_duplicates
 from tenura.llm.mixing import mix
 from tenura.llm.pii import IBAN_LENGTHS, listed, personal_data
@@ -213,3 +214,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_quality_classifier")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op6_language_id")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return identified(table(spark, folder, "documents"))
