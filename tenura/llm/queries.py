@@ -15,6 +15,7 @@ from tenura.llm.minhash import near_duplicates
 from tenura.llm.mixing import mix
 from tenura.llm.pii import IBAN_LENGTHS, listed, personal_data
 from tenura.llm.positions import contamination
+from tenura.llm.quotations import linked_messages
 from tenura.llm.texts import shared_folder, table
 from tenura.llm.token_files import TokenFiles, token_documents
 from tenura.llm.toxicity import toxicity
@@ -219,3 +220,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_language_id")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return identified(table(spark, folder, "documents"))
+
+
+@query("op2_quotation_linking")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return linked_messages(table(spark, folder, "conversations"))
