@@ -2,34 +2,39 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.texts import ascii_lower, bounded, row_key
+from tenura.llm.texts import ascii_lower_word, bounded, row_key, stored
 from tenura.session import checkpointed
 
-# Characters of words after lower-casing: digits, letters a-z and everything beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What lies between words: ASCII characters that are neither digits nor letters.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 @dataclass(frozen=True)
 class Windows:
-    """``words`` consecutive item words form a window; a document with hits in a share of at least 1/``share`` is contaminated."""
+    """``words`` consecutive item words form a window; a document with hits in a share of at least 1/``share`` is contaminated.
+
+    Candidates are found with the ``rarest`` rarest terms of each window.
+    """
 
     words: int = 13
     share: int = 20
+    rarest: int = 3
 
 
-def text_words(text: Column | str) -> Column:
-    """Words of a text; NULL has none."""
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+def raw_words(text: Column | str) -> Column:
+    """Words of a text as they stand; NULL has none. Splitting costs a third of extracting matches."""
+    parts = F.array_remove(F.split(text, BETWEEN, -1), "")
+    return F.coalesce(parts, F.array().cast("array<string>"))
 
 
 def benchmark_items(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(item, words) of the distinct word sequences and (item, item_id) for each id; items without words are left out."""
-    worded = benchmark.select(F.col("item_id"), text_words("text").alias("words")).where(F.size("words") > 0)
+    worded = benchmark.select(F.col("item_id"), F.transform(raw_words("text"), ascii_lower_word).alias("words")).where(F.size("words") > 0)
     keyed = checkpointed(worded.withColumn("item", F.md5(F.concat_ws(" ", "words"))))
     return keyed.groupBy("item").agg(F.first("words").alias("words")), keyed.select("item", "item_id").distinct()
 
@@ -40,19 +45,21 @@ def build_index(docs: DataFrame, vocabulary: DataFrame | None = None) -> DataFra
     Each document also has one row with a NULL term whose ``pos`` is its number of words. ``row`` tells rows of the same
     doc_id apart. Terms are hashed only after the match of the strings.
     """
-    rows = docs.select(F.col("doc_id"), row_key(["doc_id", "text"]).alias("row"), text_words("text").alias("_w"))
+    rows = docs.select(F.col("doc_id"), row_key(["doc_id", "text"]).alias("row"), raw_words("text").alias("_w"))
     ended = F.concat("_w", F.array(F.lit(None).cast("string")))
-    places = rows.select("doc_id", "row", F.posexplode(ended).alias("pos", "word"))
+    places = rows.select("doc_id", "row", F.posexplode(ended).alias("pos", "_raw"))
+    places = places.select("doc_id", "row", "pos", ascii_lower_word("_raw").alias("word"))
     if vocabulary is not None:
         known = vocabulary.select(F.col("word").alias("_known"))
         places = places.join(known, places["word"] == known["_known"], "left").where("_known IS NOT NULL OR word IS NULL")
-    return checkpointed(places.select(F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term"), "doc_id", "row", "pos"))
+    index = places.select(F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term"), "doc_id", "row", "pos")
+    return stored(index, "positions")
 
 
-def _anchors(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
-    """(term, item, offset): for each window its rarest term in the index; a window with an absent term has none.
+def _rated(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
+    """(item, start, terms): the ``how.rarest`` rarest terms of each window as (n, offset, term), rarest first.
 
-    Every window that contains an anchor may use it, so windows that share their rarest term give one row.
+    A window with a term that the index lacks cannot occur and is left out.
     """
     counts = index.where("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     terms = items.select("item", F.size("words").alias("size"), F.posexplode("words").alias("offset", "word"))
@@ -62,16 +69,29 @@ def _anchors(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
     starts = F.sequence(F.greatest(F.lit(0), F.col("offset") - span + 1), F.least("offset", F.col("size") - span))
     placed = rated.select("item", "offset", "term", "n", F.explode(starts).alias("start"))
     best = placed.groupBy("item", "start").agg(
-        F.min(F.struct("n", "offset", "term")).alias("_b"), F.count_if(F.col("n").isNull()).alias("_absent")
+        F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("_all"),  # a window's words
+        F.count_if(F.col("n").isNull()).alias("_absent"),
     )
-    return best.where("_absent = 0").select(F.col("_b.term").alias("term"), "item", F.col("_b.offset").alias("offset")).distinct()
+    return best.where("_absent = 0").select("item", "start", F.slice("_all", 1, how.rarest).alias("terms"))
 
 
 def _candidates(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
-    """(doc_id, row, item, shift): places where an anchor's occurrence puts an item's first word at ``shift``."""
-    anchors = bounded(_anchors(items, index, how))
-    hits = index.where("term IS NOT NULL").join(anchors, "term")
-    return checkpointed(hits.select("doc_id", "row", "item", (F.col("pos") - F.col("offset")).alias("shift")).distinct())
+    """(doc_id, row, item, shift): places where all rarest terms of some window lie as in the item, its first word at ``shift``.
+
+    The lists of the rarest terms are adjusted by their offsets and intersected by grouping on the place.
+    """
+    rated = checkpointed(_rated(items, index, how))
+    anchors = rated.select("item", F.explode("terms").alias("_t")).select("_t.term", "item", "_t.offset").distinct()
+    hits = index.where("term IS NOT NULL").join(bounded(anchors), "term")
+    places = hits.groupBy("doc_id", "row", "item", (F.col("pos") - F.col("offset")).alias("shift")).agg(
+        F.collect_set("offset").alias("_found")  # offsets of an item's rare terms
+    )
+    needed = rated.groupBy("item").agg(
+        F.collect_set(F.col("terms.offset")).alias("_windows"), F.min(F.size("terms")).alias("_least")
+    )
+    whole = F.exists("_windows", lambda window: F.size(F.array_except(window, F.col("_found"))) == 0)
+    kept = places.join(bounded(needed), "item").where(F.size("_found") >= F.col("_least")).where(whole)
+    return checkpointed(kept.select("doc_id", "row", "item", "shift"))
 
 
 def _of_documents(index: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -83,7 +103,7 @@ def _of_documents(index: DataFrame, candidates: DataFrame) -> DataFrame:
 def phrase_matches(items: DataFrame, index: DataFrame, how: Windows = Windows()) -> DataFrame:
     """(doc_id, row, item, first, last): maximal exact runs of item words that hold at least one window.
 
-    The occurrences of each window's rarest term give offset-adjusted candidates. The lists of all other terms are then
+    The intersected lists of each window's rarest terms give candidates. The lists of all terms of the item are then
     intersected at the adjusted positions, in candidate documents only. Runs of consecutive offsets that reach the
     window's length remain.
     """
@@ -119,13 +139,13 @@ def proximity_matches(
 ) -> DataFrame:
     """(doc_id, row, item, shift, near): places where a share of an item's terms lies within ``slack`` of where it should be.
 
-    Candidates come from the rarest terms as for phrases; of several places that start within ``slack`` words of each
+    A candidate is a place of the rarest term of a window; of several places that start within ``slack`` words of each
     other the first stays. Positions are joined by blocks of ``slack + 1`` words, so a frequent term meets only its
     surroundings.
     """
     block = slack + 1
     near = Window.partitionBy("doc_id", "row", "item").orderBy("shift")
-    candidates = _candidates(items, index, how).withColumn("_before", F.lag("shift").over(near))
+    candidates = _candidates(items, index, replace(how, rarest=1)).withColumn("_before", F.lag("shift").over(near))
     starts = candidates.where(F.col("_before").isNull() | (F.col("shift") - F.col("_before") > slack)).drop("_before")
     terms = items.select("item", F.size("words").alias("size"), F.posexplode("words").alias("offset", "word"))
     around = F.explode(F.array(*[F.floor(F.col("_p") / block) + i for i in (-1, 0, 1)]))

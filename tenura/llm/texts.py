@@ -40,6 +40,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: cut lineage, narrow columns, pruned reads."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -49,6 +56,12 @@ def ascii_lower(column: Column | str) -> Column:
     return F.translate(F.col(column) if isinstance(column, str) else column, UPPER, UPPER.lower())
 
 
+def ascii_lower_word(word: Column | str) -> Column:
+    """``ascii_lower`` for short strings: one of ASCII only takes the fast way of ``lower``."""
+    column = F.col(word) if isinstance(word, str) else word
+    return F.when(F.octet_length(column) == F.char_length(column), F.lower(column)).otherwise(ascii_lower(column))
+
+
 def held_out(doc_id: Column | str) -> Column:
     """Whether a document is kept from all learning: crc32 of its id as text is divisible by 5. A NULL id counts as 0."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
