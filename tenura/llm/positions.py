@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,22 +75,23 @@ def _rated(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
     return best.where("_absent = 0").select("item", "start", F.slice("_all", 1, how.rarest).alias("terms"))
 
 
-def _candidates(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
-    """(doc_id, row, item, shift): places where all rarest terms of some window lie as in the item, its first word at ``shift``.
-
-    The lists of the rarest terms are adjusted by their offsets and intersected by grouping on the place.
-    """
-    rated = checkpointed(_rated(items, index, how))
+def _places(rated: DataFrame, index: DataFrame) -> DataFrame:
+    """(doc_id, row, item, shift, found): occurrences of rare terms, adjusted by their offsets and gathered by place."""
     anchors = rated.select("item", F.explode("terms").alias("_t")).select("_t.term", "item", "_t.offset").distinct()
     hits = index.where("term IS NOT NULL").join(bounded(anchors), "term")
-    places = hits.groupBy("doc_id", "row", "item", (F.col("pos") - F.col("offset")).alias("shift")).agg(
-        F.collect_set("offset").alias("_found")  # offsets of an item's rare terms
+    return hits.groupBy("doc_id", "row", "item", (F.col("pos") - F.col("offset")).alias("shift")).agg(
+        F.collect_set("offset").alias("found")  # offsets of an item's rare terms
     )
+
+
+def _candidates(items: DataFrame, index: DataFrame, how: Windows) -> DataFrame:
+    """(doc_id, row, item, shift): places where all rarest terms of some window lie as in the item, its first word at ``shift``."""
+    rated = checkpointed(_rated(items, index, how))
     needed = rated.groupBy("item").agg(
         F.collect_set(F.col("terms.offset")).alias("_windows"), F.min(F.size("terms")).alias("_least")
     )
-    whole = F.exists("_windows", lambda window: F.size(F.array_except(window, F.col("_found"))) == 0)
-    kept = places.join(bounded(needed), "item").where(F.size("_found") >= F.col("_least")).where(whole)
+    whole = F.exists("_windows", lambda window: F.size(F.array_except(window, F.col("found"))) == 0)
+    kept = _places(rated, index).join(bounded(needed), "item").where(F.size("found") >= F.col("_least")).where(whole)
     return checkpointed(kept.select("doc_id", "row", "item", "shift"))
 
 
@@ -139,13 +140,14 @@ def proximity_matches(
 ) -> DataFrame:
     """(doc_id, row, item, shift, near): places where a share of an item's terms lies within ``slack`` of where it should be.
 
-    A candidate is a place of the rarest term of a window; of several places that start within ``slack`` words of each
+    A candidate is a place of any of the rarest terms of a window; of several places that start within ``slack`` words of each
     other the first stays. Positions are joined by blocks of ``slack + 1`` words, so a frequent term meets only its
     surroundings.
     """
     block = slack + 1
     near = Window.partitionBy("doc_id", "row", "item").orderBy("shift")
-    candidates = _candidates(items, index, replace(how, rarest=1)).withColumn("_before", F.lag("shift").over(near))
+    places = _places(checkpointed(_rated(items, index, how)), index)
+    candidates = checkpointed(places.drop("found")).withColumn("_before", F.lag("shift").over(near))
     starts = candidates.where(F.col("_before").isNull() | (F.col("shift") - F.col("_before") > slack)).drop("_before")
     terms = items.select("item", F.size("words").alias("size"), F.posexplode("words").alias("offset", "word"))
     around = F.explode(F.array(*[F.floor(F.col("_p") / block) + i for i in (-1, 0, 1)]))
