@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.operators.ordered import exact_quantiles
+from tenura.operators.ordered import exact_quantiles, hash_positions
 from tenura.session import checkpointed
 
 
@@ -88,19 +88,25 @@ def sampling_shapley(
     score: Callable[[DataFrame], DataFrame],
     permutations: int = 8,
     seed: int = 42,
-    max_background: int = 100,
+    background_key: str | None = None,
 ) -> DataFrame:
     """Shapley values by sampled feature orders, on raw features: one array of (feature, shap_value) per row.
 
     For each row and order, features switch one by one from a background row's values to the row's own. ``score`` adds a
     ``probability`` column to a frame with the features. The steps telescope, so ``base`` plus the values is the row's own
-    prediction. Orders and background rows depend only on the key and the seed.
+    prediction. Orders and background rows depend only on the keys and the seed: background rows are numbered in the hash
+    order of their key, and each row and order draws one number of the whole background, so a value that most
+    background rows hold is drawn as often.
     """
     features, n = list(features), len(features)
     packed = F.struct(*[F.col(f) for f in features])
-    # The background is a small sample by definition and travels as one array literal per row.
-    chosen = background.orderBy(F.xxhash64(F.lit(seed), packed)).limit(max_background).select(packed.alias("b"))
-    pool = chosen.agg(F.collect_list("b").alias("pool")).scalar()
+    donors = checkpointed(
+        hash_positions(background.select(F.col(background_key or key).alias("_donor"), packed.alias("b")), "_donor", f"background:{seed}", "_position")
+        .drop("_donor")
+    )
+    size = donors.count()
+    if not size:
+        raise ValueError("the background has no rows")
     draw = F.xxhash64(F.lit(seed), F.col(key).cast("string"), F.col("order"))
     order = F.transform(
         F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: F.struct(
@@ -109,9 +115,9 @@ def sampling_shapley(
     )
     steps = (
         rows.select(key, packed.alias("x"), F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("order"))
-        .withColumn("pool", pool)
-        .withColumn("b", F.element_at("pool", (F.pmod(draw, F.size("pool").cast("bigint")) + 1).cast("int")))
-        .drop("pool")
+        .withColumn("_position", F.pmod(draw, F.lit(size)))
+        .join(donors, "_position")
+        .drop("_position")
         .withColumn("turn", order)
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n))))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.functions.dates import date_from_int
+from tenura.operators.features import recency, tie_break
 from tenura.operators.ordered import exact_quantiles
 
 # Payment methods too rare to keep apart, and the code they are merged into.
@@ -60,24 +61,28 @@ def _unpacked(packed: str) -> Column:
     return (F.col(packed).bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(1 << 31)).cast("int")
 
 
-def transaction_rollup(transactions: DataFrame) -> DataFrame:
+def transaction_rollup(transactions: DataFrame, first_by: str | None = None) -> DataFrame:
     """One row per customer: first payment settings, totals, date span and the plan on the last date.
 
-    "First" is the lowest txn_id. Plan days and price on the last date are each the largest among that date's rows.
+    "First" is the lowest ``first_by`` (``txn_id`` where there is one), else the lowest date and then the lowest
+    settings; undated rows come last. Plan days and price on the last date are each the largest among that date's rows.
     is_cancel is 1 when any transaction was a cancellation.
     """
+    order = first_by or ("txn_id" if "txn_id" in transactions.columns else None)
+    first = F.col(order) if order else recency(tie_break(transactions), "coalesce(transaction_date, 99999999)")
     return (
-        transactions.withColumn("_days", _packed("transaction_date", "payment_plan_days"))
+        transactions.withColumn("_first", first)
+        .withColumn("_days", _packed("transaction_date", "payment_plan_days"))
         .withColumn("_price", _packed("transaction_date", "plan_list_price"))
         .groupBy("msno")
         .agg(
-            F.min_by("payment_method_id", "txn_id").alias("payment_method_id"),
+            F.min_by("payment_method_id", "_first").alias("payment_method_id"),
             F.sum("payment_plan_days").alias("total_payment_plan_days"),
             F.sum("plan_list_price").alias("total_plan_list_price"),
             F.sum("actual_amount_paid").alias("total_actual_amount_paid"),
             F.max("_days").alias("_days"),
             F.max("_price").alias("_price"),
-            F.min_by("is_auto_renew", "txn_id").alias("is_auto_renewal"),
+            F.min_by("is_auto_renew", "_first").alias("is_auto_renewal"),
             F.min("transaction_date").alias("first_transaction_date"),
             F.max("transaction_date").alias("last_transaction_date"),
             F.max("membership_expire_date").alias("membership_expire_date"),

@@ -15,7 +15,18 @@ def _mean(total: str, count: str, precision: int, scale: int, name: str) -> str:
     return f"cast(round({quotient}, {scale}) as decimal({precision},{scale})) as {name}"
 
 
-def recency(date: str = "transaction_date", tie: str = "txn_id") -> Column:
+def tie_break(df: DataFrame, tie: str | None = None) -> str:
+    """What decides between transactions of one date, as SQL: a non-negative integer, the larger being the newer.
+
+    Without a ``tie`` column it is ``txn_id`` if the table has one. The loader's layout has none; then the order is that
+    of the payment settings themselves (method, then auto-renewal, NULL lowest), which are all that is taken from a row.
+    """
+    if tie or "txn_id" in df.columns:
+        return tie or "txn_id"
+    return "(coalesce(cast(payment_method_id as int), -40000) + 40000) * 10L + coalesce(cast(is_auto_renew as int), -1) + 1"
+
+
+def recency(tie: str, date: str = "transaction_date") -> Column:
     """Date and tie-break packed in one decimal.
 
     A number keeps the ordering inside a hash aggregate; a struct would force a sort-based one. ``tie`` must be a
@@ -24,15 +35,20 @@ def recency(date: str = "transaction_date", tie: str = "txn_id") -> Column:
     return F.expr(f"cast(cast({date} as decimal(10,0)) * 10000000000000000000BD + {tie} as decimal(38,0))")
 
 
-def latest_transactions(transactions: DataFrame) -> DataFrame:
-    """The newest transaction row of each customer, ties broken by txn_id."""
-    return latest_per_key(transactions, ["msno"], ["transaction_date", "txn_id"])
+def latest_transactions(transactions: DataFrame, tie: str | None = None) -> DataFrame:
+    """The newest transaction row of each customer.
+
+    Ties go to the highest ``tie`` (``txn_id`` where there is one), else to the highest row, compared column by column.
+    """
+    column = tie or ("txn_id" if "txn_id" in transactions.columns else None)
+    rest = [column] if column else [c for c in transactions.columns if c not in ("msno", "transaction_date")]
+    return latest_per_key(transactions, ["msno"], ["transaction_date", *rest])
 
 
-def transaction_features(transactions: DataFrame) -> DataFrame:
+def transaction_features(transactions: DataFrame, tie: str | None = None) -> DataFrame:
     """Counts, amounts and the latest payment settings per customer, in one aggregation.
 
-    The latest row is the one with the highest (transaction_date, txn_id); undated rows never win. The expiry date is
+    The latest row is the one with the highest (transaction_date, ``tie_break``); undated rows never win. The expiry date is
     the maximum over all rows, not the one of the latest row.
     """
     aggregates = [
@@ -46,7 +62,7 @@ def transaction_features(transactions: DataFrame) -> DataFrame:
         "max_by(is_auto_renew, _recency) as latest_is_auto_renew",
         "max(membership_expire_date) as latest_membership_expire_date",
     ]
-    totals = transactions.withColumn("_recency", recency()).groupBy("msno").agg(*[F.expr(a) for a in aggregates])
+    totals = transactions.withColumn("_recency", recency(tie_break(transactions, tie))).groupBy("msno").agg(*[F.expr(a) for a in aggregates])
     return totals.selectExpr("* except (_plan_days, _plans)", _mean("_plan_days", "_plans", 8, 2, "avg_plan_days"))
 
 
@@ -74,7 +90,7 @@ def activity_features(user_logs: DataFrame) -> DataFrame:
 
 
 def customer_features(
-    train: DataFrame, members: DataFrame, transactions: DataFrame, user_logs: DataFrame
+    train: DataFrame, members: DataFrame, transactions: DataFrame, user_logs: DataFrame, tie: str | None = None
 ) -> DataFrame:
     """The feature table: every labelled customer, with NULLs where a source knows nothing about them.
 
@@ -82,7 +98,7 @@ def customer_features(
     """
     joined = (
         train.join(members, "msno", "left")
-        .join(transaction_features(transactions), "msno", "left")
+        .join(transaction_features(transactions, tie), "msno", "left")
         .join(activity_features(user_logs), "msno", "left")
     )
     return joined.selectExpr(*[f"cast({name} as {kind}) as {name}" for name, kind in fields(FEATURE_SCHEMA)])

@@ -6,6 +6,7 @@ A fitted model is one PipelineModel from raw feature columns to a probability, s
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from tenura.operators.explore import long_form
 from tenura.operators.ordered import exact_quantiles
 from tenura.schemas import CATEGORICAL_FEATURES
+from tenura.session import checkpointed
 
 LABEL, WEIGHT, FEATURES = "is_churn", "class_weight", "features"
 LOGISTIC, BOOSTED, PERCEPTRON, FOREST = "logistic_regression", "boosted_trees", "mlp", "random_forest"
@@ -71,7 +73,7 @@ def preprocessing_stages(df: DataFrame, features: Sequence[str]) -> list:
         return f"coalesce(cast({name} as double), {float(fill)!r}D) as _num_{name}"
 
     def level(name: str) -> str:
-        fill = str(fills[name]["level"] if name in fills else "").replace("'", "\\'")
+        fill = str(fills[name]["level"] if name in fills else "").replace("\\", "\\\\").replace("'", "\\'")
         return f"coalesce(cast({name} as string), '{fill}') as _cat_{name}"
 
     filled = ", ".join([number(c) for c in numeric] + [level(c) for c in categorical])
@@ -162,20 +164,41 @@ def random_forest(weighted: bool, trees: int = 400, seed: int = 42, **extra) ->
     )
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Fitted preprocessing and the training vectors it gives, written once for any number of estimators."""
+
+    head: PipelineModel
+    vectors: DataFrame
+    counts: Mapping[int, int]
+    features: Sequence[str]
+    key: str
+
+
+def prepare(train: DataFrame, features: Sequence[str], key: str = "msno") -> Prepared:
+    labelled = train.withColumn(LABEL, F.col(LABEL).cast("double"))
+    head = Pipeline(stages=preprocessing_stages(train, features)).fit(labelled)
+    vectors = checkpointed(head.transform(labelled).select(key, LABEL, FEATURES))
+    return Prepared(head, vectors, class_counts(vectors), features, key)
+
+
 def fit(
     train: DataFrame, features: Sequence[str], kind: str, balanced: bool = True, key: str = "msno", seed: int = 42, **params
 ) -> PipelineModel:
     """Fit preprocessing and one classifier on raw features and return them as one pipeline."""
-    counts = class_counts(train)
+    return fit_prepared(prepare(train, features, key), kind, balanced, seed, **params)
+
+
+def fit_prepared(prepared: Prepared, kind: str, balanced: bool = True, seed: int = 42, **params) -> PipelineModel:
+    """Fit one classifier on prepared vectors; the pipeline starts from raw features all the same."""
+    counts, key = prepared.counts, prepared.key
     rows = sum(counts.values())
-    labelled = train.withColumn(LABEL, F.col(LABEL).cast("double"))
-    prepared = Pipeline(stages=preprocessing_stages(train, features)).fit(labelled)
     if kind == BOOSTED and balanced:
         # Boosting weighs positives by the negatives per positive.
         weights = {0: 1.0, 1: counts.get(0, 0) / max(counts.get(1, 0), 1)}
     else:
         weights = weights_by_class(counts, balanced)
-    vectors = with_class_weight(prepared.transform(labelled), weights).select(key, LABEL, WEIGHT, FEATURES)
+    vectors = with_class_weight(prepared.vectors, weights)
     if kind == LOGISTIC:
         estimator = logistic_regression(rows, balanced, **params)
     elif kind == BOOSTED:
@@ -183,12 +206,12 @@ def fit(
     elif kind == FOREST:
         estimator = random_forest(balanced, seed=seed, **params)
     elif kind == PERCEPTRON:
-        slots = slot_names(prepared, features)
+        slots = slot_names(prepared.head, prepared.features)
         estimator = perceptron(sum(len(s) for s in slots.values()), seed=seed, **params)
         vectors = resampled_by_weight(vectors, key, seed=seed) if balanced else vectors
     else:
         raise ValueError(f"unknown model kind: {kind}")
-    return PipelineModel(stages=[*prepared.stages, estimator.fit(vectors)])
+    return PipelineModel(stages=[*prepared.head.stages, estimator.fit(vectors)])
 
 
 def with_probability(model: PipelineModel, df: DataFrame, into: str = "probability") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions.labels import has_cancel_history
-from tenura.operators.ordered import quantiles_of_counts, ranged, running_totals, value_counts
+from tenura.operators.ordered import BROADCAST_ROWS, matched, quantiles_of_counts, ranged, running_totals, value_counts
 from tenura.operators.sampling import time_cohort
 from tenura.session import checkpointed
 
@@ -234,7 +234,8 @@ def psi(
     edges = edges.select(*keys, F.array_distinct("quantiles").alias("_edges"))
     inner = F.slice("_edges", 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
     if keys:
-        placed = counts.join(F.broadcast(edges), keys)  # eleven numbers per key
+        edges = checkpointed(edges)  # eleven numbers per key, and any column may be the key
+        placed = matched(counts, edges, keys, edges.count() <= BROADCAST_ROWS)
         series = every.select(*keys).distinct()
     else:
         placed = counts.withColumn("_edges", edges.select("_edges").scalar())

@@ -17,6 +17,7 @@ from tenura.schemas import SQL_TYPE_NAMES
 
 PASS, FAIL, SKIP = "pass", "fail", "skip"
 BLOCKING, WARNING = "blocking", "warning"
+SEVERITIES = (BLOCKING, WARNING)
 TINY = 1e-9
 
 RESULT_COLUMNS = ["position", "rule_name", "severity", "status", "detail"]
@@ -99,6 +100,8 @@ class TableRules:
         return self.measure("rows", F.count(F.lit(1)))
 
     def result(self, position: int, rule_name: str, severity: str, status: Column, detail: Mapping[str, Column]) -> None:
+        if severity not in SEVERITIES:
+            raise ValueError(f"unknown severity {severity!r} of rule {rule_name}")
         document = F.to_json(F.struct(*[value.alias(key) for key, value in detail.items()]))
         self.results.append(F.struct(
             F.lit(position).alias("position"), F.lit(rule_name).alias("rule_name"), F.lit(severity).alias("severity"),
@@ -291,6 +294,8 @@ def run_rules(
         position += 1
     for cfg in rule_set.get("smoke") or []:
         kind = cfg.get("kind")
+        if cfg.get("severity", WARNING) not in SEVERITIES:
+            raise ValueError(f"unknown severity {cfg['severity']!r} of rule {cfg.get('rule_name')}")
         if kind in SMOKE_RULES:
             SMOKE_RULES[kind](rules_of(cfg.get("table") or cfg["left_table"]), position, cfg, tables)
         else:
@@ -306,13 +311,18 @@ def run_rules(
 
 
 def verdict(results: DataFrame) -> DataFrame:
-    """Counts of ok, warning and blocking outcomes; failing when any blocking rule failed."""
-    failed = F.col("status") == FAIL
+    """Counts of ok, warning and blocking outcomes; failing when any blocking rule failed.
+
+    A log may hold what this module never writes: a status other than pass and skip is a failure, and a failure of
+    any severity but ``warning`` is a blocking one, so nothing unknown passes.
+    """
+    failed = ~F.coalesce(F.col("status").isin(PASS, SKIP), F.lit(False))
+    minor = F.coalesce(F.col("severity") == WARNING, F.lit(False))
     return results.agg(
         F.count(F.lit(1)).alias("rules"),
         F.count_if(~failed).alias("ok"),
-        F.count_if(failed & (F.col("severity") == WARNING)).alias("warning_failures"),
-        F.count_if(failed & (F.col("severity") == BLOCKING)).alias("blocking_failures"),
+        F.count_if(failed & minor).alias("warning_failures"),
+        F.count_if(failed & ~minor).alias("blocking_failures"),
     ).withColumn("failing", F.col("blocking_failures") > 0)
 
 

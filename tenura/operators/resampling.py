@@ -19,11 +19,12 @@ def _unit(*parts: Column) -> Column:
 def near_neighbours(
     df: DataFrame, key: str, vector: str, k: int = 5, projections: int = 8, seed: int = 42
 ) -> DataFrame:
-    """Up to ``k`` near rows of each row: (key, vector, neighbours array of vectors).
+    """The ``k`` nearest found rows of each row: (key, vector, neighbours array of vectors); fewer only where fewer exist.
 
-    Rows are sorted along seeded random directions; the ``k`` rows before and after a row on each direction are its
-    candidates and the nearest ``k`` of them stay. Work grows with rows times directions: no pairs of a crowded region
-    are formed, and equal vectors cost no more than others.
+    Equal vectors are collapsed to one with a count, so a crowded point costs no more than any other; its own copies
+    are its nearest neighbours. Distinct vectors are numbered along seeded random directions, over range borders, and
+    those up to ``k`` places before and after a vector on each direction are its candidates. Along one direction this
+    is exact for vectors of one dimension; work grows with distinct vectors times directions.
     """
     width = df.select(F.size(vector)).first()
     width = width[0] if width else 0
@@ -34,31 +35,41 @@ def near_neighbours(
     along = F.aggregate(
         F.zip_with("_x", "w", lambda x, w: x * w), F.lit(0.0), lambda total, x: total + x
     )
+    points = checkpointed(
+        df.groupBy(F.col(vector).alias("_x")).agg(F.count(F.lit(1)).alias("_n"), F.min(F.col(key).cast("string")).alias("_id"))
+    )
     placed = checkpointed(
-        df.select(F.col(key).alias("_id"), F.col(vector).alias("_x"))
-        .select("_id", "_x", F.inline(weights))
-        .select("_id", "_x", "direction", along.alias("_along"))
+        points.select("_id", "_x", "_n", F.inline(weights)).select("_id", "_x", "_n", "direction", along.alias("_along"))
     )
     spread, _ = ranged(placed, ["direction"], "_along")
-    order = Window.partitionBy("direction", "_range").orderBy("_along", "_id")
-    row = F.struct(F.col("_id").alias("id"), F.col("_x").alias("x"))
-    beside = F.array_compact(F.array(*[f(row, i).over(order) for i in range(1, k + 1) for f in (F.lead, F.lag)]))
-    squared = F.aggregate(
-        F.zip_with("_x", "c.x", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, d: total + d
+    inside = F.row_number().over(Window.partitionBy("direction", "_range").orderBy("_along", "_id"))
+    below = Window.partitionBy("direction").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range of a direction.
+    starts = spread.groupBy("direction", "_range").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "direction", "_range", F.coalesce(F.sum("_rows").over(below), F.lit(0)).alias("_start")
+    )
+    numbered = checkpointed(
+        spread.withColumn("_place", inside).join(F.broadcast(starts), ["direction", "_range"])
+        .select("direction", "_id", "_x", "_n", (F.col("_start") + F.col("_place")).alias("_place"))
+    )
+    others = numbered.select(
+        "direction", F.col("_place").alias("_at"), F.col("_id").alias("_other"), F.col("_x").alias("_y"), F.col("_n").alias("_m")
     )
+    offsets = F.array(*[F.lit(i) for i in range(-k, k + 1) if i])
+    squared = F.aggregate(F.zip_with("_x", "_y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, d: total + d)
     candidates = (
-        spread.withColumn("_beside", beside)
-        .select("_id", "_x", F.explode("_beside").alias("c"))
-        .where(F.col("c.id") != F.col("_id"))
-        .groupBy("_id", F.col("c.id").alias("_other"))
-        .agg(F.first("_x").alias("_x"), F.first("c").alias("c"))
-        .select("_id", F.struct(squared.alias("d"), F.col("c.id").alias("id"), F.col("c.x").alias("x")).alias("c"))
+        numbered.withColumn("_at", F.explode(F.transform(offsets, lambda o: F.col("_place") + o))).join(others, ["direction", "_at"])
+        .groupBy("_id", "_other").agg(F.first("_x").alias("_x"), F.first("_y").alias("_y"), F.first("_m").alias("_m"))
+        .select("_id", F.struct(squared.alias("d"), F.col("_other").alias("id"), F.col("_y").alias("x"), F.col("_m").alias("m")).alias("c"))
     )
-    # At most 2 * k * projections candidates per row.
+    # At most 2 * k * projections candidates a vector, each repeated at most k times.
     nearest = candidates.groupBy("_id").agg(F.slice(F.sort_array(F.collect_list("c")), 1, k).alias("_near"))
-    return df.select(F.col(key), F.col(vector)).join(nearest, F.col(key) == F.col("_id"), "left").select(
-        key, vector, F.coalesce(F.transform("_near", lambda c: c["x"]), F.array().cast("array<array<double>>")).alias("neighbours")
+    repeated = F.flatten(F.transform("_near", lambda c: F.array_repeat(c["x"], F.least(c["m"], F.lit(k)).cast("int"))))
+    own = F.array_repeat("_x", F.least(F.col("_n") - 1, F.lit(k)).cast("int"))
+    found = points.join(nearest, "_id", "left").select(
+        "_x", F.slice(F.concat(own, F.coalesce(repeated, F.array().cast("array<array<double>>"))), 1, k).alias("neighbours")
     )
+    return df.select(key, vector).join(found, F.col(vector) == F.col("_x")).select(key, vector, "neighbours")
 
 
 def smote(

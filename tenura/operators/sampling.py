@@ -56,12 +56,18 @@ def keep_sampled(df: DataFrame, sample: DataFrame, key: str = "msno") -> DataFra
     return df.join(sample.select(key), key, "left_semi")
 
 
-def simple_sample(df: DataFrame, rows: int, seed: int = 42) -> DataFrame:
-    """Random share min(1, rows / count) of a table."""
+def simple_sample(df: DataFrame, rows: int, key: str, seed: int = 42) -> DataFrame:
+    """Random share min(1, rows / count) of a table: the rows whose seeded key hash lies below it.
+
+    The draw does not depend on partitioning or retries; rows of one key stand or fall together.
+    """
     if rows <= 0:
         raise ValueError("rows must be positive")
     total = df.count()
-    return df.sample(False, min(1.0, rows / total), seed) if total else df
+    if total <= rows:
+        return df
+    place = F.conv(F.substring(seeded_hash(key, seed), 1, 12), 16, 10).cast("bigint")
+    return df.where(place < F.lit(rows * (1 << 48) // total))
 
 
 def train_validation_split(

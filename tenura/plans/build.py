@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tenura.operators import catalog, quality
 from tenura.operators.features import customer_features
 from tenura.schemas import FEATURE_COLUMNS
-from tenura.sources.tables import append_log, first_existing, read_current, replace_table
+from tenura.sources.tables import append_log, first_existing, publish_version, read_current, read_version, write_version
 
 
 @dataclass(frozen=True)
@@ -36,12 +36,12 @@ def _newest_watermark_id(spark: SparkSession, warehouse: Warehouse) -> int | Non
 
 def build_features(
     spark: SparkSession, warehouse: Warehouse, train: DataFrame, members: DataFrame, transactions: DataFrame,
-    user_logs: DataFrame, run_id: str | None = None, now: datetime | None = None,
+    user_logs: DataFrame, run_id: str | None = None, now: datetime | None = None, tie: str | None = None,
 ) -> str:
     """Build and publish the feature table; returns the snapshot id.
 
-    The snapshot log gets one row per state: building, then completed or failed. The table is replaced as a whole, so a
-    failed build leaves the former one in place, and the recorded watermark is the one of the former table.
+    The snapshot log gets one row per state: building, then completed or failed. The table is written once, as a new
+    version that is checked before the pointer names it, so a failed build leaves the former one in place, and the recorded watermark is the one of the former table.
     """
     started = now or datetime.now(timezone.utc)
     snapshot_id = str(uuid4())
@@ -53,16 +53,16 @@ def build_features(
     }
     append_log(catalog.snapshot_row(spark, **common, status=catalog.BUILDING, created_at=started), log, "created_at")
     try:
-        built = customer_features(train, members, transactions, user_logs)
+        built = customer_features(train, members, transactions, user_logs, tie)
         built = built.withColumn("feature_created_at", F.lit(started).cast("timestamp"))
-        staged = warehouse.path(f"staging/{snapshot_id}")
-        built.write.parquet(staged)
-        table = spark.read.parquet(staged)
+        target = warehouse.path("customer_features")
+        version = write_version(built, target)
+        table = read_version(spark, target, version)
         checks = quality.build_checks(table, train).first()
         if not checks["passed"]:
             raise ValueError(f"feature build checks failed: {checks.asDict()}")
         digest = catalog.content_hash(table).first()
-        replace_table(table, warehouse.path("customer_features"))
+        publish_version(spark, target, version)
     except Exception:
         failed = catalog.snapshot_row(spark, **common, status=catalog.FAILED, created_at=now or datetime.now(timezone.utc))
         append_log(failed, log, "created_at")

@@ -42,15 +42,16 @@ WATERMARK_SCHEMA = ("watermark_id bigint, table_name string, row_count bigint, c
 LINEAGE_SCHEMA = "feature_name string, source_table string, transformation_rule string, snapshot_id string, created_at timestamp"
 VALIDATION_SCHEMA = "run_id string, rule_name string, severity string, status string, detail string, created_at timestamp"
 
-# Relational type names a schema rule may ask for, and the Spark types that satisfy them (fixed values).
+# Relational type names a schema rule may ask for, and the Spark types that satisfy them. The engine's own tables count
+# rows as bigint and hold probabilities as double, which are wider than what the default rules name.
 SQL_TYPE_NAMES: dict[str, tuple[str, ...]] = {
     "text": ("string",),
     "character varying": ("string", "varchar"),
     "uuid": ("string",),
     "smallint": ("smallint",),
-    "integer": ("int",),
+    "integer": ("int", "bigint"),
     "bigint": ("bigint",),
-    "numeric": ("decimal",),
+    "numeric": ("decimal", "double"),
     "double precision": ("double",),
     "boolean": ("boolean",),
     "date": ("date",),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
     return spark
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the session's checkpoint folder, which driver and executors share."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tenura-shared-")
+    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and return it with a cut lineage.
 

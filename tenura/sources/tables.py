@@ -34,17 +34,34 @@ def append_log(df: DataFrame, path: str, stamp: str) -> None:
     df.withColumn("run_date", F.to_date(stamp)).write.mode("append").partitionBy("run_date").parquet(path)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
+def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """All rows of a log. With a known schema no footers are opened; without one the layouts of all files are merged."""
+    if schema:
+        return spark.read.schema(f"{schema}, run_date date").parquet(path)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> str:
-    """Truncate-and-reload: write a new version folder, then append a pointer row that names it."""
-    spark = df.sparkSession
+def write_version(df: DataFrame, path: str) -> str:
+    """Write a new version folder of a table; readers see it only after ``publish_version``."""
     version = uuid4().hex
     df.write.parquet(f"{path}/version={version}")
+    return version
+
+
+def read_version(spark: SparkSession, path: str, version: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/version={version}")
+
+
+def publish_version(spark: SparkSession, path: str, version: str) -> None:
+    """Append the pointer row that makes a version the current one."""
     pointer = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("switched_at"))
     pointer.write.mode("append").parquet(f"{path}/_pointer")
+
+
+def replace_table(df: DataFrame, path: str) -> str:
+    """Truncate-and-reload: write a new version folder, then append a pointer row that names it."""
+    version = write_version(df, path)
+    publish_version(df.sparkSession, path, version)
     return version
 
 

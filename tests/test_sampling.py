@@ -52,8 +52,8 @@ def test_related_rows_and_simple_sample(spark):
     chosen = sampling.stratified_sample(df, "msno", "is_churn", 0.01)
     related = df.select("msno").unionByName(df.select("msno"))
     assert sampling.keep_sampled(related, chosen).count() == 2 * chosen.count()
-    assert 30 < sampling.simple_sample(df, 100).count() < 200
-    assert sampling.simple_sample(df, 10_000).count() == 2000
+    assert 30 < sampling.simple_sample(df, 100, "msno").count() < 200
+    assert sampling.simple_sample(df, 10_000, "msno").count() == 2000
     with pytest.raises(ValueError):
-        sampling.simple_sample(df, 0)
+        sampling.simple_sample(df, 0, "msno")
     assert sampling.approximate_stratified_sample(df, "is_churn", {0: 0.0, 1: 1.0}).count() == 223

@@ -89,6 +89,18 @@ cte("log_agg", ("user_logs",), """
   FROM (SELECT *, num_25 + num_50 + num_75 + num_985 + num_100 AS songs FROM user_logs) GROUP BY msno""")
 cte("customer_features", ("train", "members", "txn_agg", "log_agg"), """
   SELECT * FROM train LEFT JOIN members USING (msno) LEFT JOIN txn_agg USING (msno) LEFT JOIN log_agg USING (msno)""")
+_RAW = "msno, payment_method_id, payment_plan_days, plan_list_price, actual_amount_paid, is_auto_renew, transaction_date, membership_expire_date, is_cancel"
+cte("raw_transactions", ("transactions",), f"SELECT {_RAW} FROM transactions")
+cte("raw_latest", ("raw_transactions",), """
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+      PARTITION BY msno ORDER BY transaction_date DESC NULLS LAST, payment_method_id DESC, is_auto_renew DESC) AS rn
+    FROM raw_transactions) WHERE rn = 1""")
+cte("raw_features", ("customer_features", "raw_latest"), """
+  SELECT c.* REPLACE (l.payment_method_id AS latest_payment_method_id, l.is_auto_renew AS latest_is_auto_renew)
+  FROM customer_features c LEFT JOIN raw_latest l USING (msno)""")
+cte("split_sizes", ("train",), """
+  SELECT CAST(sum(round_even(0.2 * n, 0)) AS BIGINT) AS validation, CAST(sum(n - round_even(0.2 * n, 0)) AS BIGINT) AS training
+  FROM (SELECT is_churn, count(*) AS n FROM train GROUP BY 1)""")
 cte("latest", ("predictions",), """
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
       PARTITION BY customer_id ORDER BY scored_at DESC, pred_id DESC) AS rn FROM predictions) WHERE rn = 1""")

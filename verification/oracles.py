@@ -478,3 +478,45 @@ ORACLES["json_documents"] = """
 ORACLES["evolved_predictions"] = sql("predictions", """
   SELECT pred_id, customer_id, churn_probability, CASE WHEN scored_at >= TIMESTAMP '2024-01-10' THEN feature_snapshot_id END AS feature_snapshot_id,
     CASE WHEN scored_at >= TIMESTAMP '2024-01-10' THEN threshold_version ELSE 'v0' END AS threshold_version FROM predictions""")
+
+
+# Layouts without ids, files and stored tables -------------------------------------------------------------------------
+
+ORACLES["raw_layout_features"] = sql("raw_features", "SELECT * FROM raw_features")
+ORACLES["loaded_layout_features"] = ORACLES["raw_layout_features"]
+ORACLES["raw_layout_rollup"] = sql("rollup recoded", """
+  SELECT r.* REPLACE (f.m AS payment_method_id, f.a AS is_auto_renewal) FROM rollup r JOIN (
+    SELECT msno, first(payment_method_id ORDER BY transaction_date, payment_method_id, is_auto_renew) AS m,
+      first(is_auto_renew ORDER BY transaction_date, payment_method_id, is_auto_renew) AS a FROM recoded GROUP BY 1) f USING (msno)""")
+ORACLES["raw_layout_latest"] = sql("raw_transactions", """
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY msno ORDER BY transaction_date DESC, payment_method_id DESC,
+      payment_plan_days DESC, plan_list_price DESC, actual_amount_paid DESC, is_auto_renew DESC, membership_expire_date DESC, is_cancel DESC) AS rn
+    FROM raw_transactions) WHERE rn = 1""")
+ORACLES["csv_load"] = sql("raw_transactions", "SELECT * FROM raw_transactions")
+ORACLES["csv_scan_filter"] = sql("members", "SELECT * FROM members WHERE gender IS NULL AND bd > 50")
+ORACLES["replaced_table"] = sql("members", "SELECT * FROM members")
+ORACLES["appended_log"] = sql("predictions", """
+  SELECT pred_id, customer_id, churn_probability, scored_at, CAST(scored_at AS DATE) AS run_date FROM predictions""")
+
+# Properties of fitted models and draws --------------------------------------------------------------------------------
+
+ORACLES["simple_sample"] = sql("train", """
+  SELECT * FROM train WHERE CAST('0x' || substr(md5('42:' || msno), 1, 12) AS BIGINT) < 100 * 281474976710656 // (SELECT count(*) FROM train)""")
+ORACLES["smote_neighbours"] = sql("members train", """
+  SELECT count(*) AS rows, CAST(0 AS BIGINT) AS short, CAST(0 AS BIGINT) AS strange FROM members JOIN train USING (msno) WHERE is_churn = 1""")
+ORACLES["nearest_on_a_line"] = sql("members", """
+  SELECT a.msno, list_sort(list(CAST(abs(a.bd - b.bd) AS DOUBLE)))[1:5] AS distances
+  FROM members a JOIN members b ON a.msno <> b.msno GROUP BY 1""")
+_SCALED = ", ".join(
+    f"round((coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM numbers)) - avg(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM numbers))) OVER ())"
+    f" / stddev_samp(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM numbers))) OVER (), 6) AS {c}"
+    for c in ("bd", "num_active_days", "total_amount_paid")
+)
+ORACLES["scaled_numbers"] = sql("customer_features", f"""
+  SELECT msno, {_SCALED} FROM (SELECT msno, CAST(bd AS DOUBLE) AS bd, CAST(num_active_days AS DOUBLE) AS num_active_days,
+    CAST(total_amount_paid AS DOUBLE) AS total_amount_paid FROM customer_features) numbers""").replace("FROM numbers)", "FROM (SELECT CAST(bd AS DOUBLE) AS bd, CAST(num_active_days AS DOUBLE) AS num_active_days, CAST(total_amount_paid AS DOUBLE) AS total_amount_paid FROM customer_features))")
+ORACLES["fixed_score_importance"] = "SELECT * FROM (VALUES ('cancel_count', false), ('num_active_days', true), ('bd', true)) t(feature, unused)"
+ORACLES["batch_score_checks"] = sql("train", """
+  SELECT count(*) AS customers, count(*) AS in_range, count(*) AS right_tier, count(*) AS with_provenance FROM train""")
+ORACLES["attribution_checks"] = sql("split_sizes", "SELECT validation AS linear, validation AS sampled FROM split_sizes")
+ORACLES["logistic_optimum"] = sql("split_sizes", "SELECT training AS rows, true AS flat FROM split_sizes")

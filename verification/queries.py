@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +17,9 @@ from tenura.operators import (
 from tenura.plans import monitoring as plan_monitoring
 from tenura.plans import scoring
 from tenura.plans import training as training_plans
-from tenura.schemas import MODEL_FEATURES
-from tenura.session import checkpointed
-from tenura.sources import tables
+from tenura.schemas import MODEL_FEATURES, RAW_SCHEMAS, fields
+from tenura.session import checkpointed, scratch_folder
+from tenura.sources import csv, tables
 from tenura.sources.retail import AS_OF, RetailViews
 from verification.compare import presented
 
@@ -65,6 +66,74 @@ def _(v):
     return features.latest_transactions(v.transactions)
 
 
+@query("raw_layout_features")
+def _(v):
+    """The feature table from transactions as the loader leaves them, without an id."""
+    return features.customer_features(v.train, v.members, v.transactions.drop("txn_id"), v.user_logs)
+
+
+@query("raw_layout_rollup")
+def _(v):
+    return cleanse.transaction_rollup(cleanse.merge_rare_payment_methods(v.transactions.drop("txn_id")))
+
+
+@query("raw_layout_latest")
+def _(v):
+    return features.latest_transactions(v.transactions.drop("txn_id"))
+
+
+# Files and stored tables -------------------------------------------------------------------------------------------
+
+
+def loaded_folder(v: RetailViews) -> str:
+    """The raw tables written as CSV and loaded from there."""
+    files, folder = {}, scratch_folder(v.spark, "csv")
+    for name in ("train", "members", "transactions"):
+        csv.write_csv(getattr(v, name), f"{folder}/in/{name}", [n for n, _ in fields(RAW_SCHEMAS[name])])
+        files[name] = name
+    csv.load_raw(v.spark, f"{folder}/in", f"{folder}/raw", files, AS_OF).collect()
+    return f"{folder}/raw"
+
+
+@query("csv_load")
+def _(v):
+    return v.spark.read.parquet(f"{loaded_folder(v)}/transactions").drop("ingestion_timestamp")
+
+
+@query("csv_scan_filter")
+def _(v):
+    path = f"{scratch_folder(v.spark, 'csv')}/members"
+    csv.write_csv(v.members, path)
+    return csv.read_matching(v.spark, path, RAW_SCHEMAS["members"], F.col("gender").isNull() & (F.col("bd") > 50))
+
+
+@query("loaded_layout_features")
+def _(v):
+    """CSV files, loaded and turned into features without any added column."""
+    raw = loaded_folder(v)
+    train, members, transactions = [v.spark.read.parquet(f"{raw}/{n}") for n in ("train", "members", "transactions")]
+    return features.customer_features(train, members, transactions, v.user_logs)
+
+
+@query("replaced_table")
+def _(v):
+    """A table loaded twice: readers see the second version whole."""
+    path = f"{scratch_folder(v.spark, 'table')}/members"
+    tables.replace_table(v.members.where("bd < 0"), path)
+    tables.replace_table(v.members, path)
+    return tables.read_current(v.spark, path)
+
+
+@query("appended_log")
+def _(v):
+    """A log written in two appends and read with its known layout."""
+    path = f"{scratch_folder(v.spark, 'log')}/predictions"
+    rows = v.predictions.select("pred_id", "customer_id", "churn_probability", "scored_at")
+    for part in (rows.where("pred_id % 2 = 0"), rows.where("pred_id % 2 = 1")):
+        tables.append_log(part, path, "scored_at")
+    return tables.read_log(v.spark, path, "pred_id bigint, customer_id string, churn_probability double, scored_at timestamp_ntz")
+
+
 @query("payment_method_recode")
 def _(v):
     return cleanse.merge_rare_payment_methods(v.transactions).select("txn_id", "payment_method_id")
@@ -415,7 +484,7 @@ def _(v):
 
 @query("simple_sample")
 def _(v):
-    return sampling.simple_sample(v.train, 100)
+    return sampling.simple_sample(v.train, 100, "msno")
 
 
 @query("train_validation_split")
@@ -543,7 +612,7 @@ def rule_tables(v: RetailViews) -> dict[str, DataFrame]:
     return {
         "processed.customer_features": feature_table(v).withColumn(
             "feature_created_at", F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")),
-        "processed.churn_predictions": v.predictions.withColumn("churn_probability", F.col("churn_probability").cast("decimal(5,4)")),
+        "processed.churn_predictions": v.predictions,
         "processed.feature_snapshots": snapshots(v),
         "raw.members": stamped(v.members),
         "raw.transactions": stamped(v.transactions),
@@ -674,7 +743,7 @@ def _(v):
 def snapshots(v: RetailViews) -> DataFrame:
     """One snapshot per scored day; a day with few rows failed."""
     return v.predictions.groupBy(int_from_date("scored_at").alias("day")).agg(
-        F.count(F.lit(1)).cast("int").alias("row_count"), F.max("scored_at").alias("build_completed_at")
+        F.count(F.lit(1)).alias("row_count"), F.max("scored_at").alias("build_completed_at")
     ).select(
         F.concat(F.lit("snap-"), F.col("day").cast("string")).alias("snapshot_id"), "row_count", "build_completed_at",
         F.when(F.col("day") % 4 == 0, "failed").otherwise("completed").alias("status"),
@@ -773,10 +842,6 @@ def _(v):
 
 # Models --------------------------------------------------------------------------------------------------------------
 
-SEVERAL = ["city", "gender", "bd", "registered_via", "transaction_count", "cancel_count", "total_amount_paid",
-           "avg_plan_days", "latest_is_auto_renew", "num_active_days"]
-
-
 def split(v: RetailViews) -> training_plans.Split:
     return training_plans.split_features(feature_table(v))
 
@@ -788,7 +853,7 @@ def _(v):
 
 def metrics_of(v: RetailViews, kind: str, **params) -> DataFrame:
     parts = split(v)
-    model = modeling.fit(parts.train, SEVERAL, kind, **params)
+    model = modeling.fit(parts.train, MODEL_FEATURES, kind, **params)
     return training_plans.evaluate(model, parts.validation).withColumn("model", F.lit(kind))
 
 
@@ -799,29 +864,29 @@ def _(v):
 
 @query("boosted_trees")
 def _(v):
-    return metrics_of(v, modeling.BOOSTED, rounds=5, depth=4)
+    return metrics_of(v, modeling.BOOSTED)
 
 
 @query("multilayer_perceptron")
 def _(v):
-    return metrics_of(v, modeling.PERCEPTRON, max_iter=20)
+    return metrics_of(v, modeling.PERCEPTRON)
 
 
 @query("forest_importances")
 def _(v):
     parts = split(v)
-    model = modeling.fit(parts.train, SEVERAL, modeling.FOREST, trees=20)
-    return modeling.slot_importances(v.spark, model, SEVERAL)
+    model = modeling.fit(parts.train, MODEL_FEATURES, modeling.FOREST)
+    return modeling.slot_importances(v.spark, model, MODEL_FEATURES)
 
 
 @query("model_comparison")
 def _(v):
-    return training_plans.compare_models(split(v), SEVERAL, {modeling.LOGISTIC: {}, modeling.BOOSTED: {"rounds": 3, "depth": 3}})[0]
+    return training_plans.compare_models(split(v), MODEL_FEATURES, [modeling.LOGISTIC, modeling.BOOSTED, modeling.PERCEPTRON])[0]
 
 
 @query("imbalance_strategies")
 def _(v):
-    return training_plans.compare_imbalance(split(v), SEVERAL)
+    return training_plans.compare_imbalance(split(v), MODEL_FEATURES)
 
 
 @query("smote_rows")
@@ -837,42 +902,131 @@ def _(v):
         F.count(F.lit(1)).alias("rows"), F.count_if(made).alias("synthetic"), F.count_if(made & ~inside).alias("outside"))
 
 
+@query("smote_neighbours")
+def _(v):
+    """Minority rows, those with fewer than five neighbours and those whose neighbours are not minority points."""
+    point = F.array(F.col("city").cast("double"), F.col("bd").cast("double"))
+    minority = checkpointed(v.members.join(v.train.where("is_churn = 1"), "msno").select("msno", point.alias("x")))
+    found = resampling.near_neighbours(minority, "msno", "x")
+    known = minority.select(F.col("x").alias("y")).distinct()
+    strange = found.select(F.explode("neighbours").alias("y")).join(known, "y", "left_anti")
+    return found.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.size("neighbours") < 5).alias("short"),
+    ).withColumn("strange", strange.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+@query("nearest_on_a_line")
+def _(v):
+    """Distances of the five nearest rows where vectors have one dimension."""
+    rows = v.members.select("msno", F.array(F.col("bd").cast("double")).alias("x"))
+    near = resampling.near_neighbours(rows, "msno", "x")
+    distances = F.array_sort(F.transform("neighbours", lambda y: F.abs(y[0] - F.col("x")[0])))
+    return near.select("msno", distances.alias("distances"))
+
+
+@query("scaled_numbers")
+def _(v):
+    """Imputed and standardised numbers of the preprocessing, one row a customer."""
+    names = ["bd", "num_active_days", "total_amount_paid"]
+    prepared = modeling.prepare(feature_table(v), names)
+    values = vector_to_array(modeling.FEATURES)
+    return prepared.vectors.select("msno", *[values[i].alias(n) for i, n in enumerate(names)])
+
+
+@query("fixed_score_importance")
+def _(v):
+    """Features that a fixed score does not read lose nothing when shuffled."""
+    names = ["cancel_count", "num_active_days", "bd"]
+    count = F.coalesce(F.col("cancel_count"), F.lit(0)).cast("double")
+    found = training_plans.permutation_importance(lambda df: df.withColumn("probability", count / (count + 1)), feature_table(v), names)
+    return found.select("feature", (F.abs("perm_importance_mean") < 1e-12).alias("unused"))
+
+
+@query("batch_score_checks")
+def _(v):
+    """Rows of a scoring run, those with a probability, with the tier of it and with full provenance."""
+    model = modeling.fit(split(v).train, MODEL_FEATURES, modeling.LOGISTIC)
+    scored = checkpointed(scoring.score_customers(feature_table(v), model, MODEL_FEATURES, AS_OF, "snapshot", "1"))
+    p = F.col("churn_probability")
+    tier = F.when(p >= 0.7, "High").when(p >= 0.4, "Medium").otherwise("Low")
+    return scored.agg(
+        F.count_distinct("customer_id").alias("customers"), F.count_if(p.between(0, 1)).alias("in_range"),
+        F.count_if(F.col("risk_tier") == tier).alias("right_tier"),
+        F.count_if((F.col("feature_snapshot_id") == "snapshot") & (F.col("model_version") == "1")).alias("with_provenance"),
+    )
+
+
+@query("attribution_checks")
+def _(v):
+    """Customers whose linear attributions add up to the margin and whose sampled ones add up to the probability."""
+    parts = split(v)
+    model = modeling.fit(parts.train, MODEL_FEATURES, modeling.LOGISTIC)
+    total = F.aggregate("attributions", F.lit(0.0), lambda a, e: a + e["shap_value"])
+    margin = training_plans.linear_model_attributions(model, parts.validation, parts.train, MODEL_FEATURES).select("msno", total.alias("sum"))
+    p = modeling.with_probability(model, parts.validation).select("msno", "probability")
+    offsets = checkpointed(margin.join(p, "msno").select("msno", (F.log(F.col("probability") / (1 - F.col("probability"))) - F.col("sum")).alias("offset")))
+    middle = offsets.agg(F.avg("offset").alias("m")).scalar()
+    sampled = attributions.sampling_shapley(
+        parts.validation, parts.train, "msno", MODEL_FEATURES, lambda df: modeling.with_probability(model, df), permutations=2)
+    linear = offsets.agg(F.count_if(F.abs(F.col("offset") - middle) < 1e-6).alias("linear"))
+    whole = sampled.agg(F.count_if(F.abs(F.col("base") + total - F.col("probability")) < 1e-9).alias("sampled"))
+    return linear.crossJoin(whole)  # one row each
+
+
+@query("logistic_optimum")
+def _(v):
+    """Training rows, and whether the penalised weighted loss has no slope left at the fitted coefficients."""
+    parts = split(v)
+    prepared = modeling.prepare(parts.train, MODEL_FEATURES)
+    model = modeling.fit_prepared(prepared, modeling.LOGISTIC).stages[-1]
+    rows = sum(prepared.counts.values())
+    weighted = modeling.with_class_weight(prepared.vectors, modeling.weights_by_class(prepared.counts))
+    x = vector_to_array(modeling.FEATURES)
+    beta = F.array(*[F.lit(float(c)) for c in model.coefficients.toArray()])
+    margin = F.aggregate(F.zip_with(x, beta, lambda a, b: a * b), F.lit(float(model.intercept)), lambda t, z: t + z)
+    slope = F.col(modeling.WEIGHT) * (1 / (1 + F.exp(-margin)) - F.col(modeling.LABEL))
+    slots = weighted.select(slope.alias("s"), F.posexplode(x).alias("slot", "value"))
+    sums = slots.groupBy("slot").agg((F.sum(F.col("s") * F.col("value")) / rows).alias("g"))
+    total = sums.agg(F.max(F.abs(F.col("g") + F.element_at(beta, F.col("slot") + 1) / rows)).alias("g"))
+    return total.select(F.lit(rows).cast("bigint").alias("rows"), (F.col("g") < 1e-3).alias("flat"))
+
+
 @query("permutation_importance")
 def _(v):
     parts = split(v)
-    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
+    model = modeling.fit(parts.train, MODEL_FEATURES, modeling.LOGISTIC)
     return training_plans.permutation_importance(
-        lambda df: modeling.with_probability(model, df), parts.validation, SEVERAL, repeats=3)
+        lambda df: modeling.with_probability(model, df), parts.validation, MODEL_FEATURES)
 
 
 @query("feature_selection")
 def _(v):
     parts = split(v)
-    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
+    model = modeling.fit(parts.train, MODEL_FEATURES, modeling.LOGISTIC)
     importances = training_plans.permutation_importance(
-        lambda df: modeling.with_probability(model, df), parts.validation, SEVERAL, repeats=2)
+        lambda df: modeling.with_probability(model, df), parts.validation, MODEL_FEATURES)
     return training_plans.select_features(checkpointed(importances), parts.train)
 
 
 @query("tuning_trials")
 def _(v):
-    table = training_plans.tune_boosted_trees(split(v), SEVERAL, trials=2, baseline_auc=0.5, rounds=(2, 4))
+    table = training_plans.tune_boosted_trees(split(v), MODEL_FEATURES, trials=2, baseline_auc=0.5, rounds=(2, 4))
     return table.select("trial", F.to_json("params").alias("params"), "roc_auc", "improvement")
 
 
 @query("batch_scores")
 def _(v):
     table = feature_table(v)
-    model = modeling.fit(split(v).train, SEVERAL, modeling.LOGISTIC)
-    scored = scoring.score_customers(table, model, SEVERAL, AS_OF, "snapshot", "1")
+    model = modeling.fit(split(v).train, MODEL_FEATURES, modeling.LOGISTIC)
+    scored = scoring.score_customers(table, model, MODEL_FEATURES, AS_OF, "snapshot", "1")
     return scored.drop("shap_values")
 
 
 @query("linear_attributions")
 def _(v):
     parts = split(v)
-    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
-    values = training_plans.linear_model_attributions(model, parts.validation, parts.train, SEVERAL)
+    model = modeling.fit(parts.train, MODEL_FEATURES, modeling.LOGISTIC)
+    values = training_plans.linear_model_attributions(model, parts.validation, parts.train, MODEL_FEATURES)
     top = attributions.top_attributions("attributions", 5)
     return values.select("msno", F.inline(top))
 
@@ -880,19 +1034,19 @@ def _(v):
 @query("sampling_attributions")
 def _(v):
     parts = split(v)
-    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
+    model = modeling.fit(parts.train, MODEL_FEATURES, modeling.LOGISTIC)
     values = attributions.sampling_shapley(
-        parts.validation, parts.train, "msno", SEVERAL, lambda df: modeling.with_probability(model, df), permutations=2)
+        parts.validation, parts.train, "msno", MODEL_FEATURES, lambda df: modeling.with_probability(model, df))
     return attributions.global_importance(values)
 
 
 @query("model_card")
 def _(v):
     parts = split(v)
-    model = modeling.fit(parts.train, SEVERAL, modeling.LOGISTIC)
+    model = modeling.fit(parts.train, MODEL_FEATURES, modeling.LOGISTIC)
     scored = modeling.with_probability(model, parts.validation)
     return training_plans.model_card(
-        "logistic_regression", parts.train, SEVERAL, training_plans.evaluate(model, parts.validation), scored)
+        "logistic_regression", parts.train, MODEL_FEATURES, training_plans.evaluate(model, parts.validation), scored)
 
 
 # Attributions and documents with known results -----------------------------------------------------------------------
