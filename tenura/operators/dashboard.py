@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tenura.functions import labels
 from tenura.operators.latest import latest_predictions, newest_rows
+from tenura.session import checkpointed
 
 CARD_FEATURES = [
     "transaction_count", "cancel_count", "num_active_days", "avg_total_secs", "avg_plan_days", "latest_is_auto_renew",
@@ -98,7 +99,7 @@ def retention_queue(
     latest = latest_predictions(predictions)
     if risk_tier in labels.RISK_TIERS:
         latest = latest.where(F.col("risk_tier") == risk_tier)
-    top = latest.orderBy(F.col("churn_probability").desc(), "customer_id").limit(length)
+    top = checkpointed(latest.orderBy(F.col("churn_probability").desc(), "customer_id").limit(length))
     # Both broadcast sides hold at most ``length`` rows, so the feature table is scanned but not shuffled.
     keys = top.select(F.col("customer_id").alias("msno"))
     known = features.select("msno", *CARD_FEATURES).join(F.broadcast(keys), "msno", "left_semi")

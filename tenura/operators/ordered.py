@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 from tenura.session import checkpointed
 
-RANGES = 64
+# A value range holds about this many distinct values; the limits' sketch allows at most MOST_RANGES per key.
+RANGE_ROWS = 1_000_000
+MOST_RANGES = 4096
 # Per-key tables up to this many rows are sent to all tasks; larger ones are joined by shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -40,13 +42,19 @@ def matched(left: DataFrame, right: DataFrame, columns: Sequence[str], small: bo
     return joined.drop(*[f"_j{i}" for i in range(len(columns))])
 
 
-def ranged(counts: DataFrame, keys: Sequence[str], value: str, ranges: int = RANGES) -> tuple[DataFrame, bool]:
+def range_count(counts: DataFrame) -> int:
+    """Ranges for a checkpointed table: 8 for a small one, more in proportion to its rows."""
+    return max(8, min(MOST_RANGES, -(-counts.count() // RANGE_ROWS)))
+
+
+def ranged(counts: DataFrame, keys: Sequence[str], value: str, ranges: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_range``, a non-decreasing function of the value that balances distinct values within each key.
 
     The limits come from a mergeable quantile sketch of fixed size per key. They are written once, so every use of the
-    result sees the same ranges; they balance the work and never change a result. Also returns whether per-key tables
-    are small enough to broadcast.
+    result sees the same ranges; they balance the work and never change a result. Their number follows the rows of
+    ``counts``, which should be checkpointed. Also returns whether per-key tables are small enough to broadcast.
     """
+    ranges = ranges or range_count(counts)
     fractions = [i / ranges for i in range(1, ranges)]
     limits = F.percentile_approx(value, fractions, ranges * 20).alias("_limits")
     sketch = checkpointed(counts.groupBy(*keys).agg(limits))
@@ -63,13 +71,13 @@ def ranged(counts: DataFrame, keys: Sequence[str], value: str, ranges: int = RAN
 def range_totals(spread: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Per range: the total of each measure and what all lower ranges of the same key add up to."""
     totals = spread.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_{m}_total") for m in measures])
-    # At most RANGES rows per key reach this window.
+    # At most MOST_RANGES rows per key reach this window.
     below = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     return totals.withColumns({f"_{m}_below": F.coalesce(F.sum(f"_{m}_total").over(below), F.lit(0)) for m in measures})
 
 
 def running_totals(
-    counts: DataFrame, keys: Sequence[str], value: str, measures: Sequence[str], ranges: int = RANGES
+    counts: DataFrame, keys: Sequence[str], value: str, measures: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
     """Add ``<measure>_cum`` to distinct-value rows: the total of all rows of the key up to this value.
 
@@ -91,7 +99,7 @@ def bounded_domain(kind: T.DataType) -> bool:
 
 def quantiles_of_counts(
     counts: DataFrame, value: str, fractions: Sequence[float], keys: Sequence[str] = (), n: str = "n",
-    ranges: int = RANGES, into: str = "quantiles",
+    ranges: int | None = None, into: str = "quantiles",
 ) -> DataFrame:
     """Exact interpolated quantiles of a distinct-value table: per key the row count ``n`` and an array of doubles.
 
@@ -138,7 +146,7 @@ def exact_quantiles(
     fractions: Sequence[float],
     keys: Sequence[str] = (),
     weight: str | None = None,
-    ranges: int = RANGES,
+    ranges: int | None = None,
     into: str = "quantiles",
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per key with ``n`` and an array of doubles.

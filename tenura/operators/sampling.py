@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions.labels import stable_bucket
+from tenura.operators.ordered import BROADCAST_ROWS
+from tenura.session import checkpointed
 
 PREFIX = 3  # hex digits: 4096 hash ranges per stratum
 
@@ -33,7 +35,8 @@ def _chosen(df: DataFrame, key: str, stratum: str, fraction: float, seed: int, i
         F.greatest(wanted - below, F.lit(0)).alias("_quota"), "_rows",
     )
     same = F.col(stratum).eqNullSafe(F.col("_stratum")) & (F.col("_range") == F.col("_cut"))
-    joined = hashed.join(cuts, same)
+    cuts = checkpointed(cuts)
+    joined = hashed.join(F.broadcast(cuts) if cuts.count() <= BROADCAST_ROWS else cuts, same)
     split = (F.col("_quota") > 0) & (F.col("_quota") < F.col("_rows"))
     whole = joined.where(~split).withColumn(into, F.col("_quota") >= F.col("_rows"))
     order = Window.partitionBy(stratum, "_range").orderBy("_hash", key)

@@ -610,7 +610,7 @@ def stamped(df: DataFrame) -> DataFrame:
 
 def rule_tables(v: RetailViews) -> dict[str, DataFrame]:
     return {
-        "processed.customer_features": feature_table(v).withColumn(
+        "processed.customer_features": checkpointed(feature_table(v)).withColumn(
             "feature_created_at", F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")),
         "processed.churn_predictions": v.predictions,
         "processed.feature_snapshots": snapshots(v),
@@ -774,8 +774,11 @@ def _(v):
 
 @query("lineage_completeness")
 def _(v):
-    observed = feature_table(v).withColumn("feature_created_at", F.current_timestamp())
-    return catalog.lineage_completeness(observed, lineage(v))
+    """The stored feature table against the stored lineage log."""
+    folder = scratch_folder(v.spark, "lineage")
+    tables.replace_table(feature_table(v).withColumn("feature_created_at", F.current_timestamp()), f"{folder}/features")
+    tables.append_log(lineage(v), f"{folder}/log", "created_at")
+    return catalog.lineage_completeness(tables.read_current(v.spark, f"{folder}/features"), tables.read_log(v.spark, f"{folder}/log"))
 
 
 @query("linked_rows")
@@ -817,7 +820,7 @@ def version_metrics(v: RetailViews) -> DataFrame:
 
 @query("promotion_gate")
 def _(v):
-    metrics = version_metrics(v).select("model_version", "roc_auc", "precision_churn")
+    metrics = checkpointed(version_metrics(v).select("model_version", "roc_auc", "precision_churn"))
     champion = metrics.select(
         F.concat(F.lit("v"), (F.substring("model_version", 2, 9).cast("int") + 1).cast("string")).alias("model_version"),
         F.col("roc_auc").alias("champion_auc"), F.col("precision_churn").alias("champion_business"),
