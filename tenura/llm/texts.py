@@ -8,16 +8,18 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.session import checkpointed
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# Rows of an Arrow batch that Python works on at once; texts of one slice are in memory together.
+# Rows and bytes of text of an Arrow batch that Python works on at once.
 SLICE_ROWS = 512
+SLICE_BYTES = 8 << 20
 # Entries of a per-task word cache. A full cache is emptied, so its size never depends on the input.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 
 # A counted side of at most this many rows goes to all tasks; a larger one is joined by shuffle.
@@ -80,10 +82,32 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+_KEPT: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by a Python worker for its next tasks; only the last such object is."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, most_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of at most ``rows`` rows; a part with several rows has at most ``most_bytes`` of text."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        start = 0
+        if "text" in batch.schema.names:
+            lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lengths, dtype=np.int64)
+        else:
+            ends = np.zeros(batch.num_rows, np.int64)
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            fitting = int(np.searchsorted(ends, before + most_bytes, "right"))
+            stop = min(max(fitting, start + 1), start + rows)
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def by_slice(

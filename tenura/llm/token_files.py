@@ -6,16 +6,16 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenura.llm import rans
-from tenura.llm.texts import CACHE_WORDS, bounded, slices
+from tenura.llm.texts import bounded, kept, slices
 
 SHARDS = "part int, shard int, n_tokens bigint, image binary"
 DOCUMENTS = "part int, shard int, place int, doc_id bigint, before bigint, n_tokens bigint, ids_crc32 bigint"
@@ -25,12 +25,14 @@ DOCUMENTS = "part int, shard int, place int, doc_id bigint, before bigint, n_tok
 class TokenFiles:
     """``tokenizer`` is the path of a vocabulary of the tokenizers library; ``end`` is appended to each document.
 
-    A shard is closed by the document with which it reaches ``shard_tokens``.
+    A shard is closed by the document with which it reaches ``shard_tokens``. ``cache_words`` bounds a task's memory of
+    encoded words.
     """
 
     tokenizer: str
     end: int | None = 1
     shard_tokens: int = 1 << 21
+    cache_words: int = 800_000
     layout: rans.Layout = field(default_factory=rans.Layout)
 
 
@@ -38,42 +40,100 @@ class WordEncoder:
     """Encodes texts word by word with a bounded cache of encoded words.
 
     Only for vocabularies whose tokens never span white space and which drop it, so the ids of a text are those of its
-    words. The ids of all words that a slice of texts adds are found in one call of the library.
+    words. The distinct words of a slice are found by Arrow. New ones are encoded in long strings, with a character
+    between them that is one token of its own; the ids of all known words lie in one array.
     """
 
-    def __init__(self, path: str):
+    MARK = "\x01"
+    CHUNK = 2_000
+
+    def __init__(self, path: str, cache_words: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.cache_words = cache_words
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = words
-        listed = list(new)
-        for word, coded in zip(listed, self.library.encode_batch_fast(listed, add_special_tokens=False)):
-            self.known[word] = np.array(coded.ids, self.kind).tobytes()
+        mark = self.library.encode(self.MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.hits = np.zeros(0, np.int32)
+        self.sizes = np.zeros(0, np.int32)
+        self.starts = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, self.kind)
+
+    def _forget(self) -> None:
+        """Keep the words that several slices had, unless they fill half of the cache; the rest rarely comes back."""
+        often = self.hits > 1
+        if not 0 < int(often.sum()) <= self.cache_words // 2:
+            return self._clear()
+        words = [w for w, keep in zip(self.known, often) if keep]
+        self.ids = self.ids[np.repeat(often, self.sizes)]
+        self.sizes = self.sizes[often]
+        self.starts = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
+        self.hits = np.ones(len(words), np.int32)
+        self.known = dict(zip(words, range(len(words))))
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after another, and the number of each word's."""
+        if self.mark is None or any(self.MARK in w for w in words):
+            coded = [c.ids for c in self.library.encode_batch_fast(words, add_special_tokens=False)]
+            return np.array([i for c in coded for i in c], self.kind), np.array([len(c) for c in coded], np.int64)
+        between = f" {self.MARK} "
+        texts = [between.join(words[i : i + self.CHUNK]) + between for i in range(0, len(words), self.CHUNK)]
+        coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(c.ids, self.kind) for c in coded])
+        ends = np.flatnonzero(ids == self.mark)
+        return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Numbers of distinct words; unknown ones are encoded first."""
+        places = list(map(self.known.get, words))
+        new = [i for i, place in enumerate(places) if place is None]
+        if len(self.known) + len(new) > self.cache_words:
+            self._forget()
+            if len(self.known) + len(new) > self.cache_words:
+                self._clear()
+            places = list(map(self.known.get, words))
+            new = [i for i, place in enumerate(places) if place is None]
+        if new:
+            added = [words[i] for i in new]
+            ids, sizes = self._encoded(added)
+            numbers = range(len(self.known), len(self.known) + len(added))
+            self.known.update(zip(added, numbers))
+            for i, number in zip(new, numbers):
+                places[i] = number
+            self.starts = np.concatenate([self.starts, (np.cumsum(sizes) - sizes + len(self.ids)).astype(np.int32)])
+            self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
+            self.ids = np.concatenate([self.ids, ids])
+            self.hits = np.concatenate([self.hits, np.zeros(len(added), np.int32)])
+        found = np.array(places, np.int32)
+        self.hits[found] += 1  # the words are distinct
+        return found
 
     def texts(self, texts: list[str | None], end: int | None) -> list[np.ndarray]:
-        words = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        self.learn(set().union(*words))
-        tail = b"" if end is None else np.array([end], self.kind).tobytes()
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, w)) + tail, self.kind) for w in words]
-
-
-@lru_cache(maxsize=1)
-def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+        """Ids of each text, followed by ``end``."""
+        # Lower-casing first joins words that the library would lower-case anyway; not where that could change a text.
+        plain = [t.lower() if "<|" not in t and "\u03a3" not in t else t for t in (t or "" for t in texts)]
+        lists = pc.split_pattern(pc.replace_substring(pa.array(plain, pa.large_string()), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        place = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        sizes = self.sizes[place]
+        stops = np.cumsum(sizes, dtype=np.int64)
+        total = int(stops[-1]) if len(stops) else 0
+        shift = (self.starts[place] - (stops - sizes)).astype(np.int32)
+        ids = self.ids[np.repeat(shift, sizes) + np.arange(total, dtype=np.int32)]
+        cuts = np.concatenate([[0], stops])[lists.offsets.to_numpy()]
+        tail = np.array([] if end is None else [end], self.kind)
+        return [np.concatenate([ids[a:b], tail]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def _shards(how: TokenFiles):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(how.tokenizer)
+        encoder = kept((WordEncoder, how.tokenizer, how.cache_words), lambda: WordEncoder(how.tokenizer, how.cache_words))
         part = TaskContext.get().partitionId()
         shard, ids, names, size = 0, [], [], 0
 
@@ -86,7 +146,7 @@ def _shards(how: TokenFiles):
                 names=["part", "shard", "n_tokens", "image"],
             )
 
-        for piece in slices(batches, 256):
+        for piece in slices(batches, 4096):
             for name, tokens in zip(piece.column(0).to_pylist(), encoder.texts(piece.column(1).to_pylist(), how.end)):
                 names.append(name)
                 ids.append(tokens)
