@@ -545,3 +545,20 @@ ORACLES["batch_score_checks"] = sql("train", """
   SELECT count(*) AS customers, count(*) AS in_range, count(*) AS right_tier, count(*) AS with_provenance FROM train""")
 ORACLES["attribution_checks"] = sql("split_sizes", "SELECT validation AS linear, validation AS sampled FROM split_sizes")
 ORACLES["logistic_optimum"] = sql("split_sizes", "SELECT training AS rows, true AS flat FROM split_sizes")
+
+# Logs that the plans write --------------------------------------------------------------------------------------------
+
+ORACLES["feature_build"] = sql("train", """
+  SELECT s.status, 'r1' AS pipeline_run_id, CASE WHEN s.status = 'completed' THEN t.n END AS row_count,
+    CAST(22 AS INTEGER) AS feature_count, t.n AS published
+  FROM (SELECT unnest(['building', 'completed']) AS status) s, (SELECT count(*) AS n FROM train) t""")
+ORACLES["recorded_watermark"] = sql("train", """
+  SELECT CAST(i AS BIGINT) AS watermark_id, 'processed.customer_features' AS table_name, count(*) AS row_count, 'r' || i AS pipeline_run_id
+  FROM train, (SELECT unnest([1, 2]) AS i) GROUP BY i""")
+ORACLES["validation_log"] = sql("customer_features transactions", f"""
+  SELECT rule_name, severity, status, CAST(2 AS BIGINT) AS runs FROM ({_RULE_ROWS})""")
+ORACLES["prediction_log"] = sql("train", """
+  SELECT d AS run_date, count(*) AS scored, count(*) FILTER (d = DATE '2024-02-01') AS explained
+  FROM train, (SELECT unnest([DATE '2024-01-31', DATE '2024-02-01']) AS d) GROUP BY d""")
+ORACLES["monitoring_log"] = f"""
+  SELECT CAST(0.75 AS DOUBLE) AS baseline_auc, current_auc, baseline_row_count, current_row_count, status FROM ({ORACLES['monitoring_verdict']})"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,10 +15,10 @@ from tenura.operators import (
     attributions, catalog, cleanse, dashboard, errors, explore, fairness, features, latest, modeling, monitoring,
     promotion, quality, resampling, sampling,
 )
+from tenura.plans import build, bundle, operations, scoring
 from tenura.plans import monitoring as plan_monitoring
-from tenura.plans import scoring
 from tenura.plans import training as training_plans
-from tenura.schemas import MODEL_FEATURES, RAW_SCHEMAS, fields
+from tenura.schemas import MODEL_FEATURES, PREDICTION_SCHEMA, RAW_SCHEMAS, VALIDATION_SCHEMA, fields
 from tenura.session import checkpointed, scratch_folder
 from tenura.sources import csv, tables
 from tenura.sources.retail import AS_OF, RetailViews
@@ -134,6 +135,66 @@ def _(v):
     return tables.read_log(v.spark, path, "pred_id bigint, customer_id string, churn_probability double, scored_at timestamp_ntz")
 
 
+def built(v: RetailViews) -> build.Warehouse:
+    """A warehouse with one feature build."""
+    warehouse = build.Warehouse(scratch_folder(v.spark, "warehouse"))
+    build.build_features(v.spark, warehouse, v.train, v.members, v.transactions, v.user_logs, "r1", AS_OF)
+    return warehouse
+
+
+@query("feature_build")
+def _(v):
+    """The snapshot log of a build, joined with the rows that the published table has."""
+    warehouse = built(v)
+    rows = tables.read_current(v.spark, warehouse.path("customer_features")).agg(F.count(F.lit(1)).alias("published")).scalar()
+    log = tables.read_log(v.spark, warehouse.path("feature_snapshots"))
+    return log.select("status", "pipeline_run_id", "row_count", "feature_count").withColumn("published", rows)
+
+
+@query("recorded_watermark")
+def _(v):
+    warehouse = built(v)
+    build.record_watermark(v.spark, warehouse, "customer_features", "r1")
+    build.record_watermark(v.spark, warehouse, "customer_features", "r2")
+    log = tables.read_log(v.spark, warehouse.path("data_watermarks"))
+    return log.select("watermark_id", "table_name", "row_count", "pipeline_run_id")
+
+
+@query("validation_log")
+def _(v):
+    """Two runs of the default rules over the same tables; the second has the first as its baseline."""
+    path, checked = scratch_folder(v.spark, "validation"), rule_tables(v)
+    for run in ("a", "b"):
+        operations.validate_and_log(v.spark, checked, quality.DEFAULT_RULE_SET, path, run, AS_OF)
+    log = tables.read_log(v.spark, path, VALIDATION_SCHEMA)
+    return log.groupBy("rule_name", "severity", "status").agg(F.count_distinct("run_id").alias("runs"))
+
+
+@query("prediction_log")
+def _(v):
+    """Two scoring runs in the log; the newest one has its top attributions written back."""
+    path = scratch_folder(v.spark, "predictions")
+    table = checkpointed(feature_table(v))
+    model = modeling.fit(table, MODEL_FEATURES, modeling.LOGISTIC)
+    made = bundle.bundle(model, table, MODEL_FEATURES, "1", {})
+    for day in (0, 1):
+        scoring.score_and_append(path, table, made.model, made.input_columns, AS_OF + timedelta(days=day), "snapshot", made.version)
+    operations.attribute_newest_scores(v.spark, path, table, table, made)
+    log = tables.read_log(v.spark, path, PREDICTION_SCHEMA)
+    return log.groupBy("run_date").agg(
+        F.count(F.lit(1)).alias("scored"), F.count_if(F.size("shap_values") == 5).alias("explained"))
+
+
+@query("monitoring_log")
+def _(v):
+    folder = scratch_folder(v.spark, "monitoring")
+    operations.register(v.spark, f"{folder}/versions", "churn", "r1", {"roc_auc": 0.75, "business": None}, None, AS_OF)
+    operations.monitor_and_log(
+        v.spark, f"{folder}/log", f"{folder}/versions", "churn", v.predictions, feature_table(v), v.train, AS_OF)
+    log = tables.read_log(v.spark, f"{folder}/log")
+    return log.select("baseline_auc", "current_auc", "baseline_row_count", "current_row_count", "status")
+
+
 @query("payment_method_recode")
 def _(v):
     return cleanse.merge_rare_payment_methods(v.transactions).select("txn_id", "payment_method_id")
