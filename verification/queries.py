@@ -818,7 +818,8 @@ def _(v):
 
 @query("newest_snapshot_row")
 def _(v):
-    return latest.newest_rows(snapshots(v), ["build_completed_at"])
+    newest = latest.newest_rows(snapshots(v), ["build_completed_at"])
+    return newest.withColumn("row_count", F.col("row_count").cast("int"))
 
 
 def lineage(v: RetailViews) -> DataFrame:
