@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, row_key
+from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, released, row_key
 from tenura.session import checkpointed
 
 # First code points of Unicode ranges, with the script that most of a range's letters have.
@@ -80,11 +79,6 @@ class PieceCounter:
         return len(ids), chars / len(ids), float(counts[used][self.is_byte[used]].sum() / len(ids)), float(-(share * np.log2(share)).sum())
 
 
-@lru_cache(maxsize=1)
-def _counter(path: str) -> PieceCounter:
-    return PieceCounter(path)
-
-
 def repeated_words(words: list[bytes]) -> int:
     """Words inside 3-word windows that occur at least twice."""
     if len(words) < 4:
@@ -124,7 +118,7 @@ def text_measures(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Per row: doc_id, row, counts, measures and kind (its language, else script:<name>)."""
 
     def run(batches):
-        counter = _counter(vocabulary)
+        counter = PieceCounter(vocabulary)
 
         def work(piece: pa.RecordBatch) -> dict[str, object]:
             texts = [t or "" for t in piece.column("text").to_pylist()]
@@ -142,6 +136,8 @@ def text_measures(docs: DataFrame, vocabulary: str) -> DataFrame:
             return {"doc_id": piece.column("doc_id"), "row": piece.column("row"), **out}
 
         yield from by_slice(work, SCHEMA)(batches)
+        counter.known.clear()
+        released()
 
     rows = docs.select(
         F.col("doc_id").cast("bigint"), row_key(["doc_id", "text", "lang"]).alias("row"), F.col("text").cast("string"), F.col("lang").cast("string")
@@ -160,8 +156,11 @@ def length_class() -> Column:
 
 
 def bands(measured: DataFrame, how: Fertility) -> DataFrame:
-    """(kind, length, <measure>_lo, <measure>_hi) from mergeable quantile sketches of all documents that pass the base rules."""
-    quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], 10_000).alias(m) for m in MEASURES]
+    """(kind, length, <measure>_lo, <measure>_hi) from exact quartiles of all documents that pass the base rules.
+
+    Measures are rounded to thousandths for the quartiles, which bounds the distinct values of a group.
+    """
+    quartiles = [F.percentile(F.round(m, 3), [0.25, 0.5, 0.75]).alias(m) for m in MEASURES]
     sketch = measured.where(~base_failed(how)).groupBy("kind", length_class().alias("length")).agg(*quartiles)
     limits = []
     for m in MEASURES:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.components import components
-from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, mixed, space_words
+from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, mixed, released, space_words
 from tenura.session import checkpointed
 
 SIGNATURE = pa.schema([
@@ -98,6 +98,8 @@ def signatures(docs: DataFrame, how: NearDuplicates) -> DataFrame:
             return {"doc_id": piece.column(0), **out}
 
         yield from by_slice(work, SIGNATURE)(batches)
+        shingler.known.clear()
+        released()
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, signature binary"
@@ -117,6 +119,8 @@ def shingle_sets(docs: DataFrame, how: NearDuplicates) -> DataFrame:
             return {"node": piece.column(0), "shingles": pa.ListArray.from_arrays(pa.array(offsets), values)}
 
         yield from by_slice(work, SETS)(batches)
+        shingler.known.clear()
+        released()
 
     return docs.mapInArrow(run, "node bigint, shingles array<bigint>")
 

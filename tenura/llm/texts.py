@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
 from uuid import uuid4
@@ -89,10 +91,20 @@ def kept(key: object, make: Callable[[], object]) -> object:
     """What ``make`` gives, kept by a Python worker for its next tasks; only the last such object is."""
     if key not in _KEPT:
         _KEPT.clear()
+        released()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def released() -> None:
+    """Give freed memory back to the system: idle Python workers live beside the JVM until the application ends."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, most_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of at most ``rows`` rows; a part with several rows has at most ``most_bytes`` of text."""
     for batch in batches:
@@ -122,6 +134,7 @@ def by_slice(
                 [c if isinstance(c, pa.Array) else pa.array(c, f.type) for f, c in ((f, columns[f.name]) for f in schema)],
                 schema=schema,
             )
+        released()
 
     return run
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenura.llm import rans
-from tenura.llm.texts import bounded, kept, slices
+from tenura.llm.texts import bounded, kept, released, slices
 
 SHARDS = "part int, shard int, n_tokens bigint, image binary"
 DOCUMENTS = "part int, shard int, place int, doc_id bigint, before bigint, n_tokens bigint, ids_crc32 bigint"
@@ -156,6 +156,8 @@ def _shards(how: TokenFiles):
                     shard, ids, names, size = shard + 1, [], [], 0
         if names:
             yield image()
+            ids, names = [], []
+        released()
 
     return run
 
@@ -188,6 +190,7 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             names=["part", "shard", "place", "doc_id", "before", "n_tokens", "ids_crc32"],
         )
+    released()
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
