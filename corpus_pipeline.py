@@ -40,8 +40,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard files of all tokens and one row per written document, read back from them; see ``token_files``."""
-    how = TokenFiles(public_tokenizers.path("word_bpe_49k.json"))
+    """Shard files of all tokens and one row per written document, read back from them; see ``token_files``.
+
+    Shards, word cache and slices are smaller than the defaults: the executors have run four stages before.
+    """
+    how = TokenFiles(
+        public_tokenizers.path("word_bpe_49k.json"), shard_tokens=1 << 20, cache_words=250_000, slice_bytes=2 << 20
+    )
     return token_documents(docs, shared_folder(spark, "token-files"), how)
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, released, row_key
+from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, released, row_key, small_batches
 from tenura.session import checkpointed
 
 # First code points of Unicode ranges, with the script that most of a range's letters have.
@@ -177,7 +177,8 @@ def quality_rules(docs: DataFrame, how: Fertility) -> DataFrame:
     have zero words and fail the base rules. NULL languages (also empty or ``und``) go by script. Rows with one doc_id
     are judged one by one; ``row`` tells them apart. An empty table gives no rows; other columns are ignored.
     """
-    measured = checkpointed(text_measures(docs, how.vocabulary))
+    with small_batches(docs.sparkSession):
+        measured = checkpointed(text_measures(docs, how.vocabulary))
     limits = bounded(bands(measured, how).withColumnsRenamed({"kind": "_kind", "length": "_length"}))
     inside = F.lit(True)
     for m in MEASURES:

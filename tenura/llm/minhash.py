@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.components import components
-from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, mixed, released, space_words
+from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, mixed, released, small_batches, space_words
 from tenura.session import checkpointed
 
 SIGNATURE = pa.schema([
@@ -154,7 +154,8 @@ class _Links:
             .select("a", "b")
         )
         wanted = screened.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sets = checkpointed(shingle_sets(self._texts(wanted), how))
+        with small_batches(self.docs.sparkSession):
+            sets = checkpointed(shingle_sets(self._texts(wanted), how))
         joined = (
             screened.join(sets.toDF("a", "_a"), "a").join(sets.toDF("b", "_b"), "b")
             .withColumn("_both", F.size(F.array_intersect("_a", "_b")))
@@ -167,7 +168,8 @@ class _Links:
     def between_blocks(self, left: DataFrame) -> DataFrame:
         """Links (a, b) that join the components which meet in a bucket; see ``near_duplicates``."""
         how = self.how
-        sets = checkpointed(shingle_sets(self._texts(left.select("node").distinct()), how))
+        with small_batches(self.docs.sparkSession):
+            sets = checkpointed(shingle_sets(self._texts(left.select("node").distinct()), how))
         known = sets.join(self.classes, "node").withColumn("_size", F.size("shingles"))
         sized = checkpointed(left.join(known.select("node", "_size"), "node"))
         outside = F.col("root") != F.col("major")
@@ -274,7 +276,8 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
     NULL and it is kept. Repeated rows give repeated results; an empty table gives none; other columns are ignored.
     """
     how = how or NearDuplicates()
-    signed = checkpointed(signatures(docs, how))
+    with small_batches(docs.sparkSession):
+        signed = checkpointed(signatures(docs, how))
     named = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     # The minima of equal sets are equal, so any row of a class has them.
     founders = checkpointed(

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from uuid import uuid4
 
 import numpy as np
@@ -34,6 +35,21 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
+    """Jobs inside send Python at most ``rows`` rows at once: a batch of texts is in the JVM and in Python at a time.
+
+    The session's own setting is back afterwards.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share, below the checkpoint folder of the session."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")

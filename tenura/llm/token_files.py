@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenura.llm import rans
-from tenura.llm.texts import bounded, kept, released, slices
+from tenura.llm.texts import bounded, kept, released, slices, small_batches
 
 SHARDS = "part int, shard int, n_tokens bigint, image binary"
 DOCUMENTS = "part int, shard int, place int, doc_id bigint, before bigint, n_tokens bigint, ids_crc32 bigint"
@@ -26,13 +26,14 @@ class TokenFiles:
     """``tokenizer`` is the path of a vocabulary of the tokenizers library; ``end`` is appended to each document.
 
     A shard is closed by the document with which it reaches ``shard_tokens``. ``cache_words`` bounds a task's memory of
-    encoded words.
+    encoded words and ``slice_bytes`` the text that it works on at once: smaller values take more time and less memory.
     """
 
     tokenizer: str
     end: int | None = 1
     shard_tokens: int = 1 << 21
     cache_words: int = 800_000
+    slice_bytes: int = 8 << 20
     layout: rans.Layout = field(default_factory=rans.Layout)
 
 
@@ -146,7 +147,7 @@ def _shards(how: TokenFiles):
                 names=["part", "shard", "n_tokens", "image"],
             )
 
-        for piece in slices(batches, 4096):
+        for piece in slices(batches, 4096, how.slice_bytes):
             for name, tokens in zip(piece.column(0).to_pylist(), encoder.texts(piece.column(1).to_pylist(), how.end)):
                 names.append(name)
                 ids.append(tokens)
@@ -171,7 +172,8 @@ def write_token_files(docs: DataFrame, path: str, how: TokenFiles) -> None:
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
-    ordered.mapInArrow(_shards(how), SHARDS).write.parquet(path)
+    with small_batches(docs.sparkSession, 4_000):
+        ordered.mapInArrow(_shards(how), SHARDS).write.parquet(path)
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
