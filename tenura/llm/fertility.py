@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, released, row_key, small_batches
@@ -26,7 +26,7 @@ SYMBOLS = b"#*$%&|<>"
 MEASURES = ["chars_per_token", "byte_share", "entropy"]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens"]
 SCHEMA = pa.schema(
-    [("doc_id", pa.int64()), ("row", pa.int64()), *[(c, pa.int64()) for c in COUNTS], *[(m, pa.float64()) for m in MEASURES], ("kind", pa.string())]
+    [("doc_id", pa.int64()), ("row", pa.int64()), ("text_hash", pa.int64()), *[(c, pa.int64()) for c in COUNTS], *[(m, pa.float64()) for m in MEASURES], ("kind", pa.string())]
 )
 
 
@@ -34,18 +34,22 @@ SCHEMA = pa.schema(
 class Fertility:
     """``vocabulary`` is the path of a sentencepiece model with byte fallback.
 
-    A measure's band is its median minus and plus ``widths`` spreads among the documents of one language (or script,
+    A measure's band is its median minus and plus ``widths`` spreads among the distinct texts of one language (or script,
     where the language is not known) and one power of two of their token count that pass the base rules; longer texts
-    vary less. A spread is the interquartile range, but at least ``floors``, so a uniform or tiny group rejects nothing
-    that is near it.
+    vary less. Copies count once, so they do not move the band. A length class with fewer than ``least_texts`` distinct
+    texts takes in the next shorter and longer classes until it has as many, or the whole language or script. A spread
+    is the interquartile range, but at least ``floors``, so a uniform or tiny group rejects nothing that is near it. The
+    lower widths are chosen on labelled rows that are not held out (``texts.held_out``), a little wider than the
+    narrowest that reject no good one there; labelled rows say nothing about the upper ones.
     """
 
     vocabulary: str
     least_words: int = 50
     repeat_percent: int = 50
     widths: dict[str, tuple[float, float]] = field(default_factory=lambda: {
-        "chars_per_token": (6.0, 10.0), "byte_share": (1e6, 10.0), "entropy": (4.0, 1e6),
+        "chars_per_token": (4.5, 10.0), "byte_share": (1e6, 10.0), "entropy": (2.6, 1e6),
     })
+    least_texts: int = 20
     floors: dict[str, float] = field(default_factory=lambda: {"chars_per_token": 0.05, "byte_share": 0.01, "entropy": 0.1})
 
 
@@ -115,7 +119,7 @@ def script(text: str) -> str:
 
 
 def text_measures(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Per row: doc_id, row, counts, measures and kind (its language, else script:<name>)."""
+    """Per row: doc_id, row, text_hash, counts, measures and kind (its language, else script:<name>)."""
 
     def run(batches):
         counter = PieceCounter(vocabulary)
@@ -125,7 +129,7 @@ def text_measures(docs: DataFrame, vocabulary: str) -> DataFrame:
             raws = [t.encode() for t in texts]
             worded = [r.split() for r in raws]
             counter.learn(set().union(*worded))
-            out: dict[str, list] = {f.name: [] for f in SCHEMA if f.name not in ("doc_id", "row")}
+            out: dict[str, list] = {f.name: [] for f in SCHEMA if f.name not in ("doc_id", "row", "text_hash")}
             for text, raw, words, lang in zip(texts, raws, worded, piece.column("lang").to_pylist()):
                 chars = len(text) - len(raw) + len(raw.translate(None, SPACES))
                 found = counter.measures(words, chars)
@@ -133,14 +137,15 @@ def text_measures(docs: DataFrame, vocabulary: str) -> DataFrame:
                 for name, value in zip(COUNTS + MEASURES, [*counts, *found]):
                     out[name].append(value)
                 out["kind"].append(lang if lang and lang != "und" else f"script:{script(text)}")
-            return {"doc_id": piece.column("doc_id"), "row": piece.column("row"), **out}
+            return {"doc_id": piece.column("doc_id"), "row": piece.column("row"), "text_hash": piece.column("text_hash"), **out}
 
         yield from by_slice(work, SCHEMA)(batches)
         counter.known.clear()
         released()
 
     rows = docs.select(
-        F.col("doc_id").cast("bigint"), row_key(["doc_id", "text", "lang"]).alias("row"), F.col("text").cast("string"), F.col("lang").cast("string")
+        F.col("doc_id").cast("bigint"), row_key(["doc_id", "text", "lang"]).alias("row"), F.xxhash64("text").alias("text_hash"),
+        F.col("text").cast("string"), F.col("lang").cast("string"),
     )
     kinds = ", ".join(f"{f.name} {'double' if f.type == pa.float64() else 'string' if f.type == pa.string() else 'bigint'}" for f in SCHEMA)
     return rows.mapInArrow(run, kinds)
@@ -155,19 +160,43 @@ def length_class() -> Column:
     return F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int")
 
 
+def neighbours(values: DataFrame, least_texts: int) -> DataFrame:
+    """(kind, length, _from): the length classes whose texts make up the band of a class; itself where it has enough.
+
+    The side has one row for two length classes of a kind, so each window holds at most one row a length.
+    """
+    sizes = checkpointed(values.where(F.col("measure") == MEASURES[0]).groupBy("kind", "length").agg(F.sum("n").alias("_texts")))
+    others = sizes.toDF("_kind", "_from", "_texts")
+    pairs = sizes.select("kind", "length").join(others, F.col("kind") == F.col("_kind")).withColumn("_away", F.abs(F.col("_from") - F.col("length")))
+    nearer = Window.partitionBy("kind", "length").orderBy("_away").rangeBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_texts").over(nearer), F.lit(0))
+    return pairs.withColumn("_before", before).where(F.col("_before") < least_texts).select("kind", "length", "_from")
+
+
 def bands(measured: DataFrame, how: Fertility) -> DataFrame:
-    """(kind, length, <measure>_lo, <measure>_hi) from exact quartiles of all documents that pass the base rules.
+    """(kind, length, <measure>_lo, <measure>_hi) from exact quartiles of all distinct texts that pass the base rules.
 
-    Measures are rounded to thousandths for the quartiles, which bounds the distinct values of a group.
+    Texts are reduced to one row each and then to counts of values. Measures are rounded to thousandths for the
+    quartiles, which bounds the distinct values of a group.
     """
-    quartiles = [F.percentile(F.round(m, 3), [0.25, 0.5, 0.75]).alias(m) for m in MEASURES]
-    sketch = measured.where(~base_failed(how)).groupBy("kind", length_class().alias("length")).agg(*quartiles)
+    texts = measured.where(~base_failed(how)).groupBy("kind", length_class().alias("length"), "text_hash").agg(
+        *[F.first(m).alias(m) for m in MEASURES]
+    )
+    listed = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), F.round(m, 3).alias("value")) for m in MEASURES]))
+    values = checkpointed(
+        texts.select("kind", "length", listed).groupBy("kind", "length", "measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    taken = bounded(neighbours(values, how.least_texts)).toDF("_kind", "_length", "_from")
+    pooled = values.join(taken, (F.col("kind") == F.col("_kind")) & (F.col("length") == F.col("_from")))
+    quartiles = F.percentile("value", [0.25, 0.5, 0.75], F.col("n"))
+    found = pooled.groupBy("kind", F.col("_length").alias("length"), "measure").agg(quartiles.alias("q"))
     limits = []
     for m in MEASURES:
         low, high = how.widths[m]
-        spread = F.greatest(F.col(m)[2] - F.col(m)[0], F.lit(how.floors[m]))
-        limits += [(F.col(m)[1] - spread * low).alias(f"{m}_lo"), (F.col(m)[1] + spread * high).alias(f"{m}_hi")]
-    return sketch.select("kind", "length", *limits)
+        q = F.max(F.when(F.col("measure") == m, F.col("q")))
+        spread = F.greatest(q[2] - q[0], F.lit(how.floors[m]))
+        limits += [(q[1] - spread * low).alias(f"{m}_lo"), (q[1] + spread * high).alias(f"{m}_hi")]
+    return found.groupBy("kind", "length").agg(*limits)
 
 
 def quality_rules(docs: DataFrame, how: Fertility) -> DataFrame:

@@ -49,6 +49,25 @@ def test_bands_reject_what_does_not_look_like_its_language(spark):
     assert all(r.kept for d, r in found.items() if d >= 1000 and not r.base_failed)
 
 
+def noisy(seed, n_words):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(9)) for _ in range(n_words))
+
+
+def test_copies_of_junk_do_not_move_their_band(spark):
+    rows = clean_rows() + [(i, noisy(5, 60), "en", "s") for i in range(300)]
+    found = quality_rules(documents(spark, rows), HOW).collect()
+    assert not any(r.kept or r.base_failed for r in found if r.doc_id < 1000)
+    assert all(r.kept for r in found if r.doc_id >= 1000 and not r.base_failed)
+
+
+def test_a_rare_length_takes_in_the_next_ones(spark):
+    rows = clean_rows() + [(1, noisy(6, 4000), "en", "s"), (2, " ".join(r[1] for r in clean_rows(5)), "en", "s")]
+    found = {r.doc_id: r for r in quality_rules(documents(spark, rows), HOW).collect()}
+    assert found[1].n_tokens >= 2 * max(r.n_tokens for d, r in found.items() if d > 1)
+    assert not found[1].kept and not found[1].base_failed and found[2].kept
+
+
 def test_kept_documents_are_unchanged(spark):
     docs = documents(spark, messy_rows() + clean_rows(20))
     left = kept_documents(docs, HOW)
