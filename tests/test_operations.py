@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,6 +148,29 @@ def test_neighbours_over_range_borders_and_of_equal_vectors(spark):
     assert found.where(F.size("neighbours") < 5).count() == 0
 
 
+@pytest.mark.parametrize(("width", "rows", "block_rows"), [(2, 300, 20), (2, 3000, 100), (20, 300, 30), (20, 2000, 2000), (20, 2000, 300)])
+def test_neighbours_are_the_nearest_of_all(spark, width, rows, block_rows):
+    rng = np.random.default_rng(width + rows)
+    points = rng.normal(size=(rows, width))
+    points[: rows // 10] = points[0] + rng.normal(size=(rows // 10, width)) * 1e-3  # a dense spot
+    points[-3:] += 1000.0  # far from all others
+    df = spark.createDataFrame([(f"k{i}", [float(v) for v in p]) for i, p in enumerate(points)], "k string, x array<double>")
+    found = resampling.near_neighbours(df, "k", "x", block_rows=block_rows).collect()
+    assert len(found) == rows
+    for r in found:
+        i = int(r["k"][1:])
+        d = ((points - points[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        assert [((np.array(y) - points[i]) ** 2).sum() for y in r["neighbours"]] == pytest.approx(np.sort(d)[:5].tolist(), rel=1e-9)
+
+
+def test_neighbours_of_empty_and_tiny_tables(spark):
+    schema = "k string, x array<double>"
+    assert resampling.near_neighbours(spark.createDataFrame([], schema), "k", "x").count() == 0
+    few = resampling.near_neighbours(spark.createDataFrame([("a", [1.0]), ("b", [2.0]), ("c", None)], schema), "k", "x").collect()
+    assert {r["k"]: r["neighbours"] for r in few} == {"a": [[2.0]], "b": [[1.0]]}
+
+
 def test_drawn_trees_split(spark, made, house):
     params = [training.draw_parameters(i) for i in range(40)]
     assert all(1e-6 <= p["minInfoGain"] <= 1e-2 for p in params)
