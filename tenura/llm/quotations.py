@@ -16,12 +16,22 @@ MARKS = re.compile(r"^((?:[ \t]?>)+)[ \t]?")
 # Lines that announce a quotation, in several languages.
 ANNOUNCED = re.compile(r"^.{0,200}\b(?:wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$", re.IGNORECASE)
 NOT_WORDS = re.compile(r"[\W_]+")
+PARAGRAPHS = re.compile(r"\n[ \t]*\n")
+SENTENCES = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|(?<=[。！？])")
 
 
-def passage_hash(text: str) -> int | None:
-    """A hash of a passage's lower-cased words; None without any. Line breaks, marks and punctuation do not count."""
+def hashed_words(text: str) -> tuple[int, int] | None:
+    """The number of a passage's words and a hash of them in lower case; None without any. Line breaks, marks and punctuation do not count."""
     words = NOT_WORDS.sub(" ", text.lower()).strip()
-    return xxhash.xxh3_64_intdigest(words) - (1 << 63) if words else None
+    return (words.count(" ") + 1, xxhash.xxh3_64_intdigest(words) - (1 << 63)) if words else None
+
+
+def parts(text: str) -> list[tuple[int, int]]:
+    """(words, hash) of a text as a whole and of its paragraphs, lines and sentences (those of lines too), each once."""
+    paragraphs, lines = PARAGRAPHS.split(text), text.split("\n")
+    sentences = [x for block in (*paragraphs, *lines) for x in SENTENCES.split(block)]
+    found = map(hashed_words, [text, *paragraphs, *lines, *sentences])
+    return list(dict.fromkeys(f for f in found if f is not None))
 
 
 def parsed(text: str | None) -> tuple[str, list[tuple[int, str]]]:
@@ -51,24 +61,25 @@ def parsed(text: str | None) -> tuple[str, list[tuple[int, str]]]:
 
 
 def own_hashes(body: str) -> list[int]:
-    """Hashes under which a body can be quoted: as a whole, by paragraph and by line."""
-    parts = [body, *re.split(r"\n[ \t]*\n", body), *body.split("\n")]
-    return sorted({h for h in map(passage_hash, parts) if h is not None})
+    """Hashes under which a body can be quoted: as a whole, by paragraph, by line and by sentence."""
+    return sorted({h for _, h in parts(body)})
 
 
 def _messages(messages: DataFrame) -> DataFrame:
     schema = pa.schema([
         ("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("row", pa.int64()), ("body", pa.string()),
-        ("quotes", pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.int64())]))), ("own", pa.list_(pa.int64())),
+        ("quotes", pa.list_(pa.struct([
+            ("level", pa.int32()), ("parts", pa.list_(pa.struct([("words", pa.int32()), ("hash", pa.int64())]))),
+        ]))), ("own", pa.list_(pa.int64())),
     ])
 
     def work(piece: pa.RecordBatch) -> dict[str, object]:
         bodies, quotes, own = [], [], []
         for text in piece.column("text").to_pylist():
             body, passages = parsed(text)
-            found = [(level, passage_hash(p)) for level, p in passages]
+            found = [(level, parts(p)) for level, p in passages]
             bodies.append(body)
-            quotes.append([{"level": level, "hash": h} for level, h in found if h is not None])
+            quotes.append([{"level": level, "parts": [{"words": n, "hash": h} for n, h in of]} for level, of in found if of])
             own.append(own_hashes(body))
         kept = {c: piece.column(c) for c in ("conv_id", "turn", "role", "row")}
         return {**kept, "body": bodies, "quotes": quotes, "own": own}
@@ -77,7 +88,8 @@ def _messages(messages: DataFrame) -> DataFrame:
         F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), F.col("role").cast("string"),
         row_key(["conv_id", "turn", "role", "text"]).alias("row"), F.col("text").cast("string"),
     )
-    kinds = "conv_id bigint, turn bigint, role string, row bigint, body string, quotes array<struct<level:int,hash:bigint>>, own array<bigint>"
+    quoted = "array<struct<level:int,parts:array<struct<words:int,hash:bigint>>>>"
+    kinds = f"conv_id bigint, turn bigint, role string, row bigint, body string, quotes {quoted}, own array<bigint>"
     return stored(rows.mapInArrow(by_slice(work, schema), kinds), "messages")
 
 
@@ -96,10 +108,12 @@ def _thread_starts(links: DataFrame) -> DataFrame:
 def linked_messages(messages: DataFrame) -> DataFrame:
     """One row per input row: conv_id, turn, role, n_quotes, n_linked, reply_to, origin_conv, origin_turn, thread and body.
 
-    Quoted passages are joined by hash to the first message that has them as its own text: an earlier one of the same
-    conversation if there is one, else the first of all other conversations. ``reply_to`` is the latest turn among the
-    linked passages of the lowest level in the same conversation, ``origin_*`` the message behind the first passage
-    that only another conversation has. Ordering a conversation by (thread, turn) puts replies behind what they answer.
+    A quoted passage (a run of lines of one level) is hashed as a whole, by paragraph, line and sentence, and so are all
+    messages' own texts. The parts are joined by hash to the first message that has them: an earlier one of the same
+    conversation if there is one, else the first of all other conversations. A passage is linked by its longest part
+    (in words, then in order) that any message has; a piece of a line that is no whole sentence is no part.
+    ``reply_to`` is the latest turn among the linked passages of the lowest level in the same conversation, ``origin_*``
+    the message behind the first passage that is linked to another conversation. Ordering a conversation by (thread, turn) puts replies behind what they answer.
 
     Hashes of own passages are reduced to one row a conversation, and one in all, before the join, so common lines and
     long conversations bring no more. NULL and empty texts have an empty body and no quotes. Rows with a NULL conv_id or
@@ -110,7 +124,8 @@ def linked_messages(messages: DataFrame) -> DataFrame:
     here = own.groupBy("conv_id", "hash").agg(F.min("turn").alias("first"))
     firsts = own.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("origin"))
     quotes = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", "row", F.posexplode("quotes").alias("n", "q"))
-    quotes = checkpointed(quotes.select("conv_id", "turn", "row", "n", "q.level", "q.hash").distinct())
+    quotes = quotes.select("conv_id", "turn", "row", "n", "q.level", F.posexplode("q.parts").alias("place", "part"))
+    quotes = checkpointed(quotes.select("conv_id", "turn", "row", "n", "level", "place", "part.words", "part.hash").distinct())
     wanted = quotes.select("hash").distinct()
     near = here.join(wanted, "hash", "left_semi").withColumnsRenamed({"conv_id": "_c", "hash": "_h"})
     anywhere = firsts.join(wanted, "hash", "left_semi").withColumnRenamed("hash", "_g")
@@ -119,7 +134,13 @@ def linked_messages(messages: DataFrame) -> DataFrame:
     )
     inside = F.when(F.col("first") < F.col("turn"), F.col("first"))
     outside = F.when(inside.isNull() & (F.col("origin.conv_id") != F.col("conv_id")), F.col("origin"))
-    links = checkpointed(joined.select("conv_id", "turn", "row", "n", "level", inside.alias("inside"), outside.alias("outside")))
+    linked = joined.select("conv_id", "turn", "row", "n", "level", "words", "place", inside.alias("inside"), outside.alias("outside"))
+    known = F.col("inside").isNotNull() | F.col("outside").isNotNull()
+    longest = F.min(F.when(known, F.struct((-F.col("words")).alias("back"), "place", "inside", "outside")))
+    links = checkpointed(
+        linked.groupBy("conv_id", "turn", "row", "n", "level").agg(longest.alias("_l"))
+        .select("conv_id", "turn", "row", "n", "level", "_l.inside", "_l.outside")
+    )
     by_message = links.groupBy("conv_id", "turn", "row").agg(
         F.count(F.lit(1)).alias("n_quotes"),
         F.count_if(F.col("inside").isNotNull() | F.col("outside").isNotNull()).alias("n_linked"),

@@ -37,6 +37,30 @@ def test_replies_follow_what_they_quote(spark):
     assert [x.turn for x in order] == [0, 5, 1, 3, 4, 2, 6]
 
 
+def test_parts_of_a_message_are_linked(spark):
+    original = "Roses are red\nviolets are blue\nsugar is sweet\n\nA second thought. It has two sentences! And a third one?\n\nThe last paragraph."
+    texts = [
+        original, "Something of no interest.",
+        "> violets are blue\n> sugar is sweet\nTwo lines.",
+        "> A second thought. It has two sentences! And a third one?\n>\n> The last paragraph.\nTwo paragraphs.",
+        "> It has two sentences!\nOne sentence.",
+        "> Roses are red\nsplit\n> violets are blue\n> sugar is sweet\nby a reply.",
+        "> A second thought. It has\n> two sentences!\nWrapped anew.",
+        "> never said\n> The last paragraph.\nIn part.",
+        "> never said\n> by anyone\nNothing.",
+    ]
+    r = found(spark, [(1, i, "u", t) for i, t in enumerate(texts)] + [(2, 0, "u", texts[2])])
+    linked = {t: (x.n_quotes, x.n_linked, x.reply_to) for (c, t, _), x in r.items() if c == 1}
+    assert [linked[i] for i in (2, 3, 4, 6, 7)] == [(1, 1, 0)] * 5
+    assert linked[5] == (2, 2, 0) and linked[8] == (1, 0, None)
+    assert (r[2, 0, "u"].origin_conv, r[2, 0, "u"].origin_turn, r[2, 0, "u"].n_linked) == (1, 0, 1)
+
+
+def test_the_longest_part_decides(spark):
+    rows = [(1, 0, "u", "Yes."), (1, 1, "u", "Water boils at a hundred degrees. Mostly."), (1, 2, "u", "> Yes.\n> Water boils at a hundred degrees.\nI see.")]
+    assert found(spark, rows)[1, 2, "u"].reply_to == 1
+
+
 def test_long_chains_and_repeated_rows(spark):
     rows = [(1, 0, "u", "start 0")] + [(1, i, "u", f"> start {i - 1}\nstart {i}") for i in range(1, 70)]
     rows += [(1, 69, "u", "> start 68\nstart 69")] * 2
