@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from tenura.llm.additive import quality
 from tenura.llm.fertility import Fertility, quality_rules
 from tenura.llm.langid import identified
+from tenura.llm.merkle import FAN, verified_documents
 from tenura.llm.minhash import near_duplicates
 from tenura.llm.mixing import mix
 from tenura.llm.pii import IBAN_LENGTHS, listed, personal_data
+from tenura.llm.pivots import PivotClustering, clusters
 from tenura.llm.positions import contamination
 from tenura.llm.quotations import linked_messages
+from tenura.llm.sharding import Sharding, shards
 from tenura.llm.texts import shared_folder, table
 from tenura.llm.token_files import TokenFiles, token_documents
 from tenura.llm.toxicity import toxicity
@@ -225,3 +228,163 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_quotation_linking")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return linked_messages(table(spark, folder, "conversations"))
+
+
+@query("op11_centroid_clustering")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters(table(spark, folder, "embeddings"))
+
+
+def _clustering_sql(how: PivotClustering) -> str:
+    distance = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    floor = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+    parts = [
+        rf"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({how.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {how.components} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {how.components}
+)""",
+        rf"""c0 AS MATERIALIZED (
+  SELECT k, v AS c FROM (SELECT row_number() OVER (ORDER BY sha256('{how.seed}:' || vec_id) NULLS LAST, v) - 1 AS k, v FROM kept) WHERE k < {how.clusters}
+)""",
+    ]
+    for i in range(how.rounds + 1):
+        parts.append(rf"""a{i} AS MATERIALIZED (
+  SELECT r, min({{'d': {distance}, 'k': k}}) AS best FROM kept, c{i} GROUP BY r
+)""")
+        if i < how.rounds:
+            parts.append(rf"""c{i + 1} AS MATERIALIZED (
+  SELECT k, coalesce(m, c) AS c FROM c{i} LEFT JOIN (
+    SELECT k, list({floor} ORDER BY i) AS m FROM (
+      SELECT best.k AS k, i, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n
+      FROM (SELECT best, unnest(v) AS x, unnest(range(1, {how.components + 1})) AS i FROM kept JOIN a{i} USING (r)) GROUP BY 1, 2
+    ) GROUP BY k
+  ) USING (k)
+)""")
+    return f"WITH {', '.join(parts)}" + rf"""
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM kept JOIN a{how.rounds} USING (r) JOIN c{how.rounds} ON k = best.k
+"""
+
+
+ORACLES["op11_centroid_clustering"] = _clustering_sql(PivotClustering())
+
+
+@query("op12_merkle_manifest")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return verified_documents(table(spark, folder, "documents"))
+
+
+def _levels_sql(prefix: str, levels: int) -> str:
+    """Levels of trees (tree, i, d) from ``{prefix}0``, runs of their nodes and one row of siblings per node."""
+    parts = []
+    for k in range(levels):
+        parts.append(rf"""{prefix}r{k} AS MATERIALIZED (
+  SELECT tree, i // {FAN} AS r, list(d ORDER BY i) AS ds, max(n) AS n FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {prefix}{k}) GROUP BY 1, 2
+), {prefix}{k + 1} AS MATERIALIZED (
+  SELECT tree, r AS i, CASE WHEN n = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS d FROM {prefix}r{k}
+)""")
+    return ", ".join(parts)
+
+
+def _folds_sql(prefix: str, after: str, levels: int) -> str:
+    """From ``{after}`` (row, tree, i, cur, proof) up all levels: the folded digest and the siblings so far."""
+    parts, before = [], after
+    for k in range(levels):
+        parts.append(rf"""{prefix}f{k} AS MATERIALIZED (
+  SELECT w.row, w.tree, w.i // {FAN} AS i,
+    CASE WHEN n = 1 THEN cur ELSE sha256(array_to_string(ds[:w.i % {FAN}], '') || cur || array_to_string(ds[w.i % {FAN} + 2:], '')) END AS cur,
+    proof || CASE WHEN n = 1 THEN '' ELSE array_to_string(ds[:w.i % {FAN}], '') || array_to_string(ds[w.i % {FAN} + 2:], '') END AS proof
+  FROM {before} w JOIN {prefix}r{k} r ON r.tree = w.tree AND r.r = w.i // {FAN}
+)""")
+        before = f"{prefix}f{k}"
+    return ", ".join(parts)
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _crc32_sql(text: str) -> str:
+    """crc32 of a short ASCII string, bit by bit."""
+    return (
+        f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+        "lambda r, b: list_reduce([xor(r, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, CAST(3988292384 AS BIGINT)) ELSE v // 2 END)), "
+        "CAST(4294967295 AS BIGINT))"
+    )
+
+
+ORACLES["op12_merkle_manifest"] = rf"""
+WITH hashed AS (
+  SELECT doc_id, lang, {_leaf_sql("text")} AS leaf,
+    CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0
+      THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents
+), base AS MATERIALIZED (
+  SELECT *, row_number() OVER () AS row, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree
+  FROM hashed
+), n0 AS (SELECT tree, i, leaf AS d FROM base), {_levels_sql("n", 8)},
+l0 AS (SELECT 0 AS tree, tree AS i, d FROM n8), {_levels_sql("l", 4)},
+s AS (SELECT row, tree, i, coalesce(changed, leaf) AS cur, '' AS proof FROM base), {_folds_sql("n", "s", 8)},
+u AS (SELECT row, 0 AS tree, tree AS i, cur, proof FROM nf7), {_folds_sql("l", "u", 4)}
+SELECT doc_id, leaf, n8.d AS subroot, l4.d AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = l4.d AS verified
+FROM base JOIN lf3 USING (row) JOIN n8 ON n8.tree = base.tree, l4
+"""
+
+
+@query("op13_sampled_splitters")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards(table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def _sharding_sql(how: Sharding) -> str:
+    parts = f"range(1, {how.shards + 1})"
+    return rf"""
+WITH RECURSIVE crcs AS (
+  SELECT list(v ORDER BY b) AS t FROM (SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, CAST(3988292384 AS BIGINT)) ELSE v // 2 END) AS v FROM range(256) AS r(b))
+), bytes AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS x FROM documents
+), rows AS MATERIALIZED (
+  SELECT row, doc_id, CAST(len(x) // 2 + 1 AS BIGINT) AS size, CAST('0x' || substr(md5(text), 1, 15) AS BIGINT) AS h,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(x, '..'), lambda b: CAST('0x' || b AS BIGINT))),
+      lambda r, b: xor(r // 256, t[xor(r, b) % 256 + 1])), CAST(4294967295 AS BIGINT)) AS text_crc32
+  FROM bytes, crcs
+), whole AS (SELECT sum(size) AS size FROM rows),
+heavy AS MATERIALIZED (
+  SELECT rows.*, row_number() OVER (ORDER BY rows.size DESC, h, doc_id NULLS FIRST) AS k FROM rows, whole WHERE rows.size * {how.heavy * how.shards} > whole.size
+), dealt AS (
+  SELECT CAST(0 AS BIGINT) AS k, list_transform({parts}, lambda i: CAST(0 AS BIGINT)) AS loads, list_transform({parts}, lambda i: CAST(0 AS BIGINT)) AS counts,
+    CAST(0 AS BIGINT) AS p
+  UNION ALL
+  SELECT heavy.k, list_transform({parts}, lambda i: loads[i] + CASE WHEN i = q THEN size ELSE 0 END),
+    list_transform({parts}, lambda i: counts[i] + CASE WHEN i = q THEN 1 ELSE 0 END), q
+  FROM (SELECT *, list_position(loads, list_min(loads)) AS q FROM dealt) d JOIN heavy ON heavy.k = d.k + 1
+), ends AS (SELECT loads, counts FROM dealt ORDER BY k DESC LIMIT 1),
+light AS MATERIALIZED (SELECT rows.* FROM rows ANTI JOIN heavy USING (row)),
+rest AS (SELECT coalesce(CAST(sum(size) AS BIGINT), 0) AS rest FROM light),
+full_to AS (
+  SELECT list_min(list_transform({parts}, lambda j: CAST(ceil((rest + list_sum(list_sort(loads)[:j])) / j) AS BIGINT))) AS level FROM ends, rest
+), cuts AS (
+  SELECT list_transform({parts}, lambda k: CAST(list_sum(list_transform(loads[:k], lambda x: greatest(0, level - x))) AS BIGINT)) AS cut FROM ends, full_to
+), placed AS (
+  SELECT *, CAST(len(list_filter(cut[:{how.shards - 1}], lambda c: 2 * c <= 2 * upto - size)) AS INTEGER) AS shard
+  FROM (SELECT *, CAST(sum(size) OVER (ORDER BY h, doc_id NULLS FIRST, row) AS BIGINT) AS upto FROM light), cuts
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, CAST(counts[shard + 1] + row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST, row) - 1 AS BIGINT) AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM placed, ends
+UNION ALL
+SELECT doc_id, size, text_crc32, 'bytes', CAST(p - 1 AS INTEGER), counts[p] - 1, NULL FROM heavy JOIN dealt USING (k)
+"""
+
+
+ORACLES["op13_sampled_splitters"] = _sharding_sql(Sharding())

@@ -155,6 +155,14 @@ def by_slice(
     return run
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called that, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(columns: Sequence[str]) -> Column:
     """A hash that tells rows of the same id apart."""
     return F.xxhash64(*columns)
