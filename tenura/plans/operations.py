@@ -12,7 +12,7 @@ from tenura.operators import promotion, quality
 from tenura.operators.attributions import top_attributions
 from tenura.plans.bundle import ModelBundle, checked_inputs
 from tenura.plans.monitoring import monitoring_verdict
-from tenura.plans.training import linear_model_attributions
+from tenura.plans.training import model_attributions
 from tenura.schemas import PREDICTION_SCHEMA, VALIDATION_SCHEMA
 from tenura.session import checkpointed
 from tenura.sources.tables import append_log, first_existing, keyed_update, read_log, rewrite_partitions
@@ -40,7 +40,7 @@ def attribute_newest_scores(
         return 0
     run = checkpointed(log.where(F.col("scored_at") == F.lit(newest)))
     scored = checked_inputs(features, made).join(run.select(F.col("customer_id").alias("msno")).distinct(), "msno", "left_semi")
-    values = linear_model_attributions(made.model, scored, background, made.input_columns)
+    values = model_attributions(made.model, scored, background, made.input_columns)
     changes = values.select(
         F.col("msno").alias("customer_id"), F.lit(newest).alias("scored_at"), top_attributions("attributions", top).alias("shap_values")
     )

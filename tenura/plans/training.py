@@ -8,13 +8,14 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.functions.labels import case_columns
-from tenura.operators import attributions, errors, explore, fairness, modeling
+from tenura.operators import attributions, boosting, errors, explore, fairness, modeling, trees
 from tenura.operators.monitoring import roc_auc
 from tenura.operators.ordered import hash_positions
 from tenura.operators.resampling import smote
@@ -223,6 +224,32 @@ def linear_model_attributions(
     return per_slot.withColumn("attributions", attributions.sum_to_features("attributions", slots))
 
 
+def tree_model_attributions(model: PipelineModel, rows: DataFrame, features: Sequence[str], key: str = "msno") -> DataFrame:
+    """Exact attributions of a tree ensemble per raw feature, with its base and prediction: (key, base, prediction, attributions).
+
+    Boosted trees are explained on the log-odds, a forest on the probability; see ``trees.path_attributions``.
+    """
+    tables = trees.path_table(trees.ensemble_nodes(model.stages[-1]))
+    slots = modeling.slot_names(model, features)
+    vectors = PipelineModel(stages=model.stages[:-1]).transform(rows).select(key, vector_to_array(modeling.FEATURES).alias("x"))
+    return trees.path_attributions(vectors, key, "x", tables, list(slots.values()), list(slots))
+
+
+def model_attributions(
+    model: PipelineModel, rows: DataFrame, background: DataFrame, features: Sequence[str], key: str = "msno", permutations: int = 8,
+    seed: int = 42,
+) -> DataFrame:
+    """(key, attributions) of whatever kind of model: exact for linear models and trees, sampled Shapley values for others."""
+    fitted = model.stages[-1]
+    if isinstance(fitted, LogisticRegressionModel):
+        return linear_model_attributions(model, rows, background, features, key)
+    if isinstance(fitted, (GBTClassificationModel, RandomForestClassificationModel)):
+        return tree_model_attributions(model, rows, features, key).select(key, "attributions")
+    sampled = attributions.sampling_shapley(
+        rows, background, key, features, lambda df: modeling.with_probability(model, df), permutations, seed)
+    return sampled.select(key, "attributions")
+
+
 def model_card(
     model_name: str, features: DataFrame, selected: Sequence[str], metrics: DataFrame, scored: DataFrame,
     stamp: str = "feature_created_at", threshold: float = 0.5,
