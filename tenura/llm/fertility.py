@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, released, row_key, small_batches
+from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, free_name, released, row_key, small_batches
 from tenura.session import checkpointed
 
 # First code points of Unicode ranges, with the script that most of a range's letters have.
@@ -222,6 +222,7 @@ def quality_rules(docs: DataFrame, how: Fertility) -> DataFrame:
 
 def kept_documents(docs: DataFrame, how: Fertility) -> DataFrame:
     """Rows of ``docs`` that the rules keep, with their columns as they are. The rejected rows' keys are the joined side."""
-    rejected = quality_rules(docs, how).where(~F.col("kept")).select(F.col("doc_id").alias("_q_doc"), F.col("row").alias("_q_row")).distinct()
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_q_doc")) & (row_key(["doc_id", "text", "lang"]) == F.col("_q_row"))
+    doc, row = free_name(docs, "_doc"), free_name(docs, "_row")
+    rejected = quality_rules(docs, how).where(~F.col("kept")).select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct()
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc)) & (row_key(["doc_id", "text", "lang"]) == F.col(row))
     return docs.join(bounded(rejected), same, "left_anti")

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.components import components
-from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, mixed, released, small_batches, space_words
+from tenura.llm.merkle import numbered
+from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, free_name, mixed, released, small_batches, space_words
 from tenura.session import checkpointed
 
 SIGNATURE = pa.schema([
@@ -29,6 +30,7 @@ class NearDuplicates:
     4 rows a pair at 0.8 shares no bucket with probability 2e-6. ``screen`` is the share of equal minima below which a
     pair is dropped before its full sets are compared; at 100 minima 0.6 lies five standard deviations below 0.8.
     ``block_rows`` and ``block_shingles`` bound what a task compares at once in a bucket that a star cannot settle.
+    Pivots of buckets with more than ``hot_rows`` classes are sent to the rows instead of the rows to one task.
     """
 
     words: int = 2
@@ -38,6 +40,7 @@ class NearDuplicates:
     screen: float = 0.6
     block_rows: int = 400
     block_shingles: int = 1 << 20
+    hot_rows: int = 1_000
     seed: int = 20_240_607
 
     def coefficients(self) -> tuple[np.ndarray, np.ndarray]:
@@ -297,8 +300,9 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
     width = 2 * how.rows
     keys = [F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)) for i in range(how.bands)]
     buckets = classes.select("node", F.explode(F.array(*keys)).alias("bucket"))
-    full = buckets.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("_z")).where("pivot < _z")
-    crowded = checkpointed(buckets.join(full.drop("_z"), "bucket"))
+    full = buckets.groupBy("bucket").agg(
+        F.min("node").alias("pivot"), F.max("node").alias("_z"), F.count(F.lit(1)).alias("_rows")).where("pivot < _z")
+    crowded = checkpointed(_with_pivots(buckets, full.drop("_z"), how))
 
     links = _Links(docs, classes, how)
     star = crowded.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -317,6 +321,19 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
     )
 
 
+def _with_pivots(buckets: DataFrame, full: DataFrame, how: NearDuplicates) -> DataFrame:
+    """(bucket, node, pivot) of buckets with several classes.
+
+    A bucket with more than ``hot_rows`` classes is not dealt to one task: the few pivots of such buckets go to the rows,
+    which stay where they are. All others meet by shuffle.
+    """
+    full = checkpointed(full)
+    hot = bounded(full.where(F.col("_rows") > how.hot_rows).drop("_rows"))
+    cold = full.where(F.col("_rows") <= how.hot_rows).drop("_rows")
+    others = buckets.join(hot.select("bucket"), "bucket", "left_anti").join(cold, "bucket")
+    return buckets.join(hot, "bucket").unionByName(others)
+
+
 def _unsettled(crowded: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, node, root, major): buckets whose classes, without the tested pivot, lie in several components."""
     rest = crowded.where("node <> pivot").select("bucket", "node", F.col("node").alias("root"))
@@ -326,22 +343,45 @@ def _unsettled(crowded: DataFrame, labels: DataFrame) -> DataFrame:
     return marked.join(major.where("_k > 1").select("bucket", F.col("_s.root").alias("major")), "bucket")
 
 
+def _vertices(docs: DataFrame, vertex: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with the vertex of each row, and the vertices that several rows share.
+
+    Rows are one vertex if their doc_id and their text are equal. Where no doc_id has two texts the vertex is the doc_id;
+    else the pairs are numbered in order of doc_id and a hash of the text, so that the least vertex has the least doc_id.
+    A NULL doc_id has none. Texts are moved only in the second case.
+    """
+    doc_id, text_hash = F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text").cast("string"))
+    pairs = docs.where(doc_id.isNotNull()).groupBy(doc_id.alias("id"), text_hash.alias("hash")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = checkpointed(pairs.withColumn("vertex", F.col("id")))
+    if not pairs.groupBy("id").count().where("count > 1").isEmpty():
+        pairs = checkpointed(numbered(pairs.drop("vertex"), ["id", "hash"]).withColumnRenamed("place", "vertex"))
+        id_, hash_ = free_name(docs, "_id"), free_name(docs, "_hash")
+        named = pairs.select(F.col("id").alias(id_), F.col("hash").alias(hash_), F.col("vertex").alias(vertex))
+        same = (doc_id == named[id_]) & (text_hash == named[hash_])
+        marked = docs.join(named, same, "left").drop(id_, hash_)
+    else:
+        marked = docs.withColumn(vertex, doc_id)
+    return marked, pairs.where("n > 1").select("vertex")
+
+
 def deduplicated(docs: DataFrame, how: NearDuplicates | None = None) -> DataFrame:
     """One row of each group of ``docs``, with its columns as they are.
 
-    The group's least doc_id stays; of rows that share it the one with the least hash of its text. Rows with a NULL
-    doc_id stay, as they are in no group. Only ids are joined, and texts are moved only where ids repeat.
+    The group's least doc_id stays. Rows that share a doc_id but not a text are documents of their own: all stay if they
+    are alike with nothing. Of rows with the same doc_id and text one stays, that with the least hash of all columns.
+    Rows with a NULL doc_id stay, as they are in no group. Only ids are joined, and texts are moved only where ids repeat.
     """
-    found = checkpointed(near_duplicates(docs, how))
-    gone = bounded(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
-    stay = docs.join(gone, docs["doc_id"].cast("bigint") == F.col("_gone"), "left_anti")
-    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    again = bounded(again.select(F.col("doc_id").alias("_again")))
-    if again.isEmpty():
+    vertex, gone = free_name(docs, "_vertex"), free_name(docs, "_gone")
+    marked, repeated = _vertices(docs, vertex)
+    found = near_duplicates(marked.select(F.col(vertex).alias("doc_id"), "text"), how)
+    lost = bounded(found.where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct())
+    stay = marked.join(lost, F.col(vertex) == F.col(gone), "left_anti")
+    again = bounded(repeated.select(F.col("vertex").alias(gone)))
+    if not again.isEmpty():
+        several = F.col(vertex) == F.col(gone)
+        columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        order = F.xxhash64(F.to_json(F.struct(columns.alias("row"))))
+        one = stay.join(again, several, "left_semi").groupBy(vertex).agg(F.min_by(columns, order).alias("_row"))
+        stay = stay.join(again, several, "left_anti").drop(vertex).unionByName(one.select("_row.*"))
         return stay
-    repeated = F.col("doc_id").cast("bigint") == F.col("_again")
-    named = [c for c in docs.columns]
-    one = stay.join(again, repeated, "left_semi").groupBy(F.col("doc_id").alias("_key")).agg(
-        F.min_by(F.struct(*named), F.xxhash64("text")).alias("_row")
-    )
-    return stay.join(again, repeated, "left_anti").unionByName(one.select("_row.*"))
+    return stay.drop(vertex)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.texts import BROADCAST_ROWS, bounded
+from tenura.llm.texts import BROADCAST_ROWS, bounded, free_name
 from tenura.session import checkpointed
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -162,9 +162,10 @@ def mix(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
     """Rows of ``docs`` as often as the mix takes them, with their columns as they are; texts are not moved."""
-    names = {c: f"_mix_{c}" for c in ("source_size", "target", "repeats", "threshold")}
-    cuts = source_cuts(checkpointed(_sized(docs)), how).withColumnsRenamed({"_source": "_mix_source", **names})
-    copies = F.col("_mix_repeats") + (id_hash(docs["doc_id"]) < F.col("_mix_threshold")).cast("bigint")
-    joined = docs.join(F.broadcast(cuts) if cuts.count() <= BROADCAST_ROWS else cuts, docs["source"].cast("string").eqNullSafe(F.col("_mix_source")))
-    taken = joined.where(copies > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
-    return taken.select(*docs.columns)
+    names = {c: free_name(docs, c) for c in ("_source", "source_size", "target", "repeats", "threshold", "_copy")}
+    source, repeats, threshold, copy = (names[c] for c in ("_source", "repeats", "threshold", "_copy"))
+    cuts = source_cuts(checkpointed(_sized(docs)), how).withColumnsRenamed(names)
+    copies = F.col(repeats) + (id_hash(docs["doc_id"]) < F.col(threshold)).cast("bigint")
+    joined = docs.join(F.broadcast(cuts) if cuts.count() <= BROADCAST_ROWS else cuts, F.col("source").cast("string").eqNullSafe(F.col(source)))
+    taken = joined.where(copies > 0).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.texts import ascii_lower_word, bounded, row_key, stored
+from tenura.llm.texts import ascii_lower_word, bounded, free_name, row_key, stored
 from tenura.session import checkpointed
 
 # What lies between words: ASCII characters that are neither digits nor letters.
@@ -209,6 +209,7 @@ def _renamed(df: DataFrame, prefix: str) -> DataFrame:
 def clean_documents(docs: DataFrame, benchmark: DataFrame, how: Windows = Windows()) -> DataFrame:
     """Rows of ``docs`` that are not contaminated, with their columns as they are."""
     found = contamination(docs, benchmark, how).where("contaminated")
-    bad = bounded(found.select(F.col("doc_id").alias("_bad_doc"), F.col("row").alias("_bad_row")).distinct())
-    same = docs["doc_id"].eqNullSafe(F.col("_bad_doc")) & (row_key(["doc_id", "text"]) == F.col("_bad_row"))
+    doc, row = free_name(docs, "_doc"), free_name(docs, "_row")
+    bad = bounded(found.select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (row_key(["doc_id", "text"]) == F.col(row))
     return docs.join(bad, same, "left_anti")

@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-CLASHES = ["row", "node", "size", "hash", "kept", "n_words", "target", "kind", "score", "features", "label", "item", "pos", "term", "root", "copies", "spans"]
+CLASHES = [
+    "row", "node", "size", "hash", "kept", "n_words", "target", "kind", "score", "features", "label", "item", "pos", "term", "root", "copies", "spans",
+    "_gone", "_q_doc", "_q_row", "_bad_doc", "_bad_row", "_mix_source", "_mix_repeats", "_mix_copy", "_again", "_key", "_vertex", "_doc", "_row", "_source",
+    "_copy", "source_size", "repeats", "threshold", "_id", "_hash",
+]
 
 
 def documents(spark: SparkSession, rows: list[tuple]) -> DataFrame:

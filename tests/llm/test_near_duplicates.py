@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tenura.llm import minhash
 from tenura.llm.components import components
@@ -12,14 +13,14 @@ def lowered(text):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
 
 
-def shingles(text):
+def shingles(text, size=2):
     words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", lowered(text)) if w]
-    return {tuple(words)} if len(words) == 1 else set(zip(words, words[1:]))
+    return {tuple(words)} if 0 < len(words) < size else set(zip(*(words[i:] for i in range(size))))
 
 
-def brute(rows):
+def brute(rows, size=2):
     """(doc_id, n, component, kept) of every row, all pairs compared."""
-    sets = [shingles(r[1]) for r in rows]
+    sets = [shingles(r[1], size) for r in rows]
     root = {r[0]: r[0] for r in rows if r[0] is not None}
 
     def find(x):
@@ -96,9 +97,28 @@ def test_one_row_of_each_group_stays(spark):
     docs = documents(spark, rows)
     left = deduplicated(docs)
     assert left.columns == docs.columns
-    ids = sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect())
-    expected = {r[0]: (r[0] is None, r[0] or 0) for r in brute(rows) if r[3] and r[0] is not None}
-    assert ids == sorted([*expected.values(), (True, 0), (True, 0)])
+    # Rows with one id and one text are a document; rows with one id and two texts are two.
+    named = sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: (r[0], r[1] or ""))
+    alone = [(i, text) for i, (_, text) in enumerate(named)]
+    expected = [named[i][0] for i, _, _, kept in brute(alone) if kept]
+    assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted(expected)
+    assert left.where("doc_id IS NULL").count() == 2
+
+
+def test_rows_of_one_id_with_other_texts_are_kept(spark):
+    long = [" ".join(f"{t}{k}" for k in range(30)) for t in "abc"]
+    rows = [(1, "one two three four five six", "en", "s"), (1, "wholly different words in this one", "en", "s"), (2, long[0], "en", "s"),
+            (3, long[0], "en", "s"), (3, long[1], "en", "s"), (4, long[1] + " end", "en", "s"), (4, long[1] + " end", "en", "s"), (5, None, "en", "s"),
+            (5, "", "en", "s"), (6, long[2], "en", "s"), (6, long[2], "en", "s")]
+    left = sorted((r.doc_id, r.text) for r in deduplicated(documents(spark, rows)).select("doc_id", F.coalesce("text", F.lit("-")).alias("text")).collect())
+    assert left == sorted([(1, rows[0][1]), (1, rows[1][1]), (2, long[0]), (3, long[1]), (5, "-"), (5, ""), (6, long[2])])
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1_000])
+def test_hot_buckets_change_nothing(spark, hot_rows):
+    base = [f"w{k}" for k in range(40)]
+    rows = [(i, " ".join([*base[:i % 20], f"x{i % 9}", *base[i % 20:]]), "en", "s") for i in range(60)]
+    same(near_duplicates(documents(spark, rows), NearDuplicates(hot_rows=hot_rows)), rows)
 
 
 def test_components_of_a_long_path_and_a_hub(spark):
