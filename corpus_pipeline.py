@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tenura.llm.fertility import Fertility, kept_documents
-from tenura.llm.minhash import deduplicated
+from tenura.llm.minhash import NearDuplicates, deduplicated
 from tenura.llm.mixing import mixed_documents
 from tenura.llm.positions import clean_documents
 from tenura.llm.texts import shared_folder, table
@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group; see ``minhash.deduplicated``."""
-    return deduplicated(docs)
+    """One document of each near-duplicate group by shingles of five words; see ``minhash.deduplicated``."""
+    return deduplicated(docs, NearDuplicates(words=5))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
