@@ -15,6 +15,8 @@ FAN = 8
 # Levels of an aligned block: a block holds FAN ** LEVELS nodes of the level it starts from.
 LEVELS = 3
 BLOCK = FAN**LEVELS
+# Paths of a few KB each: tables of at most this many go to all tasks.
+PATH_ROWS = 5_000
 STEP = "struct<before:string,after:string>"
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -167,7 +169,7 @@ def unfolded(trees: Forest, ends: DataFrame) -> DataFrame:
         whole = layer.where(F.col("height") <= LEVELS * (depth + 1))
         joined = matched(whole, ends, ["tree"], False)
         if paths is not None:
-            joined = joined.unionByName(layer.join(bounded(paths), ["tree", "block"]).select(*joined.columns))
+            joined = joined.unionByName(layer.join(bounded(paths, PATH_ROWS), ["tree", "block"]).select(*joined.columns))
         every = F.transform(
             F.sequence(F.lit(0), F.size("entries") - 1),
             lambda j: F.struct(
@@ -209,7 +211,7 @@ def manifest(rows: DataFrame) -> Manifest:
     no_path = F.array().cast(f"array<{STEP}>")
     ends = rows.sparkSession.range(1).select(F.col("id").alias("tree"), no_path.alias("path"))
     subroots = unfolded(above, ends).select(F.col("place").alias("tree"), F.col("entry.digest").alias("subroot"), "path")
-    subtrees = bounded(matched(subroots, groups.select("tree", "lang", "rows"), ["tree"], False))
+    subtrees = bounded(matched(subroots, groups.select("tree", "lang", "rows"), ["tree"], False), PATH_ROWS)
     documents = unfolded(below, subtrees.select("tree", "subroot", "path", "lang")).select(
         F.col("entry.doc_id").alias("doc_id"), "lang", F.col("entry.digest").alias("leaf"), F.col("entry.changed").alias("changed"),
         "subroot", F.lit(root).cast("string").alias("root"), "path",

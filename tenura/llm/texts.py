@@ -29,10 +29,13 @@ CACHE_WORDS = 300_000
 BROADCAST_ROWS = 500_000
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """A checkpointed side, with a broadcast hint if its count is small. It changes the plan, never the rows."""
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A checkpointed side, with a broadcast hint if its count is small. It changes the plan, never the rows.
+
+    The default is for narrow rows (ids, hashes, counts: 100 bytes, so 50 MB at most); sides of wider rows name a lower one.
+    """
     stored = checkpointed(df)
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+    return F.broadcast(stored) if stored.count() <= rows else stored
 
 
 @contextmanager
