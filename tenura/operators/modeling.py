@@ -9,9 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tenura.operators.explore import long_form
 from tenura.operators.ordered import exact_quantiles
+from tenura.operators.perceptron import Perceptron, fit_perceptron
 from tenura.schemas import CATEGORICAL_FEATURES
 from tenura.session import checkpointed
 
@@ -152,12 +151,6 @@ def boosted_trees(
     )
 
 
-def perceptron(inputs: int, hidden: Sequence[int] = (128, 64, 32), max_iter: int = 500, seed: int = 42):
-    return MultilayerPerceptronClassifier(
-        featuresCol=FEATURES, labelCol=LABEL, layers=[inputs, *hidden, 2], maxIter=max_iter, seed=seed
-    )
-
-
 def random_forest(weighted: bool, trees: int = 400, seed: int = 42, **extra) -> RandomForestClassifier:
     return RandomForestClassifier(
         featuresCol=FEATURES, labelCol=LABEL, numTrees=trees, seed=seed, **({"weightCol": WEIGHT} if weighted else {}), **extra
@@ -206,9 +199,10 @@ def fit_prepared(prepared: Prepared, kind: str, balanced: bool = True, seed: int
     elif kind == FOREST:
         estimator = random_forest(balanced, seed=seed, **params)
     elif kind == PERCEPTRON:
-        slots = slot_names(prepared.head, prepared.features)
-        estimator = perceptron(sum(len(s) for s in slots.values()), seed=seed, **params)
-        vectors = resampled_by_weight(vectors, key, seed=seed) if balanced else vectors
+        inputs = sum(len(s) for s in slot_names(prepared.head, prepared.features).values())
+        arrays = vectors.withColumn("_x", vector_to_array(FEATURES))
+        stage, _ = fit_perceptron(arrays, key, LABEL, WEIGHT, "_x", inputs, Perceptron(seed=seed, **params), FEATURES)
+        return PipelineModel(stages=[*prepared.head.stages, stage])
     else:
         raise ValueError(f"unknown model kind: {kind}")
     return PipelineModel(stages=[*prepared.head.stages, estimator.fit(vectors)])

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenura.operators.neighbours import Forest, forest_neighbours
 from tenura.operators.ordered import hash_positions
 from tenura.session import checkpointed
 
@@ -85,9 +86,14 @@ class _Cells:
         return np.nonzero(~outside & (self.rows > 0))
 
 
-def near_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_rows: int = 2_000) -> DataFrame:
+def near_neighbours(
+    df: DataFrame, key: str, vector: str, k: int = 5, block_rows: int = 2_000, recall: float | None = None, forest: Forest = Forest()
+) -> DataFrame:
     """The ``k`` nearest rows of each row: (key, vector, neighbours array of vectors); fewer only where fewer exist.
 
+    Without ``recall`` the search is exact. With it an index finds candidates in about n log n comparisons, at least that
+    share of the true neighbours as measured on a sample of the rows; see ``neighbours.Forest``. All distances are exact.
+
     Equal vectors are collapsed to one with a count, so a crowded point costs no more than any other; its own copies
     are its nearest neighbours. Distinct vectors fall into cells, each around the nearest of some pivots, and cells into
     blocks of about ``block_rows``. The k-th distance inside its block bounds what a vector looks for; it is then compared
@@ -98,6 +104,10 @@ def near_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_rows
         df.where(F.col(vector).isNotNull()).groupBy(F.col(vector).alias("_x"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min(F.col(key).cast("string")).alias("_id"))
     )
+    if recall is not None:
+        best = forest_neighbours(points.select("_id", "_x"), k, recall, forest)[0]
+        if best is not None:
+            return _with_vectors(df, key, vector, points, best, k)
     wanted = max(1, min(MOST_PIVOTS, points.count() // block_rows))
     pivots = _stacked(pd.Series([r["_x"] for r in points.orderBy(F.xxhash64("_id"), "_id").limit(wanted).select("_x").collect()]))
     if not len(pivots):
@@ -153,6 +163,11 @@ def near_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_rows
     found = asking.unionByName(data).groupBy("_cell", "_block", "_chunk").applyInPandas(meeting, "_id string, _other string, d double")
     # At most k rows from each block a vector has met.
     best = found.groupBy("_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", F.col("_other").alias("id")))), 1, k).alias("_best"))
+    return _with_vectors(df, key, vector, points, best, k)
+
+
+def _with_vectors(df: DataFrame, key: str, vector: str, points: DataFrame, best: DataFrame, k: int) -> DataFrame:
+    """Neighbours as vectors, a crowded point as often as it has rows, for each row of ``df``."""
     others = points.select(F.col("_id").alias("id"), F.col("_x").alias("x"), F.col("_n").alias("m"))
     candidates = best.select("_id", F.inline("_best")).join(others, "id").select("_id", F.struct("d", "id", "x", "m").alias("c"))
     nearest = candidates.groupBy("_id").agg(F.sort_array(F.collect_list("c")).alias("_near"))
@@ -165,10 +180,12 @@ def near_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_rows
 
 
 def smote(
-    df: DataFrame, key: str, vector: str, label: str, ratio: float = 0.5, k: int = 5, seed: int = 42
+    df: DataFrame, key: str, vector: str, label: str, ratio: float = 0.5, k: int = 5, seed: int = 42, recall: float | None = 0.95
 ) -> DataFrame:
     """Add synthetic rows of class 1 until it has ``ratio`` times the rows of class 0.
 
+    Neighbours are found with at least ``recall`` (None: exactly); up to ``Forest.leaf_rows`` distinct vectors all are exact.
+
     Each new row lies on the line from a minority row to one of its nearest neighbours; draws depend only on key and seed.
     Rows keep key, vector and label; a new key is the source key with a number.
     """
@@ -179,7 +196,7 @@ def smote(
     minority, wanted = counts["minority"], max(int(ratio * counts["majority"] - counts["minority"]), 0)
     if not wanted or not minority:
         return kept
-    sources = checkpointed(near_neighbours(kept.where(F.col(label) == 1), key, vector, k))
+    sources = checkpointed(near_neighbours(kept.where(F.col(label) == 1), key, vector, k, recall=recall))
     numbered = hash_positions(sources, key, f"smote:{seed}", "_position")
     whole, rest = divmod(wanted, minority)
     copies = F.lit(whole) + (F.col("_position") < rest).cast("int")
