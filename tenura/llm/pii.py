@@ -8,10 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Total lengths of account numbers by country.
+# Total lengths of account numbers by country, as registered.
 IBAN_LENGTHS = {
-    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "HU": 28,
-    "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29,
+    "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19,
+    "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24,
+    "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+    "YE": 30,
 }
 CONTEXT = 48  # code points looked at on either side of a span
 
@@ -21,7 +28,8 @@ class Kind:
     """A kind of span: where a text is looked at, the pattern, the check of a match and what its surroundings are worth.
 
     Patterns use possessive repeats and may only start where a longer match could not have started, so long runs of
-    letters or digits cost linear time and no stack. ``hint`` raises and ``doubt`` lowers the score by 0.3.
+    letters or digits cost linear time and no stack. ``hint`` raises and ``doubt`` lowers the score by 0.3. ``edge``
+    is what may not touch a match on either side.
     """
 
     name: str
@@ -33,6 +41,7 @@ class Kind:
     doubt: str
     base: bool = True
     edge: str | None = None
+    lead: str | None = None  # what has to stand right before, in lower case
 
 
 def _digits(match: Column) -> Column:
@@ -78,12 +87,43 @@ def _card(match: Column) -> Column:
 
 
 def _iban(match: Column) -> Column:
-    number = F.replace(match, F.lit(" "), F.lit(""))
-    lengths = F.create_map(*[F.lit(x) for pair in sorted(IBAN_LENGTHS.items()) for x in pair])
-    known = F.char_length(number) == F.try_element_at(lengths, F.substring(number, 1, 2))
-    return F.coalesce(known, F.lit(False)) & mod97(number)
+    return mod97(F.replace(match, F.lit(" "), F.lit("")))
 
 
+def iban_pattern() -> str:
+    """Countries by the exact length of their numbers, so that a match ends where the number does."""
+    countries: dict[int, list[str]] = {}
+    for country, length in sorted(IBAN_LENGTHS.items()):
+        countries.setdefault(length, []).append(country)
+    parts = []
+    for length, names in sorted(countries.items()):
+        groups, rest = divmod(length - 4, 4)
+        tail = f"(?: ?[A-Z0-9]{{{rest}}})" if rest else ""
+        parts.append(f"(?:{'|'.join(names)})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}")
+    return "(?:" + "|".join(parts) + ")"
+
+
+def entropy(text: Column) -> Column:
+    """Bits per character of a text by its own character counts."""
+    chars = _chars(text)
+    n = F.char_length(text).cast("double")
+
+    def bits(total: Column, char: Column) -> Column:
+        count = F.size(F.filter(chars, lambda c: c == char)).cast("double")
+        return total + count * F.log2(count)
+
+    return F.log2(n) - F.aggregate(F.array_distinct(chars), F.lit(0.0), bits) / n
+
+
+def _secret(match: Column) -> Column:
+    return match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (entropy(match) >= SECRET_BITS)
+
+
+SECRET_PATTERN = r"[A-Za-z0-9+/_-]{20,}"
+SECRET_BITS = 3.0
+SECRET_LEAD = r"(token|secret|passwor[dt]|passwd|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|auth|bearer)[\"']?[ ]?[:=]?[ ]?[\"']?$"
+SECRET_DOUBT = "example|sample|placeholder|dummy"
+
 KINDS = [
     Kind(
         "email", "@",
@@ -101,7 +141,7 @@ KINDS = [
         "phone|call|tel|mobile|fax", "order|invoice|formula",
     ),
     Kind(
-        "iban", "[0-9]", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", _iban, 0.8, "iban|account|bank|konto|cuenta|compte", "sample",
+        "iban", "[0-9]", iban_pattern(), _iban, 0.8, "iban|account|bank|konto|cuenta|compte", "sample",
         base=False, edge="[A-Za-z0-9]",
     ),
     Kind(
@@ -109,6 +149,10 @@ KINDS = [
         lambda m: ~m.rlike("^(000|666|9)") & ~m.rlike("-00-|-0000$"), 0.3, "ssn|social|security", "order|invoice|serial",
         base=False, edge="[0-9-]",
     ),
+    Kind(
+        "secret", "[0-9]", SECRET_PATTERN + "+", _secret, 0.3, "token|secret|passw|key|credential|auth|bearer", SECRET_DOUBT,
+        base=False, edge="[A-Za-z0-9+/_-]", lead=SECRET_LEAD,
+    ),
 ]
 SPAN = "struct<kind:string,start:int,end:int,text:string,score:double>"
 
@@ -134,6 +178,8 @@ def _spans(text: Column, matches: Column, pieces: Column, kind: Kind) -> Column:
         bare = F.lit(True)
         if kind.edge:
             bare = ~before.rlike(f"{kind.edge}$") & ~after.rlike(f"^{kind.edge}")
+        if kind.lead:
+            bare = bare & F.lower(before).rlike(kind.lead)
         return F.struct(
             F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), match.alias("text"),
             F.round(F.least(score, F.lit(1.0)), 2).alias("score"), bare.alias("bare"),
@@ -149,8 +195,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id and spans, an array of (kind, start, end, text, score) by kind and start.
 
     Matches are leftmost and do not overlap within a kind; one that fails its check is dropped. Spans of the base kinds
-    (email, ip, card, phone) stay whatever their score; account and social-security numbers need 0.5. Places count
-    code points, the end is exclusive. NULL and empty texts have no spans; repeated rows and NULL ids give a row each;
+    (email, ip, card, phone) stay whatever their score; account and social-security numbers and secrets need 0.5. A secret is
+    a run of 20 or more key characters with letters, digits and enough entropy behind a word that names it. Places count code points, the end is exclusive. NULL and empty texts have no spans; repeated rows and NULL ids give a row each;
     an empty table gives none; other columns are ignored.
     """
     df = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"))

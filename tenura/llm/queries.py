@@ -14,7 +14,7 @@ from tenura.llm.langid import identified
 from tenura.llm.merkle import FAN, verified_documents
 from tenura.llm.minhash import near_duplicates
 from tenura.llm.mixing import mix
-from tenura.llm.pii import IBAN_LENGTHS, listed, personal_data
+from tenura.llm.pii import SECRET_BITS, SECRET_DOUBT, SECRET_LEAD, SECRET_PATTERN, iban_pattern, listed, personal_data
 from tenura.llm.pivots import PivotClustering, clusters
 from tenura.llm.positions import contamination
 from tenura.llm.quotations import linked_messages
@@ -152,7 +152,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     ]
     return found.select(
         "doc_id", *counts, F.sha2(listed("spans", base_only=True), 256).alias("base_sha256"),
-        listed("spans", base_only=False).alias("spans"),
+        listed("spans", base_only=False).alias("spans"), F.size("spans").cast("bigint").alias("n_spans"),
     )
 
 
@@ -175,7 +175,10 @@ _MOD97 = (
     f"list_reduce(list_transform(string_split({_TURNED}, ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN CAST(c AS BIGINT) "
     "ELSE CAST(ascii(c) - 55 AS BIGINT) END), lambda r, v: (r * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97, CAST(0 AS BIGINT)) = 1"
 )
-_LENGTHS = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in sorted(IBAN_LENGTHS.items())) + "}"
+_ENTROPY = (
+    "log2(len(m)) - list_sum(list_transform(list_distinct(string_split(m, '')), "
+    "lambda c: (len(m) - len(replace(m, c, ''))) * log2(len(m) - len(replace(m, c, ''))))) / len(m)"
+)
 ORACLES["op8_pii"] = (
     "WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS ("
     + " UNION ALL ".join([
@@ -183,31 +186,34 @@ ORACLES["op8_pii"] = (
         _span_sql("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "list_max(list_transform(string_split(m, '.'), lambda x: CAST(x AS HUGEINT))) <= 255"),
         _span_sql("card", r"[0-9](?:[\x20-]?[0-9])+", f"len({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}"),
         _span_sql("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"len({_DIGITS}) BETWEEN 9 AND 15"),
-        _span_sql("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", f"{_LENGTHS}[m[1:2]] = len(replace(m, ' ', '')) AND {_MOD97}"),
+        _span_sql("iban", iban_pattern(), _MOD97),
         _span_sql("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "NOT regexp_matches(m, '^(000|666|9)') AND NOT regexp_matches(m, '-00-|-0000$')"),
+        _span_sql("secret", SECRET_PATTERN, f"regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND {_ENTROPY} >= {SECRET_BITS}"),
     ])
     + r"""
 ), placed AS (
   SELECT *, a + len(m) AS b, t[greatest(a - 47, 1):a] AS l, t[a + len(m) + 1:a + len(m) + 48] AS r FROM found
 ), kept AS (
-  SELECT doc_id, kind, a, b, list_position(['email', 'ip', 'card', 'phone', 'iban', 'ssn'], kind) AS k FROM placed
+  SELECT doc_id, kind, a, b, list_position(['email', 'ip', 'card', 'phone', 'iban', 'ssn', 'secret'], kind) AS k FROM placed
   WHERE kind IN ('email', 'ip', 'card', 'phone')
     OR kind = 'iban' AND NOT regexp_matches(l, '[A-Za-z0-9]$') AND NOT regexp_matches(r, '^[A-Za-z0-9]')
       AND (NOT regexp_matches(lower(l || ' ' || r), 'sample') OR regexp_matches(lower(l || ' ' || r), 'iban|account|bank|konto|cuenta|compte') OR 0.8 - 0.3 >= 0.5)
     OR kind = 'ssn' AND NOT regexp_matches(l, '[0-9-]$') AND NOT regexp_matches(r, '^[0-9-]')
       AND regexp_matches(lower(l || ' ' || r), 'ssn|social|security') AND NOT regexp_matches(lower(l || ' ' || r), 'order|invoice|serial')
+    OR kind = 'secret' AND NOT regexp_matches(l, '[A-Za-z0-9+/_-]$') AND NOT regexp_matches(r, '^[A-Za-z0-9+/_-]')
+      AND regexp_matches(lower(l), 'LEAD') AND NOT regexp_matches(lower(l || ' ' || r), 'DOUBT')
 ), joined AS (
   SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
     count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
     string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) FILTER (k <= 4) AS base,
-    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) AS spans
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) AS spans, count(*) AS n_spans
   FROM kept GROUP BY 1
 )
 SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
-  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_spans, 0) AS n_spans
 FROM texts LEFT JOIN joined USING (doc_id)
 """
-)
+).replace("LEAD", SECRET_LEAD.replace("'", "''")).replace("DOUBT", SECRET_DOUBT)
 
 
 @query("op1_toxicity")

@@ -1,6 +1,6 @@
 import re
 
-from tenura.llm.pii import listed, personal_data
+from tenura.llm.pii import IBAN_LENGTHS, listed, personal_data
 from tests.llm.samples import SCHEMA, documents, messy_rows
 
 PATTERNS = {
@@ -60,6 +60,25 @@ def test_checksums_and_context_of_added_kinds(spark):
         assert not [s for s in spans(spark, text) if s[0] == "ssn"], text
 
 
+def test_account_numbers_end_where_their_country_says(spark):
+    numbers = ["AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "SA03 8000 0000 6080 1016 7519", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"]
+    for number in numbers:
+        for after in (" BIC", " EUR 100", ".", " and more", ""):
+            assert [s[3] for s in spans(spark, f"x {number}{after}") if s[0] == "iban"] == [number], (number, after)
+    assert not [s for s in spans(spark, "AT61 1904 3002 3457 3202 ZZ61 1904 3002 3457 3201") if s[0] == "iban"]
+    assert len({len(k) for k in IBAN_LENGTHS}) == 1 and max(IBAN_LENGTHS.values()) == 33
+
+
+def test_secrets(spark):
+    value = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    for text in (f'token = "{value}" rest', f"API_KEY={value}", f"the password: {value}.", f"Bearer {value}"):
+        assert [s[3] for s in spans(spark, text) if s[0] == "secret"] == [value], text
+    for text in (f"commit {value}", f'an example token = "{value}"', "token = " + "1" * 40, "token = " + "abcd" * 10 + "1", "token = " + "a" * 19 + "1",
+                 f"token = x.{value}", "secret = " + "only-letters-of-a-long-name"):
+        found = [s for s in spans(spark, text) if s[0] == "secret"]
+        assert not found, (text, found)
+
+
 def test_context_moves_the_score(spark):
     assert spans(spark, "call +49 30 1234567")[0][4] == 1.0
     assert spans(spark, "+49 30 1234567")[0][4] == 0.7
