@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenura.llm.merkle import numbered
 from tenura.llm.texts import by_slice, row_key, stored
 from tenura.session import checkpointed
 
@@ -105,19 +106,60 @@ def _thread_starts(links: DataFrame) -> DataFrame:
         current = current.drop("_more")
 
 
+def _reply_positions(nodes: DataFrame) -> DataFrame:
+    """(conv_id, turn, position): places 0, 1, ... in each conversation, every reply behind what it answers.
+
+    ``nodes`` are distinct (conv_id, turn, reply_to). Conversations without a reply are in order of turn. In the others
+    messages are walked depth first, the branches of a message in order of turn: entering and leaving a message are two
+    steps of one chain, and a step's distance to the chain's end is found by doubling, so the number of rounds is the
+    logarithm of the longest conversation and no conversation meets in one task.
+    """
+    answered = nodes.where("reply_to IS NOT NULL").select("conv_id").distinct()
+    ordered = numbered(nodes, ["conv_id", "reply_to", "turn"])
+    plain = ordered.join(answered, "conv_id", "left_anti")
+    first = plain.groupBy("conv_id").agg(F.min("place").alias("first"))
+    straight = plain.join(first, "conv_id").select("conv_id", "turn", (F.col("place") - F.col("first")).alias("position"))
+    tree = checkpointed(ordered.join(answered, "conv_id", "left_semi"))
+    if tree.isEmpty():
+        return straight
+    # A message is named by its place; a step by twice the place, plus one when the message is left.
+    parents = tree.select(F.col("conv_id"), F.col("turn").alias("reply_to"), F.col("place").alias("parent"))
+    named = checkpointed(tree.join(parents, ["conv_id", "reply_to"], "left").select("conv_id", "turn", "place", "parent"))
+    eldest = named.where("parent IS NOT NULL").groupBy(F.col("parent").alias("place")).agg(F.min("place").alias("child"))
+    sibling = named.select(F.col("conv_id").alias("_c"), F.col("parent").alias("_p"), (F.col("place") - 1).alias("place"))
+    near = named.join(eldest, "place", "left").join(sibling, "place", "left")
+    beside = F.when(F.col("_c").eqNullSafe(F.col("conv_id")) & F.col("_p").eqNullSafe(F.col("parent")), 2 * (F.col("place") + 1))
+    steps = near.select(F.inline(F.array(
+        F.struct((2 * F.col("place")).alias("step"), F.coalesce(2 * F.col("child"), 2 * F.col("place") + 1).alias("next"), F.lit(1).cast("bigint").alias("left")),
+        F.struct((2 * F.col("place") + 1).alias("step"), F.coalesce(beside, 2 * F.col("parent") + 1).alias("next"), F.lit(0).cast("bigint").alias("left")),
+    )))
+    current = checkpointed(steps)
+    while not current.where("next IS NOT NULL").isEmpty():
+        ahead = current.select(F.col("step").alias("next"), F.col("next").alias("_next"), F.col("left").alias("_left"))
+        moved = current.join(ahead, "next", "left")
+        current = checkpointed(moved.select("step", F.col("_next").alias("next"), (F.col("left") + F.coalesce("_left", F.lit(0))).alias("left")))
+    entered = current.where("step % 2 = 0").select(F.expr("step div 2").alias("place"), "left")
+    reached = named.join(entered, "place")
+    whole = named.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
+    walked = reached.join(whole, "conv_id").select("conv_id", "turn", (F.col("_n") - F.col("left")).alias("position"))
+    return straight.unionByName(walked)
+
+
 def linked_messages(messages: DataFrame) -> DataFrame:
-    """One row per input row: conv_id, turn, role, n_quotes, n_linked, reply_to, origin_conv, origin_turn, thread and body.
+    """One row per input row: conv_id, turn, role, n_quotes, n_linked, reply_to, origin_conv, origin_turn, thread, position and body.
 
     A quoted passage (a run of lines of one level) is hashed as a whole, by paragraph, line and sentence, and so are all
     messages' own texts. The parts are joined by hash to the first message that has them: an earlier one of the same
     conversation if there is one, else the first of all other conversations. A passage is linked by its longest part
     (in words, then in order) that any message has; a piece of a line that is no whole sentence is no part.
     ``reply_to`` is the latest turn among the linked passages of the lowest level in the same conversation, ``origin_*``
-    the message behind the first passage that is linked to another conversation. Ordering a conversation by (thread, turn) puts replies behind what they answer.
+    the message behind the first passage that is linked to another conversation. ``thread`` is the turn that a chain of
+    replies starts from. Ordering a conversation by ``position`` gives its messages depth first: each behind what it
+    answers, before the next branch; rows that share a turn share its position.
 
     Hashes of own passages are reduced to one row a conversation, and one in all, before the join, so common lines and
     long conversations bring no more. NULL and empty texts have an empty body and no quotes. Rows with a NULL conv_id or
-    turn are never linked. Repeated rows give repeated results; an empty table gives none; other columns are ignored.
+    turn are never linked and have no position. Repeated rows give repeated results; an empty table gives none; other columns are ignored.
     """
     rows = _messages(messages)
     own = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("own").alias("hash"))
@@ -156,7 +198,11 @@ def linked_messages(messages: DataFrame) -> DataFrame:
     starts = _thread_starts(by_message.where("reply_to IS NOT NULL"))
     found = by_message.join(starts, ["conv_id", "turn"], "left").withColumnsRenamed({"conv_id": "_c", "turn": "_t", "row": "_r"})
     same = (F.col("conv_id") == F.col("_c")) & (F.col("turn") == F.col("_t")) & (F.col("row") == F.col("_r"))
-    return rows.join(found, same, "left").select(
+    replies = by_message.groupBy("conv_id", "turn").agg(F.min("reply_to").alias("reply_to"))
+    nodes = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn").distinct().join(replies, ["conv_id", "turn"], "left")
+    places = _reply_positions(checkpointed(nodes)).withColumnsRenamed({"conv_id": "_pc", "turn": "_pt"})
+    at = (F.col("conv_id") == F.col("_pc")) & (F.col("turn") == F.col("_pt"))
+    return rows.join(found, same, "left").join(places, at, "left").select(
         "conv_id", "turn", "role", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
-        "reply_to", "origin_conv", "origin_turn", F.coalesce("thread", "turn").alias("thread"), "body",
+        "reply_to", "origin_conv", "origin_turn", F.coalesce("thread", "turn").alias("thread"), "position", "body",
     )
