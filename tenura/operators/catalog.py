@@ -74,32 +74,42 @@ def _text(name: str, kind: str) -> str:
     return f"coalesce(concat(length({value}), ':', {value}), 'N')"
 
 
-def content_hash(df: DataFrame, without: Sequence[str] = ("feature_created_at", "ingestion_timestamp")) -> DataFrame:
-    """Row count and a digest that does not depend on row order or partitioning.
+DIGEST_SUMS = [f"w{i}_{j}" for i in range(4) for j in range(3)]
+
+
+def digest_sums(df: DataFrame, keys: Sequence[str] = (), without: Sequence[str] = ("feature_created_at", "ingestion_timestamp")) -> DataFrame:
+    """Per key the row count and the sums that ``combined_digest`` makes a digest of; sums of parts add up to the whole's.
 
     Each row is hashed with SHA-256 over its columns in name order. Four 60-bit words of the hash are summed over all
     rows, so duplicates count and the sums combine map-side; each word is summed in three 20-bit limbs, whose long sums
-    hold for 8 * 10^12 rows and spare decimal arithmetic per row. The digest hashes the row count and the four sums.
-    Load timestamps are left out.
+    hold for 8 * 10^12 rows and spare decimal arithmetic per row. Keys and load timestamps are left out of the hash.
     """
     kinds = dict(df.dtypes)
-    texts = ", ".join(_text(c, kinds[c]) for c in sorted(df.columns) if c not in without)
-    hashed = df.selectExpr(f"sha2(cast(concat_ws('|', {texts}) as binary), 256) as h")
-    words = hashed.selectExpr(*[f"cast(conv(substr(h, {1 + 15 * i}, 15), 16, 10) as bigint) as w{i}" for i in range(4)])
+    texts = ", ".join(_text(c, kinds[c]) for c in sorted(df.columns) if c not in (*without, *keys))
+    hashed = df.selectExpr(*keys, f"sha2(cast(concat_ws('|', {texts}) as binary), 256) as h")
+    words = hashed.selectExpr(*keys, *[f"cast(conv(substr(h, {1 + 15 * i}, 15), 16, 10) as bigint) as w{i}" for i in range(4)])
     mask = (1 << 20) - 1
-    limbs = [
-        F.expr(f"sum(shiftright(w{i}, {20 * j}) & {mask}) as w{i}_{j}") for i in range(4) for j in range(3)
-    ]
-    sums = words.agg(F.count(F.lit(1)).alias("row_count"), *limbs)
+    limbs = [F.expr(f"sum(shiftright(w{i}, {20 * j}) & {mask}) as w{i}_{j}") for i in range(4) for j in range(3)]
+    return words.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), *limbs)
+
+
+def combined_digest(sums: DataFrame) -> DataFrame:
+    """(row_count, content_hash) of all rows whose parts' sums these are; the digest hashes the row count and four sums."""
+    added = sums.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), *[F.sum(name).alias(name) for name in DIGEST_SUMS])
     whole = [
         " + ".join(f"cast(coalesce(w{i}_{j}, 0) as decimal(20,0)) * {1 << (20 * j)}BD" for j in range(3)) for i in range(4)
     ]
     parts = ", ".join(f"cast(cast({w} as decimal(38,0)) as string)" for w in whole)
-    return sums.selectExpr(
+    return added.selectExpr(
         "row_count", f"sha2(cast(concat_ws('|', cast(row_count as string), {parts}) as binary), 256) as content_hash"
     )
 
 
+def content_hash(df: DataFrame, without: Sequence[str] = ("feature_created_at", "ingestion_timestamp")) -> DataFrame:
+    """Row count and a digest that does not depend on row order or partitioning; see ``digest_sums``."""
+    return combined_digest(digest_sums(df, (), without))
+
+
 def watermark_rows(
     df: DataFrame, table_name: str, watermark_id: int, created_at: datetime, run_id: str | None = None
 ) -> DataFrame:

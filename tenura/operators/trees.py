@@ -116,6 +116,49 @@ def predictions(x: np.ndarray, tables: Sequence[Paths]) -> np.ndarray:
     return total
 
 
+class Walk:
+    """All trees of a node table side by side, to score rows of which some slots are replaced."""
+
+    def __init__(self, nodes: DataFrame):
+        rows = nodes.orderBy("tree", "id").collect()  # as many as the model has nodes
+        place = {(r["tree"], r["id"]): i for i, r in enumerate(rows)}
+        below = {(r["tree"], c) for r in rows for c in (r["left"], r["right"])}
+        self.slot = np.array([r["slot"] if r["left"] >= 0 else -1 for r in rows], np.int64)
+        self.threshold = np.array([r["threshold"] if r["left"] >= 0 else 0.0 for r in rows], float)
+        self.left, self.right = (
+            np.array([place[r["tree"], r[side]] if r["left"] >= 0 else i for i, r in enumerate(rows)], np.int64) for side in ("left", "right"))
+        self.value = np.array([r["value"] if r["left"] < 0 else 0.0 for r in rows], float)
+        self.roots = np.array([i for i, r in enumerate(rows) if (r["tree"], r["id"]) not in below], np.int64)
+        number = {rows[i]["tree"]: k for k, i in enumerate(self.roots)}
+        self.uses: dict[int, list[int]] = {}
+        for r in rows:
+            if r["left"] >= 0:
+                self.uses.setdefault(r["slot"], []).append(number[r["tree"]])
+
+    def values(self, x: np.ndarray, chosen: np.ndarray | None = None) -> np.ndarray:
+        """The leaf value of each row in each of the chosen trees."""
+        at = np.broadcast_to(self.roots if chosen is None else self.roots[chosen], (len(x), len(self.roots) if chosen is None else len(chosen)))
+        rows = np.arange(len(x))[:, None]
+        while (self.slot[at] >= 0).any():
+            slot = np.maximum(self.slot[at], 0)
+            at = np.where(x[rows, slot] <= self.threshold[at], self.left[at], self.right[at])
+        return self.value[at]
+
+    def swapped(self, own: np.ndarray, other: np.ndarray, groups: Sequence[Sequence[int]]) -> np.ndarray:
+        """For each group of slots the prediction when these are taken from ``other``: only trees that use them are walked."""
+        found = np.empty((len(own), len(groups)))
+        for start in range(0, len(own), 256):
+            part = slice(start, start + 256)
+            values = self.values(own[part])
+            whole = values.sum(axis=1)
+            for j, slots in enumerate(groups):
+                chosen = np.array(sorted({t for s in slots for t in self.uses.get(s, [])}), np.int64)
+                moved = own[part].copy()
+                moved[:, slots] = other[part][:, slots]
+                found[part, j] = whole + (self.values(moved, chosen) - values[:, chosen]).sum(axis=1)
+        return found
+
+
 def path_weights(met: np.ndarray, share: np.ndarray) -> np.ndarray:
     """For each slot of each path the summed weight of all subsets of the other slots, times what knowing it changes.
 

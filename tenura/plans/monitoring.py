@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from dataclasses import dataclass
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.operators import monitoring as m
-from tenura.operators.sampling import monitoring_cohorts
+from tenura.operators.sampling import hash_cohort, monitoring_cohorts
+from tenura.schemas import fields
 from tenura.session import checkpointed
+from tenura.sources.tables import rewrite_partitions
 
 COHORT_BASELINE = "historical_baseline_window"
 
@@ -60,8 +63,8 @@ def _cohort_facts(frame: DataFrame) -> DataFrame:
     )
 
 
-def _drift(frame: DataFrame, features: Sequence[str], segments: Sequence[str]) -> DataFrame:
-    """Feature and segment PSI as one job: rows of (family, name, psi)."""
+def _long(frame: DataFrame, features: Sequence[str], segments: Sequence[str], keys: Sequence[str] = ("cohort",)) -> DataFrame:
+    """(keys, n, family, name, value) of every watched feature and of the score within every segment."""
     entries = [
         F.struct(F.lit("feature").alias("family"), F.lit(f).alias("name"), F.col(f).cast("double").alias("value"))
         for f in features
@@ -70,8 +73,20 @@ def _drift(frame: DataFrame, features: Sequence[str], segments: Sequence[str]) -
                  F.col("score").alias("value"))
         for c in segments
     ]
-    long = frame.select("cohort", "n", F.inline(F.array(*entries))).where(F.col("name").isNotNull())
-    return m.psi(long, "value", ["family", "name"], weight="n")
+    return frame.select(*keys, "n", F.inline(F.array(*entries))).where(F.col("name").isNotNull())
+
+
+@dataclass(frozen=True)
+class Limits:
+    """What a verdict compares with."""
+
+    reference_auc: float | None = None
+    reference_source: str = "registry_production"
+    min_samples: int = 1000
+    psi_threshold: float = 0.2
+    auc_delta_threshold: float = 0.05
+    calibration_threshold: float = 0.10
+    segment_threshold: float = 0.2
 
 
 def monitoring_verdict(
@@ -95,9 +110,90 @@ def monitoring_verdict(
     labelled current rows give status insufficient_data without a breach, but keep the reasons found.
     """
     frame = cohort_frame(predictions, features, train, as_of, monitored, min_cohort_rows)
+    limits = Limits(
+        reference_auc, reference_source, min_samples, psi_threshold, auc_delta_threshold, calibration_threshold, segment_threshold)
+    return _verdict_row(frame, _long(frame, monitored, m.SEGMENT_COLUMNS), as_of, limits)
+
+
+STATE = "day date, hashed string, family string, name string, value double, label int, n bigint"
+
+
+def daily_state(
+    predictions: DataFrame, features: DataFrame, train: DataFrame, monitored: Sequence[str] = tuple(m.DEFAULT_MONITORED_FEATURES),
+) -> DataFrame:
+    """Counts by day of all that a verdict needs: scores with their label, feature values, scores within segments.
+
+    Counts of several days, or of parts of a day, add up. ``hashed`` is the cohort of the customer's hash, for verdicts that
+    fall back on it. The table has one row per distinct value, not per scored row.
+    """
+    collapsed = (
+        predictions.where(F.col("churn_probability").isNotNull())
+        .groupBy("customer_id", "churn_probability", F.to_date(F.col("scored_at").cast("timestamp_ntz")).alias("day"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    frame = m.labelled_predictions(collapsed, features, train, monitored, extra=("day", "n"))
+    frame = checkpointed(frame.withColumn("hashed", hash_cohort("msno")))
+    scores = frame.select("day", "hashed", "n", F.lit("score").alias("family"), F.lit(None).cast("string").alias("name"),
+                          F.col("score").alias("value"), "label")
+    long = _long(frame, monitored, m.SEGMENT_COLUMNS, ("day", "hashed")).withColumn("label", F.lit(None).cast("int"))
+    keys = ["day", "hashed", "family", "name", "value", "label"]
+    counted = scores.unionByName(long).groupBy(*keys).agg(F.sum("n").alias("n"))
+    return counted.selectExpr(*[f"cast({n} as {t}) as {n}" for n, t in fields(STATE)])
+
+
+def record_days(
+    spark: SparkSession, path: str, predictions: DataFrame, features: DataFrame, train: DataFrame, first: date, last: date,
+    monitored: Sequence[str] = tuple(m.DEFAULT_MONITORED_FEATURES),
+) -> None:
+    """Write the state of the rows scored from ``first`` up to and without ``last``; a day recorded again is replaced.
+
+    Only these days' predictions are read. Labels and features are those known at this time.
+    """
+    def start(day: date) -> Column:
+        return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
+
+    at = F.col("scored_at").cast("timestamp_ntz")
+    state = daily_state(predictions.where((at >= start(first)) & (at < start(last))), features, train, monitored)
+    rewrite_partitions(state.withColumn("run_date", F.col("day")), path, "run_date")
+
+
+def state_verdict(
+    spark: SparkSession, path: str, as_of: datetime, limits: Limits = Limits(), min_cohort_rows: int = 50,
+) -> DataFrame:
+    """The verdict of ``monitoring_verdict`` from the recorded days, without reading a prediction.
+
+    ``as_of`` is a midnight, so that a day lies in one window. Days before the baseline window are only read where the
+    windows hold too few rows and customers' hashes decide instead.
+    """
+    if as_of != datetime(as_of.year, as_of.month, as_of.day):
+        raise ValueError("recorded days can be judged as of a midnight only")
+    state = spark.read.schema(f"{STATE}, run_date date").parquet(path)
+
+    def since(days: int) -> Column:
+        return F.lit((as_of - timedelta(days=days)).date())
+
+    recent = checkpointed(state.where(F.col("run_date") >= since(90)))
+    window = F.when(F.col("day") >= since(7), "current").otherwise("baseline")
+    sizes = {r["window"]: r["n"] for r in recent.where("family = 'score'").groupBy(window.alias("window")).agg(F.sum("n").alias("n")).collect()}
+    if min(sizes.get("current", 0), sizes.get("baseline", 0)) >= min_cohort_rows:
+        rows, cohort, strategy = recent, window, "time_window"
+    else:
+        rows, cohort, strategy = state, F.col("hashed"), "hash_fallback"
+    marked = rows.select("family", "name", "value", "label", "n", cohort.alias("cohort"))
+    merged = marked.groupBy("family", "name", "value", "label", "cohort").agg(F.sum("n").alias("n"))
+    merged = checkpointed(merged.withColumn("cohort_strategy", F.lit(strategy)))
+    scores = merged.where("family = 'score'").withColumnRenamed("value", "score")
+    return _verdict_row(scores, merged.where("family <> 'score'"), as_of, limits)
+
+
+def _verdict_row(frame: DataFrame, long: DataFrame, as_of: datetime, limits: Limits) -> DataFrame:
+    """A verdict from counted scores (label, score, cohort, cohort_strategy, n) and values (family, name, value, cohort, n)."""
+    reference_auc, min_samples, psi_threshold = limits.reference_auc, limits.min_samples, limits.psi_threshold
+    auc_delta_threshold, calibration_threshold = limits.auc_delta_threshold, limits.calibration_threshold
+    segment_threshold, reference_source = limits.segment_threshold, limits.reference_source
     areas = m.roc_auc(frame, "label", "score", ["cohort"], weight="n")
     area = areas.agg(F.map_from_entries(F.collect_list(F.struct("cohort", "roc_auc"))).alias("by_cohort")).scalar()
-    drift = _drift(frame, monitored, m.SEGMENT_COLUMNS)
+    drift = m.psi(long, "value", ["family", "name"], weight="n")
     named = F.struct("name", "psi")
     drift_maps = drift.agg(F.struct(
         F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("family") == "feature", named)))).alias("feature"),

@@ -6,7 +6,10 @@ import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -20,6 +23,7 @@ from tenura.operators.monitoring import roc_auc
 from tenura.operators.ordered import hash_positions
 from tenura.operators.resampling import smote
 from tenura.operators.sampling import train_validation_split
+from tenura.plans.concurrent import side_by_side
 from tenura.session import checkpointed
 
 SMOTE, CLASS_WEIGHT = "smote", "class_weight_balanced"
@@ -52,21 +56,34 @@ def evaluate(model: PipelineModel, validation: DataFrame, threshold: float = 0.5
 
 def compare_models(
     split: Split, features: Sequence[str], kinds: Mapping[str, Mapping] | Sequence[str], threshold: float = 0.5,
-    balanced: bool = True,
+    balanced: bool = True, at_once: int = 3,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Fit several model kinds on one split; their metrics by AUC, best first and marked, and the models."""
+    """Fit several model kinds on one split; their metrics by AUC, best first and marked, and the models.
+
+    Fits run side by side, at most ``at_once`` at a time. A kind whose fit fails has NULL metrics and its error; it is
+    never the best. Only if all fail is there no table but the first error.
+    """
     spark = split.train.sparkSession
     settings = dict(kinds) if isinstance(kinds, Mapping) else {k: {} for k in kinds}
-    models, rows = {}, []
     prepared = modeling.prepare(split.train, features)
-    for kind, params in settings.items():
-        models[kind] = modeling.fit_prepared(prepared, kind, balanced, **params)
-        metrics = evaluate(models[kind], split.validation, threshold).first()
-        rows.append((kind, *[metrics[name] for name in METRICS]))
-    best = max(rows, key=lambda row: row[-1] if row[-1] is not None else -1.0)[0] if rows else None
-    schema = "model string, " + ", ".join(f"{name} double" for name in METRICS)
+
+    def fitted(kind: str) -> tuple[PipelineModel, list]:
+        model = modeling.fit_prepared(prepared, kind, balanced, **settings[kind])
+        metrics = evaluate(model, split.validation, threshold).first()
+        return model, [metrics[name] for name in METRICS]
+
+    found = side_by_side(spark, {kind: partial(fitted, kind) for kind in settings}, at_once)
+    done = {kind: outcome.value for kind, outcome in found.items() if outcome.error is None}
+    if settings and not done:
+        raise next(iter(found.values())).error
+    best = max(done, key=lambda kind: done[kind][1][-1] if done[kind][1][-1] is not None else -1.0) if done else None
+    rows = [
+        (kind, *(done[kind][1] if kind in done else [None] * len(METRICS)), str(found[kind].error)[:500] if kind not in done else None)
+        for kind in settings
+    ]
+    schema = "model string, " + ", ".join(f"{name} double" for name in METRICS) + ", error string"
     table = spark.createDataFrame(rows, schema).withColumn("best", F.col("model") == F.lit(best))
-    return table.orderBy(F.col("roc_auc").desc(), "model"), models
+    return table.orderBy(F.col("roc_auc").desc(), "model"), {kind: model for kind, (model, _) in done.items()}
 
 
 def fit_with_smote(
@@ -93,11 +110,16 @@ def choose_strategy(metrics: Mapping[str, Mapping[str, float]]) -> str:
 def compare_imbalance(split: Split, features: Sequence[str], threshold: float = 0.5, seed: int = 42) -> DataFrame:
     """Synthetic rows against class weights, by F1, with the chosen strategy marked."""
     spark = split.train.sparkSession
-    models = {
-        SMOTE: fit_with_smote(split.train, features, seed=seed),
-        CLASS_WEIGHT: modeling.fit(split.train, features, modeling.LOGISTIC, balanced=True, seed=seed),
+    work = {
+        SMOTE: lambda: evaluate(fit_with_smote(split.train, features, seed=seed), split.validation, threshold).first().asDict(),
+        CLASS_WEIGHT: lambda: evaluate(
+            modeling.fit(split.train, features, modeling.LOGISTIC, balanced=True, seed=seed), split.validation, threshold).first().asDict(),
     }
-    measured = {name: evaluate(model, split.validation, threshold).first().asDict() for name, model in models.items()}
+    found = side_by_side(spark, work)
+    for outcome in found.values():
+        if outcome.error is not None:
+            raise outcome.error  # a choice needs both
+    measured = {name: outcome.value for name, outcome in found.items()}
     chosen = choose_strategy(measured)
     rows = [(name, *[m[c] for c in METRICS], m["support_churn"], name == chosen) for name, m in measured.items()]
     schema = "strategy string, " + ", ".join(f"{c} double" for c in METRICS) + ", support_churn bigint, chosen boolean"
@@ -136,6 +158,71 @@ def permutation_importance(
     )
 
 
+def model_permutation_importance(
+    model: PipelineModel, validation: DataFrame, features: Sequence[str], label: str = "is_churn", key: str = "msno", repeats: int = 8,
+    seed: int = 42,
+) -> DataFrame:
+    """``permutation_importance`` of a linear model or tree ensemble by differences of scores, with the same draws.
+
+    Rows are encoded once. A row meets its donor's vector once a repeat; a linear margin then changes by one feature's
+    slots, an ensemble only in the trees that ask for them. Other models are scored in full. AUC depends on the order of
+    scores only, so margins serve as well as probabilities.
+    """
+    fitted, slots = model.stages[-1], modeling.slot_names(model, features)
+    names, widths = list(slots), [len(s) for s in slots.values()]
+    ends = np.cumsum(widths)
+    groups = [list(range(end - width, end)) for end, width in zip(ends, widths)]
+    if isinstance(fitted, LogisticRegressionModel):
+        beta = fitted.coefficients.toArray()
+
+        def swapped(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+            change = (other - own) * beta
+            return (own @ beta)[:, None] + np.stack([change[:, g].sum(axis=1) for g in groups], axis=1)
+    elif isinstance(fitted, (GBTClassificationModel, RandomForestClassificationModel)):
+        walk = trees.Walk(trees.ensemble_nodes(fitted))
+
+        def swapped(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+            return walk.swapped(own, other, groups)
+    else:
+        return permutation_importance(lambda df: modeling.with_probability(model, df), validation, features, label, key, repeats, seed)
+    width = int(ends[-1])
+    encoded = PipelineModel(stages=model.stages[:-1]).transform(validation)
+    rows = checkpointed(encoded.select(
+        F.col(key).alias("k"), F.col(label).cast("int").alias("label"), vector_to_array(modeling.FEATURES).alias("own")))
+
+    def scored(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
+                own, other = (
+                    batch.column(i).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width) for i in (2, 3))
+                found = swapped(own, other)
+                for j in range(found.shape[1]):
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0), batch.column(1), pa.array(np.full(len(own), j, np.int32)), pa.array(np.round(found[:, j], 12))],
+                        names=["label", "repeat", "shuffled", "margin"])
+
+    based = hash_positions(rows, "k", f"{seed}:base", "_position")
+    donors = None
+    for repeat in range(repeats):
+        part = hash_positions(rows.select("k", F.col("own").alias("donor")), "k", f"{seed}:{repeat}", "_position").select(
+            "_position", "donor", F.lit(repeat).alias("repeat"))
+        donors = part if donors is None else donors.unionByName(part)
+    paired = based.join(donors, "_position").select("label", "repeat", "own", "donor")
+    # The unshuffled rows are one more group: each row is its own donor.
+    paired = paired.unionByName(rows.select("label", F.lit(-1).alias("repeat"), "own", F.col("own").alias("donor")))
+    margins = paired.mapInArrow(scored, "label int, repeat int, shuffled int, margin double")
+    areas = checkpointed(roc_auc(margins, "label", "margin", ["shuffled", "repeat"]))
+    whole = areas.where("repeat = -1").agg(F.max("roc_auc")).first()[0]
+    lost = F.lit(whole).cast("double") - F.col("roc_auc")
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("shuffled") + 1)
+    return (
+        areas.where("repeat >= 0").groupBy(name.alias("feature"))
+        .agg(F.avg(lost).alias("perm_importance_mean"), F.stddev_pop(lost).alias("perm_importance_std"))
+        .orderBy(F.col("perm_importance_mean").desc(), "feature")
+    )
+
+
 def correlation_filter(
     ordered: Sequence[str], correlations: Mapping[tuple[str, str], float | None], threshold: float = 0.9
 ) -> tuple[list[str], list[str]]:

@@ -192,6 +192,25 @@ def test_permutation_importance_and_selection(spark, split):
     assert chosen == {"bd": ("kept", 2), "gender": ("kept", 1), "copy": ("dropped_correlation", None), "city": ("dropped_importance", None)}
 
 
+@pytest.mark.parametrize("kind", [modeling.LOGISTIC, modeling.BOOSTED, modeling.FOREST])
+def test_importance_by_differences_equals_importance_by_scoring(spark, split, kind):
+    params = {modeling.LOGISTIC: {}, modeling.BOOSTED: {"rounds": 4, "depth": 3}, modeling.FOREST: {"trees": 5}}[kind]
+    model = modeling.fit(split.train, NAMES, kind, **params)
+    whole = training.permutation_importance(lambda df: modeling.with_probability(model, df), split.validation, NAMES, repeats=2).collect()
+    found = training.model_permutation_importance(model, split.validation, NAMES, repeats=2).collect()
+    expected = {r["feature"]: (r["perm_importance_mean"], r["perm_importance_std"]) for r in whole}
+    assert {r["feature"]: pytest.approx((r["perm_importance_mean"], r["perm_importance_std"]), abs=1e-9) for r in found} == expected
+
+
+@pytest.mark.parametrize("kind", [modeling.LOGISTIC, modeling.BOOSTED, modeling.FOREST, modeling.PERCEPTRON])
+def test_attributions_of_any_champion(spark, split, kind):
+    params = {modeling.BOOSTED: {"rounds": 3, "depth": 3}, modeling.FOREST: {"trees": 4}, modeling.PERCEPTRON: {"hidden": (4,), "rounds": 5}}.get(kind, {})
+    model = modeling.fit(split.train, NAMES, kind, **params)
+    rows = training.model_attributions(model, split.validation, split.train, NAMES, permutations=2).collect()
+    assert len(rows) == split.validation.count()
+    assert all([e["feature"] for e in r["attributions"]] != [] and {e["feature"] for e in r["attributions"]} == set(NAMES) for r in rows)
+
+
 def test_promotion_gate_decisions(spark):
     rows = [(0.8, None, 0.7, None), (0.8, 0.7, 0.7, 0.7), (0.7, 0.7, 0.7, 0.7), (0.8, 0.7, 0.68, 0.7), (0.8, 0.7, None, 0.7), (0.8, 0.7, 0.695, 0.7)]
     df = spark.createDataFrame(rows, "challenger_auc double, champion_auc double, challenger_business double, champion_business double")

@@ -562,3 +562,5 @@ ORACLES["prediction_log"] = sql("train", """
   FROM train, (SELECT unnest([DATE '2024-01-31', DATE '2024-02-01']) AS d) GROUP BY d""")
 ORACLES["monitoring_log"] = f"""
   SELECT CAST(0.75 AS DOUBLE) AS baseline_auc, current_auc, baseline_row_count, current_row_count, status FROM ({ORACLES['monitoring_verdict']})"""
+
+from verification import model_oracles  # noqa: E402, F401  (registers its SQL here)

@@ -1032,7 +1032,7 @@ def _(v):
     offsets = checkpointed(margin.join(p, "msno").select("msno", (F.log(F.col("probability") / (1 - F.col("probability"))) - F.col("sum")).alias("offset")))
     middle = offsets.agg(F.avg("offset").alias("m")).scalar()
     sampled = attributions.sampling_shapley(
-        parts.validation, parts.train, "msno", MODEL_FEATURES, lambda df: modeling.with_probability(model, df), permutations=2)
+        parts.validation, parts.train, "msno", MODEL_FEATURES, lambda df: modeling.with_probability(model, df))
     linear = offsets.agg(F.count_if(F.abs(F.col("offset") - middle) < 1e-6).alias("linear"))
     whole = sampled.agg(F.count_if(F.abs(F.col("base") + total - F.col("probability")) < 1e-9).alias("sampled"))
     return linear.crossJoin(whole)  # one row each
@@ -1060,25 +1060,17 @@ def _(v):
 def _(v):
     parts = split(v)
     model = modeling.fit(parts.train, MODEL_FEATURES, modeling.LOGISTIC)
-    return training_plans.permutation_importance(
-        lambda df: modeling.with_probability(model, df), parts.validation, MODEL_FEATURES)
+    return training_plans.model_permutation_importance(model, parts.validation, MODEL_FEATURES)
 
 
 @query("feature_selection")
 def _(v):
     parts = split(v)
     model = modeling.fit(parts.train, MODEL_FEATURES, modeling.LOGISTIC)
-    importances = training_plans.permutation_importance(
-        lambda df: modeling.with_probability(model, df), parts.validation, MODEL_FEATURES)
+    importances = training_plans.model_permutation_importance(model, parts.validation, MODEL_FEATURES)
     return training_plans.select_features(checkpointed(importances), parts.train)
 
 
-@query("tuning_trials")
-def _(v):
-    table = training_plans.tune_boosted_trees(split(v), MODEL_FEATURES, trials=2, baseline_auc=0.5, rounds=(2, 4))
-    return table.select("trial", F.to_json("params").alias("params"), "roc_auc", "improvement")
-
-
 @query("batch_scores")
 def _(v):
     table = feature_table(v)
@@ -1168,3 +1160,6 @@ def _(v):
     newer = v.predictions.where(F.col("scored_at") >= cut).select(
         "pred_id", "customer_id", "churn_probability", "feature_snapshot_id", "threshold_version")
     return tables.evolved(older, newer, {"threshold_version": "v0"})
+
+
+from verification import model_queries  # noqa: E402, F401  (registers its queries here)
