@@ -63,7 +63,7 @@ def age_band(age: Column | str) -> Column:
 
 def risk_tier(probability: Column | str, high: float = 0.7, medium: float = 0.4) -> Column:
     p = _column(probability)
-    return F.when(p >= high, "High").when(p >= medium, "Medium").otherwise("Low")
+    return F.when(p >= high, HIGH).when(p >= medium, MEDIUM).otherwise(LOW)
 
 
 def score_bucket(probability: Column | str) -> Column:
@@ -98,6 +98,18 @@ def has_cancel_history(cancels: Column | str) -> Column:
     return F.when(F.coalesce(_column(cancels), F.lit(0)) > 0, 1).otherwise(0)
 
 
+# The names of segments and actions that stored rows and reports hold.
+FRICTION, IDLE, STABLE, GENERAL = "Payment Friction", "Low Engagement", "Stable", "General"
+ACTIONS = {
+    "re-engage": "Send re-engagement campaign",
+    "escalate": "Escalate to retention team",
+    "remind": "Send targeted reminder or lightweight incentive",
+    "watch": "No immediate action; monitor only",
+}
+# Tiers and priorities.
+HIGH, MEDIUM, LOW, URGENT = "High", "Medium", "Low", "Urgent"
+
+
 def customer_segment() -> Column:
     """Segment from cancel_count, latest_is_auto_renew, num_active_days, avg_total_secs and risk_tier.
 
@@ -106,21 +118,21 @@ def customer_segment() -> Column:
     friction = (F.coalesce(F.col("cancel_count"), F.lit(0)) > 0) | (F.col("latest_is_auto_renew") == 0)
     idle = (F.col("num_active_days") < 10) | (F.col("avg_total_secs") < 900)
     return (
-        F.when(friction, "Payment Friction")
-        .when(idle, "Low Engagement")
-        .when(F.col("risk_tier") == "Low", "Stable")
-        .otherwise("General")
+        F.when(friction, FRICTION)
+        .when(idle, IDLE)
+        .when(F.col("risk_tier") == LOW, STABLE)
+        .otherwise(GENERAL)
     )
 
 
 def intervention_priority() -> Column:
     """Priority from risk_tier and customer_segment."""
-    pressing = F.col("customer_segment").isin("Payment Friction", "Low Engagement")
+    pressing = F.col("customer_segment").isin(FRICTION, IDLE)
     return (
-        F.when((F.col("risk_tier") == "High") & pressing, "Urgent")
-        .when(F.col("risk_tier") == "High", "High")
-        .when(F.col("risk_tier") == "Medium", "Medium")
-        .otherwise("Low")
+        F.when((F.col("risk_tier") == HIGH) & pressing, URGENT)
+        .when(F.col("risk_tier") == HIGH, HIGH)
+        .when(F.col("risk_tier") == MEDIUM, MEDIUM)
+        .otherwise(LOW)
     )
 
 
@@ -128,10 +140,10 @@ def recommended_action() -> Column:
     """Next action from risk_tier and customer_segment."""
     tier, segment = F.col("risk_tier"), F.col("customer_segment")
     return (
-        F.when((tier == "High") & (segment == "Low Engagement"), "Send re-engagement campaign")
-        .when((tier == "High") & (segment == "Payment Friction"), "Escalate to retention team")
-        .when(tier == "Medium", "Send targeted reminder or lightweight incentive")
-        .otherwise("No immediate action; monitor only")
+        F.when((tier == HIGH) & (segment == IDLE), ACTIONS["re-engage"])
+        .when((tier == HIGH) & (segment == FRICTION), ACTIONS["escalate"])
+        .when(tier == MEDIUM, ACTIONS["remind"])
+        .otherwise(ACTIONS["watch"])
     )
 
 

@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION_LOG = "model_name string, version int, stage string, role string, run_id string, roc_auc double, logged_at timestamp"
+# Stages of a version, and the names of the gate's decisions.
 STAGING, PRODUCTION, ARCHIVED = "Staging", "Production", "Archived"
+FIRST_CHAMPION = "promoted_initial_champion"
+NEW_CHAMPION = "promoted_over_champion"
+KEPT_CHAMPION = "kept_existing_champion"
+BUSINESS_LOSS = "kept_existing_champion_business_regression"
 
 
 def gate_columns(
@@ -35,10 +40,10 @@ def gate_columns(
         .withColumn("business_gate_ok", business_ok)
         .withColumn(
             "decision",
-            F.when(none, "promoted_initial_champion")
-            .when(auc_ok & business_ok, "promoted_over_champion")
-            .when(~auc_ok, "kept_existing_champion")
-            .otherwise("kept_existing_champion_business_regression"),
+            F.when(none, FIRST_CHAMPION)
+            .when(auc_ok & business_ok, NEW_CHAMPION)
+            .when(~auc_ok, KEPT_CHAMPION)
+            .otherwise(BUSINESS_LOSS),
         )
         .withColumn("promote", F.col("decision").startswith("promoted"))
     )

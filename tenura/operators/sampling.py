@@ -49,9 +49,16 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, fraction: float = 0
     return _chosen(df, key, stratum, fraction, seed, "_chosen").where("_chosen").drop("_chosen")
 
 
-def approximate_stratified_sample(df: DataFrame, stratum: str, fractions: dict, seed: int = 42) -> DataFrame:
-    """Bernoulli draw per stratum: one pass, no shuffle, counts only about right."""
-    return df.sampleBy(stratum, fractions, seed)
+def approximate_stratified_sample(df: DataFrame, stratum: str, fractions: dict, seed: int = 42, key: str = "msno") -> DataFrame:
+    """A draw per row by the seeded hash of its key: one pass, no shuffle, counts only about right.
+
+    A stratum without a fraction gives no rows.
+    """
+    unit = F.conv(F.substring(seeded_hash(key, seed), 1, 13), 16, 10).cast("double") / float(1 << 52)
+    share = F.lit(0.0)
+    for value, fraction in fractions.items():
+        share = F.when(F.col(stratum).eqNullSafe(F.lit(value)), float(fraction)).otherwise(share)
+    return df.where(unit < share)
 
 
 def keep_sampled(df: DataFrame, sample: DataFrame, key: str = "msno") -> DataFrame:

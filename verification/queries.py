@@ -227,6 +227,16 @@ def _(v):
     return cleanse.apply_rules(v.members, cleanse.DEFAULT_RULES["members"])
 
 
+@query("rule_driven_train")
+def _(v):
+    return cleanse.apply_rules(v.train, cleanse.DEFAULT_RULES["train"])
+
+
+@query("rule_driven_user_logs")
+def _(v):
+    return cleanse.apply_rules(v.user_logs, cleanse.DEFAULT_RULES["user_logs"])
+
+
 @query("rule_driven_transactions")
 def _(v):
     return cleanse.apply_rules(v.transactions, cleanse.DEFAULT_RULES["transactions"])
