@@ -52,7 +52,9 @@ ORACLES["rule_driven_members"] = sql("clean_members", """
     CAST(strptime(CAST(registration_init_time AS VARCHAR), '%Y%m%d') AS DATE) AS registration_init_time FROM clean_members""")
 ORACLES["rule_driven_train"] = sql("train", "SELECT * FROM train WHERE msno IS NOT NULL AND is_churn IS NOT NULL")
 ORACLES["rule_driven_user_logs"] = sql("user_logs", """
-  SELECT * REPLACE (CAST(strptime(CAST(date AS VARCHAR), '%Y%m%d') AS DATE) AS date, CAST(total_secs AS DOUBLE) AS total_secs) FROM user_logs""")
+  SELECT * REPLACE (CAST(strptime(CAST(date AS VARCHAR), '%Y%m%d') AS DATE) AS date, CAST(total_secs AS DOUBLE) AS total_secs,
+    CAST(num_25 AS INTEGER) AS num_25, CAST(num_50 AS INTEGER) AS num_50, CAST(num_75 AS INTEGER) AS num_75, CAST(num_985 AS INTEGER) AS num_985,
+    CAST(num_100 AS INTEGER) AS num_100, CAST(num_unq AS INTEGER) AS num_unq) FROM user_logs""")
 ORACLES["rule_driven_transactions"] = sql("rollup", """
   SELECT * REPLACE (CAST(strptime(CAST(first_transaction_date AS VARCHAR), '%Y%m%d') AS DATE) AS first_transaction_date,
     CAST(strptime(CAST(last_transaction_date AS VARCHAR), '%Y%m%d') AS DATE) AS last_transaction_date,
