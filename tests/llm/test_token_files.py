@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -101,3 +102,14 @@ def test_frequencies_fill_the_scale():
     for counts in ([1], [10**9, 1, 1, 1], [1] * 4096, [3] * 4000 + [10**7]):
         scaled = rans.frequencies(np.array(counts), 12)
         assert scaled.sum() == 4096 and scaled.min() >= 1
+
+
+def test_parted_signs_change_no_id():
+    rng = random.Random(4)
+    signs = [*"ab.,'\"!? \n\t19é漢ß²½Σİ\u0301 -_#<|>sт", "n't", "'s", ". ", ", ", "..", ",.", "a.", "b,", " .", "c. d", "Σ. ", "é, "]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(4_000)]
+    encoder = WordEncoder(PATH, 5_000)
+    assert encoder.parts
+    for start in range(0, len(texts), 256):
+        some = texts[start : start + 256]
+        assert [x.tolist() for x in encoder.texts(some, None)] == [encoder.library.encode(t, add_special_tokens=False).ids for t in some]
