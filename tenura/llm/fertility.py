@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, free_name, released, row_key, small_batches
+from tenura.llm.texts import CACHE_WORDS, bounded, by_slice, free_name, held_out, released, row_key, small_batches
 from tenura.session import checkpointed
 
 # First code points of Unicode ranges, with the script that most of a range's letters have.
@@ -38,9 +38,12 @@ class Fertility:
     where the language is not known) and one power of two of their token count that pass the base rules; longer texts
     vary less. Copies count once, so they do not move the band. A length class with fewer than ``least_texts`` distinct
     texts takes in the next shorter and longer classes until it has as many, or the whole language or script. A spread
-    is the interquartile range, but at least ``floors``, so a uniform or tiny group rejects nothing that is near it. The
-    lower widths are chosen on labelled rows that are not held out (``texts.held_out``), a little wider than the
-    narrowest that reject no good one there; labelled rows say nothing about the upper ones.
+    is the interquartile range, but at least ``floors``, so a uniform or tiny group rejects nothing that is near it.
+
+    Without labels ``widths`` hold. With labelled rows they are learned on those that are not held out
+    (``texts.held_out``) and fail no base rule: a language or script with at least ``least_labels`` good ones takes, on either
+    side of each measure, ``margin`` times the farthest of them, but at least ``least_width``; others take what all good
+    rows together give, if these are as many.
     """
 
     vocabulary: str
@@ -50,6 +53,9 @@ class Fertility:
         "chars_per_token": (4.5, 10.0), "byte_share": (1e6, 10.0), "entropy": (2.6, 1e6),
     })
     least_texts: int = 20
+    least_labels: int = 100
+    margin: float = 1.25
+    least_width: float = 1.0
     floors: dict[str, float] = field(default_factory=lambda: {"chars_per_token": 0.05, "byte_share": 0.01, "entropy": 0.1})
 
 
@@ -173,8 +179,8 @@ def neighbours(values: DataFrame, least_texts: int) -> DataFrame:
     return pairs.withColumn("_before", before).where(F.col("_before") < least_texts).select("kind", "length", "_from")
 
 
-def bands(measured: DataFrame, how: Fertility) -> DataFrame:
-    """(kind, length, <measure>_lo, <measure>_hi) from exact quartiles of all distinct texts that pass the base rules.
+def centres(measured: DataFrame, how: Fertility) -> DataFrame:
+    """(kind, length, <measure>_mid, <measure>_spread) from exact quartiles of all distinct texts that pass the base rules.
 
     Texts are reduced to one row each and then to counts of values. Measures are rounded to thousandths for the
     quartiles, which bounds the distinct values of a group.
@@ -190,29 +196,57 @@ def bands(measured: DataFrame, how: Fertility) -> DataFrame:
     pooled = values.join(taken, (F.col("kind") == F.col("_kind")) & (F.col("length") == F.col("_from")))
     quartiles = F.percentile("value", [0.25, 0.5, 0.75], F.col("n"))
     found = pooled.groupBy("kind", F.col("_length").alias("length"), "measure").agg(quartiles.alias("q"))
-    limits = []
+    columns = []
     for m in MEASURES:
-        low, high = how.widths[m]
         q = F.max(F.when(F.col("measure") == m, F.col("q")))
-        spread = F.greatest(q[2] - q[0], F.lit(how.floors[m]))
-        limits += [(q[1] - spread * low).alias(f"{m}_lo"), (q[1] + spread * high).alias(f"{m}_hi")]
-    return found.groupBy("kind", "length").agg(*limits)
+        columns += [q[1].alias(f"{m}_mid"), F.greatest(q[2] - q[0], F.lit(how.floors[m])).alias(f"{m}_spread")]
+    return found.groupBy("kind", "length").agg(*columns)
+
+
+def fitted_widths(placed: DataFrame, labels: DataFrame, how: Fertility) -> DataFrame:
+    """(kind, <measure>_low, <measure>_high) where good rows enough are labelled; the row with a NULL kind is of all of them.
+
+    ``placed`` are measured rows with their centres. Only ids of labelled rows are joined.
+    """
+    good = labels.where("quality = 1").select(F.col("doc_id").cast("bigint").alias("_good")).distinct()
+    known = placed.where(~base_failed(how) & ~held_out("doc_id")).join(good, F.col("doc_id") == F.col("_good"), "left_semi")
+
+    def farthest(m: str, sign: int) -> Column:
+        away = sign * (F.col(m) - F.col(f"{m}_mid")) / F.col(f"{m}_spread")
+        return F.greatest(F.max(away) * how.margin, F.lit(how.least_width))
+
+    sides = [farthest(m, sign).alias(f"{m}_{side}") for m in MEASURES for sign, side in ((-1, "low"), (1, "high"))]
+    own = known.groupBy("kind").agg(F.count(F.lit(1)).alias("_n"), *sides)
+    whole = known.agg(F.lit(None).cast("string").alias("kind"), F.count(F.lit(1)).alias("_n"), *sides)
+    return own.unionByName(whole).where(F.col("_n") >= how.least_labels).drop("_n")
 
 
-def quality_rules(docs: DataFrame, how: Fertility) -> DataFrame:
+def quality_rules(docs: DataFrame, how: Fertility, labels: DataFrame | None = None) -> DataFrame:
     """One row per input row: doc_id, row, counts, measures, kind, base_failed and kept.
 
     A document that fails no base rule is kept when each measure lies in its group's band. NULL, empty and blank texts
     have zero words and fail the base rules. NULL languages (also empty or ``und``) go by script. Rows with one doc_id
-    are judged one by one; ``row`` tells them apart. An empty table gives no rows; other columns are ignored.
+    are judged one by one; ``row`` tells them apart. An empty table gives no rows; other columns are ignored. ``labels``
+    (doc_id, quality) only set how wide the bands are, from rows that are not held out.
     """
     with small_batches(docs.sparkSession):
         measured = checkpointed(text_measures(docs, how.vocabulary))
-    limits = bounded(bands(measured, how).withColumnsRenamed({"kind": "_kind", "length": "_length"}))
+    around = bounded(centres(measured, how).withColumnsRenamed({"kind": "_kind", "length": "_length"}))
+    joined = measured.join(around, (F.col("kind") == F.col("_kind")) & (length_class() == F.col("_length")), "left")
+    sides = [f"{m}_{side}" for m in MEASURES for side in ("low", "high")]
+    stated = {f"{m}_{side}": width for m in MEASURES for side, width in zip(("low", "high"), how.widths[m])}
+    if labels is not None:
+        fitted = bounded(fitted_widths(joined, labels, how).withColumnRenamed("kind", "_of"))
+        whole = fitted.where("_of IS NULL").first()
+        stated = {side: whole[side] for side in sides} if whole else stated
+        joined = joined.join(fitted.where("_of IS NOT NULL"), F.col("kind") == F.col("_of"), "left")
+        widths = {side: F.coalesce(F.col(side), F.lit(stated[side])) for side in sides}
+    else:
+        widths = {side: F.lit(stated[side]) for side in sides}
     inside = F.lit(True)
     for m in MEASURES:
-        inside = inside & F.col(m).between(F.col(f"{m}_lo"), F.col(f"{m}_hi"))
-    joined = measured.join(limits, (F.col("kind") == F.col("_kind")) & (length_class() == F.col("_length")), "left")
+        mid, spread = F.col(f"{m}_mid"), F.col(f"{m}_spread")
+        inside = inside & F.col(m).between(mid - spread * widths[f"{m}_low"], mid + spread * widths[f"{m}_high"])
     failed = base_failed(how)
     return joined.select(
         "doc_id", "row", *COUNTS, *MEASURES, "kind", failed.alias("base_failed"),
@@ -220,9 +254,9 @@ def quality_rules(docs: DataFrame, how: Fertility) -> DataFrame:
     )
 
 
-def kept_documents(docs: DataFrame, how: Fertility) -> DataFrame:
+def kept_documents(docs: DataFrame, how: Fertility, labels: DataFrame | None = None) -> DataFrame:
     """Rows of ``docs`` that the rules keep, with their columns as they are. The rejected rows' keys are the joined side."""
     doc, row = free_name(docs, "_doc"), free_name(docs, "_row")
-    rejected = quality_rules(docs, how).where(~F.col("kept")).select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct()
+    rejected = quality_rules(docs, how, labels).where(~F.col("kept")).select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct()
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc)) & (row_key(["doc_id", "text", "lang"]) == F.col(row))
     return docs.join(bounded(rejected), same, "left_anti")

@@ -139,7 +139,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_tokeniser_fertility")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     how = Fertility(public_tokenizers.path("piece_bpe_32k.model"))
-    return quality_rules(table(spark, folder, "documents"), how).drop("row")
+    return quality_rules(table(spark, folder, "documents"), how, table(spark, folder, "labels")).drop("row")
 
 
 @query("op8_pii")

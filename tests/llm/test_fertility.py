@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 from collections import Counter
 
 import public_tokenizers
@@ -68,6 +69,23 @@ def test_a_rare_length_takes_in_the_next_ones(spark):
     assert not found[1].kept and not found[1].base_failed and found[2].kept
 
 
+def test_widths_are_learned_from_good_rows(spark):
+    """Good rows of a wide group stay, what a stated width keeps beside a narrow group goes; others take the widths of all."""
+    rng = random.Random(3)
+    odd = [(5000 + i, " ".join(rng.choice(["zyxwv", "qpqpq", "wvuts"]) + str(i % 7) for _ in range(70)) + f" e{i}", "en", "s") for i in range(40)]
+    rows = clean_rows() + odd + [(1, noisy(9, 60), "en", "s")]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows if r[0] >= 1000] + [(1, 0, 0)], "doc_id bigint, quality int, toxic int")
+    narrow = Fertility(HOW.vocabulary, widths={"chars_per_token": (1.0, 1.0), "byte_share": (1.0, 1.0), "entropy": (1.0, 1.0)})
+    stated = {r.doc_id: r for r in quality_rules(docs, narrow).collect()}
+    fitted = {r.doc_id: r for r in quality_rules(docs, narrow, labels).collect()}
+    assert any(not r.kept for d, r in stated.items() if d >= 1000 and not r.base_failed)
+    learned = [r for d, r in fitted.items() if d >= 1000 and not r.base_failed and zlib.crc32(str(d).encode()) % 5]
+    assert learned and all(r.kept for r in learned) and not fitted[1].kept
+    few = labels.limit(5)
+    assert {d: r.kept for d, r in stated.items()} == {r.doc_id: r.kept for r in quality_rules(docs, narrow, few).collect()}
+
+
 def test_kept_documents_are_unchanged(spark):
     docs = documents(spark, messy_rows() + clean_rows(20))
     left = kept_documents(docs, HOW)
