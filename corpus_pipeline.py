@@ -21,7 +21,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fertility rules keep; see ``fertility.quality_rules`` for NULLs, repeated rows and empty tables."""
-    return kept_documents(docs, Fertility(public_tokenizers.path("piece_bpe_32k.model")))
+    return kept_documents(docs, Fertility(public_tokenizers.path("piece_bpe_32k.model")), table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
