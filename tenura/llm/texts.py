@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.session import checkpointed
+from tenura.session import checkpointed, scratch_folder as shared_folder  # driver and executors share it
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Rows and bytes of text of an Arrow batch that Python works on at once.
@@ -53,16 +51,6 @@ def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share, below the checkpoint folder of the session."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tenura-shared-")
-    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: cut lineage, narrow columns, pruned reads."""
     path = shared_folder(df.sparkSession, name)
