@@ -30,7 +30,7 @@ class NearDuplicates:
     4 rows a pair at 0.8 shares no bucket with probability 2e-6. ``screen`` is the share of equal minima below which a
     pair is dropped before its full sets are compared; at 100 minima 0.6 lies five standard deviations below 0.8.
     ``block_rows`` and ``block_shingles`` bound what a task compares at once in a bucket that a star cannot settle.
-    Pivots of buckets with more than ``hot_rows`` classes are sent to the rows instead of the rows to one task.
+    What is known of buckets with more than ``hot_rows`` classes is sent to the rows instead of the rows to one task.
     """
 
     words: int = 2
@@ -182,9 +182,9 @@ class _Links:
 
         counts = sized.groupBy("bucket").agg(
             blocks(F.count_if(outside), F.sum(F.when(outside, F.col("_size")))).alias("_nq"),
-            blocks(F.count(F.lit(1)), F.sum("_size")).alias("_nd"),
+            blocks(F.count(F.lit(1)), F.sum("_size")).alias("_nd"), F.count(F.lit(1)).alias("_rows"),
         )
-        dealt = sized.join(counts, "bucket").withColumn("_h", F.xxhash64("node"))
+        dealt = _with_facts(sized, counts, how).withColumn("_h", F.xxhash64("node"))
 
         def every(n):
             return F.explode(F.sequence(F.lit(0), n - 1))
@@ -302,12 +302,12 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
     buckets = classes.select("node", F.explode(F.array(*keys)).alias("bucket"))
     full = buckets.groupBy("bucket").agg(
         F.min("node").alias("pivot"), F.max("node").alias("_z"), F.count(F.lit(1)).alias("_rows")).where("pivot < _z")
-    crowded = checkpointed(_with_pivots(buckets, full.drop("_z"), how))
+    crowded = checkpointed(_with_facts(buckets, full.drop("_z"), how))
 
     links = _Links(docs, classes, how)
     star = crowded.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     labels = checkpointed(components(links.verified(star).union(shared)))
-    left = checkpointed(_unsettled(crowded, labels))
+    left = checkpointed(_unsettled(crowded, labels, how))
     labels = _merged(labels, checkpointed(links.between_blocks(left)))
 
     final = _labelled(members.groupBy("doc_id").agg(F.min("node").alias("_group")), labels, "_group")
@@ -321,26 +321,26 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
     )
 
 
-def _with_pivots(buckets: DataFrame, full: DataFrame, how: NearDuplicates) -> DataFrame:
-    """(bucket, node, pivot) of buckets with several classes.
+def _with_facts(rows: DataFrame, facts: DataFrame, how: NearDuplicates) -> DataFrame:
+    """``rows`` with the facts of their bucket; ``facts`` has one row a bucket and its size ``_rows``.
 
-    A bucket with more than ``hot_rows`` classes is not dealt to one task: the few pivots of such buckets go to the rows,
+    A bucket with more than ``hot_rows`` rows is not dealt to one task: the facts of the few such buckets go to the rows,
     which stay where they are. All others meet by shuffle.
     """
-    full = checkpointed(full)
-    hot = bounded(full.where(F.col("_rows") > how.hot_rows).drop("_rows"))
-    cold = full.where(F.col("_rows") <= how.hot_rows).drop("_rows")
-    others = buckets.join(hot.select("bucket"), "bucket", "left_anti").join(cold, "bucket")
-    return buckets.join(hot, "bucket").unionByName(others)
+    facts = checkpointed(facts)
+    hot = bounded(facts.where(F.col("_rows") > how.hot_rows).drop("_rows"))
+    cold = facts.where(F.col("_rows") <= how.hot_rows).drop("_rows")
+    others = rows.join(hot.select("bucket"), "bucket", "left_anti").join(cold, "bucket")
+    return rows.join(hot, "bucket").unionByName(others)
 
 
-def _unsettled(crowded: DataFrame, labels: DataFrame) -> DataFrame:
+def _unsettled(crowded: DataFrame, labels: DataFrame, how: NearDuplicates) -> DataFrame:
     """(bucket, node, root, major): buckets whose classes, without the tested pivot, lie in several components."""
     rest = crowded.where("node <> pivot").select("bucket", "node", F.col("node").alias("root"))
     marked = checkpointed(_labelled(rest, labels.toDF("node", "root"), "root"))
     sizes = marked.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("_n"))
-    major = sizes.groupBy("bucket").agg(F.max(F.struct("_n", "root")).alias("_s"), F.count(F.lit(1)).alias("_k"))
-    return marked.join(major.where("_k > 1").select("bucket", F.col("_s.root").alias("major")), "bucket")
+    major = sizes.groupBy("bucket").agg(F.max(F.struct("_n", "root")).alias("_s"), F.count(F.lit(1)).alias("_k"), F.sum("_n").alias("_rows"))
+    return _with_facts(marked, major.where("_k > 1").select("bucket", F.col("_s.root").alias("major"), "_rows"), how)
 
 
 def _vertices(docs: DataFrame, vertex: str) -> tuple[DataFrame, DataFrame]:
