@@ -180,7 +180,7 @@ def _with_vectors(df: DataFrame, key: str, vector: str, points: DataFrame, best:
 
 
 def smote(
-    df: DataFrame, key: str, vector: str, label: str, ratio: float = 0.5, k: int = 5, seed: int = 42, recall: float | None = 0.95
+    df: DataFrame, key: str, vector: str, label: str, ratio: float = 0.5, k: int = 5, seed: int = 42, recall: float | None = 0.9
 ) -> DataFrame:
     """Add synthetic rows of class 1 until it has ``ratio`` times the rows of class 0.
 
