@@ -6,19 +6,17 @@ from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.operators.trees import NODES
-from tenura.session import checkpointed
+from tenura.session import checkpointed, task_count
 
 MOST_BINS = 64
-# Histogram cells that one job sums (16 bytes each), rows of a partition, rounds between two stored states.
+# Histogram cells that one job sums (16 bytes each), rounds between two stored states.
 CELLS = 1 << 22
-PARTITION_ROWS = 50_000
 SETTLE = 25
 # A split must gain more than rounding does.
 LEAST_GAIN = 1e-9
@@ -61,11 +59,14 @@ class Tree:
 
     def leaves_of(self, bins: np.ndarray) -> np.ndarray:
         """The node that each row of bin numbers reaches."""
-        slot, cut, left, right = (np.array(v) for v in (self.slot, self.bin, self.left, self.right))
-        at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-        while (inner := slot[at] >= 0).any():
-            below = bins[rows[inner], slot[at[inner]]] <= cut[at[inner]]
-            at[inner] = np.where(below, left[at[inner]], right[at[inner]])
+        slot, cut = np.array(self.slot, np.int64), np.array(self.bin, np.int64)
+        leaf, own = slot < 0, np.arange(len(slot))
+        # A leaf leads to itself on both sides, so all rows take the same steps.
+        child = np.stack([np.where(leaf, own, self.right), np.where(leaf, own, self.left)], axis=1).ravel()
+        slot = np.where(leaf, 0, slot)
+        at, flat, start = np.zeros(len(bins), np.int64), np.ascontiguousarray(bins).ravel(), np.arange(len(bins)) * bins.shape[1]
+        while not leaf.take(at).all():
+            at = child.take(2 * at + (flat.take(start + slot.take(at)) <= cut.take(at)))
         return at
 
 
@@ -171,10 +172,12 @@ STATE = "id bigint, label double, weight double, train boolean, bins binary, mar
 class BoostingRun:
     """Models that grow in the same jobs over one stored table of bin numbers.
 
-    A round of a model takes one job per level of its tree, whatever the number of models: tasks add gradients and
+    A round of a model takes one job per level of its tree, and no model waits for another's: a job holds the level that
+    each of them has come to, so there are as many as the longest-growing model has levels. Tasks add gradients and
     Hessians into histograms of all nodes that all models have at that level, one row a node; Spark brings a node's
     rows together, which are as many as there are tasks, sums them in the tasks' order and returns the best split.
-    The driver holds trees only. Margins are stored with the rows every few rounds, newer trees are applied on reading.
+    The driver holds trees only. Once there is a new tree for each model growing, a job applies them to the rows' margins,
+    which executors keep for the next ones; every few times, and when all models have their rounds, they are stored.
     """
 
     def __init__(
@@ -191,20 +194,22 @@ class BoostingRun:
             F.sum(F.when(F.col(train), weight * F.col(label))).alias("y")).first()
         share = min(max((sums["y"] or 0.0) / (sums["w"] or 1.0), 1e-6), 1 - 1e-6)
         self.start = float(np.log(share / (1 - share)))
-        first = np.full(len(self.settings), self.start).tobytes()
+        first = np.full(len(self.settings), self.start)
 
         def to_bins(batches):
             for batch in batches:
                 x = batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(cuts))
                 codes = binned(x, cuts)
+                margins = np.full((len(codes), len(first)), first)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:4], pa.array([r.tobytes() for r in codes], pa.binary()), pa.array([first] * len(codes), pa.binary())],
-                    names=["id", "label", "weight", "train", "bins", "margins"])
+                    [*batch.columns[:4], _packed(codes), _packed(margins)], names=["id", "label", "weight", "train", "bins", "margins"])
 
         plain = vectors.select(
             F.xxhash64(F.col(key).cast("string")).alias("id"), F.col(label).cast("double").alias("label"),
             weight.cast("double").alias("weight"), F.col(train).cast("boolean").alias("train"), F.col(vector).alias("x"))
-        self.state = checkpointed(plain.repartition(max(1, -(-sums["rows"] // PARTITION_ROWS)), "id").sortWithinPartitions("id").mapInArrow(to_bins, STATE))
+        parts = task_count(spark, sums["rows"])
+        self.state = checkpointed(plain.repartition(parts, "id").sortWithinPartitions("id").mapInArrow(to_bins, STATE))
+        self.kept: list[DataFrame] = []
         self.spark = spark
         self.trees: list[list[Tree]] = [[] for _ in self.settings]
         self.settled = [0] * len(self.settings)
@@ -223,18 +228,25 @@ class BoostingRun:
     def _summed(self, wanted: list[tuple[int, int]], growing: dict[int, Tree], measure: list[int]) -> list[dict]:
         """Best splits of the (trial, node) pairs, and losses (node -1) of the models to be measured."""
         pending, settings, seed, slots = self._pending(), self.settings, self.seed, len(self.cuts)
-        bins = max([len(c) for c in self.cuts], default=0) + 1
+        sizes = self._sizes()
+        bins = max(sizes, default=1)
         rounds = [len(t) for t in self.trees]
         nodes: dict[int, list[int]] = {}
         for trial, node in wanted:
             nodes.setdefault(trial, []).append(node)
         columns = {trial: self._columns(trial, rounds[trial]) for trial in nodes}
         live = sorted({*nodes, *measure})
+        # Columns of two bins are mostly indicators: their few rows in the upper bin are summed, the lower bin is the rest.
+        paired = np.flatnonzero(np.array(sizes) == 2)
+        # The cells of a trial's histograms, column by column, and their places in one of equally many bins for each.
+        places = {trial: np.concatenate([i * bins + np.arange(sizes[c]) for i, c in enumerate(cs)]) for trial, cs in columns.items()}
 
         def added(batches):
-            sums = {trial: np.zeros((len(n), len(columns[trial]), bins, 2)) for trial, n in nodes.items()}
+            sums = {trial: np.zeros((2, len(n), len(places[trial]))) for trial, n in nodes.items()}
             losses = {trial: np.zeros(4) for trial in measure}
             for ids, y, w, train, codes, margins in _frames(batches, slots, len(settings)):
+                wide = {c: codes[:, c].astype(np.int64) for c in sorted({c for cs in columns.values() for c in cs}) if sizes[c] > 2}
+                upper_row, upper_column = np.nonzero(codes[:, paired])
                 for trial in live:
                     margin = _moved(margins[:, trial].copy(), codes, pending[trial])
                     p = 1 / (1 + np.exp(-margin))
@@ -243,48 +255,79 @@ class BoostingRun:
                         losses[trial] += [loss[train].sum(), w[train].sum(), loss[~train].sum(), w[~train].sum()]
                     if trial not in nodes:
                         continue
-                    how = settings[trial]
+                    how, count = settings[trial], len(nodes[trial])
                     used = train if how.row_share >= 1 else train & (_unit(ids, seed, trial, rounds[trial]) < how.row_share)
-                    at = growing[trial].leaves_of(codes[used])
+                    rows = np.flatnonzero(used)
                     place = np.full(len(growing[trial].slot), -1)
-                    place[nodes[trial]] = np.arange(len(nodes[trial]))
-                    at = place[at]
-                    inside = at >= 0
-                    rows, at = np.flatnonzero(used)[inside], at[inside]
-                    g, h = (w * (p - y))[rows], (w * p * (1 - p))[rows]
-                    total, cells = sums[trial], len(nodes[trial]) * bins
-                    for j, column in enumerate(columns[trial]):
-                        cell = at * bins + codes[rows, column]
-                        total[:, j, :, 0] += np.bincount(cell, g, cells).reshape(-1, bins)
-                        total[:, j, :, 1] += np.bincount(cell, h, cells).reshape(-1, bins)
+                    place[nodes[trial]] = np.arange(count)
+                    at = place[growing[trial].leaves_of(codes[rows])]
+                    rows, at = rows[at >= 0], at[at >= 0]
+                    whole = [(w * (p - y)), (w * p * (1 - p))]
+                    parts = [v[rows] for v in whole]
+                    totals = [np.bincount(at, v, count) for v in parts]
+                    reached = np.full(len(ids), -1)
+                    reached[rows] = at
+                    own = np.full(len(paired), -1)
+                    mine = np.flatnonzero(np.isin(paired, columns[trial]))
+                    own[mine] = np.arange(len(mine))
+                    chosen = (reached[upper_row] >= 0) & (own[upper_column] >= 0)
+                    cell = reached[upper_row[chosen]] * len(mine) + own[upper_column[chosen]]
+                    upper = [np.bincount(cell, v[upper_row[chosen]], count * len(mine)).reshape(count, -1) for v in whole]
+                    start, two = 0, 0
+                    for column in columns[trial]:
+                        size = sizes[column]
+                        for k in range(2):
+                            into = sums[trial][k][:, start : start + size]
+                            if size > 2:
+                                into += np.bincount(at * size + wide[column][rows], parts[k], count * size).reshape(count, size)
+                            elif size == 2:
+                                into[:, 0] += totals[k] - upper[k][:, two]
+                                into[:, 1] += upper[k][:, two]
+                            else:
+                                into[:, 0] += totals[k]
+                        start, two = start + size, two + (size == 2)
             part = TaskContext.get().partitionId()
-            made = [(trial, node, part, sums[trial][i].tobytes()) for trial, n in nodes.items() for i, node in enumerate(n)]
+            made = [(trial, node, part, sums[trial][:, i].tobytes()) for trial, n in nodes.items() for i, node in enumerate(n)]
             made += [(trial, -1, part, total.tobytes()) for trial, total in losses.items()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*made), (pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
                 names=["trial", "node", "part", "sums"])
 
-        def settled(group: pd.DataFrame) -> pd.DataFrame:
-            trial, node = int(group["trial"].iloc[0]), int(group["node"].iloc[0])
-            ordered = group.sort_values("part")["sums"]
-            total = sum(np.frombuffer(s) for s in ordered)
+        def split_of(trial: int, node: int, total: np.ndarray) -> tuple:
             if node < 0:
-                train_loss, valid_loss = total[0] / max(total[1], 1e-300), total[2] / max(total[3], 1e-300)
-                return pd.DataFrame([(trial, -1, -1, -1, 0.0, train_loss, valid_loss, 0.0, 0.0)], columns=list(_SPLIT))
-            histogram = total.reshape(len(columns[trial]), bins, 2)
+                return trial, -1, -1, -1, 0.0, total[0] / max(total[1], 1e-300), total[2] / max(total[3], 1e-300), 0.0, 0.0
+            histogram = np.zeros((len(columns[trial]) * bins, 2))
+            histogram[places[trial]] = total.reshape(2, -1).T
+            histogram = histogram.reshape(len(columns[trial]), bins, 2)
             column, cut, gain, left_g, left_h = best_split(histogram, settings[trial])
             g, h = histogram[0].sum(axis=0)
-            slot = int(columns[trial][column]) if column >= 0 else -1
-            return pd.DataFrame([(trial, node, slot, cut, gain, g, h, left_g, left_h)], columns=list(_SPLIT))
+            return trial, node, int(columns[trial][column]) if column >= 0 else -1, cut, gain, float(g), float(h), left_g, left_h
+
+        def settled(batches):
+            made, key, total = [], None, None
+            for batch in batches:
+                for trial, node, one in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
+                    if (trial, node) != key:
+                        if key is not None:
+                            made.append(split_of(*key, total))
+                        key, total = (trial, node), 0.0
+                    total = total + np.frombuffer(one)
+            if key is not None:
+                made.append(split_of(*key, total))
+            kinds = [pa.int32() if t == "int" else pa.float64() for t in _SPLIT.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t) for i, t in enumerate(kinds)], names=list(_SPLIT))
 
         schema = ", ".join(f"{n} {t}" for n, t in _SPLIT.items())
         parts = self.state.mapInArrow(added, "trial int, node int, part int, sums binary")
-        return [r.asDict() for r in parts.groupBy("trial", "node").applyInPandas(settled, schema).collect()]
+        together = parts.repartition("trial", "node").sortWithinPartitions("trial", "node", "part")
+        return [r.asDict() for r in together.mapInArrow(settled, schema).collect()]
+
+    def _sizes(self) -> list[int]:
+        return [len(c) + 1 for c in self.cuts]
 
     def _level(self, wanted: list[tuple[int, int]], growing: dict[int, Tree], measure: list[int]) -> list[dict]:
         """``_summed`` in as many jobs as bounded histograms ask for."""
-        bins = max([len(c) for c in self.cuts], default=0) + 1
-        size = max(1, CELLS // max(1, bins * len(self.cuts)))
+        size = max(1, CELLS // max(1, sum(self._sizes())))
         found: list[dict] = []
         for start in range(0, max(len(wanted), 1), size):
             found += self._summed(wanted[start : start + size], growing, measure if not start else [])
@@ -304,51 +347,75 @@ class BoostingRun:
     def advance(self, upto: dict[int, int]) -> None:
         """Grow models to a number of rounds, from the trees they have; one without gain on validation rows stops early."""
         measured = {trial for trial, rounds, *_ in self.losses if rounds == len(self.trees[trial])}
+        growing: dict[int, Tree] = {}
+        wanted: dict[int, list[int]] = {}
+        levels: dict[int, int] = {}
         while True:
-            live = [t for t, n in upto.items() if len(self.trees[t]) < n and not self.stopped[t]]
+            for t, n in upto.items():
+                if t not in growing and len(self.trees[t]) < n and not self.stopped[t]:
+                    growing[t], levels[t] = Tree(), 0
+                    wanted[t] = [growing[t].add(0.0, 0.0)]
             measure = [t for t in upto if t not in measured and not self.stopped[t]]
-            if not live and not measure:
+            if not growing and not measure:
+                if self.kept:
+                    self.settle()
                 return
-            if max((len(p) for p in self._pending()), default=0) >= SETTLE:
-                self.settle()
-            growing = {t: Tree() for t in live}
-            wanted = [(t, growing[t].add(0.0, 0.0)) for t in live]
-            for depth in range(max([self.settings[t].depth for t in live], default=1)):
-                found = self._level(wanted, growing, measure if depth == 0 else [])
-                self._noted(found)
-                wanted = []
-                for r in sorted((r for r in found if r["node"] >= 0), key=lambda r: (r["trial"], r["node"])):
-                    trial, tree, node, how = r["trial"], growing[r["trial"]], r["node"], self.settings[r["trial"]]
-                    tree.value[node], tree.cover[node] = leaf_value(r["g"], r["h"], how), r["h"]
-                    if r["slot"] < 0:
-                        continue
-                    tree.slot[node], tree.bin[node] = r["slot"], r["bin"]
-                    g, h = r["left_g"], r["left_h"]
-                    tree.left[node] = tree.add(leaf_value(g, h, how), h)
-                    tree.right[node] = tree.add(leaf_value(r["g"] - g, r["h"] - h, how), r["h"] - h)
-                    if depth + 1 < how.depth and not self.stopped[trial]:
-                        wanted += [(trial, tree.left[node]), (trial, tree.right[node])]
-                if not wanted:
-                    break
-            measured = {t for t in upto if t not in live}
-            for t in live:
-                if not self.stopped[t]:
-                    self.trees[t].append(growing[t])
-
-    def settle(self) -> None:
-        """Store the rows with all trees so far in their margins."""
+            if sum(map(len, self._pending())) >= max(1, len(growing)):
+                self._move()
+            found = self._level([(t, node) for t, nodes in wanted.items() for node in nodes], growing, measure)
+            self._noted(found)
+            measured.update(measure)
+            wanted = {t: [] for t in growing}
+            for r in sorted((r for r in found if r["node"] >= 0), key=lambda r: (r["trial"], r["node"])):
+                trial, tree, node, how = r["trial"], growing[r["trial"]], r["node"], self.settings[r["trial"]]
+                tree.value[node], tree.cover[node] = leaf_value(r["g"], r["h"], how), r["h"]
+                if r["slot"] < 0:
+                    continue
+                tree.slot[node], tree.bin[node] = r["slot"], r["bin"]
+                g, h = r["left_g"], r["left_h"]
+                tree.left[node] = tree.add(leaf_value(g, h, how), h)
+                tree.right[node] = tree.add(leaf_value(r["g"] - g, r["h"] - h, how), r["h"] - h)
+                if levels[trial] + 1 < how.depth:
+                    wanted[trial] += [tree.left[node], tree.right[node]]
+            for t in list(growing):
+                levels[t] += 1
+                if self.stopped[t]:
+                    del growing[t], wanted[t]
+                elif not wanted[t]:
+                    self.trees[t].append(growing.pop(t))
+                    measured.discard(t)
+                    del wanted[t]
+
+    def _with_all_trees(self) -> DataFrame:
         pending, slots, models = self._pending(), len(self.cuts), len(self.settings)
 
         def run(batches):
             for batch in batches:
                 for *_, codes, margins in _frames([batch], slots, models):
                     moved = np.stack([_moved(margins[:, t].copy(), codes, trees) for t, trees in enumerate(pending)], axis=1)
-                    yield pa.RecordBatch.from_arrays(
-                        [*batch.columns[:5], pa.array([r.tobytes() for r in moved], pa.binary())], names=batch.schema.names)
-
-        self.state = checkpointed(self.state.mapInArrow(run, STATE))
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:5], _packed(moved)], names=batch.schema.names)
+
+        return self.state.mapInArrow(run, STATE)
+
+    def _move(self) -> None:
+        """Have the next job apply the trees since the last call, and keep the rows it makes for the jobs after it."""
+        if not any(self._pending()):
+            return
+        if len(self.kept) >= SETTLE:
+            return self.settle()
+        if len(self.kept) > 1:
+            self.kept[-2].unpersist()  # the rows made from it are kept by now
+        self.state = self._with_all_trees().persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept.append(self.state)
         self.settled = [len(t) for t in self.trees]
 
+    def settle(self) -> None:
+        """Store the rows with all trees so far in their margins."""
+        self.state = checkpointed(self._with_all_trees())
+        for rows in self.kept:
+            rows.unpersist()
+        self.kept, self.settled = [], [len(t) for t in self.trees]
+
     def scores(self, trials: Sequence[int]) -> DataFrame:
         """(trial, label, probability) of the validation rows for some models, each as ``model`` returns it."""
         pending, slots, models = self._pending(), len(self.cuts), len(self.settings)
@@ -382,8 +449,23 @@ def _frames(batches, slots: int, models: int):
         n = batch.num_rows
         ids, y, w = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         train = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
-        codes = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(n, slots)
-        yield ids, y, w, train, codes, np.frombuffer(b"".join(batch.column(5).to_pylist())).reshape(n, models)
+        yield ids, y, w, train, _unpacked(batch.column(4)).reshape(n, slots), _unpacked(batch.column(5)).view(float).reshape(n, models)
+
+
+def _packed(matrix: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binary values."""
+    n, width = len(matrix), matrix.shape[1] * matrix.itemsize
+    ends = np.arange(n + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(matrix))])
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    """The bytes of all values of a binary column, one after another."""
+    if not len(column):
+        return np.empty(0, np.uint8)
+    ends = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].copy() if data is not None else np.empty(0, np.uint8)
 
 
 def _moved(margin: np.ndarray, codes: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:

@@ -30,6 +30,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
     return spark
 
 
+# Rows of a task that passes over a table again and again: at most so many, and enough to be worth a task.
+MOST_TASK_ROWS, LEAST_TASK_ROWS = 50_000, 2_500
+
+
+def task_count(spark: SparkSession, rows: int) -> int:
+    """Partitions for a table of ``rows`` that many jobs read: all cores have work unless that is too little for a task."""
+    return max(1, -(-rows // MOST_TASK_ROWS), min(spark.sparkContext.defaultParallelism, -(-rows // LEAST_TASK_ROWS)))
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the session's checkpoint folder, which driver and executors share."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -185,6 +185,38 @@ def test_models_side_by_side_equal_models_alone(spark):
     assert np.allclose(sorted(r.probability for r in found), sorted(1 / (1 + np.exp(-margins))))
 
 
+def test_models_of_different_depths_do_not_wait_for_each_other(spark, monkeypatch):
+    df, x, _ = table(spark)
+    settings = [Boosting(6, 1, 0.3, 0.7, 0.6, 0.1), Boosting(2, 4, 0.3, 0.7, 0.6, 0.1)]
+    jobs, level = [], BoostingRun._level
+    monkeypatch.setattr(BoostingRun, "_level", lambda run, *a: jobs.append(a[0]) or level(run, *a))
+    both = BoostingRun(df, settings, "key", "label", "x", "train")
+    both.advance({0: 6, 1: 2})
+    assert len(jobs) == 9  # two trees of four levels, and the last losses
+    assert [row[:2] for row in sorted(both.losses)] == [(0, i) for i in range(7)] + [(1, i) for i in range(3)]
+    alone = BoostingRun(df, [settings[0]], "key", "label", "x", "train")
+    alone.advance({0: 6})
+    assert flat(both.model(0)) == flat(alone.model(0))
+    assert [row[1:] for row in sorted(both.losses) if row[0] == 0] == sorted(row[1:] for row in alone.losses)
+
+
+def test_a_table_of_some_rows_has_work_for_all_cores(spark):
+    df, _, _ = table(spark, n=12_000)
+    run = BoostingRun(df, [Boosting(rounds=1, depth=2)], "key", "label", "x", "train")
+    assert run.state.rdd.getNumPartitions() == 4
+    run.advance({0: 1})
+    assert not run.kept
+
+
+def test_margins_kept_by_executors_are_those_of_all_trees(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "SETTLE", 2)
+    df, x, _ = table(spark)
+    run = BoostingRun(df, [Boosting(rounds=6, depth=2)], "key", "label", "x", "train")
+    run.advance({0: 6})
+    margins = run.model(0).margins(x[::4])
+    assert np.allclose(sorted(r.probability for r in run.scores([0]).collect()), sorted(1 / (1 + np.exp(-margins))))
+
+
 def test_stops_without_gain_on_validation_rows(spark):
     df, x, _ = table(spark)
     noise = df.withColumn("label", F.pmod(F.xxhash64("key"), F.lit(2)).cast("double"))
