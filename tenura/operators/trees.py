@@ -18,6 +18,8 @@ from tenura.session import scratch_folder
 NODES = "tree int, id int, left int, right int, slot int, threshold double, cover double, value double"
 # Rows and paths that are worked on at once.
 ROWS, PATHS = 64, 2048
+# Slots up to which all combinations of a path are tabulated, and values (8 bytes each) that the tables of a task may have.
+TABLE_SLOTS, TABLE_VALUES = 6, 1 << 24
 
 
 def ensemble_nodes(model) -> DataFrame:
@@ -223,28 +225,85 @@ def attributed(x: np.ndarray, tables: Sequence[Paths], feature_of: np.ndarray, f
     return found
 
 
+class Lookup:
+    """Up to ``PATHS`` paths of one length with what their slots add, tabulated for all combinations of met slots.
+
+    A row then takes one number per slot of a path from a table, whose entries are ``path_weights`` of the combination
+    times the path's value. Slots are in the order of their features.
+    """
+
+    def __init__(self, t: Paths, feature_of: np.ndarray):
+        paths, size = t.slot.shape
+        met = (np.arange(1 << size)[:, None] >> np.arange(size) & 1).astype(bool)
+        weights = path_weights(np.broadcast_to(met[:, None, :], (1 << size, paths, size)), t.share) * t.value[:, None]
+        owner = feature_of[t.slot].ravel()
+        order = np.argsort(owner, kind="stable")
+        self.table = weights.transpose(1, 2, 0).reshape(paths * size, -1)[order].ravel()
+        self.path, self.start = order // size, np.arange(len(order)) << size
+        self.features, self.first = np.unique(owner[order], return_index=True)
+        # Paths share splits, so a condition is asked once.
+        asked, self.condition = np.unique(np.stack([t.slot.ravel(), t.low.ravel(), t.high.ravel()]), axis=1, return_inverse=True)
+        self.condition = self.condition.reshape(paths, size)
+        self.slot, self.low, self.high = asked[0].astype(np.int64), asked[1], asked[2]
+        self.value, self.size = t.value, size
+
+    def add(self, x: np.ndarray, found: np.ndarray, total: np.ndarray) -> None:
+        """Add attributions and predictions of the rows of ``x``."""
+        asked = x[:, self.slot]
+        met = ((asked > self.low) & (asked <= self.high)).astype(np.int64)
+        combination = np.zeros((len(x), len(self.value)), np.int64)
+        for j in range(self.size):
+            combination += met.take(self.condition[:, j], axis=1) << j
+        found[:, self.features] += np.add.reduceat(self.table.take(combination.take(self.path, axis=1) + self.start), self.first, axis=1)
+        total += (combination == (1 << self.size) - 1) @ self.value
+
+
+def lookups(tables: Sequence[Paths], feature_of: np.ndarray) -> tuple[list[Lookup], list[Paths]]:
+    """Tabulated paths, and those that are too long or too many for that."""
+    made, rest, left = [], [], TABLE_VALUES
+    for t in tables:
+        paths, size = t.slot.shape
+        left -= (paths * size) << min(size, 32)
+        if not 0 < size <= TABLE_SLOTS or left < 0:
+            left += (paths * size) << min(size, 32)
+            rest.append(t)
+            continue
+        for start in range(0, paths, PATHS):
+            part = slice(start, start + PATHS)
+            made.append(Lookup(Paths(t.value[part], t.slot[part], t.low[part], t.high[part], t.share[part]), feature_of))
+    return made, rest
+
+
 def path_attributions(
     df: DataFrame, key: str, vector: str, tables: Sequence[Paths], slots: Sequence[Sequence[str]], features: Sequence[str]
 ) -> DataFrame:
     """(key, base, prediction, attributions) of an array column: exact Shapley values of the ensemble per feature.
 
     An unknown slot follows both branches by their covers. ``slots`` are the vector's slots of each feature, in vector
-    order. ``base`` and the values add up to ``prediction``. The table of paths goes to the tasks with the function.
+    order. ``base`` and the values add up to ``prediction``. The table of paths goes to the tasks with the function;
+    a task with more rows than a path has combinations of slots tabulates them first.
     """
     feature_of = np.repeat(np.arange(len(features)), [len(s) for s in slots])
     base, names = base_value(tables), list(features)
     entry = pa.struct([("feature", pa.string()), ("shap_value", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rest = None, tables
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
                 x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(feature_of))
-                values = attributed(x, tables, feature_of, len(names))
+                if known is None and len(x) > 1 << TABLE_SLOTS:
+                    known, rest = lookups(tables, feature_of)
+                values, total = attributed(x, rest, feature_of, len(names)), predictions(x, rest)
+                for paths in known or []:
+                    for first in range(0, len(x), ROWS):
+                        part = slice(first, first + ROWS)
+                        paths.add(x[part], values[part], total[part])
                 entries = pa.StructArray.from_arrays([pa.array(names * len(x), pa.string()), pa.array(values.ravel())], fields=list(entry))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(names)), entries)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.full(len(x), base)), pa.array(predictions(x, tables)), lists],
+                    [batch.column(0), pa.array(np.full(len(x), base)), pa.array(total), lists],
                     names=[key, "base", "prediction", "attributions"],
                 )
 

@@ -217,6 +217,28 @@ def test_margins_kept_by_executors_are_those_of_all_trees(spark, monkeypatch):
     assert np.allclose(sorted(r.probability for r in run.scores([0]).collect()), sorted(1 / (1 + np.exp(-margins))))
 
 
+def test_tabulated_paths_give_the_same_attributions(monkeypatch):
+    draw = np.random.default_rng(5)
+    x, owners = draw.integers(0, 4, (150, 9)).astype(float), np.array([0, 0, 1, 2, 2, 2, 3, 4, 4])
+
+    def paths(n, size):
+        slot = np.stack([draw.permutation(9)[:size] for _ in range(n)]).reshape(n, size)
+        cut, up = draw.integers(0, 3, (n, size)) + 0.5, draw.random((n, size)) < 0.5
+        share = np.where(draw.random((n, size)) < 0.1, 0.0, draw.random((n, size)))
+        return trees.Paths(draw.normal(size=n), slot, np.where(up, cut, -np.inf), np.where(up, np.inf, cut), share)
+
+    tables = [paths(3, 0), paths(5, 1), paths(40, 4), paths(2500, 3), paths(30, 6), paths(20, 7)]
+    for values in (1 << 24, 3000):  # all but the longest and the empty ones; few
+        monkeypatch.setattr(trees, "TABLE_VALUES", values)
+        made, rest = trees.lookups(tables, owners)
+        assert len(made) + len(rest) == (7 if values > 3000 else 6) and any(t is tables[5] for t in rest)
+        found, total = trees.attributed(x, rest, owners, 5), trees.predictions(x, rest)
+        for part in made:
+            part.add(x, found, total)
+        assert np.allclose(found, trees.attributed(x, tables, owners, 5), atol=1e-12)
+        assert np.allclose(total, trees.predictions(x, tables), atol=1e-12)
+
+
 def test_stops_without_gain_on_validation_rows(spark):
     df, x, _ = table(spark)
     noise = df.withColumn("label", F.pmod(F.xxhash64("key"), F.lit(2)).cast("double"))
