@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +83,57 @@ def global_importance(df: DataFrame, attributions: str = "attributions") -> Data
     )
 
 
+@dataclass(frozen=True)
+class AdditiveScore:
+    """A score whose log-odds are ``start`` plus one term per raw feature.
+
+    ``score`` adds ``probability`` to a frame with the features; ``terms`` gives (key, ``into``) with the array of terms
+    in the features' order.
+    """
+
+    score: Callable[[DataFrame], DataFrame]
+    terms: Callable[[DataFrame, str, str], DataFrame]
+    start: float
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return self.score(df)
+
+
+def array_rows(column: pa.Array, width: int) -> np.ndarray:
+    """The arrays of a column, all of one width, as rows of a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
+def row_arrays(matrix: np.ndarray) -> pa.Array:
+    """The rows of a matrix as arrays."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]), pa.array(matrix.ravel()))
+
+
+def _switched_terms(steps: DataFrame, key: str, n: int, start: float, permutations: int) -> DataFrame:
+    """(key, base, probability, v) of rows with own terms ``x``, donor terms ``b`` and a ``turn``: means over the orders."""
+
+    def run(batches):
+        for batch in batches:
+            own, other = array_rows(batch.column(1), n), array_rows(batch.column(2), n)
+            turn = array_rows(batch.column(3), n).astype(np.int64)
+            margin = np.empty((len(own), n + 1))
+            margin[:, 0] = start + other.sum(axis=1)
+            margin[:, 1:] = margin[:, :1] + np.take_along_axis(own - other, turn, axis=1).cumsum(axis=1)
+            p = 1 / (1 + np.exp(-margin))
+            values = np.empty((len(own), n))
+            np.put_along_axis(values, turn, np.diff(p, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(p[:, 0]), pa.array(p[:, n]), row_arrays(values)], names=[key, "base", "probability", "v"])
+
+    kind = steps.schema[key].dataType.simpleString()
+    walked = steps.select(key, "x", "b", "turn").mapInArrow(run, f"`{key}` {kind}, base double, probability double, v array<double>")
+    names = [f"_v{i}" for i in range(n)]
+    sums = walked.groupBy(key).agg(
+        *[(F.sum(c) / permutations).alias(c) for c in ("base", "probability")],
+        *[(F.sum(F.col("v")[i]) / permutations).alias(name) for i, name in enumerate(names)])
+    return sums.select(key, "base", "probability", F.array(*names).alias("v"))
+
+
 def sampling_shapley(
     rows: DataFrame,
     background: DataFrame,
@@ -97,11 +151,20 @@ def sampling_shapley(
     prediction. Orders and background rows depend only on the keys and the seed: background rows are numbered in the hash
     order of their key, and each row and order draws one number of the whole background, so a value that most
     background rows hold is drawn as often.
+
+    With an ``AdditiveScore`` rows and donors are encoded once, and every step of an order is scored by the term that
+    switches.
     """
     features, n = list(features), len(features)
     packed = F.struct(*[F.col(f) for f in features])
+    additive = isinstance(score, AdditiveScore)
+
+    def with_values(df: DataFrame, df_key: str, into: str) -> DataFrame:
+        return score.terms(df, df_key, into) if additive else df.select(df_key, packed.alias(into))
+
     donors = checkpointed(
-        hash_positions(background.select(F.col(background_key or key).alias("_donor"), packed.alias("b")), "_donor", f"background:{seed}", "_position")
+        hash_positions(
+            with_values(background, background_key or key, "b").withColumnRenamed(background_key or key, "_donor"), "_donor", f"background:{seed}", "_position")
         .drop("_donor")
     )
     size = donors.count()
@@ -114,13 +177,16 @@ def sampling_shapley(
         lambda s: s["j"],
     )
     steps = (
-        rows.select(key, packed.alias("x"), F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("order"))
+        with_values(rows, key, "x").withColumn("order", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
         .withColumn("_position", F.pmod(draw, F.lit(size)))
         .join(donors, "_position")
         .drop("_position")
         .withColumn("turn", order)
-        .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n))))
     )
+    if additive:
+        values = F.array(*[F.struct(F.lit(f).alias("feature"), F.col("v")[i].alias("shap_value")) for i, f in enumerate(features)])
+        return _switched_terms(steps, key, n, score.start, permutations).select(key, "base", "probability", values.alias("attributions"))
+    steps = steps.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n))))
 
     def mixed(i: int, name: str) -> Column:
         switched = F.array_position("turn", F.lit(i)) <= F.col("step")

@@ -126,6 +126,37 @@ def compare_imbalance(split: Split, features: Sequence[str], threshold: float =
     return spark.createDataFrame(rows, schema).orderBy(F.col("f1_churn").desc(), "strategy")
 
 
+def linear_terms(model: PipelineModel, df: DataFrame, features: Sequence[str], keep: Sequence, into: str) -> DataFrame:
+    """Columns of a frame and the terms that its raw features add to a logistic model's margin, as an array.
+
+    A term is the sum over its feature's slots, taken row by row, so equal rows have equal terms.
+    """
+    beta = model.stages[-1].coefficients.toArray()
+    ends = np.cumsum([len(s) for s in modeling.slot_names(model, features).values()])
+    groups = [slice(start, end) for start, end in zip([0, *ends[:-1]], ends)]
+    order = [list(modeling.slot_names(model, features)).index(f) for f in features]
+    encoded = PipelineModel(stages=model.stages[:-1]).transform(df).select(*keep, vector_to_array(modeling.FEATURES).alias(into))
+
+    def run(batches):
+        for batch in batches:
+            moved = attributions.array_rows(batch.column(batch.num_columns - 1), len(beta)) * beta
+            terms = np.stack([moved[:, groups[i]].sum(axis=1) for i in order], axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], attributions.row_arrays(terms)], names=batch.schema.names)
+
+    return encoded.mapInArrow(run, encoded.schema)
+
+
+def model_score(model: PipelineModel, features: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """The score of a model for ``sampling_shapley``; a logistic one says what each raw feature adds to its margin."""
+    def score(df: DataFrame) -> DataFrame:
+        return modeling.with_probability(model, df)
+
+    if not isinstance(model.stages[-1], LogisticRegressionModel):
+        return score
+    return attributions.AdditiveScore(
+        score, lambda df, key, into: linear_terms(model, df, features, [key], into), float(model.stages[-1].intercept))
+
+
 def permutation_importance(
     score: Callable[[DataFrame], DataFrame], validation: DataFrame, features: Sequence[str], label: str = "is_churn",
     key: str = "msno", repeats: int = 8, seed: int = 42,
@@ -164,8 +195,9 @@ def model_permutation_importance(
 ) -> DataFrame:
     """``permutation_importance`` of a linear model or tree ensemble by differences of scores, with the same draws.
 
-    Rows are encoded once. A row meets its donor's vector once a repeat; a linear margin then changes by one feature's
-    slots, an ensemble only in the trees that ask for them. Other models are scored in full. AUC depends on the order of
+    Rows are encoded once, for a linear model as one term per feature. A row meets its donor's values once a repeat; a
+    linear margin then changes by one term, an ensemble only in the trees that ask for a feature's slots. Other models are
+    scored in full. AUC depends on the order of
     scores only, so margins serve as well as probabilities.
     """
     fitted, slots = model.stages[-1], modeling.slot_names(model, features)
@@ -173,11 +205,8 @@ def model_permutation_importance(
     ends = np.cumsum(widths)
     groups = [list(range(end - width, end)) for end, width in zip(ends, widths)]
     if isinstance(fitted, LogisticRegressionModel):
-        beta = fitted.coefficients.toArray()
-
         def swapped(own: np.ndarray, other: np.ndarray) -> np.ndarray:
-            change = (other - own) * beta
-            return (own @ beta)[:, None] + np.stack([change[:, g].sum(axis=1) for g in groups], axis=1)
+            return own.sum(axis=1)[:, None] + (other - own)
     elif isinstance(fitted, (GBTClassificationModel, RandomForestClassificationModel)):
         walk = trees.Walk(trees.ensemble_nodes(fitted))
 
@@ -185,10 +214,12 @@ def model_permutation_importance(
             return walk.swapped(own, other, groups)
     else:
         return permutation_importance(lambda df: modeling.with_probability(model, df), validation, features, label, key, repeats, seed)
-    width = int(ends[-1])
-    encoded = PipelineModel(stages=model.stages[:-1]).transform(validation)
-    rows = checkpointed(encoded.select(
-        F.col(key).alias("k"), F.col(label).cast("int").alias("label"), vector_to_array(modeling.FEATURES).alias("own")))
+    keep = [F.col(key).alias("k"), F.col(label).cast("int").alias("label")]
+    if isinstance(fitted, LogisticRegressionModel):
+        width, rows = len(names), checkpointed(linear_terms(model, validation, names, keep, "own"))
+    else:
+        encoded = PipelineModel(stages=model.stages[:-1]).transform(validation)
+        width, rows = int(ends[-1]), checkpointed(encoded.select(*keep, vector_to_array(modeling.FEATURES).alias("own")))
 
     def scored(batches):
         for whole in batches:

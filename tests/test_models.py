@@ -101,6 +101,34 @@ def test_sampling_attributions_add_up_to_the_prediction(split, logistic):
         assert r["base"] + sum(a["shap_value"] for a in r["attributions"]) == pytest.approx(scored[r["msno"]])
 
 
+def test_sampling_attributions_of_a_linear_model_score_no_mixed_rows(split, logistic):
+    some = split.validation.limit(15)
+    plain = attributions.sampling_shapley(
+        some, split.train, "msno", NAMES, lambda df: modeling.with_probability(logistic, df), permutations=3)
+    score = training.model_score(logistic, NAMES)
+
+    def refused(df):
+        raise AssertionError("a frame of mixed rows was scored")
+
+    by_terms = attributions.AdditiveScore(refused, score.terms, score.start)
+    found = {r["msno"]: r for r in attributions.sampling_shapley(some, split.train, "msno", NAMES, by_terms, permutations=3).collect()}
+    rows = plain.collect()
+    assert len(found) == len(rows) == 15
+    for r in rows:
+        own = found[r["msno"]]
+        assert [a["feature"] for a in own["attributions"]] == [a["feature"] for a in r["attributions"]]
+        assert [own["base"], own["probability"]] == pytest.approx([r["base"], r["probability"]], abs=1e-12)
+        assert [a["shap_value"] for a in own["attributions"]] == pytest.approx([a["shap_value"] for a in r["attributions"]], abs=1e-12)
+
+
+def test_linear_terms_add_up_to_the_margin(split, logistic):
+    terms = training.linear_terms(logistic, split.validation, NAMES, ["msno"], "t")
+    margins = {r["msno"]: r["rawPrediction"][1] for r in logistic.transform(split.validation).collect()}
+    for r in terms.collect():
+        assert len(r["t"]) == len(NAMES)
+        assert sum(r["t"]) + logistic.stages[-1].intercept == pytest.approx(margins[r["msno"]], abs=1e-9)
+
+
 def test_sampling_attributions_of_a_linear_score_find_the_coefficients(spark):
     rows = spark.createDataFrame([("a", 1.0, 5.0), ("b", -2.0, 0.5)], "k string, x double, y double")
     background = spark.createDataFrame([("z", 0.0, 1.0)], "k string, x double, y double")

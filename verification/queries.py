@@ -1103,7 +1103,7 @@ def _(v):
     parts = split(v)
     model = modeling.fit(parts.train, MODEL_FEATURES, modeling.LOGISTIC)
     values = attributions.sampling_shapley(
-        parts.validation, parts.train, "msno", MODEL_FEATURES, lambda df: modeling.with_probability(model, df))
+        parts.validation, parts.train, "msno", MODEL_FEATURES, training_plans.model_score(model, MODEL_FEATURES))
     return attributions.global_importance(values)
 
 
