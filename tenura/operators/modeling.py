@@ -19,10 +19,12 @@ from tenura.operators.explore import long_form
 from tenura.operators.ordered import exact_quantiles
 from tenura.operators.perceptron import Perceptron, fit_perceptron
 from tenura.schemas import CATEGORICAL_FEATURES
-from tenura.session import checkpointed
+from tenura.session import checkpointed, even_task_count
 
 LABEL, WEIGHT, FEATURES = "is_churn", "class_weight", "features"
 LOGISTIC, BOOSTED, PERCEPTRON, FOREST = "logistic_regression", "boosted_trees", "mlp", "random_forest"
+# Above so many rows, rows are dealt evenly for fits of trees, and a forest counts the nodes of a group in so many MB a task.
+DEALT_ROWS, GROUP_MB = 50_000, 1
 
 
 def split_columns(features: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -157,6 +159,19 @@ def random_forest(weighted: bool, trees: int = 400, seed: int = 42, **extra) ->
     )
 
 
+def dealt(vectors: DataFrame, key: str, rows: int) -> DataFrame:
+    """Rows for a fit of trees, which passes over them level by level: whole rounds of equal tasks for all cores.
+
+    Adaptive plans leave a task or two more than cores, and each pass then waits for a second round of them. Spark draws
+    rows by task and place; equal rows are dealt to equal places, so the draws no longer depend on how the rows came. A
+    repeated or missing key is spread by its features. At most ``DEALT_ROWS`` rows stay as they came.
+    """
+    if rows <= DEALT_ROWS:
+        return vectors
+    tasks = even_task_count(vectors.sparkSession, rows)
+    return vectors.repartition(tasks, key, FEATURES).sortWithinPartitions(key, F.xxhash64(FEATURES), LABEL)
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Fitted preprocessing and the training vectors it gives, written once for any number of estimators."""
@@ -197,7 +212,9 @@ def fit_prepared(prepared: Prepared, kind: str, balanced: bool = True, seed: int
     elif kind == BOOSTED:
         estimator = boosted_trees(balanced, seed=seed, **params)
     elif kind == FOREST:
-        estimator = random_forest(balanced, seed=seed, **params)
+        # Counts of fewer nodes stay in a core's cache; a row passes each tree once a level either way.
+        memory = {"maxMemoryInMB": GROUP_MB} if rows > DEALT_ROWS else {}
+        vectors, estimator = dealt(vectors, key, rows), random_forest(balanced, seed=seed, **{**memory, **params})
     elif kind == PERCEPTRON:
         inputs = sum(len(s) for s in slot_names(prepared.head, prepared.features).values())
         arrays = vectors.withColumn("_x", vector_to_array(FEATURES))

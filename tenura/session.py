@@ -39,6 +39,12 @@ def task_count(spark: SparkSession, rows: int) -> int:
     return max(1, -(-rows // MOST_TASK_ROWS), min(spark.sparkContext.defaultParallelism, -(-rows // LEAST_TASK_ROWS)))
 
 
+def even_task_count(spark: SparkSession, rows: int, most: int = 100_000) -> int:
+    """A whole number of rounds of all cores, with at most ``most`` of ``rows`` in a task of equal parts."""
+    cores = spark.sparkContext.defaultParallelism
+    return cores * max(1, -(-rows // (cores * most)))
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the session's checkpoint folder, which driver and executors share."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -1,3 +1,4 @@
+import dataclasses
 from datetime import datetime
 
 import numpy as np
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from tenura.functions.labels import case_columns
 from tenura.operators import attributions, errors, explore, fairness, modeling, promotion, resampling
 from tenura.plans import scoring, training
+from tenura.session import even_task_count
 
 NAMES = ["city", "gender", "bd", "transaction_count", "total_amount_paid"]
 
@@ -187,6 +189,29 @@ def test_weighted_resampling_repeats_rows(spark):
     assert {r["count"] for r in resampled if r["id"] < 100} == {2, 3}
 
 
+@pytest.mark.parametrize("kind, params", [(modeling.FOREST, {"trees": 5})])
+def test_trees_of_large_tables_do_not_depend_on_how_rows_came(split, monkeypatch, kind, params):
+    monkeypatch.setattr(modeling, "DEALT_ROWS", 100)
+    prepared = modeling.prepare(split.train, NAMES)
+
+    def fitted(vectors):
+        return modeling.fit_prepared(dataclasses.replace(prepared, vectors=vectors), kind, **params).stages[-1].toDebugString.split("\n", 1)[1]
+
+    assert fitted(prepared.vectors.repartition(3)) == fitted(prepared.vectors.coalesce(1).orderBy(F.desc("msno")))
+
+
+def test_large_tables_are_dealt_in_whole_rounds_of_tasks(spark, split, monkeypatch):
+    vectors = modeling.prepare(split.train, NAMES).vectors.coalesce(1)
+    assert modeling.dealt(vectors, "msno", vectors.count()) is vectors  # small ones stay as they came
+    monkeypatch.setattr(modeling, "DEALT_ROWS", 100)
+    cores = spark.sparkContext.defaultParallelism
+    for rows in (vectors, vectors.withColumn("msno", F.lit(None).cast("string"))):
+        dealt = modeling.dealt(rows, "msno", rows.count())
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert dealt.rdd.getNumPartitions() == cores and sum(sizes) == rows.count() and max(sizes) < 2 * rows.count() / cores
+    assert [even_task_count(spark, n, 10) for n in (0, 10 * cores, 10 * cores + 1)] == [cores, cores, 2 * cores]
+
+
 def test_comparison_imbalance_and_tuning(split):
     comparison, models = training.compare_models(split, NAMES, {modeling.LOGISTIC: {}, modeling.FOREST: {"trees": 5}})
     rows = comparison.collect()
