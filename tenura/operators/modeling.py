@@ -210,7 +210,7 @@ def fit_prepared(prepared: Prepared, kind: str, balanced: bool = True, seed: int
     if kind == LOGISTIC:
         estimator = logistic_regression(rows, balanced, **params)
     elif kind == BOOSTED:
-        estimator = boosted_trees(balanced, seed=seed, **params)
+        vectors, estimator = dealt(vectors, key, rows), boosted_trees(balanced, seed=seed, **params)
     elif kind == FOREST:
         # Counts of fewer nodes stay in a core's cache; a row passes each tree once a level either way.
         memory = {"maxMemoryInMB": GROUP_MB} if rows > DEALT_ROWS else {}

@@ -189,7 +189,7 @@ def test_weighted_resampling_repeats_rows(spark):
     assert {r["count"] for r in resampled if r["id"] < 100} == {2, 3}
 
 
-@pytest.mark.parametrize("kind, params", [(modeling.FOREST, {"trees": 5})])
+@pytest.mark.parametrize("kind, params", [(modeling.FOREST, {"trees": 5}), (modeling.BOOSTED, {"rounds": 3})])
 def test_trees_of_large_tables_do_not_depend_on_how_rows_came(split, monkeypatch, kind, params):
     monkeypatch.setattr(modeling, "DEALT_ROWS", 100)
     prepared = modeling.prepare(split.train, NAMES)
