@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.operators.trees import NODES
-from tenura.session import checkpointed, task_count
+from tenura.session import MOST_TASK_ROWS, checkpointed, even_task_count, task_count
 
 MOST_BINS = 64
 # Histogram cells that one job sums (16 bytes each), rounds between two stored states.
 CELLS = 1 << 22
 SETTLE = 25
+# Rows of a block, of a task at most where there are more than all cores can take otherwise, bytes that the driver sums.
+BLOCK_ROWS = 1 << 15
+TASK_ROWS = 400_000
+DRIVER_BYTES = 1 << 25
 # A split must gain more than rounding does.
 LEAST_GAIN = 1e-9
 
@@ -83,9 +87,15 @@ def best_split(histogram: np.ndarray, how: Boosting) -> tuple[int, int, float, f
 
     Equal gains go to the first column and bin.
     """
-    sums = histogram.cumsum(axis=1)
+    column, cut, *rest = (v[0] for v in best_splits(histogram[None], how))
+    return int(column), int(cut), *map(float, rest)
+
+
+def best_splits(histograms: np.ndarray, how: Boosting) -> tuple[np.ndarray, ...]:
+    """``best_split`` of each node of a (nodes, columns, bins, 2) array, as five arrays."""
+    sums = histograms.cumsum(axis=2)
     g, h = sums[..., 0], sums[..., 1]
-    whole_g, whole_h = g[:, -1:], h[:, -1:]
+    whole_g, whole_h = g[..., -1:], h[..., -1:]
 
     def score(gs, hs):
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -93,13 +103,13 @@ def best_split(histogram: np.ndarray, how: Boosting) -> tuple[int, int, float, f
 
     gain = 0.5 * (score(g, h) + score(whole_g - g, whole_h - h) - score(whole_g, whole_h))
     allowed = (h >= how.least_child) & (whole_h - h >= how.least_child) & (gain > how.gamma + LEAST_GAIN)
-    allowed[:, -1] = False
-    gain = np.where(allowed, gain, -np.inf)
-    at = int(gain.argmax())
-    column, cut = divmod(at, gain.shape[1])
-    if not np.isfinite(gain.flat[at]):
-        return -1, -1, 0.0, 0.0, 0.0
-    return column, cut, float(gain.flat[at]), float(g[column, cut]), float(h[column, cut])
+    allowed[..., -1] = False
+    nodes, width = len(gain), gain.shape[2]
+    gain = np.where(allowed, gain, -np.inf).reshape(nodes, -1)
+    at, each = gain.argmax(axis=1), np.arange(nodes)
+    found = np.isfinite(gain[each, at])
+    left = [np.where(found, v.reshape(nodes, -1)[each, at], 0.0) for v in (gain, g, h)]
+    return np.where(found, at // width, -1), np.where(found, at % width, -1), *left
 
 
 def _unit(ids: np.ndarray, *parts: int) -> np.ndarray:
@@ -166,7 +176,82 @@ def with_boosted_probability(df: DataFrame, model: Boosted, vector: str, into: s
     return df.mapInArrow(run, df.withColumn(into, F.lit(0.0)).schema)
 
 
-STATE = "id bigint, label double, weight double, train boolean, bins binary, margins binary"
+@dataclass(frozen=True)
+class Layout:
+    """How bin numbers of slots are kept: a code for each wide slot, and one for each bundle of indicators.
+
+    Slots of two bins are mostly indicators. Those of which no row has two in the upper bin share a code: 0 for none of
+    them, else the place of the one. A row goes right at a node if its code there is in a range.
+    """
+
+    sizes: Sequence[int]
+    column: Sequence[int]  # of each slot, -1 for one bin
+    place: Sequence[int]  # in a bundle; 0 for wide slots
+
+    @classmethod
+    def of(cls, sizes: Sequence[int], together: np.ndarray) -> Layout:
+        """``together``: for each two slots, whether a row has both above their first bins."""
+        column, place, used, bundles = [-1] * len(sizes), [0] * len(sizes), 0, []
+        for slot in range(len(sizes)):
+            if sizes[slot] > 2:
+                column[slot], used = used, used + 1
+        for slot in range(len(sizes)):
+            if sizes[slot] != 2:
+                continue
+            fitting = (i for i, b in enumerate(bundles) if len(b) < MOST_BINS - 1 and not together[slot, b].any())
+            at = next(fitting, len(bundles))
+            if at == len(bundles):
+                bundles.append([])
+            bundles[at].append(slot)
+            column[slot], place[slot] = used + at, len(bundles[at])
+        return cls(list(sizes), column, place)
+
+    @property
+    def columns(self) -> int:
+        return max(self.column, default=-1) + 1
+
+    def coded(self, bins: np.ndarray) -> np.ndarray:
+        """A (columns, rows) array of codes from a (rows, slots) array of bins."""
+        codes = np.zeros((self.columns, len(bins)), np.uint8)
+        for slot, size in enumerate(self.sizes):
+            if size > 1:
+                codes[self.column[slot]] += bins[:, slot] if size > 2 else bins[:, slot] * np.uint8(self.place[slot])
+        return codes
+
+    def leaves(self, tree: Tree, codes: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+        """The node that each row reaches, of all rows or of some."""
+        n = codes.shape[1]
+        rows = np.arange(n) if rows is None else rows
+        slot, cut, own = np.array(tree.slot, np.int64), np.array(tree.bin, np.int64), np.arange(len(tree.slot))
+        height = [0] * len(own)
+        for node in np.flatnonzero(slot >= 0):
+            height[tree.left[node]] = height[tree.right[node]] = height[node] + 1
+        if max(height) == 0:
+            return np.zeros(len(rows), np.int64)
+        leaf, slot = slot < 0, np.maximum(slot, 0)
+        place, wide = np.array(self.place).take(slot), np.array(self.sizes).take(slot) > 2
+        low, high = np.where(wide, cut + 1, place)[:, None], np.where(wide, MOST_BINS, place)[:, None]
+        code = np.arange(MOST_BINS)
+        # A leaf leads to itself, so all rows take the same steps.
+        right, left = np.where(leaf, own, tree.right)[:, None], np.where(leaf, own, tree.left)[:, None]
+        following = np.where((code >= low) & (code <= high), right, left).ravel()
+        start = np.where(leaf, 0, np.array(self.column).take(slot) * n)
+        flat, at = codes.ravel(), np.zeros(len(rows), np.int64)
+        for _ in range(max(height)):
+            step = start.take(at)
+            step += rows
+            at *= MOST_BINS
+            at += flat.take(step)
+            at = following.take(at)
+        return at
+
+    def moved(self, margin: np.ndarray, codes: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
+        for tree in trees:
+            margin += np.array(tree.value).take(self.leaves(tree, codes))
+        return margin
+
+
+STATE = "id binary, label binary, train binary, bins binary, margins binary"
 
 
 class BoostingRun:
@@ -174,10 +259,12 @@ class BoostingRun:
 
     A round of a model takes one job per level of its tree, and no model waits for another's: a job holds the level that
     each of them has come to, so there are as many as the longest-growing model has levels. Tasks add gradients and
-    Hessians into histograms of all nodes that all models have at that level, one row a node; Spark brings a node's
-    rows together, which are as many as there are tasks, sums them in the tasks' order and returns the best split.
-    The driver holds trees only. Once there is a new tree for each model growing, a job applies them to the rows' margins,
-    which executors keep for the next ones; every few times, and when all models have their rounds, they are stored.
+    Hessians into histograms of all nodes that all models have at that level. If these are few the driver sums them, in
+    the tasks' order; else Spark brings the rows of a node together, which are as many as there are tasks, sums them in
+    the same order and returns the best split. The driver holds trees and histograms of a bounded size only. Rows lie in
+    blocks, an array for each column. Once there is a new tree for each model growing, a job applies them to the rows'
+    margins, which executors keep for the next ones, for the models growing only; every few times, and when all models
+    have their rounds, they are stored.
     """
 
     def __init__(
@@ -194,24 +281,32 @@ class BoostingRun:
             F.sum(F.when(F.col(train), weight * F.col(label))).alias("y")).first()
         share = min(max((sums["y"] or 0.0) / (sums["w"] or 1.0), 1e-6), 1 - 1e-6)
         self.start = float(np.log(share / (1 - share)))
-        first = np.full(len(self.settings), self.start)
+        self.positive_weight = float(positive_weight)
 
         def to_bins(batches):
             for batch in batches:
-                x = batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(cuts))
-                codes = binned(x, cuts)
-                margins = np.full((len(codes), len(first)), first)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:4], _packed(codes), _packed(margins)], names=["id", "label", "weight", "train", "bins", "margins"])
+                x = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(cuts))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], _packed(binned(x, cuts))], names=["id", "label", "train", "bins"])
 
         plain = vectors.select(
             F.xxhash64(F.col(key).cast("string")).alias("id"), F.col(label).cast("double").alias("label"),
-            weight.cast("double").alias("weight"), F.col(train).cast("boolean").alias("train"), F.col(vector).alias("x"))
-        parts = task_count(spark, sums["rows"])
-        self.state = checkpointed(plain.repartition(parts, "id").sortWithinPartitions("id").mapInArrow(to_bins, STATE))
-        self.kept: list[DataFrame] = []
-        self.spark = spark
+            F.coalesce(F.col(train).cast("boolean"), F.lit(False)).alias("train"), F.col(vector).alias("x"))
+        few = sums["rows"] <= spark.sparkContext.defaultParallelism * MOST_TASK_ROWS
+        parts = task_count(spark, sums["rows"]) if few else even_task_count(spark, sums["rows"], TASK_ROWS)
+        coded = plain.mapInArrow(to_bins, "id bigint, label double, train boolean, bins binary")
+        dealt = checkpointed(coded.repartition(parts, "id").sortWithinPartitions("id"))
+        self.layout = layout = Layout.of(self._sizes(), _together(dealt, len(cuts)))
+        block_rows = BLOCK_ROWS
+
+        def to_blocks(batches):
+            for ids, y, train, bins in _blocks(batches, len(cuts), block_rows):
+                yield _block(ids, y, train, layout.coded(bins), [])
+
+        self.state = checkpointed(dealt.mapInArrow(to_blocks, STATE))
+        self.parts, self.kept = parts, []
         self.trees: list[list[Tree]] = [[] for _ in self.settings]
+        # Models whose margins the rows have, and how many trees are in them.
+        self.carried: list[int] = []
         self.settled = [0] * len(self.settings)
         self.losses: list[tuple[int, int, float, float]] = []
         self.best: list[tuple[float, int]] = [(np.inf, 0)] * len(self.settings)
@@ -220,6 +315,23 @@ class BoostingRun:
     def _pending(self) -> list[list[Tree]]:
         return [trees[n:] for trees, n in zip(self.trees, self.settled)]
 
+    def _frames(self):
+        """A function for tasks: blocks of batches as (ids, labels, weights, train, codes, a model's margins without pending trees)."""
+        columns, carried, start, positive = self.layout.columns, {t: i for i, t in enumerate(self.carried)}, self.start, self.positive_weight
+
+        def frames(batches):
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    ids, y, train, codes, margins = (np.frombuffer(batch.column(i)[row].as_buffer(), t) for i, t in enumerate(_KINDS))
+                    margins = margins.reshape(-1, len(ids))
+
+                    def margin(trial, margins=margins, n=len(ids)):
+                        return margins[carried[trial]] if trial in carried else np.full(n, start)
+
+                    yield ids, y, np.where(y == 1, positive, 1.0), train, codes.reshape(columns, len(ids)), margin
+
+        return frames
+
     def _columns(self, trial: int, round_: int) -> np.ndarray:
         count = max(1, int(np.ceil(self.settings[trial].column_share * len(self.cuts))))
         draw = np.random.default_rng([self.seed, trial, round_])
@@ -227,98 +339,135 @@ class BoostingRun:
 
     def _summed(self, wanted: list[tuple[int, int]], growing: dict[int, Tree], measure: list[int]) -> list[dict]:
         """Best splits of the (trial, node) pairs, and losses (node -1) of the models to be measured."""
-        pending, settings, seed, slots = self._pending(), self.settings, self.seed, len(self.cuts)
+        pending, settings, seed, layout, frames = self._pending(), self.settings, self.seed, self.layout, self._frames()
         sizes = self._sizes()
-        bins = max(sizes, default=1)
         rounds = [len(t) for t in self.trees]
         nodes: dict[int, list[int]] = {}
         for trial, node in wanted:
             nodes.setdefault(trial, []).append(node)
         columns = {trial: self._columns(trial, rounds[trial]) for trial in nodes}
         live = sorted({*nodes, *measure})
-        # Columns of two bins are mostly indicators: their few rows in the upper bin are summed, the lower bin is the rest.
-        paired = np.flatnonzero(np.array(sizes) == 2)
-        # The cells of a trial's histograms, column by column, and their places in one of equally many bins for each.
-        places = {trial: np.concatenate([i * bins + np.arange(sizes[c]) for i, c in enumerate(cs)]) for trial, cs in columns.items()}
+        cells = {trial: int(sum(sizes[c] for c in cs)) for trial, cs in columns.items()}
 
         def added(batches):
-            sums = {trial: np.zeros((2, len(n), len(places[trial]))) for trial, n in nodes.items()}
+            sums = {trial: np.zeros((len(n), 2, cells[trial])) for trial, n in nodes.items()}
             losses = {trial: np.zeros(4) for trial in measure}
-            for ids, y, w, train, codes, margins in _frames(batches, slots, len(settings)):
-                wide = {c: codes[:, c].astype(np.int64) for c in sorted({c for cs in columns.values() for c in cs}) if sizes[c] > 2}
-                upper_row, upper_column = np.nonzero(codes[:, paired])
+            # By trial: histograms of the codes of each column that is asked for, and the sums of all rows of a node.
+            asked = {trial: sorted({layout.column[c] for c in cs if sizes[c] > 1}) for trial, cs in columns.items()}
+            histograms = {trial: np.zeros((2, len(asked[trial]), len(n) * MOST_BINS)) for trial, n in nodes.items()}
+            totals = {trial: np.zeros((2, len(n))) for trial, n in nodes.items()}
+            for ids, y, w, train, codes, margin in frames(batches):
+                training = np.flatnonzero(train)
+                keys = ids[training]
                 for trial in live:
-                    margin = _moved(margins[:, trial].copy(), codes, pending[trial])
-                    p = 1 / (1 + np.exp(-margin))
+                    whole = None
+                    if trial in losses or pending[trial]:
+                        whole = layout.moved(margin(trial).copy(), codes, pending[trial])
                     if trial in losses:
-                        loss = w * (np.logaddexp(0, margin) - y * margin)
+                        loss = w * (np.logaddexp(0, whole) - y * whole)
                         losses[trial] += [loss[train].sum(), w[train].sum(), loss[~train].sum(), w[~train].sum()]
                     if trial not in nodes:
                         continue
                     how, count = settings[trial], len(nodes[trial])
-                    used = train if how.row_share >= 1 else train & (_unit(ids, seed, trial, rounds[trial]) < how.row_share)
-                    rows = np.flatnonzero(used)
-                    place = np.full(len(growing[trial].slot), -1)
-                    place[nodes[trial]] = np.arange(count)
-                    at = place[growing[trial].leaves_of(codes[rows])]
-                    rows, at = rows[at >= 0], at[at >= 0]
-                    whole = [(w * (p - y)), (w * p * (1 - p))]
-                    parts = [v[rows] for v in whole]
-                    totals = [np.bincount(at, v, count) for v in parts]
-                    reached = np.full(len(ids), -1)
-                    reached[rows] = at
-                    own = np.full(len(paired), -1)
-                    mine = np.flatnonzero(np.isin(paired, columns[trial]))
-                    own[mine] = np.arange(len(mine))
-                    chosen = (reached[upper_row] >= 0) & (own[upper_column] >= 0)
-                    cell = reached[upper_row[chosen]] * len(mine) + own[upper_column[chosen]]
-                    upper = [np.bincount(cell, v[upper_row[chosen]], count * len(mine)).reshape(count, -1) for v in whole]
-                    start, two = 0, 0
-                    for column in columns[trial]:
-                        size = sizes[column]
+                    rows = training if how.row_share >= 1 else training[_unit(keys, seed, trial, rounds[trial]) < how.row_share]
+                    if len(growing[trial].slot) > 1:
+                        place = np.full(len(growing[trial].slot), -1)
+                        place[nodes[trial]] = np.arange(count)
+                        at = place.take(layout.leaves(growing[trial], codes, rows))
+                        inside = np.flatnonzero(at >= 0)
+                        rows, at = rows.take(inside), at.take(inside)
+                    else:
+                        at = np.zeros(len(rows), np.int64)
+                    weights, own = w.take(rows), (margin(trial) if whole is None else whole).take(rows)
+                    p = 1 / (1 + np.exp(-own))
+                    parts = [weights * (p - y.take(rows)), weights * p * (1 - p)]
+                    first = at * MOST_BINS
+                    for k in range(2):
+                        totals[trial][k] += np.bincount(at, parts[k], count)
+                    for i, column in enumerate(asked[trial]):
+                        cell = first + codes[column].take(rows)
                         for k in range(2):
-                            into = sums[trial][k][:, start : start + size]
-                            if size > 2:
-                                into += np.bincount(at * size + wide[column][rows], parts[k], count * size).reshape(count, size)
-                            elif size == 2:
-                                into[:, 0] += totals[k] - upper[k][:, two]
-                                into[:, 1] += upper[k][:, two]
-                            else:
-                                into[:, 0] += totals[k]
-                        start, two = start + size, two + (size == 2)
+                            histograms[trial][k, i] += np.bincount(cell, parts[k], count * MOST_BINS)
+            for trial, n in nodes.items():
+                start = 0
+                for slot in columns[trial]:
+                    size = sizes[slot]
+                    for k in range(2):
+                        into, whole = sums[trial][:, k, start : start + size], totals[trial][k]
+                        if size > 1:
+                            found = histograms[trial][k, asked[trial].index(layout.column[slot])].reshape(len(n), MOST_BINS)
+                        if size > 2:
+                            into[:] = found[:, :size]
+                        elif size == 2:
+                            into[:, 1] = found[:, layout.place[slot]]
+                            into[:, 0] = whole - into[:, 1]
+                        else:
+                            into[:, 0] = whole
+                    start += size
             part = TaskContext.get().partitionId()
-            made = [(trial, node, part, sums[trial][:, i].tobytes()) for trial, n in nodes.items() for i, node in enumerate(n)]
+            made = [(trial, node, part, sums[trial][i].tobytes()) for trial, n in nodes.items() for i, node in enumerate(n)]
             made += [(trial, -1, part, total.tobytes()) for trial, total in losses.items()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*made), (pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
                 names=["trial", "node", "part", "sums"])
 
-        def split_of(trial: int, node: int, total: np.ndarray) -> tuple:
-            if node < 0:
-                return trial, -1, -1, -1, 0.0, total[0] / max(total[1], 1e-300), total[2] / max(total[3], 1e-300), 0.0, 0.0
-            histogram = np.zeros((len(columns[trial]) * bins, 2))
-            histogram[places[trial]] = total.reshape(2, -1).T
-            histogram = histogram.reshape(len(columns[trial]), bins, 2)
-            column, cut, gain, left_g, left_h = best_split(histogram, settings[trial])
-            g, h = histogram[0].sum(axis=0)
-            return trial, node, int(columns[trial][column]) if column >= 0 else -1, cut, gain, float(g), float(h), left_g, left_h
+        def splits_of(trial: int, found: list[int], total: np.ndarray) -> list[tuple]:
+            """Of nodes of one trial, from their (nodes, 2, cells) histograms."""
+            which = [sizes[c] for c in columns[trial]]
+            ends = np.cumsum(which)
+            first = total[:, :, : ends[0]].cumsum(axis=2)[:, :, -1]
+            best = [np.full(len(found), -1), np.full(len(found), -1), *np.zeros((3, len(found)))]
+            for kind in (lambda size: size > 2, lambda size: size == 2):
+                own = [i for i, size in enumerate(which) if kind(size)]
+                if not own:
+                    continue
+                histogram = np.zeros((len(found), len(own), max(which[i] for i in own), 2))
+                for k, i in enumerate(own):
+                    histogram[:, k, : which[i]] = total[:, :, ends[i] - which[i] : ends[i]].transpose(0, 2, 1)
+                column, *rest = best_splits(histogram, settings[trial])
+                slot = np.where(column >= 0, columns[trial][own].take(np.maximum(column, 0)), -1)
+                # Equal gains go to the first slot.
+                better = (slot >= 0) & ((best[0] < 0) | (rest[1] > best[2]) | ((rest[1] == best[2]) & (slot < best[0])))
+                best = [np.where(better, new, old) for new, old in zip((slot, *rest), best)]
+            slot, cut, gain, left_g, left_h = best
+            return list(zip([trial] * len(found), found, slot.tolist(), cut.tolist(), gain.tolist(), *first.T.tolist(), left_g.tolist(), left_h.tolist()))
+
+        def made_of(rows: list[tuple[int, int, np.ndarray]]) -> list[tuple]:
+            """Splits and losses of summed rows (trial, node, sums)."""
+            made: list[tuple] = []
+            groups: dict[int, list[tuple[int, np.ndarray]]] = {}
+            for trial, node, total in rows:
+                if node < 0:
+                    train, validation = total[0] / max(total[1], 1e-300), total[2] / max(total[3], 1e-300)
+                    made.append((trial, -1, -1, -1, 0.0, float(train), float(validation), 0.0, 0.0))
+                else:
+                    groups.setdefault(trial, []).append((node, total))
+            for trial, found in groups.items():
+                made += splits_of(trial, [n for n, _ in found], np.stack([s for _, s in found]).reshape(len(found), 2, -1))
+            return made
 
         def settled(batches):
-            made, key, total = [], None, None
+            made, summed, size = [], [], 0
             for batch in batches:
                 for trial, node, one in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
-                    if (trial, node) != key:
-                        if key is not None:
-                            made.append(split_of(*key, total))
-                        key, total = (trial, node), 0.0
-                    total = total + np.frombuffer(one)
-            if key is not None:
-                made.append(split_of(*key, total))
+                    if not summed or summed[-1][:2] != (trial, node):
+                        if size > CELLS:
+                            made, summed, size = made + made_of(summed), [], 0
+                        summed.append((trial, node, 0.0 + np.frombuffer(one)))
+                        size += len(one) // 16
+                    else:
+                        summed[-1][2][:] += np.frombuffer(one)
+            made += made_of(summed)
             kinds = [pa.int32() if t == "int" else pa.float64() for t in _SPLIT.values()]
             yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t) for i, t in enumerate(kinds)], names=list(_SPLIT))
 
         schema = ", ".join(f"{n} {t}" for n, t in _SPLIT.items())
         parts = self.state.mapInArrow(added, "trial int, node int, part int, sums binary")
+        if 16 * sum(len(n) * cells[trial] for trial, n in nodes.items()) * self.parts <= DRIVER_BYTES:
+            rows, summed = sorted(map(tuple, parts.collect())), {}
+            for trial, node, _, one in rows:
+                summed[trial, node] = summed.get((trial, node), 0.0) + np.frombuffer(one)
+            return [dict(zip(_SPLIT, row)) for row in made_of([(*key, total) for key, total in summed.items()])]
         together = parts.repartition("trial", "node").sortWithinPartitions("trial", "node", "part")
         return [r.asDict() for r in together.mapInArrow(settled, schema).collect()]
 
@@ -327,7 +476,7 @@ class BoostingRun:
 
     def _level(self, wanted: list[tuple[int, int]], growing: dict[int, Tree], measure: list[int]) -> list[dict]:
         """``_summed`` in as many jobs as bounded histograms ask for."""
-        size = max(1, CELLS // max(1, sum(self._sizes())))
+        size = max(1, CELLS // max(1, sum(self._sizes()), self.layout.columns * MOST_BINS))
         found: list[dict] = []
         for start in range(0, max(len(wanted), 1), size):
             found += self._summed(wanted[start : start + size], growing, measure if not start else [])
@@ -358,10 +507,11 @@ class BoostingRun:
             measure = [t for t in upto if t not in measured and not self.stopped[t]]
             if not growing and not measure:
                 if self.kept:
-                    self.settle()
+                    self.settle(list(upto))
                 return
-            if sum(map(len, self._pending())) >= max(1, len(growing)):
-                self._move()
+            pending = self._pending()
+            if sum(len(pending[t]) for t in upto) >= max(1, len(growing)):
+                self._move(list(upto))
             found = self._level([(t, node) for t, nodes in wanted.items() for node in nodes], growing, measure)
             self._noted(found)
             measured.update(measure)
@@ -386,48 +536,50 @@ class BoostingRun:
                     measured.discard(t)
                     del wanted[t]
 
-    def _with_all_trees(self) -> DataFrame:
-        pending, slots, models = self._pending(), len(self.cuts), len(self.settings)
+    def _with_all_trees(self, models: list[int]) -> DataFrame:
+        """Rows with the margins of some models after all their trees."""
+        pending, layout, frames = self._pending(), self.layout, self._frames()
 
         def run(batches):
-            for batch in batches:
-                for *_, codes, margins in _frames([batch], slots, models):
-                    moved = np.stack([_moved(margins[:, t].copy(), codes, trees) for t, trees in enumerate(pending)], axis=1)
-                    yield pa.RecordBatch.from_arrays([*batch.columns[:5], _packed(moved)], names=batch.schema.names)
+            for ids, y, _, train, codes, margin in frames(batches):
+                yield _block(ids, y, train, codes, [layout.moved(margin(t).copy(), codes, pending[t]) for t in models])
 
         return self.state.mapInArrow(run, STATE)
 
-    def _move(self) -> None:
+    def _carry(self, models: list[int]) -> None:
+        self.carried, self.settled = models, [len(trees) if t in models else 0 for t, trees in enumerate(self.trees)]
+
+    def _move(self, models: list[int]) -> None:
         """Have the next job apply the trees since the last call, and keep the rows it makes for the jobs after it."""
-        if not any(self._pending()):
-            return
         if len(self.kept) >= SETTLE:
-            return self.settle()
+            return self.settle(models)
         if len(self.kept) > 1:
             self.kept[-2].unpersist()  # the rows made from it are kept by now
-        self.state = self._with_all_trees().persist(StorageLevel.MEMORY_AND_DISK)
+        self.state = self._with_all_trees(models).persist(StorageLevel.MEMORY_AND_DISK)
         self.kept.append(self.state)
-        self.settled = [len(t) for t in self.trees]
+        self._carry(models)
 
-    def settle(self) -> None:
-        """Store the rows with all trees so far in their margins."""
-        self.state = checkpointed(self._with_all_trees())
+    def settle(self, models: Sequence[int] | None = None) -> None:
+        """Store the rows with all trees so far in their margins, of some models or of all."""
+        models = list(range(len(self.settings)) if models is None else models)
+        self.state = checkpointed(self._with_all_trees(models))
         for rows in self.kept:
             rows.unpersist()
-        self.kept, self.settled = [], [len(t) for t in self.trees]
+        self.kept = []
+        self._carry(models)
 
     def scores(self, trials: Sequence[int]) -> DataFrame:
         """(trial, label, probability) of the validation rows for some models, each as ``model`` returns it."""
-        pending, slots, models = self._pending(), len(self.cuts), len(self.settings)
+        pending, layout, frames = self._pending(), self.layout, self._frames()
         surplus = {t: self.trees[t][self.best[t][1] :] if self.patience is not None else [] for t in trials}
 
         def run(batches):
-            for _, y, _, train, codes, margins in _frames(batches, slots, models):
+            for _, y, _, train, codes, margin in frames(batches):
                 for trial in trials:
-                    margin = _moved(margins[:, trial].copy(), codes, pending[trial])
-                    margin = (margin - _moved(np.zeros(len(y)), codes, surplus[trial]))[~train]
+                    whole = layout.moved(margin(trial).copy(), codes, pending[trial])
+                    whole = (whole - layout.moved(np.zeros(len(y)), codes, surplus[trial]))[~train]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(margin), trial, np.int32)), pa.array(y[~train].astype(np.int32)), pa.array(1 / (1 + np.exp(-margin)))],
+                        [pa.array(np.full(len(whole), trial, np.int32)), pa.array(y[~train].astype(np.int32)), pa.array(1 / (1 + np.exp(-whole)))],
                         names=["trial", "label", "probability"])
 
         return self.state.mapInArrow(run, "trial int, label int, probability double")
@@ -442,14 +594,41 @@ _SPLIT = {
     "trial": "int", "node": "int", "slot": "int", "bin": "int", "gain": "double", "g": "double", "h": "double",
     "left_g": "double", "left_h": "double",
 }
+_KINDS = (np.int64, np.float64, np.bool_, np.uint8, np.float64)
 
 
-def _frames(batches, slots: int, models: int):
+def _block(ids: np.ndarray, y: np.ndarray, train: np.ndarray, codes: np.ndarray, margins: Sequence[np.ndarray]) -> pa.RecordBatch:
+    """Arrays of some rows as one row of the state."""
+    parts = (ids, y, train, codes, np.concatenate(margins) if margins else np.empty(0))
+    return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(p).tobytes()], pa.binary()) for p in parts], names=["id", "label", "train", "bins", "margins"])
+
+
+def _blocks(batches, slots: int, size: int):
+    """(ids, labels, train, bins) of rows in blocks of a size."""
+    held, count = [], 0
     for batch in batches:
-        n = batch.num_rows
-        ids, y, w = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        train = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
-        yield ids, y, w, train, _unpacked(batch.column(4)).reshape(n, slots), _unpacked(batch.column(5)).view(float).reshape(n, models)
+        ids, y, train = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        bins = _unpacked(batch.column(3)).reshape(batch.num_rows, slots)
+        held, count = [*held, (ids, y, train.astype(bool), bins)], count + batch.num_rows
+        while count >= size:
+            whole = [np.concatenate(parts) for parts in zip(*held)]
+            yield [v[:size] for v in whole]
+            held, count = [[v[size:] for v in whole]], count - size
+    if count:
+        yield [np.concatenate(parts) for parts in zip(*held)]
+
+
+def _together(rows: DataFrame, slots: int) -> np.ndarray:
+    """For each two slots, whether a row is above the first bins of both."""
+    def seen(batches):
+        found = np.zeros((slots, slots))
+        for batch in batches:
+            upper = (_unpacked(batch.column(0)).reshape(-1, slots) > 0).astype(np.float32)
+            found += upper.T @ upper > 0
+        yield pa.RecordBatch.from_arrays([pa.array([(found > 0).tobytes()], pa.binary())], names=["found"])
+
+    parts = rows.select("bins").mapInArrow(seen, "found binary").collect()  # one row a task
+    return np.any([np.frombuffer(r["found"], np.bool_).reshape(slots, slots) for r in parts], axis=0)
 
 
 def _packed(matrix: np.ndarray) -> pa.Array:
@@ -468,11 +647,5 @@ def _unpacked(column: pa.Array) -> np.ndarray:
     return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].copy() if data is not None else np.empty(0, np.uint8)
 
 
-def _moved(margin: np.ndarray, codes: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
-    for tree in trees:
-        margin += np.array(tree.value)[tree.leaves_of(codes)]
-    return margin
-
-
 def parameters(how: Boosting) -> dict[str, float]:
     return {name: float(value) for name, value in asdict(how).items()}

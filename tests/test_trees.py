@@ -217,6 +217,59 @@ def test_margins_kept_by_executors_are_those_of_all_trees(spark, monkeypatch):
     assert np.allclose(sorted(r.probability for r in run.scores([0]).collect()), sorted(1 / (1 + np.exp(-margins))))
 
 
+def indicators(spark, n=300):
+    """Rows with a wide slot, five indicators of one choice, one of its own, and a constant."""
+    draw = np.random.default_rng(11)
+    choice, own, wide = draw.integers(0, 6, n), draw.integers(0, 2, n), draw.normal(0, 1, n).round(1)
+    x = np.column_stack([*[choice == k for k in range(5)], wide, own, np.ones(n)]).astype(float)
+    y = ((choice == 2) | (own > 0) & (wide > 0.2)).astype(float)
+    rows = [(str(i), [float(v) for v in r], float(t), i % 4 != 0) for i, (r, t) in enumerate(zip(x, y))]
+    return spark.createDataFrame(rows, "key string, x array<double>, label double, train boolean"), x, y
+
+
+def test_indicators_of_one_choice_share_a_code(spark):
+    df, x, y = indicators(spark)
+    how = Boosting(rounds=3, depth=4, rate=0.5, row_share=1.0, column_share=1.0, least_child=0.2)
+    run = BoostingRun(df, [how], "key", "label", "x", "train")
+    assert run.layout.columns == 3 and run.layout.column[7] == -1
+    assert len({run.layout.column[i] for i in range(5)}) == 1 and run.layout.column[6] not in (run.layout.column[0], run.layout.column[5])
+    run.advance({0: 3})
+    train = np.array([i % 4 != 0 for i in range(len(y))])
+    assert flat(run.model(0)) == numpy_trees(x[train], y[train], np.ones(train.sum()), run.cuts, how, run.start)
+    bins = boosting.binned(x, run.cuts)
+    codes, some = run.layout.coded(bins), np.arange(3, 250, 7)
+    for tree in run.trees[0]:
+        assert run.layout.leaves(tree, codes).tolist() == tree.leaves_of(bins).tolist()
+        assert run.layout.leaves(tree, codes, some).tolist() == tree.leaves_of(bins)[some].tolist()
+
+
+def test_rows_lie_in_blocks_with_margins_of_growing_models_only(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 50)
+    df, x, _ = table(spark)
+    run = BoostingRun(df, [Boosting(rounds=4, depth=2), Boosting(rounds=2, depth=3), Boosting(rounds=1)], "key", "label", "x", "train")
+    assert run.state.count() == 5
+    run.advance({0: 2, 1: 2, 2: 1})
+    run.advance({0: 4})
+    rows = run.state.select((F.length("margins") / 8).alias("margins"), (F.length("id") / 8).alias("rows")).collect()
+    assert run.carried == [0] and all(r["margins"] == r["rows"] for r in rows) and sum(r["rows"] for r in rows) == 240
+    for trial in (0, 1):  # one that went on, and one whose margins were dropped
+        found = run.scores([trial]).collect()
+        margins = run.model(trial).margins(x[::4])
+        assert np.allclose(sorted(r.probability for r in found), sorted(1 / (1 + np.exp(-margins))))
+
+
+def test_sums_of_the_driver_are_those_of_tasks(spark, monkeypatch):
+    df, _, _ = table(spark, n=12_000)
+    settings = [Boosting(rounds=2, depth=d, row_share=0.7, column_share=0.6) for d in (2, 4)]
+    made = []
+    for most in (boosting.DRIVER_BYTES, 0):
+        monkeypatch.setattr(boosting, "DRIVER_BYTES", most)
+        run = BoostingRun(df, settings, "key", "label", "x", "train")
+        run.advance({0: 2, 1: 2})
+        made.append((run.trees, sorted(run.losses)))
+    assert made[0] == made[1]
+
+
 def test_tabulated_paths_give_the_same_attributions(monkeypatch):
     draw = np.random.default_rng(5)
     x, owners = draw.integers(0, 4, (150, 9)).astype(float), np.array([0, 0, 1, 2, 2, 2, 3, 4, 4])
