@@ -21,7 +21,7 @@ SETTLE = 25
 # Rows of a block, of a task at most where there are more than all cores can take otherwise, bytes that the driver sums.
 BLOCK_ROWS = 1 << 15
 TASK_ROWS = 400_000
-DRIVER_BYTES = 1 << 25
+DRIVER_BYTES = 1 << 26
 # A split must gain more than rounding does.
 LEAST_GAIN = 1e-9
 
@@ -245,9 +245,9 @@ class Layout:
             at = following.take(at)
         return at
 
-    def moved(self, margin: np.ndarray, codes: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
+    def moved(self, margin: np.ndarray, codes: np.ndarray, trees: Sequence[Tree], rows: np.ndarray | None = None) -> np.ndarray:
         for tree in trees:
-            margin += np.array(tree.value).take(self.leaves(tree, codes))
+            margin += np.array(tree.value).take(self.leaves(tree, codes, rows))
         return margin
 
 
@@ -291,6 +291,7 @@ class BoostingRun:
         plain = vectors.select(
             F.xxhash64(F.col(key).cast("string")).alias("id"), F.col(label).cast("double").alias("label"),
             F.coalesce(F.col(train).cast("boolean"), F.lit(False)).alias("train"), F.col(vector).alias("x"))
+        # Larger tables round gradients to a grid on which all sums are exact, so they do not depend on how rows are dealt.
         few = sums["rows"] <= spark.sparkContext.defaultParallelism * MOST_TASK_ROWS
         parts = task_count(spark, sums["rows"]) if few else even_task_count(spark, sums["rows"], TASK_ROWS)
         coded = plain.mapInArrow(to_bins, "id bigint, label double, train boolean, bins binary")
@@ -303,6 +304,9 @@ class BoostingRun:
                 yield _block(ids, y, train, layout.coded(bins), [])
 
         self.state = checkpointed(dealt.mapInArrow(to_blocks, STATE))
+        self.unit = None if few else 2.0 ** (np.ceil(np.log2(max(sums["w"] or 0.0, 1.0))) - 51)
+        # Sums of the nodes of the last level, if the driver had them and they are exact.
+        self.sums: dict[tuple[int, int], np.ndarray] = {}
         self.parts, self.kept = parts, []
         self.trees: list[list[Tree]] = [[] for _ in self.settings]
         # Models whose margins the rows have, and how many trees are in them.
@@ -340,14 +344,20 @@ class BoostingRun:
     def _summed(self, wanted: list[tuple[int, int]], growing: dict[int, Tree], measure: list[int]) -> list[dict]:
         """Best splits of the (trial, node) pairs, and losses (node -1) of the models to be measured."""
         pending, settings, seed, layout, frames = self._pending(), self.settings, self.seed, self.layout, self._frames()
-        sizes = self._sizes()
+        sizes, unit = self._sizes(), self.unit
         rounds = [len(t) for t in self.trees]
+        columns = {trial: self._columns(trial, rounds[trial]) for trial in sorted({t for t, _ in wanted})}
+        cells = {trial: int(sum(sizes[c] for c in cs)) for trial, cs in columns.items()}
+        # Where sums are exact, a node's are its parent's less its sibling's: rows of the larger one need not be added.
+        above, rest = self.sums, self._rest(wanted, growing)
         nodes: dict[int, list[int]] = {}
         for trial, node in wanted:
-            nodes.setdefault(trial, []).append(node)
-        columns = {trial: self._columns(trial, rounds[trial]) for trial in nodes}
+            if (trial, node) not in rest:
+                nodes.setdefault(trial, []).append(node)
+        direct = 16 * sum(len(n) * cells[trial] for trial, n in nodes.items()) * self.parts <= DRIVER_BYTES
+        if not direct:
+            nodes, rest = {trial: [n for t, n in wanted if t == trial] for trial in columns}, {}
         live = sorted({*nodes, *measure})
-        cells = {trial: int(sum(sizes[c] for c in cs)) for trial, cs in columns.items()}
 
         def added(batches):
             sums = {trial: np.zeros((len(n), 2, cells[trial])) for trial, n in nodes.items()}
@@ -360,10 +370,8 @@ class BoostingRun:
                 training = np.flatnonzero(train)
                 keys = ids[training]
                 for trial in live:
-                    whole = None
-                    if trial in losses or pending[trial]:
-                        whole = layout.moved(margin(trial).copy(), codes, pending[trial])
                     if trial in losses:
+                        whole = layout.moved(margin(trial).copy(), codes, pending[trial])
                         loss = w * (np.logaddexp(0, whole) - y * whole)
                         losses[trial] += [loss[train].sum(), w[train].sum(), loss[~train].sum(), w[~train].sum()]
                     if trial not in nodes:
@@ -378,9 +386,11 @@ class BoostingRun:
                         rows, at = rows.take(inside), at.take(inside)
                     else:
                         at = np.zeros(len(rows), np.int64)
-                    weights, own = w.take(rows), (margin(trial) if whole is None else whole).take(rows)
-                    p = 1 / (1 + np.exp(-own))
+                    own = whole.take(rows) if trial in losses else layout.moved(margin(trial).take(rows), codes, pending[trial], rows)
+                    weights, p = w.take(rows), 1 / (1 + np.exp(-own))
                     parts = [weights * (p - y.take(rows)), weights * p * (1 - p)]
+                    if unit:
+                        parts = [np.rint(v / unit) * unit for v in parts]
                     first = at * MOST_BINS
                     for k in range(2):
                         totals[trial][k] += np.bincount(at, parts[k], count)
@@ -463,14 +473,31 @@ class BoostingRun:
 
         schema = ", ".join(f"{n} {t}" for n, t in _SPLIT.items())
         parts = self.state.mapInArrow(added, "trial int, node int, part int, sums binary")
-        if 16 * sum(len(n) * cells[trial] for trial, n in nodes.items()) * self.parts <= DRIVER_BYTES:
+        self.sums = {}
+        if direct:
             rows, summed = sorted(map(tuple, parts.collect())), {}
             for trial, node, _, one in rows:
                 summed[trial, node] = summed.get((trial, node), 0.0) + np.frombuffer(one)
+            for (trial, node), (parent, sibling) in rest.items():
+                summed[trial, node] = above[trial, parent] - summed[trial, sibling]
+            if unit:
+                self.sums = {key: total for key, total in summed.items() if key[1] >= 0}
             return [dict(zip(_SPLIT, row)) for row in made_of([(*key, total) for key, total in summed.items()])]
         together = parts.repartition("trial", "node").sortWithinPartitions("trial", "node", "part")
         return [r.asDict() for r in together.mapInArrow(settled, schema).collect()]
 
+    def _rest(self, wanted: list[tuple[int, int]], growing: dict[int, Tree]) -> dict[tuple[int, int], tuple[int, int]]:
+        """(trial, node) -> (parent, sibling) of the larger of two children that are wanted of a parent whose sums are there."""
+        asked, rest = set(wanted), {}
+        for trial, parent in self.sums:
+            tree = growing.get(trial)
+            if tree is None or parent >= len(tree.slot) or tree.slot[parent] < 0:
+                continue
+            small, large = sorted((tree.left[parent], tree.right[parent]), key=lambda n: tree.cover[n])
+            if {(trial, small), (trial, large)} <= asked:
+                rest[trial, large] = parent, small
+        return rest
+
     def _sizes(self) -> list[int]:
         return [len(c) + 1 for c in self.cuts]
 
@@ -479,6 +506,8 @@ class BoostingRun:
         size = max(1, CELLS // max(1, sum(self._sizes()), self.layout.columns * MOST_BINS))
         found: list[dict] = []
         for start in range(0, max(len(wanted), 1), size):
+            if len(wanted) > size:
+                self.sums = {}  # of some nodes only
             found += self._summed(wanted[start : start + size], growing, measure if not start else [])
         return found
 
@@ -499,6 +528,7 @@ class BoostingRun:
         growing: dict[int, Tree] = {}
         wanted: dict[int, list[int]] = {}
         levels: dict[int, int] = {}
+        self.sums = {}
         while True:
             for t, n in upto.items():
                 if t not in growing and len(self.trees[t]) < n and not self.stopped[t]:

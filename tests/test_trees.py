@@ -270,6 +270,33 @@ def test_sums_of_the_driver_are_those_of_tasks(spark, monkeypatch):
     assert made[0] == made[1]
 
 
+def test_exact_sums_do_not_depend_on_tasks_and_give_those_of_siblings(spark, monkeypatch):
+    df, x, _ = table(spark, n=3_000)
+    settings = [Boosting(rounds=2, depth=d, row_share=0.7, column_share=0.6, least_child=0.5) for d in (1, 4)]
+    asked, summed = [], BoostingRun._rest
+    monkeypatch.setattr(BoostingRun, "_rest", lambda run, *a: asked.append(summed(run, *a)) or asked[-1])
+
+    def grown():
+        run = BoostingRun(df, settings, "key", "label", "x", "train")
+        run.advance({0: 2, 1: 2})
+        return run
+
+    plain = grown()
+    assert plain.unit is None and not any(asked)
+    monkeypatch.setattr(boosting, "MOST_TASK_ROWS", 0)
+    few = grown()
+    assert sum(map(len, asked)) >= 2 * 4  # of each of two trees of four levels the larger halves
+    monkeypatch.setattr(boosting, "TASK_ROWS", 300)
+    many = grown()
+    assert few.state.rdd.getNumPartitions() < many.state.rdd.getNumPartitions() and few.trees == many.trees
+    del asked[:]
+    monkeypatch.setattr(boosting, "DRIVER_BYTES", 0)
+    assert grown().trees == few.trees
+    for trial in (0, 1):
+        assert [(t.slot, t.bin, t.left) for t in few.trees[trial]] == [(t.slot, t.bin, t.left) for t in plain.trees[trial]]
+        assert np.allclose(few.model(trial).margins(x), plain.model(trial).margins(x), atol=1e-9)
+
+
 def test_tabulated_paths_give_the_same_attributions(monkeypatch):
     draw = np.random.default_rng(5)
     x, owners = draw.integers(0, 4, (150, 9)).astype(float), np.array([0, 0, 1, 2, 2, 2, 3, 4, 4])
