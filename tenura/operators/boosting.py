@@ -263,8 +263,7 @@ class BoostingRun:
     the tasks' order; else Spark brings the rows of a node together, which are as many as there are tasks, sums them in
     the same order and returns the best split. The driver holds trees and histograms of a bounded size only. Rows lie in
     blocks, an array for each column. Once there is a new tree for each model growing, a job applies them to the rows'
-    margins, which executors keep for the next ones, for the models growing only; every few times, and when all models
-    have their rounds, they are stored.
+    margins, which executors keep for the next ones, for the models growing only; every few times they are stored.
     """
 
     def __init__(
@@ -312,6 +311,7 @@ class BoostingRun:
         # Models whose margins the rows have, and how many trees are in them.
         self.carried: list[int] = []
         self.settled = [0] * len(self.settings)
+        self.stored = self.state, self.carried, self.settled
         self.losses: list[tuple[int, int, float, float]] = []
         self.best: list[tuple[float, int]] = [(np.inf, 0)] * len(self.settings)
         self.stopped = [False] * len(self.settings)
@@ -536,12 +536,10 @@ class BoostingRun:
                     wanted[t] = [growing[t].add(0.0, 0.0)]
             measure = [t for t in upto if t not in measured and not self.stopped[t]]
             if not growing and not measure:
-                if self.kept:
-                    self.settle(list(upto))
-                return
-            pending = self._pending()
-            if sum(len(pending[t]) for t in upto) >= max(1, len(growing)):
-                self._move(list(upto))
+                return self._release()
+            pending, active = self._pending(), [t for t in upto if t in growing or t in measure]
+            if sum(len(pending[t]) for t in active) >= max(1, len(growing)):
+                self._move(active)
             found = self._level([(t, node) for t, nodes in wanted.items() for node in nodes], growing, measure)
             self._noted(found)
             measured.update(measure)
@@ -593,10 +591,16 @@ class BoostingRun:
         """Store the rows with all trees so far in their margins, of some models or of all."""
         models = list(range(len(self.settings)) if models is None else models)
         self.state = checkpointed(self._with_all_trees(models))
+        self._carry(models)
+        self.stored = self.state, self.carried, self.settled
+        self._release()
+
+    def _release(self) -> None:
+        """Go back to the rows last stored; trees since then count as not yet in their margins."""
         for rows in self.kept:
             rows.unpersist()
         self.kept = []
-        self._carry(models)
+        self.state, self.carried, self.settled = self.stored
 
     def scores(self, trials: Sequence[int]) -> DataFrame:
         """(trial, label, probability) of the validation rows for some models, each as ``model`` returns it."""
@@ -605,11 +609,12 @@ class BoostingRun:
 
         def run(batches):
             for _, y, _, train, codes, margin in frames(batches):
+                rows = np.flatnonzero(~train)
                 for trial in trials:
-                    whole = layout.moved(margin(trial).copy(), codes, pending[trial])
-                    whole = (whole - layout.moved(np.zeros(len(y)), codes, surplus[trial]))[~train]
+                    whole = layout.moved(margin(trial).take(rows), codes, pending[trial], rows)
+                    whole = whole - layout.moved(np.zeros(len(rows)), codes, surplus[trial], rows)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(whole), trial, np.int32)), pa.array(y[~train].astype(np.int32)), pa.array(1 / (1 + np.exp(-whole)))],
+                        [pa.array(np.full(len(whole), trial, np.int32)), pa.array(y.take(rows).astype(np.int32)), pa.array(1 / (1 + np.exp(-whole)))],
                         names=["trial", "label", "probability"])
 
         return self.state.mapInArrow(run, "trial int, label int, probability double")

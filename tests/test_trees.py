@@ -248,10 +248,14 @@ def test_rows_lie_in_blocks_with_margins_of_growing_models_only(spark, monkeypat
     df, x, _ = table(spark)
     run = BoostingRun(df, [Boosting(rounds=4, depth=2), Boosting(rounds=2, depth=3), Boosting(rounds=1)], "key", "label", "x", "train")
     assert run.state.count() == 5
+    carried, move = [], BoostingRun._move
+    monkeypatch.setattr(BoostingRun, "_move", lambda run, models: carried.append(models) or move(run, models))
     run.advance({0: 2, 1: 2, 2: 1})
     run.advance({0: 4})
+    assert carried[0] == [0, 1, 2] and carried[-1] == [0] and not run.kept
+    run.settle([0])
     rows = run.state.select((F.length("margins") / 8).alias("margins"), (F.length("id") / 8).alias("rows")).collect()
-    assert run.carried == [0] and all(r["margins"] == r["rows"] for r in rows) and sum(r["rows"] for r in rows) == 240
+    assert all(r["margins"] == r["rows"] for r in rows) and sum(r["rows"] for r in rows) == 240
     for trial in (0, 1):  # one that went on, and one whose margins were dropped
         found = run.scores([trial]).collect()
         margins = run.model(trial).margins(x[::4])
