@@ -7,7 +7,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import RDD, StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -300,18 +300,21 @@ class BoostingRun:
 
         def to_blocks(batches):
             for ids, y, train, bins in _blocks(batches, len(cuts), block_rows):
-                yield _block(ids, y, train, layout.coded(bins), [])
+                block = _block(ids, y, train, layout.coded(bins), [])
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary()) for part in block], names=["id", "label", "train", "bins", "margins"])
 
         self.state = checkpointed(dealt.mapInArrow(to_blocks, STATE))
         self.unit = None if few else 2.0 ** (np.ceil(np.log2(max(sums["w"] or 0.0, 1.0))) - 51)
         # Sums of the nodes of the last level, if the driver had them and they are exact.
         self.sums: dict[tuple[int, int], np.ndarray] = {}
-        self.parts, self.kept = parts, []
+        self.spark, self.parts = spark, parts
+        self.kept: list[RDD] = []
         self.trees: list[list[Tree]] = [[] for _ in self.settings]
         # Models whose margins the rows have, and how many trees are in them.
         self.carried: list[int] = []
         self.settled = [0] * len(self.settings)
-        self.stored = self.state, self.carried, self.settled
+        self.blocks = self.state.rdd
+        self.stored = self.blocks, self.carried, self.settled
         self.losses: list[tuple[int, int, float, float]] = []
         self.best: list[tuple[float, int]] = [(np.inf, 0)] * len(self.settings)
         self.stopped = [False] * len(self.settings)
@@ -320,19 +323,18 @@ class BoostingRun:
         return [trees[n:] for trees, n in zip(self.trees, self.settled)]
 
     def _frames(self):
-        """A function for tasks: blocks of batches as (ids, labels, weights, train, codes, a model's margins without pending trees)."""
+        """A function for tasks: blocks of the state as (ids, labels, weights, train, codes, a model's margins without pending trees)."""
         columns, carried, start, positive = self.layout.columns, {t: i for i, t in enumerate(self.carried)}, self.start, self.positive_weight
 
-        def frames(batches):
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    ids, y, train, codes, margins = (np.frombuffer(batch.column(i)[row].as_buffer(), t) for i, t in enumerate(_KINDS))
-                    margins = margins.reshape(-1, len(ids))
+        def frames(blocks):
+            for block in blocks:
+                ids, y, train, codes, margins = (np.frombuffer(part, t) for part, t in zip(block, _KINDS))
+                margins = margins.reshape(-1, len(ids))
 
-                    def margin(trial, margins=margins, n=len(ids)):
-                        return margins[carried[trial]] if trial in carried else np.full(n, start)
+                def margin(trial, margins=margins, n=len(ids)):
+                    return margins[carried[trial]] if trial in carried else np.full(n, start)
 
-                    yield ids, y, np.where(y == 1, positive, 1.0), train, codes.reshape(columns, len(ids)), margin
+                yield ids, y, np.where(y == 1, positive, 1.0), train, codes.reshape(columns, len(ids)), margin
 
         return frames
 
@@ -359,14 +361,14 @@ class BoostingRun:
             nodes, rest = {trial: [n for t, n in wanted if t == trial] for trial in columns}, {}
         live = sorted({*nodes, *measure})
 
-        def added(batches):
+        def added(blocks):
             sums = {trial: np.zeros((len(n), 2, cells[trial])) for trial, n in nodes.items()}
             losses = {trial: np.zeros(4) for trial in measure}
             # By trial: histograms of the codes of each column that is asked for, and the sums of all rows of a node.
             asked = {trial: sorted({layout.column[c] for c in cs if sizes[c] > 1}) for trial, cs in columns.items()}
             histograms = {trial: np.zeros((2, len(asked[trial]), len(n) * MOST_BINS)) for trial, n in nodes.items()}
             totals = {trial: np.zeros((2, len(n))) for trial, n in nodes.items()}
-            for ids, y, w, train, codes, margin in frames(batches):
+            for ids, y, w, train, codes, margin in frames(blocks):
                 training = np.flatnonzero(train)
                 keys = ids[training]
                 for trial in live:
@@ -416,10 +418,7 @@ class BoostingRun:
                     start += size
             part = TaskContext.get().partitionId()
             made = [(trial, node, part, sums[trial][i].tobytes()) for trial, n in nodes.items() for i, node in enumerate(n)]
-            made += [(trial, -1, part, total.tobytes()) for trial, total in losses.items()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*made), (pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
-                names=["trial", "node", "part", "sums"])
+            return made + [(trial, -1, part, total.tobytes()) for trial, total in losses.items()]
 
         def splits_of(trial: int, found: list[int], total: np.ndarray) -> list[tuple]:
             """Of nodes of one trial, from their (nodes, 2, cells) histograms."""
@@ -472,10 +471,10 @@ class BoostingRun:
             yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t) for i, t in enumerate(kinds)], names=list(_SPLIT))
 
         schema = ", ".join(f"{n} {t}" for n, t in _SPLIT.items())
-        parts = self.state.mapInArrow(added, "trial int, node int, part int, sums binary")
+        parts = self.blocks.mapPartitions(added)
         self.sums = {}
         if direct:
-            rows, summed = sorted(map(tuple, parts.collect())), {}
+            rows, summed = sorted(parts.collect()), {}
             for trial, node, _, one in rows:
                 summed[trial, node] = summed.get((trial, node), 0.0) + np.frombuffer(one)
             for (trial, node), (parent, sibling) in rest.items():
@@ -483,7 +482,8 @@ class BoostingRun:
             if unit:
                 self.sums = {key: total for key, total in summed.items() if key[1] >= 0}
             return [dict(zip(_SPLIT, row)) for row in made_of([(*key, total) for key, total in summed.items()])]
-        together = parts.repartition("trial", "node").sortWithinPartitions("trial", "node", "part")
+        table = self.spark.createDataFrame(parts, "trial int, node int, part int, sums binary", verifySchema=False)
+        together = table.repartition("trial", "node").sortWithinPartitions("trial", "node", "part")
         return [r.asDict() for r in together.mapInArrow(settled, schema).collect()]
 
     def _rest(self, wanted: list[tuple[int, int]], growing: dict[int, Tree]) -> dict[tuple[int, int], tuple[int, int]]:
@@ -564,15 +564,15 @@ class BoostingRun:
                     measured.discard(t)
                     del wanted[t]
 
-    def _with_all_trees(self, models: list[int]) -> DataFrame:
-        """Rows with the margins of some models after all their trees."""
+    def _with_all_trees(self, models: list[int]) -> RDD:
+        """Blocks with the margins of some models after all their trees."""
         pending, layout, frames = self._pending(), self.layout, self._frames()
 
-        def run(batches):
-            for ids, y, _, train, codes, margin in frames(batches):
+        def run(blocks):
+            for ids, y, _, train, codes, margin in frames(blocks):
                 yield _block(ids, y, train, codes, [layout.moved(margin(t).copy(), codes, pending[t]) for t in models])
 
-        return self.state.mapInArrow(run, STATE)
+        return self.blocks.mapPartitions(run, preservesPartitioning=True)
 
     def _carry(self, models: list[int]) -> None:
         self.carried, self.settled = models, [len(trees) if t in models else 0 for t, trees in enumerate(self.trees)]
@@ -583,16 +583,16 @@ class BoostingRun:
             return self.settle(models)
         if len(self.kept) > 1:
             self.kept[-2].unpersist()  # the rows made from it are kept by now
-        self.state = self._with_all_trees(models).persist(StorageLevel.MEMORY_AND_DISK)
-        self.kept.append(self.state)
+        self.blocks = self._with_all_trees(models).persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept.append(self.blocks)
         self._carry(models)
 
     def settle(self, models: Sequence[int] | None = None) -> None:
         """Store the rows with all trees so far in their margins, of some models or of all."""
         models = list(range(len(self.settings)) if models is None else models)
-        self.state = checkpointed(self._with_all_trees(models))
+        self.state = checkpointed(self.spark.createDataFrame(self._with_all_trees(models), STATE, verifySchema=False))
         self._carry(models)
-        self.stored = self.state, self.carried, self.settled
+        self.stored = self.state.rdd, self.carried, self.settled
         self._release()
 
     def _release(self) -> None:
@@ -600,7 +600,7 @@ class BoostingRun:
         for rows in self.kept:
             rows.unpersist()
         self.kept = []
-        self.state, self.carried, self.settled = self.stored
+        self.blocks, self.carried, self.settled = self.stored
 
     def scores(self, trials: Sequence[int]) -> DataFrame:
         """(trial, label, probability) of the validation rows for some models, each as ``model`` returns it."""
@@ -608,7 +608,8 @@ class BoostingRun:
         surplus = {t: self.trees[t][self.best[t][1] :] if self.patience is not None else [] for t in trials}
 
         def run(batches):
-            for _, y, _, train, codes, margin in frames(batches):
+            blocks = (tuple(batch.column(i)[row].as_buffer() for i in range(len(_KINDS))) for batch in batches for row in range(batch.num_rows))
+            for _, y, _, train, codes, margin in frames(blocks):
                 rows = np.flatnonzero(~train)
                 for trial in trials:
                     whole = layout.moved(margin(trial).take(rows), codes, pending[trial], rows)
@@ -632,10 +633,9 @@ _SPLIT = {
 _KINDS = (np.int64, np.float64, np.bool_, np.uint8, np.float64)
 
 
-def _block(ids: np.ndarray, y: np.ndarray, train: np.ndarray, codes: np.ndarray, margins: Sequence[np.ndarray]) -> pa.RecordBatch:
+def _block(ids: np.ndarray, y: np.ndarray, train: np.ndarray, codes: np.ndarray, margins: Sequence[np.ndarray]) -> tuple[bytes, ...]:
     """Arrays of some rows as one row of the state."""
-    parts = (ids, y, train, codes, np.concatenate(margins) if margins else np.empty(0))
-    return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(p).tobytes()], pa.binary()) for p in parts], names=["id", "label", "train", "bins", "margins"])
+    return tuple(np.ascontiguousarray(p).tobytes() for p in (ids, y, train, codes, np.concatenate(margins) if margins else np.empty(0)))
 
 
 def _blocks(batches, slots: int, size: int):
